@@ -1,0 +1,178 @@
+"""A keyed table on plain parquet that accepts upserts and deletes.
+
+Rows live in hash buckets. Every applied batch adds one segment with the last
+image of the keys it touched; a manifest per version lists which segments of
+which bucket are live. Readers merge the live segments of a bucket by taking
+the row with the highest (partition, offset). Deletes stay as marked rows, so
+an older event that is replayed later cannot bring a row back.
+
+The cost of a batch follows the batch. Once a bucket has gathered
+``compact_after`` segments, its next batch folds them into one. A version
+exists only once its manifest is complete, and the same batch of the same
+writer always produces the same version, so a batch that was cut off half-way
+is simply written again.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from twinledger.functions.tokens import quoted
+from twinledger.operators.changelog import require_keys, split_keyless
+from twinledger.operators.replay import latest_per_key, require_known_columns
+
+_ORDER = ("_partition", "_offset")
+_MANIFEST = "bucket int, segment bigint, writer string, batch_id bigint"
+
+
+def _children(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers behind ``prefix`` among the folder names in ``path``."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.exists(target)
+
+
+class KeyedState:
+    """``schema`` is the schema of the table: key columns and row columns."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        schema: T.StructType,
+        buckets: int = 64,
+        compact_after: int = 8,
+    ):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+        self.schema, self.buckets, self.compact_after = schema, buckets, compact_after
+
+    # -- layout ---------------------------------------------------------------
+
+    def _segment(self, version: int) -> str:
+        return f"{self.path}/segments/version={version}"
+
+    def _manifest(self, version: int) -> str:
+        return f"{self.path}/manifests/version={version}"
+
+    def _stored_schema(self) -> T.StructType:
+        stored = T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields])
+        return (
+            stored.add("_partition", T.IntegerType())
+            .add("_offset", T.LongType())
+            .add("_deleted", T.BooleanType())
+        )
+
+    def version(self) -> int | None:
+        """Newest complete version, None before the first."""
+        for v in reversed(_children(self.spark, f"{self.path}/manifests", "version=")):
+            if _exists(self.spark, self._manifest(v) + "/_SUCCESS"):
+                return v
+        return None
+
+    def _live(self, version: int | None) -> list:
+        """Manifest rows: at most buckets x (compact_after + 1)."""
+        if version is None:
+            return []
+        return self.spark.read.schema(_MANIFEST).parquet(self._manifest(version)).collect()
+
+    # -- reading --------------------------------------------------------------
+
+    def _rows(self, live: Sequence) -> DataFrame:
+        by_segment: dict[int, list[int]] = {}
+        for entry in live:
+            by_segment.setdefault(entry.segment, []).append(entry.bucket)
+        paths = [
+            f"{self._segment(segment)}/bucket={bucket}"
+            for segment, buckets in by_segment.items()
+            for bucket in buckets
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], self._stored_schema())
+        return self.spark.read.schema(self._stored_schema()).parquet(*paths)
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table as of ``version``, by default the newest."""
+        version = self.version() if version is None else version
+        merged = latest_per_key(self._rows(self._live(version)), self.keys, _ORDER)
+        return merged.where(~F.col("_deleted")).select(*[quoted(f) for f in self.schema.names])
+
+    # -- writing --------------------------------------------------------------
+
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        h = F.xxhash64(*[quoted(k) for k in self.keys])
+        return rows.withColumn("bucket", F.pmod(h, F.lit(self.buckets)).cast("int"))
+
+    def _commit(self, rows: DataFrame, version: int, carried: list[tuple[int, int]],
+                folded: set[int], writer: str, batch_id: int) -> int:
+        spread = self._bucketed(rows).repartition("bucket")
+        spread.write.mode("overwrite").partitionBy("bucket").parquet(self._segment(version))
+        written = _children(self.spark, self._segment(version), "bucket=")
+        kept = [(b, s) for b, s in carried if b not in folded]
+        entries = [(b, s, writer, batch_id) for b, s in kept]
+        entries += [(b, version, writer, batch_id) for b in written]
+        manifest = self.spark.createDataFrame(entries, _MANIFEST).coalesce(1)
+        manifest.write.mode("overwrite").parquet(self._manifest(version))
+        return version
+
+    def create(self, base: DataFrame) -> int:
+        """First version: the full copy, older than any log record."""
+        if self.version() is not None:
+            raise ValueError(f"{self.path} already holds a table")
+        rows = base.select(
+            *[quoted(f) for f in self.schema.names],
+            F.lit(-1).alias("_partition"),
+            F.lit(-1).cast("bigint").alias("_offset"),
+            F.lit(False).alias("_deleted"),
+        )
+        return self._commit(rows, 0, [], set(), "create", 0)
+
+    def apply(self, events: DataFrame, writer: str, batch_id: int,
+              on_error: str = "fail") -> int:
+        """Apply one batch of unwrapped events and return the new version.
+
+        ``writer`` names the stream; repeating its batch replaces the version
+        that batch wrote. With ``on_error='continue'`` records without a key
+        are kept below ``rejects``.
+        """
+        require_known_columns(events, self.schema.names)
+        newest = self.version()
+        live = self._live(newest)
+        version = 0 if newest is None else newest + 1
+        if live and live[0].writer == writer and live[0].batch_id == batch_id:
+            version = newest
+            live = self._live(newest - 1) if newest > 0 else []
+        if on_error == "continue":
+            usable, rejects = split_keyless(events, self.keys)
+            rejects.write.mode("overwrite").parquet(f"{self.path}/rejects/version={version}")
+        else:
+            usable = require_keys(events, self.keys)
+        rows = usable.select(
+            *[quoted(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields],
+            F.col("partition").cast("int").alias("_partition"),
+            F.col("offset").cast("bigint").alias("_offset"),
+            "_deleted",
+        )
+        depth: dict[int, int] = {}
+        for entry in live:
+            depth[entry.bucket] = depth.get(entry.bucket, 0) + 1
+        folded = {b for b, n in depth.items() if n >= self.compact_after}
+        if folded:
+            rows = rows.unionByName(self._rows([e for e in live if e.bucket in folded]))
+        last = latest_per_key(rows, self.keys, _ORDER)
+        carried = [(e.bucket, e.segment) for e in live]
+        return self._commit(last, version, carried, folded, writer, batch_id)
