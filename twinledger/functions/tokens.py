@@ -171,11 +171,8 @@ def fingerprint(
         c, dtype, t = quoted(name), df.schema[name].dataType, logical(types.get(name, "text"))
         same = other_schema is not None and other_schema[name].dataType == dtype
         native = _native(c, t, dtype) if same and default_rules else None
-        if native is None:
-            values.append(column_token(c, t, dtype, **options))
-        else:
-            values.append(native)
-            null_flags.append(c.isNull())
+        values.append(column_token(c, t, dtype, **options) if native is None else native)
+        null_flags.append(c.isNull())
     return digest_pair([*null_flags, *values])
 
 

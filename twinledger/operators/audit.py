@@ -280,11 +280,16 @@ def key_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def fk_orphans(
     child: DataFrame, fk_cols: Sequence[str], parent: DataFrame, pk_cols: Sequence[str]
 ) -> DataFrame:
-    """Child rows whose complete foreign key has no parent row."""
+    """Child rows whose complete foreign key has no parent row.
+
+    Parents are not made distinct first: their key is unique, and an aggregate
+    between shuffle and join would keep AQE from splitting a foreign key that
+    a large part of the children share.
+    """
     complete = F.lit(True)
     for c in fk_cols:
         complete = complete & quoted(c).isNotNull()
-    have = parent.select(*[quoted(p).alias(f"_p{i}") for i, p in enumerate(pk_cols)]).distinct()
+    have = parent.select(*[quoted(p).alias(f"_p{i}") for i, p in enumerate(pk_cols)])
     match = [quoted(c) == F.col(f"_p{i}") for i, c in enumerate(fk_cols)]
     return child.where(complete).join(have, match, "left_anti")
 

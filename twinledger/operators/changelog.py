@@ -69,21 +69,33 @@ def _struct(schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
+def _typed(image: Column, row: T.StructType) -> Column:
+    """Row image (field name -> text) as a struct; text that does not fit its type fails."""
+    fields = []
+    for f in row.fields:
+        text = F.try_element_at(image, F.lit(f.name))
+        binary = isinstance(f.dataType, T.BinaryType)
+        fields.append((F.unbase64(text) if binary else text.cast(f.dataType)).alias(f.name))
+    return F.when(image.isNotNull(), F.struct(*fields))
+
+
 def parse_envelope(
     log: DataFrame, row_schema: T.StructType | str, key_schema: T.StructType | str
 ) -> DataFrame:
     """Typed events: op, before, after, lsn, ts_ms, and the key as a struct.
 
     ``corrupt`` marks values that are not an envelope; ``unknown_fields`` lists
-    fields of the row image the given schema does not have. Both are only
-    computed where they are used.
+    fields of the row image the given schema does not have. The value is parsed
+    once: row images are read as field name -> text, which keeps the unknown
+    names, and only the known fields are then converted.
     """
     row, key = _struct(row_schema), _struct(key_schema)
+    image = T.MapType(T.StringType(), T.StringType())
     envelope = T.StructType().add(
         "payload",
         T.StructType()
-        .add("before", row)
-        .add("after", row)
+        .add("before", image)
+        .add("after", image)
         .add("source", T.StructType().add("lsn", T.LongType()))
         .add("op", T.StringType())
         .add("ts_ms", T.LongType()),
@@ -98,16 +110,15 @@ def parse_envelope(
         F.when(present, wrapped).otherwise(plain).alias("key"),
         is_tombstone().alias("tombstone"),
         F.from_json("value", envelope).alias("_e"),
-        F.col("value"),
     )
-    sent = F.json_object_keys(F.get_json_object("value", "$.payload.after"))
     known = F.array(*[F.lit(f.name) for f in row.fields])
-    unknown = F.array_except(F.coalesce(sent, F.array().cast("array<string>")), known)
+    sent = F.coalesce(F.map_keys("_e.payload.after"), F.array().cast("array<string>"))
+    unknown = F.array_except(sent, known)
     return parsed.select(
         "topic", "partition", "offset", "timestamp", "key", "tombstone",
         F.col("_e.payload.op").alias("op"),
-        F.col("_e.payload.before").alias("before"),
-        F.col("_e.payload.after").alias("after"),
+        _typed(F.col("_e.payload.before"), row).alias("before"),
+        _typed(F.col("_e.payload.after"), row).alias("after"),
         F.col("_e.payload.source.lsn").alias("lsn"),
         F.col("_e.payload.ts_ms").alias("ts_ms"),
         (~F.col("tombstone") & F.col("_e.payload.op").isNull()).alias("corrupt"),

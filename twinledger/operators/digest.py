@@ -123,8 +123,13 @@ def ranges_predicate(
     return found
 
 
-def key_range(df: DataFrame, pk: str, lo: int, hi: int, half_open: bool = False) -> DataFrame:
-    """Rows with ``lo <= pk <= hi``, or ``lo <= pk < hi`` when half open."""
+def key_range(
+    df: DataFrame, pk: str, lo: Column | int, hi: Column | int, half_open: bool = False
+) -> DataFrame:
+    """Rows with ``lo <= pk <= hi``, or ``lo <= pk < hi`` when half open.
+
+    Bounds may be numbers or scalar subqueries; both reach the scan.
+    """
     upper = quoted(pk) < hi if half_open else quoted(pk) <= hi
     return df.where((quoted(pk) >= lo) & upper)
 

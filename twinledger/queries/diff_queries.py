@@ -415,12 +415,14 @@ def snapshot_bound_query(spark, sf):
 
 @query("key_range", sql="""
 SELECT o_orderkey, o_orderstatus FROM orders
-WHERE o_orderkey >= 500 AND o_orderkey < 2500""")
+WHERE o_orderkey >= (SELECT max(o_orderkey) // 4 FROM orders)
+  AND o_orderkey < (SELECT max(o_orderkey) * 3 // 4 FROM orders)""")
 def key_range_query(spark, sf):
-    return G.key_range(
-        table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", 500, 2500,
-        half_open=True,
-    )
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    top = F.max("o_orderkey")
+    lo = orders.agg(floor_div(top, 4).alias("lo")).scalar()
+    hi = orders.agg(floor_div(top * 3, 4).alias("hi")).scalar()
+    return G.key_range(orders, "o_orderkey", lo, hi, half_open=True)
 
 
 # -- whole comparisons ---------------------------------------------------------
@@ -488,11 +490,14 @@ def reconcile_each_table_query(spark, sf):
 @query("reconcile_summary", SUMMARY_CTES, sql="""
 SELECT table_name, status, CAST(left_only AS BIGINT) AS left_only,
        CAST(right_only AS BIGINT) AS right_only, CAST(changed AS BIGINT) AS changed,
-       table_name = 'customer' AS key_representation_suspect
+       COALESCE(left_only > 0 AND left_only = right_only AND changed = 0, FALSE)
+         AS key_representation_suspect
 FROM results
 UNION ALL
 SELECT 'TOTAL', 'FAIL', CAST(sum(left_only) AS BIGINT), CAST(sum(right_only) AS BIGINT),
-       CAST(sum(changed) AS BIGINT), TRUE FROM results""")
+       CAST(sum(changed) AS BIGINT),
+       COALESCE(bool_or(left_only > 0 AND left_only = right_only AND changed = 0), FALSE)
+FROM results""")
 def reconcile_summary_query(spark, sf):
     return reconcile_summary(reconcile(_pairs(spark, sf), bounded=False))
 

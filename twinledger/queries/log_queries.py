@@ -50,10 +50,20 @@ def _text(c: str):
 # -- reading and scoping -------------------------------------------------------
 
 
-def stored_log(spark, sf, where=None, files: int = 6) -> str:
+RECORDS_PER_FILE = 1_000_000
+
+
+def _file_count(spark, sf) -> int:
+    """Files of the stored log: grows with the events, at least six."""
+    top = table(spark, sf, "events").agg(F.max("event_id").alias("m")).first().m or 0
+    return max(6, top // RECORDS_PER_FILE)
+
+
+def stored_log(spark, sf, files: int, where=None) -> str:
     """The log as files in the shared scratch folder, for file-based readers."""
     path = scratch_path(spark, "log")
-    change_log(spark, sf, where).repartition(files, "topic", "partition").write.parquet(path)
+    spread = change_log(spark, sf, where).repartition(files, "topic", "partition", "offset")
+    spread.write.parquet(path)
     return path
 
 
@@ -62,7 +72,8 @@ SELECT topic, CAST(part AS INTEGER) AS partition, pos AS "offset", tombstone
 FROM log WHERE topic <> 'cdc-demo.public.products'""")
 def read_change_log_query(spark, sf):
     log = read_change_log(
-        spark, stored_log(spark, sf), L.topic_regex(INSTANCE), ["cdc-demo.public.products"]
+        spark, stored_log(spark, sf, _file_count(spark, sf)), L.topic_regex(INSTANCE),
+        ["cdc-demo.public.products"],
     )
     return log.select("topic", "partition", "offset", F.col("value").isNull().alias("tombstone"))
 
@@ -276,13 +287,12 @@ def retention_guard_query(spark, sf):
     return found.drop("first_timestamp")
 
 
-@query("rollback_readiness", HOLED, sql="""
-SELECT count(DISTINCT topic) AS topics,
-       count(DISTINCT CASE WHEN topic LIKE '%.orders' THEN topic END) AS unsafe_topics,
-       'UNSAFE' AS verdict
-FROM holed""")
+@query("rollback_readiness", HOLED, sql=GUARD_SQL + """
+SELECT count(*) AS topics, count_if(starts_late OR missing > 0) AS unsafe_topics,
+       CASE WHEN count_if(starts_late OR missing > 0) = 0 THEN 'READY' ELSE 'UNSAFE' END AS verdict
+FROM guard""")
 def rollback_readiness_query(spark, sf):
-    # Decided 100 hours after the cutover, so only lost offsets make it unsafe.
+    # Decided 100 hours after the cutover, so within the retention window.
     cutover, _ = _times(spark, sf)
     decided = cutover + F.expr("INTERVAL 100 HOURS")
     return readiness(_holed(change_log(spark, sf)), INSTANCE, cutover, decided)
@@ -366,10 +376,15 @@ def verify_replay_query(spark, sf):
 # -- streams -------------------------------------------------------------------
 
 
-def _stream(spark, sf, where=None, files: int = 6, per_trigger: int = 2):
+BATCHES = 3
+
+
+def _stream(spark, sf, where=None):
+    """The stored log as a stream of a few batches, whatever its size."""
+    files = _file_count(spark, sf)
     return read_change_log(
-        spark, stored_log(spark, sf, where, files), L.topic_regex(INSTANCE), streaming=True,
-        max_files_per_trigger=per_trigger,
+        spark, stored_log(spark, sf, files, where), L.topic_regex(INSTANCE), streaming=True,
+        max_files_per_trigger=-(-files // BATCHES),
     )
 
 

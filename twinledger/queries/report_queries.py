@@ -8,8 +8,8 @@ from twinledger.operators import reports as R
 from twinledger.queries.inputs import table
 from twinledger.queries.registry import query
 
-# Every user is a source; clicks and views are batches; errors are errors;
-# purchases are discarded rows.
+# Customers stand for sources and users for their ids; even events are batches,
+# error events are errors, purchases are discarded rows.
 
 
 def _events(spark, sf):
@@ -17,8 +17,9 @@ def _events(spark, sf):
 
 
 def _sources(spark, sf):
-    users = _events(spark, sf).select(F.col("user_id").alias("i_id_source")).distinct()
-    return users.withColumn("t_source", F.concat(F.lit("src_"), F.col("i_id_source")))
+    return table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("i_id_source"), F.col("c_name").alias("t_source")
+    )
 
 
 def _received(spark, sf):
@@ -62,7 +63,7 @@ def _now(spark, sf):
 
 
 CATALOGUE = """
-src AS (SELECT DISTINCT user_id AS i_id_source, 'src_' || user_id AS t_source FROM events),
+src AS (SELECT c_custkey AS i_id_source, c_name AS t_source FROM customer),
 rec AS (SELECT user_id AS i_id_source, max(ts) AS ts_last_received FROM events
         WHERE user_id % 5 <> 0 GROUP BY 1),
 rep AS (SELECT user_id AS i_id_source, max(ts) AS ts_last_replayed FROM events
@@ -102,10 +103,11 @@ def source_status_query(spark, sf):
 
 
 @query("newest_batches", CATALOGUE, sql="""
-SELECT event_id AS i_id_batch, 'src_' || user_id AS t_source,
+SELECT event_id AS i_id_batch, t_source,
        't_log_replica_' || (event_id % 2 + 1) AS v_log_table, event_id % 1000 AS i_replayed,
        event_id % 10 AS i_skipped, event_id % 3 AS i_ddl
-FROM events WHERE event_id % 2 = 0 ORDER BY event_id DESC LIMIT 10""")
+FROM events JOIN src ON user_id = i_id_source WHERE event_id % 2 = 0
+ORDER BY event_id DESC LIMIT 10""")
 def newest_batches_query(spark, sf):
     return R.newest_batches(_batches(spark, sf), _sources(spark, sf)).select(
         "i_id_batch", "t_source", "v_log_table", "i_replayed", "i_skipped", "i_ddl"
