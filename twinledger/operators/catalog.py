@@ -160,24 +160,25 @@ def pk_fingerprint(
 
     Tables above ``max_rows`` are reported as ``skipped``.
     """
-    out = []
-    for name, (left, right, pk) in pairs.items():
-        sides = [
-            key_fingerprint(df, pk).select(
-                F.lit(name).alias("table_name"), F.col("n").alias(f"_n{mark}"),
-                F.col("fingerprint").alias(f"{mark}_fingerprint"),
-            )
-            for mark, df in (("left", left), ("right", right))
-        ]
-        out.append(sides[0].join(sides[1], "table_name"))
-    found = union_tables(out)
+    one_row_each = union_tables([
+        key_fingerprint(df, pk).select(
+            F.lit(name).alias("table_name"), F.lit(mark).alias("side"), "n", "fingerprint"
+        )
+        for name, (left, right, pk) in pairs.items()
+        for mark, df in (("left", left), ("right", right))
+    ])
+    found = one_row_each.groupBy("table_name").agg(
+        *[
+            F.max(F.when(F.col("side") == mark, F.col("fingerprint"))).alias(f"{mark}_fingerprint")
+            for mark in ("left", "right")
+        ],
+        F.max("n").alias("_n"),
+    )
     verdict = F.when(
         F.col("left_fingerprint") == F.col("right_fingerprint"), F.lit("match")
     ).otherwise(F.lit("mismatch"))
     if max_rows is not None:
-        verdict = F.when(F.greatest("_nleft", "_nright") > max_rows, F.lit("skipped")).otherwise(
-            verdict
-        )
+        verdict = F.when(F.col("_n") > max_rows, F.lit("skipped")).otherwise(verdict)
     return found.select("table_name", "left_fingerprint", "right_fingerprint",
                         verdict.alias("status"))
 

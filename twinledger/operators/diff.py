@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twinledger.functions.arithmetic import floor_div
 from twinledger.functions.logical_types import (
@@ -84,33 +85,49 @@ def diff_merge(
     """
     cols, known = _plan(left, right, types)
     kinds = aligned_keys(left, right, keys)
+    # NULL keys become a placeholder plus a flag: plain equality on both lets
+    # the join use the partitioning of the grouping.
+    forms, match = [], F.lit(True)
+    for i, k in enumerate(keys):
+        empty = F.lit(_placeholder(kinds[k])).cast(kinds[k])
+        forms += [
+            F.coalesce(quoted(k).cast(kinds[k]), empty).alias(f"k{i}"),
+            quoted(k).isNull().alias(f"z{i}"),
+        ]
+        match = match & (F.col(f"lk{i}") == F.col(f"rk{i}")) & (F.col(f"lz{i}") == F.col(f"rz{i}"))
+    low = F.lit(0xFFFFFF)
     sides = []
     for df, other, mark in ((left, right, "l"), (right, left, "r")):
         digest = fingerprint(df, cols, known, other.schema, **options)
-        rows = df.select(
-            *key_columns(keys, kinds), *[d.alias(f"_h{i}") for i, d in enumerate(digest)]
-        )
-        low = F.lit(0xFFFFFF)
-        per_key = rows.groupBy(*[quoted(k) for k in keys]).agg(
-            F.count("*").alias(f"_n{mark}"),
+        rows = df.select(*forms, *[d.alias(f"h{i}") for i, d in enumerate(digest)])
+        per_key = rows.groupBy(*[f"{c}{i}" for i in range(len(keys)) for c in "kz"]).agg(
+            F.count("*").alias("n"),
             F.struct(
-                F.bit_xor("_h0"), F.bit_xor("_h1"),
-                F.sum(F.col("_h0").bitwiseAND(low)), F.sum(F.col("_h1").bitwiseAND(low)),
-            ).alias(f"_d{mark}"),
+                F.bit_xor("h0"), F.bit_xor("h1"),
+                F.sum(F.col("h0").bitwiseAND(low)), F.sum(F.col("h1").bitwiseAND(low)),
+            ).alias("d"),
         )
-        sides.append(per_key.withColumnsRenamed({k: f"_{mark}k{i}" for i, k in enumerate(keys)}))
-    a, b = sides
-    match = F.lit(True)
-    for i in range(len(keys)):
-        match = match & F.col(f"_lk{i}").eqNullSafe(F.col(f"_rk{i}"))
-    joined = a.hint("merge").join(b, match, "full_outer")
-    same = (F.col("_nl") == F.col("_nr")) & (F.col("_dl") == F.col("_dr"))
+        sides.append(per_key.withColumnsRenamed({c: mark + c for c in per_key.columns}))
+    joined = sides[0].hint("merge").join(sides[1], match, "full_outer")
+    same = (F.col("ln") == F.col("rn")) & (F.col("ld") == F.col("rd"))
     nothing = F.lit(0).cast("bigint")
-    kind = diff_kind(F.coalesce("_nl", nothing), F.coalesce("_nr", nothing), same)
-    shown = [F.coalesce(F.col(f"_lk{i}"), F.col(f"_rk{i}")).alias(k) for i, k in enumerate(keys)]
+    kind = diff_kind(F.coalesce("ln", nothing), F.coalesce("rn", nothing), same)
+    shown = [
+        F.when(~F.coalesce(f"lz{i}", f"rz{i}"), F.coalesce(f"lk{i}", f"rk{i}")).alias(k)
+        for i, k in enumerate(keys)
+    ]
     return joined.select(*shown, kind.alias("diff_type")).where(F.col("diff_type").isNotNull())
 
 
+def _placeholder(dtype: T.DataType) -> str:
+    """Text that casts to some value of the type."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return ""
+    if isinstance(dtype, T.NumericType):
+        return "0"
+    return "false" if isinstance(dtype, T.BooleanType) else "1970-01-01"
+
+
 def chunkable(left: DataFrame, right: DataFrame, keys: Sequence[str], types: Types | None) -> bool:
     """Chunk ids need one native integer key on both sides."""
     if len(keys) != 1:

@@ -354,7 +354,10 @@ SLICE_SUMS = ", ".join(
     f"CAST(SUM(CAST('0x' || substr(h, {8 * i + 1}, 8) AS BIGINT)) AS VARCHAR) AS s{i}"
     for i in range(4)
 )
-TEXT_SUMS = [F.col(f"s{i}").cast("string").alias(f"s{i}") for i in range(4)]
+
+
+def _text_sums():
+    return [F.col(f"s{i}").cast("string").alias(f"s{i}") for i in range(4)]
 
 
 @query("chunk_digest", ORDERS, sql=f"""
@@ -363,7 +366,7 @@ FROM (SELECT o_orderkey, {orders_hash_sql()} AS h FROM orders_r) GROUP BY 1""")
 def chunk_digest_query(spark, sf):
     df = orders_right(spark, sf)
     return G.chunk_digest(df, "o_orderkey", df.columns, infer_types(df), CHUNK).select(
-        "chunk_id", "n", *TEXT_SUMS
+        "chunk_id", "n", *_text_sums()
     )
 
 
@@ -371,7 +374,7 @@ def chunk_digest_query(spark, sf):
 SELECT count(*) AS n, {SLICE_SUMS} FROM (SELECT {orders_hash_sql()} AS h FROM orders_l)""")
 def table_digest_query(spark, sf):
     df = orders_left(spark, sf)
-    return G.table_digest(df, df.columns, infer_types(df)).select("n", *TEXT_SUMS)
+    return G.table_digest(df, df.columns, infer_types(df)).select("n", *_text_sums())
 
 
 @query("chunk_compare", ORDERS_DIFF, sql="""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from twinledger.functions.arithmetic import floor_div
 from twinledger.operators import changelog as L
@@ -40,7 +39,7 @@ from twinledger.streaming.jobs import (
 from twinledger.streaming.state import KeyedState
 
 STATE_KEYS = ["table", "id"]
-STATE_SCHEMA = T.StructType.fromDDL("table string, id bigint, value decimal(18,2), ts string")
+STATE_SCHEMA = "table string, id bigint, value decimal(18,2), ts string"
 
 
 def _text(c: str):

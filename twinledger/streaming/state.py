@@ -54,12 +54,13 @@ class KeyedState:
         spark: SparkSession,
         path: str,
         keys: Sequence[str],
-        schema: T.StructType,
+        schema: T.StructType | str,
         buckets: int = 64,
         compact_after: int = 8,
     ):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.schema, self.buckets, self.compact_after = schema, buckets, compact_after
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.buckets, self.compact_after = buckets, compact_after
 
     # -- layout ---------------------------------------------------------------
 
