@@ -100,22 +100,29 @@ def parse_envelope(
         .add("op", T.StringType())
         .add("ts_ms", T.LongType()),
     )
-    keys = T.StructType().add("payload", key)
-    # Keys come with or without the schema wrapper.
-    wrapped = F.from_json("key", keys)["payload"]
-    plain = F.from_json("key", key)
-    present = F.get_json_object("key", "$.payload").isNotNull()
+    # Keys come with or without the schema wrapper; one parse covers both.
+    either = T.StructType().add("payload", key)
+    for f in key.fields:
+        if f.name != "payload":
+            either.add(f.name, f.dataType)
     parsed = log.select(
         "topic", "partition", "offset", "timestamp",
-        F.when(present, wrapped).otherwise(plain).alias("key"),
+        F.from_json("key", either).alias("_k"),
         is_tombstone().alias("tombstone"),
         F.from_json("value", envelope).alias("_e"),
     )
+    plain = F.struct(*[
+        F.col("_k")[f.name].alias(f.name) if f.name != "payload"
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in key.fields
+    ])
     known = F.array(*[F.lit(f.name) for f in row.fields])
     sent = F.coalesce(F.map_keys("_e.payload.after"), F.array().cast("array<string>"))
     unknown = F.array_except(sent, known)
     return parsed.select(
-        "topic", "partition", "offset", "timestamp", "key", "tombstone",
+        "topic", "partition", "offset", "timestamp",
+        F.coalesce(F.col("_k.payload"), plain).alias("key"),
+        "tombstone",
         F.col("_e.payload.op").alias("op"),
         _typed(F.col("_e.payload.before"), row).alias("before"),
         _typed(F.col("_e.payload.after"), row).alias("after"),
@@ -141,10 +148,12 @@ def unwrap(events: DataFrame, forbid_unknown: bool = True) -> DataFrame:
         F.lit("cannot apply record "), F.col("topic"), F.lit("/"), F.col("partition"),
         F.lit("@"), F.col("offset"), F.lit(": not an envelope, or fields unknown to the target"),
     )
-    kept = kept.where(F.when(broken, F.raise_error(message).isNotNull()).otherwise(True))
     key_fields = kept.schema["key"].dataType.names
     row_fields = [f for f in kept.schema["after"].dataType.names if f not in key_fields]
-    deleted = F.col("op") == "d"
+    # Part of the projection on purpose: as a filter the check would be moved
+    # below the parsing and repeat it.
+    refuse = F.raise_error(message).cast("boolean")
+    deleted = F.when(broken, refuse).otherwise(F.col("op") == "d")
     return kept.select(
         route_topic("topic").alias("table"),
         topic_schema("topic").alias("schema"),
@@ -167,11 +176,11 @@ def split_keyless(events: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Da
 
 def require_keys(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The events themselves; the job fails on one without a complete key."""
-    lost = F.lit(False)
-    for k in keys:
-        lost = lost | quoted(k).isNull()
-    refuse = F.raise_error(F.lit("record without a usable key")).isNotNull()
-    return events.where(F.when(lost, refuse).otherwise(True))
+    refuse = F.raise_error(F.lit("record without a usable key"))
+    kinds = {k: events.schema[k].dataType for k in keys}
+    return events.withColumns(
+        {k: F.coalesce(quoted(k), refuse.cast(kinds[k])) for k in keys}
+    )
 
 
 def op_counts(log: DataFrame) -> DataFrame:

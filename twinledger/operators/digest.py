@@ -216,17 +216,25 @@ def balanced_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     return balance(sides[0], sides[1], list(keys), False)
 
 
-def keyed_diff(
+def keyed_balance(
     left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequence[str], types: Types,
     **options,
 ) -> DataFrame:
-    """``(keys, diff_type)`` by cancelling row fingerprints per key."""
+    """``(keys, n_left, n_right, same)`` by cancelling row fingerprints per key."""
     kinds = aligned_keys(left, right, keys)
     sides = []
     for df, other, side in ((left, right, LEFT), (right, left, RIGHT)):
         digest = fingerprint(df, cols, types, other.schema, **options)
         sides.append(signed_rows(df, side, key_columns(keys, kinds), digest))
-    merged = balance(sides[0], sides[1], list(keys))
+    return balance(sides[0], sides[1], list(keys))
+
+
+def keyed_diff(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequence[str], types: Types,
+    **options,
+) -> DataFrame:
+    """``(keys, diff_type)`` of the keys that do not cancel out."""
+    merged = keyed_balance(left, right, keys, cols, types, **options)
     kind = diff_kind(F.col("n_left"), F.col("n_right"), F.col("same"))
     return merged.select(*[quoted(k) for k in keys], kind.alias("diff_type")).where(
         F.col("diff_type").isNotNull()

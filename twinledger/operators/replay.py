@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.functions.logical_types import Types
+from twinledger.functions.logical_types import Types, common_columns, infer_types
 from twinledger.functions.tokens import quoted
+from twinledger.operators.balance import diff_kind
 from twinledger.operators.changelog import require_keys, split_keyless
-from twinledger.operators.diff import diff_counts, diff_rows
+from twinledger.operators.digest import keyed_balance
 
 LOG_ORDER = ("partition", "offset")
 
@@ -73,13 +74,22 @@ def apply_changes(
 def verify_replay(
     state: DataFrame, source: DataFrame, keys: Sequence[str], types: Types | None = None
 ) -> DataFrame:
-    """``(state_rows, source_rows, left_only, right_only, changed, verdict)``."""
-    counts = diff_counts(diff_rows(state, source, keys, types))
-    sized = counts.withColumn(
-        "state_rows", state.agg(F.count("*").alias("n")).scalar()
-    ).withColumn("source_rows", source.agg(F.count("*").alias("n")).scalar())
-    clean = F.col("left_only") + F.col("right_only") + F.col("changed") == 0
-    return sized.select(
-        "state_rows", "source_rows", "left_only", "right_only", "changed",
-        F.when(clean, F.lit("VERIFIED")).otherwise(F.lit("DIFF")).alias("verdict"),
+    """``(state_rows, source_rows, left_only, right_only, changed, verdict)``.
+
+    Row counts and content come from the same pass, so the replay runs once.
+    """
+    cols, known = common_columns(state, source), infer_types(source, types)
+    merged = keyed_balance(state, source, keys, cols, known)
+    kind = diff_kind(F.col("n_left"), F.col("n_right"), F.col("same"))
+    nothing = F.lit(0).cast("bigint")
+    counts = merged.select("n_left", "n_right", kind.alias("kind")).agg(
+        F.coalesce(F.sum("n_left"), nothing).alias("state_rows"),
+        F.coalesce(F.sum("n_right"), nothing).alias("source_rows"),
+        *[
+            F.count_if(F.col("kind") == k).alias(k)
+            for k in ("left_only", "right_only", "changed")
+        ],
     )
+    clean = F.col("left_only") + F.col("right_only") + F.col("changed") == 0
+    verdict = F.when(clean, F.lit("VERIFIED")).otherwise(F.lit("DIFF"))
+    return counts.withColumn("verdict", verdict)
