@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger.functions.tokens import quoted
+from twinledger.session import scratch_path
 
 LEFT, RIGHT = 1, -1
 _LOW_24_BITS = 0xFFFFFF
@@ -80,12 +81,18 @@ def diff_kind(n_left: Column, n_right: Column, same: Column) -> Column:
     )
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` is proven to hold at most ``max_rows`` rows.
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored in the shared scratch folder and read back.
 
-    Runs a job that stops after ``max_rows + 1`` rows; persist ``df`` first if
-    it is used again.
+    Used for intermediate lists that are needed more than once: their size is
+    known exactly afterwards, the work behind them is not repeated when an
+    executor is lost, and nothing stays cached in the session.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_enough(stored: DataFrame, max_rows: int) -> bool:
+    """True when a stored list holds at most ``max_rows`` rows (a footer read)."""
+    return stored.count() <= max_rows

@@ -30,6 +30,7 @@ from twinledger.operators.balance import (
     diff_kind,
     key_columns,
     small_enough,
+    written,
 )
 from twinledger.operators.digest import (
     DEFAULT_BUCKET_SIZE,
@@ -177,17 +178,15 @@ def diff_chunked(
             in_chunks(left, ids), in_chunks(right, ids), [pk], cols, known, **options
         )
 
-    dirty = dirty.persist()
+    dirty = written(dirty, "dirty-chunks")
     found = dirty.limit(MAX_PUSHED_CHUNKS + 1).collect()
     if len(found) <= MAX_PUSHED_CHUNKS:
-        dirty.unpersist()
         ranges = drill_ranges([r.chunk_id for r in found if r.chunk_id is not None])
         wanted = ranges_predicate(pk, ranges, chunk_size)
         if any(r.chunk_id is None for r in found):
             wanted = wanted | quoted(pk).isNull()
         return keyed_diff(left.where(wanted), right.where(wanted), [pk], cols, known, **options)
     if not small_enough(dirty, BROADCAST_ROWS):
-        dirty.unpersist()
         return keyed_diff(left, right, [pk], cols, known, **options)
     ids = F.broadcast(dirty.select(id_or_0.alias("chunk_id")))
     return keyed_diff(in_chunks(left, ids), in_chunks(right, ids), [pk], cols, known, **options)
@@ -228,7 +227,7 @@ def diff_bucketed(
     buckets = bucket_compare(left, right, pk, bucket_size, exact)
     dirty = buckets.where(~F.col("same")).select("bucket")
     if broadcast_rows is not None:
-        dirty = dirty.persist()
+        dirty = written(dirty, "dirty-buckets")
         if not small_enough(dirty, broadcast_rows):
             if exact:
                 return key_set_diff(left, right, [pk])
@@ -300,7 +299,7 @@ def column_diff(
         changed = changed.where(F.col("diff_type") == "changed")
     picked = changed.select(*[quoted(k) for k in keys]).distinct()
     if broadcast_rows is not None:
-        picked = picked.persist()
+        picked = written(picked, "changed-keys")
         if small_enough(picked, broadcast_rows):
             picked = F.broadcast(picked)
     parts = [df.join(picked, list(keys), "left_semi") for df in (left, right)]
