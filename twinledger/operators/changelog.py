@@ -294,7 +294,8 @@ def offset_gaps(log: DataFrame, block: int = _OFFSETS_PER_BLOCK) -> DataFrame:
     """``(topic, partition, gap_start, gap_end, missing)`` for every hole.
 
     Neighbours are compared inside blocks of at most ``block`` offsets, so no
-    window holds a whole partition; a second, tiny window joins block ends.
+    window holds a whole partition. Only the first and last row of each block
+    go on to a second window, which compares them across blocks.
     """
     part = ["topic", "partition"]
     seen = (
@@ -302,20 +303,21 @@ def offset_gaps(log: DataFrame, block: int = _OFFSETS_PER_BLOCK) -> DataFrame:
         .select(*part, "offset", F.shiftright("offset", block.bit_length() - 1).alias("_block"))
     )
     inside = Window.partitionBy(*part, "_block").orderBy("offset")
-    near = seen.withColumn("_previous", F.lag("offset").over(inside))
-    edges = seen.groupBy(*part, "_block").agg(
-        F.min("offset").alias("offset"), F.max("offset").alias("_last")
-    )
-    across = Window.partitionBy(*part).orderBy("_block")
-    linked = edges.withColumn("_previous", F.lag("_last").over(across))
-    pairs = near.select(*part, "offset", "_previous").unionAll(
-        linked.select(*part, "offset", "_previous")
-    )
-    return pairs.where(F.col("offset") - F.col("_previous") > 1).select(
+    near = seen.withColumns({
+        "_previous": F.lag("offset").over(inside), "_next": F.lead("offset").over(inside),
+    })
+    edge = F.col("_previous").isNull() | F.col("_next").isNull()
+    kept = near.where(edge | (F.col("offset") - F.col("_previous") > 1))
+    # Rows with a gap inside their block are done; edges share one window.
+    across = Window.partitionBy(
+        *part, F.when(edge, F.lit(-1)).otherwise(F.col("_block"))
+    ).orderBy("offset")
+    linked = kept.withColumn("_from", F.coalesce("_previous", F.lag("offset").over(across)))
+    return linked.where(F.col("offset") - F.col("_from") > 1).select(
         *part,
-        (F.col("_previous") + 1).alias("gap_start"),
+        (F.col("_from") + 1).alias("gap_start"),
         (F.col("offset") - 1).alias("gap_end"),
-        (F.col("offset") - F.col("_previous") - 1).alias("missing"),
+        (F.col("offset") - F.col("_from") - 1).alias("missing"),
     )
 
 
