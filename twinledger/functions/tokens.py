@@ -146,7 +146,12 @@ def _native(c: Column, t: LogicalType, dtype: T.DataType) -> Column | None:
             return day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
         return None
     if t.udt in FLOAT_UDTS:
-        return None
+        if not isinstance(dtype, (T.DoubleType, T.FloatType)):
+            return None
+        scale = DEFAULT_FLOAT_SCALE if t.scale is None else t.scale
+        fixed = c.try_cast(T.DecimalType(38, scale))
+        # Values a decimal cannot hold (NaN, infinity) count as they are.
+        return F.struct(fixed, F.when(fixed.isNull(), c))
     if isinstance(dtype, (T.IntegralType, T.StringType, T.DateType, T.DecimalType)):
         return c
     return None
