@@ -290,22 +290,25 @@ def column_diff(
 ) -> DataFrame:
     """``(keys, column, left_value, right_value, opaque)`` for changed rows.
 
-    Only columns whose tokens differ are listed. ``changed`` may hand in keys
-    already known to differ; with ``broadcast_rows`` their number is checked,
-    and if small they are broadcast so that unchanged rows are not shuffled.
+    Only columns whose tokens differ are listed. By default this is one pass
+    that shuffles all values. ``changed`` may hand in keys already known to
+    differ. With ``broadcast_rows`` the changed keys are found first, by their
+    hashes, and if they are proven to be few they are broadcast, so that only
+    changed rows are shuffled; if they are many the single pass is taken.
     """
-    if changed is None:
-        changed = diff_rows(left, right, keys, types, **options)
-        changed = changed.where(F.col("diff_type") == "changed")
-    picked = changed.select(*[quoted(k) for k in keys]).distinct()
+    picked = None
     if broadcast_rows is not None:
-        picked = written(picked, "changed-keys")
-        if small_enough(picked, broadcast_rows):
-            picked = F.broadcast(picked)
-    parts = [df.join(picked, list(keys), "left_semi") for df in (left, right)]
-    # A join on `using` columns keeps the names but moves keys first.
-    parts = [p.select(*[quoted(c) for c in df.columns]) for p, df in zip(parts, (left, right))]
-    merged, cols, known = _column_balance(parts[0], parts[1], keys, types, True, options)
+        if changed is None:
+            changed = diff_rows(left, right, keys, types, **options)
+            changed = changed.where(F.col("diff_type") == "changed")
+        found = written(changed.select(*[quoted(k) for k in keys]).distinct(), "changed-keys")
+        if small_enough(found, broadcast_rows):
+            picked = F.broadcast(found)
+    elif changed is not None:
+        picked = changed.select(*[quoted(k) for k in keys])
+    if picked is not None:
+        left, right = (fetch_rows_by_key(df, picked, keys) for df in (left, right))
+    merged, cols, known = _column_balance(left, right, keys, types, True, options)
     cells = F.array(*[
         F.struct(
             F.lit(c).alias("column"),
@@ -343,8 +346,8 @@ def changed_column_counts(
 def fetch_rows_by_key(
     df: DataFrame, keys_df: DataFrame, keys: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    """Full rows for the given keys; a limit takes the smallest keys."""
-    found = df.join(keys_df.select(*[quoted(k) for k in keys]), list(keys), "left_semi")
+    """Full rows for the keys in ``keys_df``; a limit takes the smallest keys."""
+    found = df.join(keys_df, list(keys), "left_semi")
     found = found.select(*[quoted(c) for c in df.columns])
     if limit is None:
         return found

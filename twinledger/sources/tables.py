@@ -60,19 +60,21 @@ def read_change_log(
     streaming: bool = False,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    **options: str,
 ) -> DataFrame:
     """Change-log records in the columns of Spark's Kafka source.
 
     ``path`` holds parquet or JSON files. ``fmt='kafka'`` reads brokers given
-    as ``path`` instead and lets them do the topic selection.
+    as ``path`` instead and lets them do the topic selection; ``options`` go to
+    the reader (``startingOffsets``, ``maxOffsetsPerTrigger``).
     """
-    reader = spark.readStream if streaming else spark.read
+    reader = (spark.readStream if streaming else spark.read).options(**options)
     if fmt == "kafka":
         raw = (
             reader.format("kafka")
             .option("kafka.bootstrap.servers", path)
             .option("subscribePattern", topic_regex or ".*")
-            .option("startingOffsets", "earliest")
+            .option("startingOffsets", options.get("startingOffsets", "earliest"))
             .load()
         )
         log = raw.select(

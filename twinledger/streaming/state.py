@@ -47,7 +47,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class KeyedState:
-    """``schema`` is the schema of the table: key columns and row columns."""
+    """``schema`` is the schema of the table: key columns and row columns.
+
+    Choose ``buckets`` so that a bucket is a few GB, and keep it: the bucket of
+    a key depends on it. ``files_per_bucket`` tasks write each bucket.
+    """
 
     def __init__(
         self,
@@ -57,10 +61,12 @@ class KeyedState:
         schema: T.StructType | str,
         buckets: int = 64,
         compact_after: int = 8,
+        files_per_bucket: int = 1,
     ):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         self.buckets, self.compact_after = buckets, compact_after
+        self.files_per_bucket = files_per_bucket
 
     # -- layout ---------------------------------------------------------------
 
@@ -91,6 +97,14 @@ class KeyedState:
             return []
         return self.spark.read.schema(_MANIFEST).parquet(self._manifest(version)).collect()
 
+    @staticmethod
+    def _depth(live: Sequence) -> dict[int, int]:
+        """Live segments per bucket."""
+        depth: dict[int, int] = {}
+        for entry in live:
+            depth[entry.bucket] = depth.get(entry.bucket, 0) + 1
+        return depth
+
     # -- reading --------------------------------------------------------------
 
     def _rows(self, live: Sequence) -> DataFrame:
@@ -109,18 +123,25 @@ class KeyedState:
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of ``version``, by default the newest."""
         version = self.version() if version is None else version
-        merged = latest_per_key(self._rows(self._live(version)), self.keys, _ORDER)
-        return merged.where(~F.col("_deleted")).select(*[quoted(f) for f in self.schema.names])
+        live = self._live(version)
+        depth = self._depth(live)
+        # A segment holds each key once: only buckets with several are merged.
+        settled = self._rows([e for e in live if depth[e.bucket] == 1])
+        layered = self._rows([e for e in live if depth[e.bucket] > 1])
+        rows = settled.unionByName(latest_per_key(layered, self.keys, _ORDER))
+        return rows.where(~F.col("_deleted")).select(*[quoted(f) for f in self.schema.names])
 
     # -- writing --------------------------------------------------------------
 
     def _bucketed(self, rows: DataFrame) -> DataFrame:
         h = F.xxhash64(*[quoted(k) for k in self.keys])
-        return rows.withColumn("bucket", F.pmod(h, F.lit(self.buckets)).cast("int"))
+        bucket = F.pmod(h, F.lit(self.buckets)).cast("int")
+        file = F.pmod(F.shiftright(h, 32), F.lit(self.files_per_bucket))
+        return rows.withColumn("bucket", bucket).repartition("bucket", file)
 
     def _commit(self, rows: DataFrame, version: int, carried: list[tuple[int, int]],
                 folded: set[int], writer: str, batch_id: int) -> int:
-        spread = self._bucketed(rows).repartition("bucket")
+        spread = self._bucketed(rows)
         spread.write.mode("overwrite").partitionBy("bucket").parquet(self._segment(version))
         written = _children(self.spark, self._segment(version), "bucket=")
         kept = [(b, s) for b, s in carried if b not in folded]
@@ -168,10 +189,7 @@ class KeyedState:
             F.col("offset").cast("bigint").alias("_offset"),
             "_deleted",
         )
-        depth: dict[int, int] = {}
-        for entry in live:
-            depth[entry.bucket] = depth.get(entry.bucket, 0) + 1
-        folded = {b for b, n in depth.items() if n >= self.compact_after}
+        folded = {b for b, n in self._depth(live).items() if n >= self.compact_after}
         if folded:
             rows = rows.unionByName(self._rows([e for e in live if e.bucket in folded]))
         last = latest_per_key(rows, self.keys, _ORDER)
