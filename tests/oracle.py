@@ -38,7 +38,18 @@ def rows_of(names, rows):
     )
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def types_differ(con, spark_df, sql: str) -> str | None:
+    got = {f.name: SQL_TYPES.get(f.dataType.simpleString()) for f in spark_df.schema}
+    want = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return None if got == want else f"types {got} != {want}"
+
+
 def mismatch(con, spark_df, sql: str) -> str | None:
+    if problem := types_differ(con, spark_df, sql):
+        return problem
     got = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]

@@ -29,8 +29,8 @@ COUNTED = ["o_custkey", "o_orderpriority", "o_orderstatus", "created"]
 
 
 @query("null_audit", DIRTY, sql=" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS null_count, "
-    f"CASE WHEN count_if({c} IS NULL) = 0 THEN 'clean' ELSE 'dirty' END AS verdict FROM dirty"
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN 'clean' ELSE 'dirty' END AS verdict FROM dirty"
     for c in COUNTED))
 def null_audit_query(spark, sf):
     return A.null_audit(dirty_orders(spark, sf), COUNTED)
@@ -48,12 +48,12 @@ def zero_date_rows_query(spark, sf):
          CASE WHEN shipped LIKE '0000%' AND o_orderkey % 2 = 0 THEN NULL ELSE shipped END AS shipped
   FROM dirty),
 n AS (
-  SELECT 'created' AS c, (SELECT count_if(created LIKE '0000%') FROM dirty) AS zeros,
-         (SELECT count_if(created IS NULL) FROM dirty) AS left_nulls,
-         (SELECT count_if(created IS NULL) FROM r) AS right_nulls
+  SELECT 'created' AS c, (SELECT count(*) FILTER (WHERE created LIKE '0000%') FROM dirty) AS zeros,
+         (SELECT count(*) FILTER (WHERE created IS NULL) FROM dirty) AS left_nulls,
+         (SELECT count(*) FILTER (WHERE created IS NULL) FROM r) AS right_nulls
   UNION ALL
-  SELECT 'shipped', (SELECT count_if(shipped LIKE '0000%') FROM dirty),
-         (SELECT count_if(shipped IS NULL) FROM dirty), (SELECT count_if(shipped IS NULL) FROM r))
+  SELECT 'shipped', (SELECT count(*) FILTER (WHERE shipped LIKE '0000%') FROM dirty),
+         (SELECT count(*) FILTER (WHERE shipped IS NULL) FROM dirty), (SELECT count(*) FILTER (WHERE shipped IS NULL) FROM r))
 SELECT c AS "column", zeros, left_nulls, right_nulls,
        CASE WHEN right_nulls >= zeros + left_nulls THEN 'OK'
             WHEN right_nulls >= left_nulls THEN 'PARTIAL' ELSE 'MISMATCH' END AS status,
@@ -72,11 +72,11 @@ def zero_date_check_query(spark, sf):
 
 @query("max_text_length", DIRTY, sql="""
 SELECT 'o_orderstatus' AS "column", max(length(o_orderstatus)) AS max_length,
-       CAST(64 AS BIGINT) AS "limit", count_if(length(o_orderstatus) > 64) AS too_long,
-       count_if(length(o_orderstatus) > 64) > 0 AS would_truncate FROM dirty
+       CAST(64 AS BIGINT) AS "limit", count(*) FILTER (WHERE length(o_orderstatus) > 64) AS too_long,
+       count(*) FILTER (WHERE length(o_orderstatus) > 64) > 0 AS would_truncate FROM dirty
 UNION ALL
 SELECT 'o_orderpriority', max(length(o_orderpriority)), CAST(20 AS BIGINT),
-       count_if(length(o_orderpriority) > 20), count_if(length(o_orderpriority) > 20) > 0
+       count(*) FILTER (WHERE length(o_orderpriority) > 20), count(*) FILTER (WHERE length(o_orderpriority) > 20) > 0
 FROM dirty""")
 def max_text_length_query(spark, sf):
     return A.max_text_length(
@@ -86,7 +86,7 @@ def max_text_length_query(spark, sf):
 
 @query("max_text_length_documents", sql="""
 SELECT 'text' AS "column", max(length(text)) AS max_length, CAST(5000 AS BIGINT) AS "limit",
-       count_if(length(text) > 5000) AS too_long, count_if(length(text) > 5000) > 0
+       count(*) FILTER (WHERE length(text) > 5000) AS too_long, count(*) FILTER (WHERE length(text) > 5000) > 0
          AS would_truncate FROM documents""")
 def max_text_length_documents_query(spark, sf):
     return A.max_text_length(table(spark, sf, "documents"), {"text": 5000})
@@ -160,14 +160,14 @@ def replacement_char_scan_query(spark, sf):
 
 
 @query("replacement_char_count", sql="""
-SELECT count_if(contains(text, chr(65533))) AS corrupted FROM documents""")
+SELECT count(*) FILTER (WHERE contains(text, chr(65533))) AS corrupted FROM documents""")
 def replacement_char_count_query(spark, sf):
     return A.replacement_char_count(table(spark, sf, "documents"), ["text"])
 
 
 @query("non_ascii_scan", sql=" UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count_if(strlen({c}) <> length({c})) AS non_ascii_rows, "
-    f"CASE WHEN count_if(strlen({c}) <> length({c})) > 0 THEN 'RISK' ELSE 'OK' END AS verdict "
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE strlen({c}) <> length({c})) AS non_ascii_rows, "
+    f"CASE WHEN count(*) FILTER (WHERE strlen({c}) <> length({c})) > 0 THEN 'RISK' ELSE 'OK' END AS verdict "
     "FROM documents" for c in ("text", "lang", "source")))
 def non_ascii_scan_query(spark, sf):
     return A.non_ascii_scan(table(spark, sf, "documents"), ["text", "lang", "source"])
@@ -179,10 +179,10 @@ def _key_audit_sql(keys: str, source: str) -> str:
 WITH g AS (SELECT {keys}, count(*) AS n, bool_or({any_null}) AS has_null FROM {source}
            GROUP BY {keys})
 SELECT CAST(sum(n) AS BIGINT) AS rows,
-       CAST(COALESCE(sum(n) FILTER (has_null), 0) AS BIGINT) AS null_keys,
-       count(*) FILTER (NOT has_null AND n > 1) AS duplicate_keys,
-       CAST(COALESCE(sum(n - 1) FILTER (NOT has_null AND n > 1), 0) AS BIGINT) AS surplus_rows,
-       CASE WHEN count(*) FILTER (has_null OR n > 1) > 0 THEN 'unusable' ELSE 'usable' END
+       CAST(COALESCE(sum(n) FILTER (WHERE has_null), 0) AS BIGINT) AS null_keys,
+       count(*) FILTER (WHERE NOT has_null AND n > 1) AS duplicate_keys,
+       CAST(COALESCE(sum(n - 1) FILTER (WHERE NOT has_null AND n > 1), 0) AS BIGINT) AS surplus_rows,
+       CASE WHEN count(*) FILTER (WHERE has_null OR n > 1) > 0 THEN 'unusable' ELSE 'usable' END
          AS verdict
 FROM g"""
 
@@ -498,7 +498,7 @@ est AS (
   SELECT 't_' || l_suppkey AS table_name,
          CASE WHEN l_suppkey % 11 = 0 THEN 'n/a' ELSE CAST(count(*) AS VARCHAR) END AS left_est,
          CAST(CASE WHEN l_suppkey % 13 = 0 THEN -1
-              WHEN l_suppkey % 3 = 0 THEN count_if(l_partkey % 7 <> 0)
+              WHEN l_suppkey % 3 = 0 THEN count(*) FILTER (WHERE l_partkey % 7 <> 0)
               ELSE count(*) - 3 END AS VARCHAR) AS right_est
   FROM lineitem GROUP BY l_suppkey)
 """

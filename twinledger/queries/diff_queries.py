@@ -268,13 +268,13 @@ WITH r AS (
          CASE WHEN event_id % 47 = 0 THEN value + 1 ELSE value END AS value,
          CASE WHEN event_id % 37 = 0 THEN NULL ELSE props END AS props
   FROM events)
-SELECT 'ts' AS "column", count_if(l.ts <> r.ts) AS changed_rows
+SELECT 'ts' AS "column", count(*) FILTER (WHERE l.ts <> r.ts) AS changed_rows
 FROM events l JOIN r USING (event_id)
 UNION ALL SELECT 'user_id', 0
-UNION ALL SELECT 'event_type', count_if(l.event_type IS DISTINCT FROM r.event_type)
+UNION ALL SELECT 'event_type', count(*) FILTER (WHERE l.event_type IS DISTINCT FROM r.event_type)
 FROM events l JOIN r USING (event_id)
-UNION ALL SELECT 'value', count_if(l.value <> r.value) FROM events l JOIN r USING (event_id)
-UNION ALL SELECT 'props', count_if((l.props IS NULL) <> (r.props IS NULL))
+UNION ALL SELECT 'value', count(*) FILTER (WHERE l.value <> r.value) FROM events l JOIN r USING (event_id)
+UNION ALL SELECT 'props', count(*) FILTER (WHERE (l.props IS NULL) <> (r.props IS NULL))
 FROM events l JOIN r USING (event_id)""")
 def changed_column_counts_query(spark, sf):
     left, e = table(spark, sf, "events"), F.col("event_id")
@@ -463,12 +463,12 @@ conv_diff AS (
   FROM conv_l l FULL OUTER JOIN conv_r r ON l.conv_id = r.conv_id AND l.turn = r.turn
   WHERE l.text IS DISTINCT FROM r.text),
 results AS (
-  SELECT 'orders' AS table_name, 'DIFF' AS status, count_if(diff_type = 'left_only') AS left_only,
-         count_if(diff_type = 'right_only') AS right_only,
-         count_if(diff_type = 'changed') AS changed FROM diff
+  SELECT 'orders' AS table_name, 'DIFF' AS status, count(*) FILTER (WHERE diff_type = 'left_only') AS left_only,
+         count(*) FILTER (WHERE diff_type = 'right_only') AS right_only,
+         count(*) FILTER (WHERE diff_type = 'changed') AS changed FROM diff
   UNION ALL
-  SELECT 'conversations', 'DIFF', count_if(diff_type = 'left_only'),
-         count_if(diff_type = 'right_only'), count_if(diff_type = 'changed') FROM conv_diff
+  SELECT 'conversations', 'DIFF', count(*) FILTER (WHERE diff_type = 'left_only'),
+         count(*) FILTER (WHERE diff_type = 'right_only'), count(*) FILTER (WHERE diff_type = 'changed') FROM conv_diff
   UNION ALL SELECT 'events', 'OK', 0, 0, 0
   UNION ALL
   SELECT 'customer', 'DIFF', count(*), count(*), 0 FROM customer WHERE c_custkey % 50 = 0

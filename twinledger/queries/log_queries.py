@@ -132,8 +132,8 @@ def unwrap_events_query(spark, sf):
 
 PER_PARTITION = """
 per_part AS (
-  SELECT topic, part, count_if(op = 'c') AS ins, count_if(op = 'u') AS upd,
-         count_if(tombstone) AS del, count_if(op = 'd') AS dev, max(pos) - min(pos) + 1 AS total
+  SELECT topic, part, count(*) FILTER (WHERE op = 'c') AS ins, count(*) FILTER (WHERE op = 'u') AS upd,
+         count(*) FILTER (WHERE tombstone) AS del, count(*) FILTER (WHERE op = 'd') AS dev, max(pos) - min(pos) + 1 AS total
   FROM log GROUP BY topic, part)
 """
 
@@ -180,7 +180,7 @@ SELECT 'done' AS "group", CAST(0 AS BIGINT) AS total_lag, CAST(0 AS BIGINT) AS l
        'caught_up' AS state{extra_done}
 UNION ALL SELECT 'new', 0, 0, 'caught_up'{extra_done}
 UNION ALL
-SELECT 'slow', CAST(sum(part * 40) AS BIGINT), count_if(part > 0), 'behind'{extra_slow}
+SELECT 'slow', CAST(sum(part * 40) AS BIGINT), count(*) FILTER (WHERE part > 0), 'behind'{extra_slow}
 FROM (SELECT DISTINCT topic, part FROM log)"""
 
 
@@ -287,8 +287,8 @@ def retention_guard_query(spark, sf):
 
 
 @query("rollback_readiness", HOLED, sql=GUARD_SQL + """
-SELECT count(*) AS topics, count_if(starts_late OR missing > 0) AS unsafe_topics,
-       CASE WHEN count_if(starts_late OR missing > 0) = 0 THEN 'READY' ELSE 'UNSAFE' END AS verdict
+SELECT count(*) AS topics, count(*) FILTER (WHERE starts_late OR missing > 0) AS unsafe_topics,
+       CASE WHEN count(*) FILTER (WHERE starts_late OR missing > 0) = 0 THEN 'READY' ELSE 'UNSAFE' END AS verdict
 FROM guard""")
 def rollback_readiness_query(spark, sf):
     # Decided 100 hours after the cutover, so within the retention window.
@@ -357,10 +357,10 @@ def copy_and_catch_up_query(spark, sf):
 
 
 @query("verify_replay", FINAL_STATE, sql="""
-SELECT count(*) AS state_rows, count(*) - count_if(id % 50 = 7) AS source_rows,
-       count_if(id % 50 = 7) AS left_only, CAST(0 AS BIGINT) AS right_only,
+SELECT count(*) AS state_rows, count(*) - count(*) FILTER (WHERE id % 50 = 7) AS source_rows,
+       count(*) FILTER (WHERE id % 50 = 7) AS left_only, CAST(0 AS BIGINT) AS right_only,
        CAST(0 AS BIGINT) AS changed,
-       CASE WHEN count_if(id % 50 = 7) = 0 THEN 'VERIFIED' ELSE 'DIFF' END AS verdict
+       CASE WHEN count(*) FILTER (WHERE id % 50 = 7) = 0 THEN 'VERIFIED' ELSE 'DIFF' END AS verdict
 FROM final_state""")
 def verify_replay_query(spark, sf):
     log = change_log(spark, sf, _tail(spark, sf))
@@ -418,8 +418,8 @@ def _midpoint_value(spark, sf) -> int:
 @query("op_counts_stream", CHANGES, sql="""
 SELECT replace(topic, 'cdc-demo.public.', '') AS "table",
        strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
-       count_if(op = 'c') AS inserts, count_if(op = 'u') AS updates,
-       count_if(tombstone) AS deletes, count(*) AS total
+       count(*) FILTER (WHERE op = 'c') AS inserts, count(*) FILTER (WHERE op = 'u') AS updates,
+       count(*) FILTER (WHERE tombstone) AS deletes, count(*) AS total
 FROM log GROUP BY 1, 2""")
 def op_counts_stream_query(spark, sf):
     path = scratch_path(spark, "window-counts")
@@ -434,8 +434,8 @@ def op_counts_stream_query(spark, sf):
 @query("op_counts_window_batch", CHANGES, sql="""
 SELECT replace(topic, 'cdc-demo.public.', '') AS "table",
        strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
-       count_if(op = 'c') AS inserts, count_if(op = 'u') AS updates,
-       count_if(tombstone) AS deletes, count(*) AS total
+       count(*) FILTER (WHERE op = 'c') AS inserts, count(*) FILTER (WHERE op = 'u') AS updates,
+       count(*) FILTER (WHERE tombstone) AS deletes, count(*) AS total
 FROM log GROUP BY 1, 2""")
 def op_counts_window_batch_query(spark, sf):
     found = op_counts_by_window(change_log(spark, sf), "1 hour")

@@ -115,7 +115,7 @@ def newest_batches_query(spark, sf):
 
 
 @query("pending_batches", sql="""
-SELECT count_if(event_id % 4 <> 0 AND event_id % 6 <> 0) AS pending
+SELECT count(*) FILTER (WHERE event_id % 4 <> 0 AND event_id % 6 <> 0) AS pending
 FROM events WHERE event_id % 2 = 0""")
 def pending_batches_query(spark, sf):
     return R.pending_batches(_batches(spark, sf))
