@@ -175,6 +175,13 @@ def test_replay_rules(spark):
     assert got == {(1, "one"), (2, "TWO"), (4, "FOUR"), (5, "back")}
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_replay_by_stored_last_events(spark, broadcast_rows):
+    got = state_after(spark, base_of(spark, (1, "a"), (2, "b"), (3, "c")), put(0, 1, "x"),
+                      drop(1, 2), put(3, 9, "new", "c"), broadcast_rows=broadcast_rows)
+    assert got == {(1, "x"), (3, "c"), (9, "new")}
+
+
 def test_replay_order_is_the_offset_not_arrival(spark):
     assert state_after(spark, base_of(spark, (1, "a")), put(9, 1, "last"), put(2, 1, "first")) == {
         (1, "last")

@@ -202,7 +202,11 @@ def test_fetch_rows_by_key(spark):
     keys = spark.createDataFrame([(3,), (1,), (9,)], "k int")
     assert as_set(D.fetch_rows_by_key(df, keys, ["k"])) == {(1, "a"), (3, "c")}
     assert [tuple(r) for r in D.fetch_rows_by_key(df, keys, ["k"], 1).collect()] == [(1, "a")]
-    assert as_set(D.missing_rows(df, keys, ["k"])) == {(2, "b")}
+    for limit in (None, 0, 100):
+        assert as_set(D.missing_rows(df, keys, ["k"], limit)) == {(2, "b")}
+    nulls = spark.createDataFrame([(None, "n"), (1, "a")], "k int, v string")
+    for limit in (None, 0, 100):
+        assert as_set(D.missing_rows(nulls, nulls, ["k"], limit)) == {(None, "n")}
 
 
 # -- digests -------------------------------------------------------------------
@@ -253,3 +257,12 @@ def test_key_range(spark):
     df = spark.range(10).toDF("k")
     assert G.key_range(df, "k", 2, 5).count() == 4
     assert G.key_range(df, "k", 2, 5, half_open=True).count() == 3
+
+
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    from twinledger.operators.balance import small_enough, written
+
+    stored = written(spark.range(10).select(F.repeat(F.lit("x"), 100).alias("k")), "test")
+    assert small_enough(stored, 10) and not small_enough(stored, 9)
+    assert small_enough(stored, 10, 1000) and not small_enough(stored, 10, 999)
+    assert small_enough(written(spark.range(0), "test"), 0)

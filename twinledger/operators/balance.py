@@ -19,6 +19,7 @@ from twinledger.functions.tokens import quoted
 from twinledger.session import scratch_path
 
 LEFT, RIGHT = 1, -1
+MAX_BROADCAST_BYTES = 64 << 20
 _LOW_24_BITS = 0xFFFFFF
 
 
@@ -93,6 +94,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_enough(stored: DataFrame, max_rows: int) -> bool:
-    """True when a stored list holds at most ``max_rows`` rows (a footer read)."""
-    return stored.count() <= max_rows
+def small_enough(
+    stored: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """True when a stored list is proven to stay below both limits.
+
+    The rows come from file footers; the values are only measured if those
+    already fit.
+    """
+    if stored.count() > max_rows:
+        return False
+    width = F.octet_length(F.concat_ws("", *[quoted(c).cast("string") for c in stored.columns]))
+    total = stored.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return total["bytes"] <= max_bytes

@@ -46,7 +46,7 @@ from twinledger.operators.digest import (
 
 # More dirty chunks than this and pushing ranges into the scan stops paying.
 MAX_PUSHED_CHUNKS = 200
-# A broadcast list of this many bigint ids or short keys stays below ~100 MB.
+# Longest list that is broadcast; its bytes are limited as well.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -354,9 +354,26 @@ def fetch_rows_by_key(
     return found.orderBy(*[quoted(k) for k in keys]).limit(limit)
 
 
-def missing_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full left rows whose key the right side lacks."""
-    have = right.select(*[quoted(k) for k in keys]).distinct()
+def missing_rows(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    broadcast_rows: int | None = None,
+) -> DataFrame:
+    """Full left rows whose key the right side lacks; a NULL key is always missing.
+
+    With ``broadcast_rows`` the missing keys are found first, on key columns
+    alone, and if they are few the full rows are picked without a shuffle.
+    """
+    if broadcast_rows is not None:
+        found = written(key_minus(left, right, keys), "missing-keys")
+        if small_enough(found, broadcast_rows):
+            keyless = F.lit(False)
+            for k in keys:
+                keyless = keyless | quoted(k).isNull()
+            picked = fetch_rows_by_key(left, F.broadcast(found), keys)
+            return picked.unionByName(left.where(keyless))
+    have = right.select(*[quoted(k) for k in keys])
     found = left.join(have, list(keys), "left_anti")
     return found.select(*[quoted(c) for c in left.columns])
 

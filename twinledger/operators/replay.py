@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from twinledger.functions.logical_types import Types, common_columns, infer_types
 from twinledger.functions.tokens import quoted
-from twinledger.operators.balance import diff_kind
+from twinledger.operators.balance import diff_kind, small_enough, written
 from twinledger.operators.changelog import require_keys, split_keyless
 from twinledger.operators.digest import keyed_balance
 
@@ -48,13 +48,17 @@ def apply_changes(
     keys: Sequence[str],
     order: Sequence[str] = LOG_ORDER,
     on_error: str = "fail",
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """``base`` after all ``events``: upsert by key, delete on ``_deleted``.
 
-    Changed keys are removed from the base by an anti join (which AQE may
-    broadcast or split) and the live images are appended, so untouched rows are
-    neither aggregated nor rewritten column by column. Applying the same log
+    Changed keys are removed from the base by an anti join and the live images
+    are appended, so untouched rows are never aggregated. Applying the same log
     again gives the same state.
+
+    With ``broadcast_rows`` the last event of each key is stored first, which
+    reads the log once and gives the number of changed keys; if they are few
+    they are broadcast and the base is not shuffled at all.
     """
     if on_error not in ("fail", "continue"):
         raise ValueError("on_error is 'fail' or 'continue'")
@@ -63,8 +67,15 @@ def apply_changes(
         usable = require_keys(events, keys)
     else:
         usable, _ = split_keyless(events, keys)
-    touched = usable.select(*[quoted(k) for k in keys]).distinct()
-    live = latest_per_key(usable, keys, order).where(~F.col("_deleted"))
+    last = latest_per_key(usable, keys, order)
+    if broadcast_rows is None:
+        touched = usable.select(*[quoted(k) for k in keys]).distinct()
+    else:
+        last = written(last, "last-events")
+        touched = last.select(*[quoted(k) for k in keys])
+        if small_enough(touched, broadcast_rows):
+            touched = F.broadcast(touched)
+    live = last.where(~F.col("_deleted"))
     untouched = base.join(touched, list(keys), "left_anti")
     return untouched.select(*[quoted(c) for c in base.columns]).unionByName(
         live.select(*[quoted(c) for c in base.columns])

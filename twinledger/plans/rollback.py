@@ -17,6 +17,7 @@ from twinledger.operators.changelog import (
     retention_guard,
     unwrap,
 )
+from twinledger.operators.diff import BROADCAST_ROWS
 from twinledger.operators.replay import apply_changes, verify_replay
 
 
@@ -57,6 +58,7 @@ def copy_and_catch_up(
     row_schema: T.StructType | str,
     key_schema: T.StructType | str,
     positions: Mapping[tuple[str, int], int],
+    broadcast_rows: int | None = BROADCAST_ROWS,
 ) -> DataFrame:
     """Full copy plus every change behind its snapshot positions.
 
@@ -64,7 +66,8 @@ def copy_and_catch_up(
     """
     if not keys:
         return base
-    return apply_changes(base, events_of(log, instance, row_schema, key_schema, positions), keys)
+    events = events_of(log, instance, row_schema, key_schema, positions)
+    return apply_changes(base, events, keys, broadcast_rows=broadcast_rows)
 
 
 def replay_and_verify(
@@ -73,6 +76,8 @@ def replay_and_verify(
     source: DataFrame,
     keys: Sequence[str],
     types: Types | None = None,
+    broadcast_rows: int | None = BROADCAST_ROWS,
 ) -> DataFrame:
     """Replay onto ``base`` and compare the outcome with ``source``."""
-    return verify_replay(apply_changes(base, events, keys), source, keys, types)
+    state = apply_changes(base, events, keys, broadcast_rows=broadcast_rows)
+    return verify_replay(state, source, keys, types)

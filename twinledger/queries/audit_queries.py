@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from twinledger.functions.transforms import is_zero_date
 from twinledger.operators import audit as A
 from twinledger.operators import catalog as C
-from twinledger.operators.diff import diff_rows, key_set_diff, missing_rows
+from twinledger.operators.diff import BROADCAST_ROWS, diff_rows, key_set_diff, missing_rows
 from twinledger.operators.loading import SourceColumn, cast_for_target, load_with_rejects
 from twinledger.queries.diff_queries import KEY, both
 from twinledger.queries.inputs import (
@@ -612,7 +612,7 @@ def write_missing_rows_query(spark, sf):
     left = table(spark, sf, "documents")
     right = left.where(F.col("doc_id") % 23 != 0)
     path = scratch_path(spark, "missing-rows")
-    write_missing_rows(missing_rows(left, right, ["doc_id"]), path)
+    write_missing_rows(missing_rows(left, right, ["doc_id"], BROADCAST_ROWS), path)
     return (
         spark.read.option("header", True).option("escape", '"').option("multiLine", True)
         .schema(left.schema).csv(path)
