@@ -241,3 +241,18 @@ def test_lag_is_null_for_a_source_never_seen(spark):
     assert as_set(R.replication_lag(sources, seen, none, now)) == {
         (1, "a", 90, None), (2, "b", None, None)
     }
+
+
+def test_fast_counts_reads_only_flagged_tables(spark):
+    from twinledger.plans.load_check import fast_counts
+
+    kinds = "table_name string, est_rows bigint"
+    a = spark.createDataFrame([("t", 100), ("u", 1000), ("schema_migrations", 1)], kinds)
+    b = spark.createDataFrame([("t", 100), ("u", 10), ("schema_migrations", 900)], kinds)
+    unread = spark.range(1).select(F.raise_error(F.lit("read")).alias("x"))
+    left = {"t": unread, "u": spark.range(7)}
+    found = fast_counts(a, b, left, {"t": unread, "u": spark.range(7)})
+    assert as_set(found) == {("t", "100", "100", "~ok", None, None, None),
+                             ("u", "1000", "10", "VERIFY", 7, 7, "YES")}
+    quiet = fast_counts(a.where("table_name = 't'"), b, left, left)
+    assert as_set(quiet) == {("t", "100", "100", "~ok", None, None, None)}
