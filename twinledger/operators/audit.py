@@ -84,7 +84,9 @@ def zero_date_check(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> D
         *[F.count_if(is_zero_date(c)).alias(f"_z{i}") for i, c in enumerate(cols)],
         *[F.count_if(quoted(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)],
     )
-    there = right.agg(*[F.count_if(quoted(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
+    there = right.agg(
+        *[F.count_if(quoted(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]
+    )
     source = per_column(here, cols, {"zeros": "_z", "left_nulls": "_n"})
     target = per_column(there, cols, {"right_nulls": "_n"})
     expected = F.col("zeros") + F.col("left_nulls")
@@ -249,7 +251,9 @@ def replacement_char_count(df: DataFrame, text_cols: Sequence[str]) -> DataFrame
 
 def non_ascii_scan(df: DataFrame, text_cols: Sequence[str]) -> DataFrame:
     """``(column, non_ascii_rows, verdict)``; any such row makes it a ``RISK``."""
-    counts = df.agg(*[F.count_if(has_non_ascii(c)).alias(f"_n{i}") for i, c in enumerate(text_cols)])
+    counts = df.agg(
+        *[F.count_if(has_non_ascii(c)).alias(f"_n{i}") for i, c in enumerate(text_cols)]
+    )
     verdict = F.when(F.col("non_ascii_rows") > 0, F.lit("RISK")).otherwise(F.lit("OK"))
     return per_column(counts, text_cols, {"non_ascii_rows": "_n"}).withColumn("verdict", verdict)
 

@@ -409,7 +409,9 @@ def one_sided_inspect(
     tagged = absent.withColumn("_form", canonical_key(keys))
     joined = tagged.join(other, "_form", "left")
     verdict = F.when(F.col("_hit"), F.lit(SAME_KEY_OTHER_FORM)).otherwise(F.lit(KEY_ABSENT))
-    return joined.select(*[quoted(c) for c in here.columns], verdict.alias("same_key_on_other_side"))
+    return joined.select(
+        *[quoted(c) for c in here.columns], verdict.alias("same_key_on_other_side")
+    )
 
 
 def sample_per_diff_type(

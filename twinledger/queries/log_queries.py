@@ -132,8 +132,10 @@ def unwrap_events_query(spark, sf):
 
 PER_PARTITION = """
 per_part AS (
-  SELECT topic, part, count(*) FILTER (WHERE op = 'c') AS ins, count(*) FILTER (WHERE op = 'u') AS upd,
-         count(*) FILTER (WHERE tombstone) AS del, count(*) FILTER (WHERE op = 'd') AS dev, max(pos) - min(pos) + 1 AS total
+  SELECT topic, part,
+         count(*) FILTER (WHERE op = 'c') AS ins, count(*) FILTER (WHERE op = 'u') AS upd,
+         count(*) FILTER (WHERE tombstone) AS del, count(*) FILTER (WHERE op = 'd') AS dev,
+         max(pos) - min(pos) + 1 AS total
   FROM log GROUP BY topic, part)
 """
 
