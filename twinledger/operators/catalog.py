@@ -106,10 +106,14 @@ def count_verdict(left_n: Column, right_n: Column) -> list[Column]:
 
 def compare_counts(left_counts: DataFrame, right_counts: DataFrame) -> DataFrame:
     """``(table_name, left_n, right_n, diff, pct, match)`` from two count tables."""
-    joined = left_counts.select("table_name", F.col("n").alias("left_n")).join(
-        right_counts.select("table_name", F.col("n").alias("right_n")), "table_name", "left"
+    unknown = F.lit(None).cast("bigint")
+    both = left_counts.select("table_name", F.col("n").alias("l"), unknown.alias("r")).unionAll(
+        right_counts.select("table_name", unknown, "n")
     )
-    return joined.select(
+    merged = both.groupBy("table_name").agg(
+        F.max("l").alias("left_n"), F.max("r").alias("right_n")
+    ).where(F.col("left_n").isNotNull())
+    return merged.select(
         "table_name", "left_n", "right_n", *count_verdict(F.col("left_n"), F.col("right_n"))
     )
 
