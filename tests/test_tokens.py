@@ -154,3 +154,12 @@ def test_enum_remap_passes_unknown_labels(spark):
 def test_expected_targets(spark, data_type, column_type, want):
     df = spark.createDataFrame([(data_type, column_type)], "d string, c string")
     assert one(df.select(expected_targets(F.col("d"), F.col("c")))) == [want]
+
+
+def test_doubles_are_fingerprinted_at_their_scale(spark):
+    values = [1.001, 1.004, 1.02, float("nan"), float("inf"), float("-inf"), None, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "d double")
+    words = fingerprint(df, ["d"], {"d": LogicalType("float8", 2)}, df.schema)
+    rows = [tuple(r) for r in df.select(*words).collect()]
+    assert rows[0] == rows[1]
+    assert len(set(rows)) == len(values) - 1
