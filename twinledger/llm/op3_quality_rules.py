@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from twinledger.llm.isolation import IsolationForest, grow
 from twinledger.llm.sampling import binary_labels, bounded_sample
 from twinledger.llm.stats import COUNTS, features, rule_statistics
-from twinledger.session import scratch_path
+from twinledger.operators.balance import written
 
 #: Rows that the trees are drawn from.
 FIT_ROWS = 25_600
@@ -79,10 +79,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     zero and fails the fixed rules. An empty table gives an empty result. The statistics are written
     once to the scratch folder, since forest, threshold and result read them.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "rule-stats")
-    docs.select(id_col, *keep, rule_statistics(text_col).alias("stats")).write.parquet(path)
-    table = spark.read.parquet(path)
+    table = written(docs.select(id_col, *keep, rule_statistics(text_col).alias("stats")), "rule-stats")
     forest = fit_forest(table, id_col)
     scored = table.select("*", base_failed().alias("base_failed"), anomaly(forest).alias("anomaly"))
     cut = calibrate(scored, labels, id_col, label)

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from twinledger.session import scratch_path
+from twinledger.operators.balance import written
 
 CAPACITY = 1024
 END_ID = 2
@@ -31,8 +31,8 @@ CACHED_WORDS = 1 << 18
 
 # Texts of these characters only are split into the tokenizer's words here, with its own published
 # pattern; the ids of a word do not depend on its neighbours. Any other text goes to it whole.
-_USUAL = regex.compile(r"[\t\n\r -~¡-¬®-ɏΑ-ΡΣ-ώА-я"
-                       r"‐-‧‰-⁞一-龥]*")
+_USUAL = regex.compile("[\t\n\r -~\u00a1-\u00ac\u00ae-\u024f\u0391-\u03a1\u03a3-\u03c9\u0410-\u044f"
+                       "\u2010-\u2027\u2030-\u205e\u4e00-\u9fa5]*")
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -224,9 +224,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     folder, since the histogram and the join read them.
     """
     spark = pieces.sparkSession
-    path = scratch_path(spark, "pieces")
-    pieces.write.parquet(path)
-    pieces = spark.read.parquet(path)
+    pieces = written(pieces, "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = slot_rows(spark, plan(histogram, capacity))
     return (

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from twinledger.llm import (
     op1_licenses,
+    op2_order_minhash,
     op3_quality_rules,
     op4_packing,
+    op5_site_trees,
     op6_language_id,
+    op7_decontamination,
+    op8_secrets,
     op9_warc,
     op10_quality_classifier,
 )
@@ -39,6 +43,11 @@ def op1_license_scan(spark, sf_dir):
 ORACLES["op1_license_scan"] = op1_licenses.sql()
 
 
+@query
+def op2_near_duplicates(spark, sf_dir):
+    return op2_order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_quality_rules_forest(spark, sf_dir):
     return op3_quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
@@ -52,11 +61,26 @@ def op4_best_fit_packing(spark, sf_dir):
     return op4_packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+@query
+def op5_main_text(spark, sf_dir):
+    return op5_site_trees.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_language(spark, sf_dir):
     return op6_language_id.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_benchmark_passages(spark, sf_dir):
+    return op7_decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_secret_findings(spark, sf_dir):
+    return op8_secrets.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_warc_archives(spark, sf_dir):
     files = op9_warc.archive(table(spark, sf_dir, "pages"))
