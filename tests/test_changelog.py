@@ -4,18 +4,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from twinledger.operators import changelog as L
-from twinledger.operators.replay import apply_changes, latest_per_key, verify_replay
+from twinledger.operators.replay import apply_changes, latest_per_key, replay_rejects, verify_replay
 from twinledger.plans.rollback import copy_and_catch_up, events_of, readiness
 from twinledger.sources.tables import read_change_log
 from twinledger.streaming.jobs import (
+    append_batch,
+    compact,
     dedupe_stream,
     keep_updates,
+    late_records,
     latest_updates,
     op_counts_by_window,
     progress_of,
+    stored_changes,
     upsert_stream,
+    upserted,
 )
-from twinledger.streaming.state import KeyedState
 
 ROW, KEY = "id bigint, v string", "id bigint"
 TOPIC = "cdc-a.public.t"
@@ -256,9 +260,15 @@ def unwrapped(log):
     return L.unwrap(L.parse_envelope(log, ROW, KEY)).drop("table", "schema")
 
 
-def keyed_state(spark, path, **how):
-    schema = spark.createDataFrame([], ROW).schema
-    return KeyedState(spark, str(path), ["id"], schema, **{"buckets": 4, "compact_after": 2, **how})
+def replay_files(spark, source, tmp_path, name="cp", **how):
+    events = unwrapped(stream(spark, source))
+    query = upsert_stream(events, ["id"], ROW, str(tmp_path / "state"), str(tmp_path / name), name, **how)
+    query.awaitTermination()
+    return query
+
+
+def batches(tmp_path):
+    return sorted(p.parent.name + "/" + p.name for p in (tmp_path / "state/changes").glob("*/batch=*"))
 
 
 def test_stream_equals_batch_in_any_file_order(spark, tmp_path):
@@ -267,30 +277,28 @@ def test_stream_equals_batch_in_any_file_order(spark, tmp_path):
     log = log_of(spark, *groups)
     base = base_of(spark, (2, "base"), (8, "untouched"))
     want = as_set(apply_changes(base, events_of(log, "a", ROW, KEY), ["id"]))
-    source = str(tmp_path / "log")
+    source, state = str(tmp_path / "log"), str(tmp_path / "state")
     # Newest offsets arrive first.
     write_files(log, source, ["offset >= 6", "offset BETWEEN 3 AND 5", "offset < 3"])
-    state = keyed_state(spark, tmp_path / "state")
-    state.create(base)
-    query = upsert_stream(unwrapped(stream(spark, source)), state, str(tmp_path / "cp"))
-    query.awaitTermination()
-    assert progress_of(query)["error"] is None
-    assert as_set(state.read()) == want
-    assert state.version() == 3
-    # Nothing new: a restart adds nothing. A second pass changes nothing.
-    upsert_stream(unwrapped(stream(spark, source)), state, str(tmp_path / "cp")).awaitTermination()
-    assert state.version() == 3
-    upsert_stream(unwrapped(stream(spark, source)), state, str(tmp_path / "cp2")).awaitTermination()
-    assert as_set(state.read()) == want and state.version() == 6
+    assert progress_of(replay_files(spark, source, tmp_path))["error"] is None
+    assert as_set(upserted(base, ["id"], state)) == want
+    assert len(batches(tmp_path)) == 3
+    # Nothing new: a restart adds nothing. A second pass under another name changes nothing.
+    replay_files(spark, source, tmp_path)
+    assert len(batches(tmp_path)) == 3
+    replay_files(spark, source, tmp_path, "cp2")
+    assert as_set(upserted(base, ["id"], state)) == want and len(batches(tmp_path)) == 6
+    for limit in (None, 0):
+        assert as_set(upserted(base, ["id"], state, broadcast_rows=limit)) == want
+    assert as_set(compact(base, ["id"], state, str(tmp_path / "next"))) == want
 
 
 def test_paused_stream_resumes(spark, tmp_path):
     source, log = str(tmp_path / "log"), log_of(spark, put(0, 1, "a"), put(1, 1, "b"), drop(2, 1))
-    state = keyed_state(spark, tmp_path / "state")
     for part, want in (("offset = 0", {(1, "a")}), ("offset = 1", {(1, "b")}), ("offset > 1", set())):
         write_files(log, source, [part])
-        upsert_stream(unwrapped(stream(spark, source)), state, str(tmp_path / "cp")).awaitTermination()
-        assert as_set(state.read()) == want
+        replay_files(spark, source, tmp_path)
+        assert as_set(upserted(spark.createDataFrame([], ROW), ["id"], str(tmp_path / "state"))) == want
 
 
 def events_frame(spark, *rows):
@@ -299,60 +307,54 @@ def events_frame(spark, *rows):
     )
 
 
-def test_repeated_batch_replaces_its_version(spark, tmp_path):
-    state = keyed_state(spark, tmp_path / "s")
-    state.create(base_of(spark, (1, "a")))
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    base, path = base_of(spark, (1, "a")), str(tmp_path / "s")
     batch = events_frame(spark, (1, "b", False, 0, 1), (2, "c", False, 0, 2))
-    assert state.apply(batch, "w", 0) == 1
-    assert state.apply(batch, "w", 0) == 1
-    assert as_set(state.read()) == {(1, "b"), (2, "c")}
-    assert state.apply(batch, "other", 0) == 2
-    assert as_set(state.read(0)) == {(1, "a")}
-
-
-def test_unfinished_version_is_ignored(spark, tmp_path):
-    state = keyed_state(spark, tmp_path / "s")
-    state.create(base_of(spark, (1, "a")))
-    # A segment and a manifest without its success mark, as a crash leaves them.
-    events_frame(spark, (9, "z", False, 0, 9)).write.parquet(str(tmp_path / "s/segments/version=1/bucket=0"))
-    (tmp_path / "s/manifests/version=1").mkdir()
-    assert state.version() == 0 and as_set(state.read()) == {(1, "a")}
-    state.apply(events_frame(spark, (1, "b", False, 0, 1)), "w", 0)
-    assert as_set(state.read()) == {(1, "b")}
-
-
-def test_compaction_keeps_segments_bounded_and_deletes_final(spark, tmp_path):
-    state = keyed_state(spark, tmp_path / "s", buckets=2, compact_after=3)
-    want = {}
-    for i in range(12):
+    append_batch(events_frame(spark, (7, "half", False, 0, 9)), ["id"], ROW, path, "w", 0)
+    append_batch(batch, ["id"], ROW, path, "w", 0)
+    append_batch(batch, ["id"], ROW, path, "w", 0)
+    assert stored_changes(base, path).count() == 2
+    assert as_set(upserted(base, ["id"], path)) == {(1, "b"), (2, "c")}
+
+
+def test_deletes_stay_deleted_and_batches_keep_one_image_a_key(spark, tmp_path):
+    base, path, want = base_of(spark, (99, "base")), str(tmp_path / "s"), {99: "base"}
+    for i in range(6):
         rows = [(k, f"v{i}", False, 0, i * 10 + k) for k in range(6) if (k + i) % 3]
         rows.append((i % 6, None, True, 0, i * 10 + 9))
         for k, v, gone, _, _ in rows:
             want.pop(k, None) if gone else want.__setitem__(k, v)
-        state.apply(events_frame(spark, *rows), "w", i)
-        depth = {}
-        for e in state._live(state.version()):
-            depth[e.bucket] = depth.get(e.bucket, 0) + 1
-        assert max(depth.values()) <= 3
-        assert as_set(state.read()) == set(want.items()), i
-    state.apply(events_frame(spark, (5, "stale", False, 0, 0)), "w", 99)
-    assert as_set(state.read()) == set(want.items())
-
-
-def test_state_refuses_new_columns_and_lost_keys(spark, tmp_path):
-    state = keyed_state(spark, tmp_path / "s")
+        append_batch(events_frame(spark, *rows, *rows), ["id"], ROW, path, "w", i)
+    append_batch(events_frame(spark, (5, "stale", False, 0, 0)), ["id"], ROW, path, "w", 99)
+    assert as_set(upserted(base, ["id"], path)) == set(want.items())
+    stored = stored_changes(base, path)
+    assert stored.count() == sum(len({r for r in range(6) if (r + i) % 3} | {i % 6}) for i in range(6)) + 1
+
+
+def test_stream_refuses_new_columns_and_lost_keys(spark, tmp_path):
+    path = str(tmp_path / "s")
     good = events_frame(spark, (1, "a", False, 0, 0))
     with pytest.raises(ValueError, match="unknown to the target"):
-        state.apply(good.withColumn("new", F.lit(1)), "w", 0)
+        append_batch(good.withColumn("new", F.lit(1)), ["id"], ROW, path, "w", 0)
     keyless = events_frame(spark, (None, "a", False, 0, 0), (2, "b", False, 0, 1))
     with pytest.raises(Exception, match="without a usable key"):
-        state.apply(keyless, "w", 0)
-    state.apply(keyless, "w", 0, on_error="continue")
-    assert as_set(state.read()) == {(2, "b")}
-    rejects = spark.read.parquet(str(tmp_path / "s/rejects/version=0"))
-    assert rejects.count() == 1
-    with pytest.raises(ValueError, match="already holds"):
-        state.create(base_of(spark, (1, "a")))
+        append_batch(keyless, ["id"], ROW, path, "w", 0)
+    append_batch(keyless, ["id"], ROW, path, "w", 0, on_error="continue")
+    base = base_of(spark, (1, "x"))
+    assert as_set(upserted(base, ["id"], path)) == {(1, "x"), (2, "b")}
+    assert as_set(spark.read.parquet(f"{path}/rejects/stream=w/batch=0")) == {(None, "a", False, 0, 0)}
+    assert as_set(replay_rejects(keyless, ["id"])) == {(None, "a", False, 0, 0)}
+
+
+def test_no_record_is_too_late_by_default(spark, tmp_path):
+    log = log_of(spark, *[put(i, i, "x", "c") for i in range(180)])
+    source = str(tmp_path / "log")
+    write_files(log, source, ["offset >= 120", "offset BETWEEN 60 AND 119", "offset < 60"])
+    counts = op_counts_by_window(stream(spark, source), "10 minutes")
+    keep_updates(counts, str(tmp_path / "rows"), str(tmp_path / "c")).awaitTermination()
+    got = latest_updates(spark.read.parquet(str(tmp_path / "rows")), ["table", "window_start"])
+    assert as_set(got) == as_set(op_counts_by_window(log, "10 minutes"))
+    assert late_records(log, 1).count() == 119 and late_records(log, 168).count() == 0
 
 
 def test_stream_dedupe_and_window_counts(spark, tmp_path):

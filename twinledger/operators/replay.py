@@ -54,27 +54,21 @@ def apply_changes(
 
     Changed keys are removed from the base by an anti join and the live images
     are appended, so untouched rows are never aggregated. Applying the same log
-    again gives the same state.
+    again gives the same state. The last event of each key is stored first, so the
+    log is read and parsed once. With ``broadcast_rows`` changed keys that are
+    few are broadcast and the base is not shuffled at all.
 
-    With ``broadcast_rows`` the last event of each key is stored first, which
-    reads the log once and gives the number of changed keys; if they are few
-    they are broadcast and the base is not shuffled at all.
+    ``on_error='continue'`` sets records without a key aside; ``replay_rejects``
+    returns them.
     """
     if on_error not in ("fail", "continue"):
         raise ValueError("on_error is 'fail' or 'continue'")
     require_known_columns(events, base.columns)
-    if on_error == "fail":
-        usable = require_keys(events, keys)
-    else:
-        usable, _ = split_keyless(events, keys)
-    last = latest_per_key(usable, keys, order)
-    if broadcast_rows is None:
-        touched = usable.select(*[quoted(k) for k in keys]).distinct()
-    else:
-        last = written(last, "last-events")
-        touched = last.select(*[quoted(k) for k in keys])
-        if small_enough(touched, broadcast_rows):
-            touched = F.broadcast(touched)
+    usable = require_keys(events, keys) if on_error == "fail" else split_keyless(events, keys)[0]
+    last = written(latest_per_key(usable, keys, order), "last-events")
+    touched = last.select(*[quoted(k) for k in keys])
+    if broadcast_rows is not None and small_enough(touched, broadcast_rows):
+        touched = F.broadcast(touched)
     live = last.where(~F.col("_deleted"))
     untouched = base.join(touched, list(keys), "left_anti")
     return untouched.select(*[quoted(c) for c in base.columns]).unionByName(
@@ -82,6 +76,11 @@ def apply_changes(
     )
 
 
+def replay_rejects(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The records ``apply_changes(on_error='continue')`` sets aside, whole."""
+    return split_keyless(events, keys)[1]
+
+
 def verify_replay(
     state: DataFrame, source: DataFrame, keys: Sequence[str], types: Types | None = None
 ) -> DataFrame:

@@ -35,8 +35,8 @@ from twinledger.streaming.jobs import (
     op_counts_by_window,
     replay_progress,
     upsert_stream,
+    upserted,
 )
-from twinledger.streaming.state import KeyedState
 
 STATE_KEYS = ["table", "id"]
 STATE_SCHEMA = "table string, id bigint, value decimal(18,2), ts string"
@@ -391,14 +391,14 @@ def _stream(spark, sf, where=None):
 
 def _run_replay(spark, sf, where=None, base=None, repeat: bool = False):
     path = scratch_path(spark, "state")
-    state = KeyedState(spark, path, STATE_KEYS, STATE_SCHEMA, buckets=8, compact_after=3)
-    if base is not None:
-        state.create(base)
+    base = spark.createDataFrame([], STATE_SCHEMA) if base is None else base
     log = _stream(spark, sf, where)
     events = L.unwrap(L.parse_envelope(log, ROW_SCHEMA, KEY_SCHEMA))
     for turn in range(2 if repeat else 1):
-        upsert_stream(events, state, f"{path}/checkpoint-{turn}").awaitTermination()
-    return state.read()
+        upsert_stream(
+            events, STATE_KEYS, STATE_SCHEMA, path, f"{path}/checkpoint-{turn}", f"replay-{turn}"
+        ).awaitTermination()
+    return upserted(base, STATE_KEYS, path)
 
 
 @query("upsert_sink", FINAL_STATE, sql=SHOWN_STATE)
@@ -425,8 +425,7 @@ SELECT replace(topic, 'cdc-demo.public.', '') AS "table",
 FROM log GROUP BY 1, 2""")
 def op_counts_stream_query(spark, sf):
     path = scratch_path(spark, "window-counts")
-    # A watermark as wide as the retention, since files arrive in any order.
-    counts = op_counts_by_window(_stream(spark, sf), "1 day", "40 days")
+    counts = op_counts_by_window(_stream(spark, sf), "1 day")
     keep_updates(counts, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
     found = latest_updates(spark.read.parquet(f"{path}/rows"), ["table", "window_start"])
     shown = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start")

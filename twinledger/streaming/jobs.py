@@ -5,16 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from twinledger.functions.tokens import quoted
 from twinledger.operators.changelog import (
     RETENTION_HOURS,
     consumer_lag,
     is_tombstone,
+    require_keys,
     route_topic,
+    split_keyless,
 )
-from twinledger.streaming.state import KeyedState
+from twinledger.operators.diff import BROADCAST_ROWS
+from twinledger.operators.replay import apply_changes, latest_per_key, require_known_columns
 
 
 def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
@@ -22,47 +27,107 @@ def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+_CONTROL = "_deleted boolean, partition int, offset bigint"
+
+
+def append_batch(
+    events: DataFrame, keys: Sequence[str], schema: T.StructType | str, path: str, stream: str,
+    batch_id: int, on_error: str = "fail",
+) -> None:
+    """Keep the last image of every key one batch touched, as ``path/changes/stream=/batch=``.
+
+    The cost follows the batch. A batch that is repeated replaces its own folder. With
+    ``on_error='continue'`` records without a key are kept below ``path/rejects``.
+    """
+    row = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    require_known_columns(events, row.names)
+    place = f"stream={stream}/batch={batch_id}"
+    if on_error == "continue":
+        usable, rejects = split_keyless(events, keys)
+        rejects.write.mode("overwrite").parquet(f"{path}/rejects/{place}")
+    else:
+        usable = require_keys(events, keys)
+    images = usable.select(
+        *[quoted(f.name).cast(f.dataType).alias(f.name) for f in row.fields],
+        "_deleted", F.col("partition").cast("int").alias("partition"),
+        F.col("offset").cast("bigint").alias("offset"),
+    )
+    latest_per_key(images, keys).write.mode("overwrite").parquet(f"{path}/changes/{place}")
+
+
 def upsert_stream(
     events: DataFrame,
-    state: KeyedState,
+    keys: Sequence[str],
+    schema: T.StructType | str,
+    path: str,
     checkpoint: str,
+    stream: str = "replay",
     once: bool = True,
     on_error: str = "fail",
     where: Column | None = None,
 ) -> StreamingQuery:
-    """Keep ``state`` up to date from a stream of unwrapped events.
+    """Append the changes of a stream of unwrapped events below ``path``, batch by batch.
 
-    The checkpoint folder names the writer, so a restart on the same folder
-    repeats an unfinished batch instead of adding it twice. Stopping the query
-    and starting it again on the same folder pauses and resumes the replay.
+    A restart on the same checkpoint repeats an unfinished batch in its place. Another checkpoint
+    needs another ``stream`` name. Stopping the query and starting it again pauses and resumes.
     """
     chosen = events if where is None else events.where(where)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        state.apply(batch, checkpoint, batch_id, on_error)
+    def append(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, keys, schema, path, stream, batch_id, on_error)
+
+    return _start(chosen.writeStream.foreachBatch(append), checkpoint, once)
 
-    return _start(chosen.writeStream.foreachBatch(merge), checkpoint, once)
+
+def stored_changes(base: DataFrame, path: str) -> DataFrame:
+    """All appended changes, with the columns of ``base``."""
+    row = T.StructType([T.StructField(f.name, f.dataType) for f in base.schema.fields])
+    stored = T.StructType(row.fields + T.StructType.fromDDL(_CONTROL).fields)
+    return base.sparkSession.read.schema(stored).parquet(f"{path}/changes/*/*")
+
+
+def upserted(
+    base: DataFrame, keys: Sequence[str], path: str, broadcast_rows: int | None = BROADCAST_ROWS
+) -> DataFrame:
+    """``base`` with all changes appended below ``path``; of each key the last in log order counts,
+    in whatever order the batches came. ``base`` may be an empty frame of the right schema."""
+    return apply_changes(base, stored_changes(base, path), keys, broadcast_rows=broadcast_rows)
+
+
+def compact(base: DataFrame, keys: Sequence[str], path: str, target: str) -> DataFrame:
+    """Write ``base`` with all changes as a new base, a batch job of its own.
+
+    Deletes are gone from it: a stream that goes on from here must start behind these changes.
+    """
+    upserted(base, keys, path).write.mode("error").parquet(target)
+    return base.sparkSession.read.schema(base.schema).parquet(target)
 
 
 def dedupe_stream(log: DataFrame, hours: int = RETENTION_HOURS) -> DataFrame:
-    """One row per offset; state is dropped once the log itself has expired."""
+    """One row per offset; state is dropped once the log itself has expired.
+
+    ``hours`` must cover the retention of the log: records that are read later than that behind the
+    newest one are dropped by the watermark. ``late_records`` lists them.
+    """
     return log.withWatermark("timestamp", f"{hours} hours").dropDuplicatesWithinWatermark(
         ["topic", "partition", "offset"]
     )
 
 
 def op_counts_by_window(
-    log: DataFrame, window: str = "1 hour", late: str = "1 hour"
+    log: DataFrame, window: str = "1 hour", late: str | None = None
 ) -> DataFrame:
     """``(table, window_start, inserts, updates, deletes, total)`` per tumbling window.
 
-    Works on a stream and on a batch. Tombstones count as the deletes.
+    Works on a stream and on a batch. Tombstones count as the deletes. Files of a log come in any
+    order, so by default no record is ever too late and the state holds every window. ``late`` bounds
+    the state by a watermark; records beyond it are not counted.
     """
     slim = log.select(
         "timestamp", route_topic("topic").alias("table"), is_tombstone().alias("_t"),
         F.get_json_object("value", "$.payload.op").alias("_op"),
     )
-    if log.isStreaming:
+    if log.isStreaming and late is not None:
         slim = slim.withWatermark("timestamp", late)
     counted = slim.groupBy(F.window("timestamp", window).alias("w"), "table").agg(
         F.count_if(F.col("_op") == "c").alias("inserts"),
@@ -75,6 +140,13 @@ def op_counts_by_window(
     )
 
 
+def late_records(log: DataFrame, hours: int) -> DataFrame:
+    """Records of a log read as a table that are ``hours`` behind the newest one: what a stream with
+    that watermark may have dropped, to be counted or replayed in batch."""
+    newest = log.agg(F.max("timestamp")).scalar()
+    return log.where(F.col("timestamp") < newest - F.make_dt_interval(hours=F.lit(hours)))
+
+
 def keep_updates(
     updates: DataFrame, path: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
