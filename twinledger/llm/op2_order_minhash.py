@@ -12,6 +12,8 @@ are already connected are not aligned again.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,7 +28,7 @@ K = 5
 KEPT = 2  # k-mers in a sketch
 SKETCHES = 16
 SIMILARITY = 0.8
-BLOCK = 128
+BLOCK = 256
 BINS = 128
 
 SKETCH_TYPE = "struct<n:int,keys:array<bigint>>"
@@ -120,7 +122,7 @@ def allowed(n: int, m: int, similarity: float = SIMILARITY) -> int:
 def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Edit distance of two arrays, or -1 if it is more than ``limit``.
 
-    Equal ends are cut off; then only cells near the diagonal are filled, in bands that double until
+    Equal ends are cut off; then only cells near the diagonal are filled, in bands that widen until
     the distance fits into one.
     """
     if abs(len(a) - len(b)) > limit:
@@ -137,7 +139,7 @@ def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     if not len(a) or not len(b):
         longest = max(len(a), len(b))
         return longest if longest <= limit else -1
-    band = max(8, abs(len(a) - len(b)))
+    band = max(64, abs(len(a) - len(b)))
     while True:
         band = min(band, limit)
         found = _in_band(a, b, band)
@@ -145,7 +147,7 @@ def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
             return found
         if band >= limit:
             return -1
-        band *= 2
+        band *= 4
 
 
 def _in_band(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -171,11 +173,49 @@ def histogram(words: np.ndarray) -> np.ndarray:
     return np.bincount(words % BINS, minlength=BINS).astype(np.int32)
 
 
-def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    limit = allowed(len(a), len(b), similarity)
-    if abs(len(a) - len(b)) > limit or np.abs(histogram(a) - histogram(b)).sum() > 2 * limit:
+def labelled(values: np.ndarray) -> np.ndarray:
+    """Values together with how often each occurred before, sorted: a multiset as a set."""
+    values = np.sort(values.astype(np.int64))
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else values
+    seen = np.arange(len(values)) - np.repeat(first, np.diff(np.append(first, len(values))))
+    return np.sort(values * np.int64(0x9E3779B1) + seen)
+
+
+@dataclass
+class Words:
+    """The words of a text, and its words and word pairs as sets that bound edit distances."""
+
+    words: np.ndarray
+    singles: np.ndarray
+    pairs: np.ndarray
+
+    @classmethod
+    def of(cls, packed) -> Words:
+        words = np.frombuffer(packed, "<i4")
+        wide = words.astype(np.int64)
+        return cls(words, labelled(wide), labelled((wide[1:] << 31) ^ wide[:-1]))
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    if not len(a) or not len(b):
+        return 0
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def similar(a: Words, b: Words, similarity: float = SIMILARITY) -> bool:
+    """Whether the edit distance is small enough.
+
+    An edit changes one word and at most two word pairs of either text, so texts with too few of them
+    in common need no alignment.
+    """
+    n = max(len(a.words), len(b.words))
+    limit = allowed(len(a.words), len(b.words), similarity)
+    if (abs(len(a.words) - len(b.words)) > limit or _common(a.singles, b.singles) < n - limit
+            or _common(a.pairs, b.pairs) < n - 1 - 2 * limit):
         return False
-    return banded_distance(a, b, limit) >= 0
+    return banded_distance(a.words, b.words, limit) >= 0
 
 
 def linked(a: str, b: str, similarity: float = SIMILARITY) -> Column:
@@ -183,7 +223,7 @@ def linked(a: str, b: str, similarity: float = SIMILARITY) -> Column:
 
     @F.arrow_udf("boolean")
     def verified(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array([similar(np.frombuffer(x.as_buffer(), "<i4"), np.frombuffer(y.as_buffer(), "<i4"), similarity)
+        return pa.array([similar(Words.of(x.as_buffer()), Words.of(y.as_buffer()), similarity)
                          for x, y in zip(left, right)], pa.bool_())
 
     return verified(a, b)
@@ -192,14 +232,16 @@ def linked(a: str, b: str, similarity: float = SIMILARITY) -> Column:
 def _block_links(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """Links between the documents of a block, enough to connect all that belong together.
 
-    Pairs already in one component, or joined by a link found here, are not aligned.
+    A pair is looked at in the bucket of the first sketch that both share. Pairs already in one
+    component, or joined by a link found here, are not aligned.
     """
     rows = rows.drop_duplicates("node").sort_values("node")
+    keys, bucket = np.array(rows["keys"].tolist(), np.int64), np.int64(rows["key"].iloc[0])
     node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
     apart = (rows["side"] == "rest").to_numpy()
-    words = [np.frombuffer(w, "<i4") for w in rows["words"]]
-    n = np.array([len(w) for w in words])
-    bins = np.array([histogram(w) for w in words])
+    words = [Words.of(w) for w in rows["words"]]
+    n = np.array([len(w.words) for w in words])
+    bins = np.array([histogram(w.words) for w in words])
     parent: dict[int, int] = {int(c): int(c) for c in comp}
 
     def root(x: int) -> int:
@@ -211,10 +253,13 @@ def _block_links(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
     found = []
     for i in np.flatnonzero(apart):
         limit = ((1 - similarity) * np.maximum(n, n[i]) + 1e-9).astype(np.int64)
-        near = (np.abs(n - n[i]) <= limit) & (np.abs(bins - bins[i]).sum(1) <= 2 * limit) & (~apart | (node > node[i]))
-        for j in np.flatnonzero(near):
+        shared = keys == keys[i]
+        here = (keys[i][shared.argmax(1)] == bucket) & (np.abs(n - n[i]) <= limit) & (~apart | (node > node[i]))
+        near = np.flatnonzero(here)
+        near = near[np.abs(bins[near] - bins[i]).sum(1) <= 2 * limit[near]]
+        for j in near:
             x, y = root(int(comp[i])), root(int(comp[j]))
-            if i != j and x != y and banded_distance(words[i], words[j], int(limit[j])) >= 0:
+            if i != j and x != y and similar(words[i], words[j], similarity):
                 parent[max(x, y)] = min(x, y)
                 found.append((node[i], node[j]))
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
@@ -248,10 +293,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # 3. alignment of the pairs; only texts in some bucket are needed again
     wanted = stars.select("node").union(stars.select(F.col("head").alias("node"))).distinct()
-    text_of = have.select(F.col("id").alias("node"), "text").join(wanted, "node", "left_semi")
-    words = written(text_of.select("node", word_values("text").alias("words")).dropDuplicates(["node"]), "words")
+    named_keys = nodes.select(F.col("id").alias("node"), "keys").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    text_of = have.select(F.col("id").alias("node"), "text").join(named_keys, "node")
+    words = written(text_of.select("node", "keys", word_values("text").alias("words")).dropDuplicates(["node"]), "words")
     left = words.select(F.col("node").alias("head"), F.col("words").alias("head_words"))
-    checked = pairs.join(words, "node").join(left, "head").select(
+    checked = pairs.join(words.drop("keys"), "node").join(left, "head").select(
         F.col("head").alias("a"), F.col("node").alias("b"), linked("head_words", "words", similarity).alias("linked"))
     links = written(checked.where("linked").select("a", "b"), "links")
     label = written(components(links), "components")
