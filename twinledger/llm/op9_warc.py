@@ -31,7 +31,9 @@ def filesystem(uri: str):
     """(file system, path) for a folder that all executors share; any scheme that Arrow knows."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
 def base32(hexadecimal: Column) -> Column:
