@@ -4,8 +4,9 @@ from twinledger.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, partitions=4)
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session(8, partitions=4, **{"spark.checkpoint.dir": f"file://{shared}"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -213,9 +213,9 @@ def test_fetch_rows_by_key(spark):
 
 
 def test_drill_ranges():
-    assert G.drill_ranges([1, 2, 9, 3, 5, 6], 5) == [(1, 5), (6, 9)]
+    assert G.drill_ranges([1, 2, 9, 3, 5, 6], 5) == [(1, 3), (5, 6), (9, 9)]
     assert G.drill_ranges([], 5) == []
-    assert G.drill_ranges([-3, -1, 4], 5) == [(-3, -1), (4, 4)]
+    assert G.drill_ranges([-3, -1, 4], 5) == [(-3, -3), (-1, -1), (4, 4)]
 
 
 def test_chunk_digest_is_order_independent_and_bounded(spark):
@@ -266,3 +266,45 @@ def test_broadcast_needs_few_rows_and_few_bytes(spark):
     assert small_enough(stored, 10) and not small_enough(stored, 9)
     assert small_enough(stored, 10, 1000) and not small_enough(stored, 10, 999)
     assert small_enough(written(spark.range(0), "test"), 0)
+
+
+def _odd_sides(spark, kind):
+    """Copies with NULL keys, repeated and changed rows; integer, composite or mixed key types."""
+    rows_l = [(1, 1, "a"), (2, 1, "b"), (3, 2, "c"), (None, 1, "n"), (7, 7, "s"), (9, 9, "same")]
+    rows_r = [(1, 1, "A"), (2, 1, "b"), (4, 2, "d"), (None, 1, "m"), (7, 7, "s"), (9, 9, "same")]
+    left, right = (spark.createDataFrame(r, "k bigint, j bigint, v string") for r in (rows_l, rows_r))
+    if kind == "mixed":
+        text = F.when(F.col("k") == 7, "007").otherwise(F.col("k").cast("string"))
+        right = right.withColumn("k", text)
+    return left, right, ["k", "j"] if kind == "composite" else ["k"]
+
+
+@pytest.mark.parametrize("kind", ["integer", "composite", "mixed"])
+def test_every_limit_gives_the_same_rows(spark, kind):
+    left, right, keys = _odd_sides(spark, kind)
+    limits = (None, 0, 10**6)
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    diffs = [rows(D.column_diff(left, right, keys, broadcast_rows=n)) for n in limits]
+    assert diffs[0] == diffs[1] == diffs[2] and len(diffs[0]) == 2
+    lost = [rows(D.missing_rows(left, right, keys, broadcast_rows=n)) for n in limits]
+    assert lost[0] == lost[1] == lost[2] and len(lost[0]) == (3 if kind == "mixed" else 2)
+    if kind == "integer":
+        right = right.where("k IS NOT NULL")
+        found = [rows(D.diff_bucketed(left, right, "k", 2, broadcast_rows=n)) for n in limits]
+        assert found[0] == found[1] == found[2] == rows(D.key_set_diff(left, right, ["k"]))
+        assert any("None" in r for r in found[0])
+
+
+def test_rows_are_fetched_by_null_and_mixed_keys(spark):
+    left, _, keys = _odd_sides(spark, "integer")
+    wanted = spark.createDataFrame([("1",), (None,), ("8",)], "k string")
+    assert sorted(r.v for r in D.fetch_rows_by_key(left, wanted, keys).collect()) == ["a", "n"]
+
+
+def test_chunks_refuse_other_keys(spark):
+    df = spark.createDataFrame([(99.5, "x")], "k double, v string").withColumn("k", F.col("k").cast("decimal(10,1)"))
+    with pytest.raises(ValueError, match="integer key"):
+        D.diff_chunked(df, df, "k")

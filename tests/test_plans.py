@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from twinledger import session
 from twinledger.functions.logical_types import infer_types
 from twinledger.operators import audit as A
 from twinledger.operators import changelog as L
@@ -54,7 +55,7 @@ def test_few_dirty_chunks_are_pushed_into_the_scan(orders):
     )
     plan = plan_of(D.diff_chunked(orders, changed, "o_orderkey", chunk_size=100))
     assert "GreaterThanOrEqual(o_orderkey,200)" in plan
-    assert "LessThanOrEqual(o_orderkey,299)" in plan
+    assert "LessThan(o_orderkey,300)" in plan
 
 
 def test_snapshot_bound_is_a_plain_comparison(orders):
@@ -123,3 +124,16 @@ def test_no_registered_query_uses_python_or_a_cross_product(spark, sf):
         plan = plan_of(fn(spark, sf))
         assert not [b for b in BANNED if b in plan], name
         assert "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_scratch_folder_is_the_shared_one(spark):
+    root = session.scratch_root(spark)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    assert root.startswith(shared.rstrip("/"))
+    session.check_conf(spark)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="timeZone"):
+            session.check_conf(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

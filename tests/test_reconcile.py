@@ -4,6 +4,7 @@ from twinledger.functions.logical_types import LogicalType
 from twinledger.operators.reports import reconcile_summary
 from twinledger.plans.reconcile import (
     TablePair,
+    changed_columns,
     pair_diff,
     reconcile,
     reconcile_each,
@@ -27,17 +28,16 @@ def pairs(spark):
         "nokey": TablePair("nokey", a, b, []),
         "otherkey": TablePair("otherkey", a, b, ["id"], right_keys=["v"]),
         "nocol": TablePair("nocol", a, no_common, ["id"]),
-        "big": TablePair("big", text_key, text_key, ["id"], estimated_rows=10**9),
+        "big": TablePair("big", text_key, text_key, ["id"]),
         "schema_migrations": TablePair("schema_migrations", a, b, ["id"]),
     }
 
 
 def test_skip_reasons(spark):
     p = pairs(spark)
-    got = {n: skip_reason(x, max_rows=20_000_000) for n, x in p.items()}
+    got = {n: skip_reason(x) for n, x in p.items()}
     assert got == {"same": None, "diff": None, "nokey": "SKIP-PK", "otherkey": "SKIP-PK",
-                   "nocol": "SKIP-COL", "big": "SKIP-BIG", "schema_migrations": None}
-    assert skip_reason(p["big"]) is None
+                   "nocol": "SKIP-COL", "big": None, "schema_migrations": None}
     assert [x.name for x in selected(list(p.values()), ["diff", "schema_migrations"])] == ["diff"]
 
 
@@ -54,18 +54,35 @@ def test_a_failing_table_is_an_error_row(spark):
     p = pairs(spark)
     boom = p["same"].left.withColumn("v", F.raise_error(F.lit("unreadable")).cast("string"))
     broken = TablePair("broken", boom, p["same"].right, ["id"])
-    rows = {r.table_name: r.status for r in reconcile_each([p["same"], broken]).collect()}
-    assert rows == {"same": "OK", "broken": "ERROR"}
+    rows = {r.table_name: r for r in reconcile_each([p["same"], broken]).collect()}
+    assert {n: r.status for n, r in rows.items()} == {"same": "OK", "broken": "ERROR"}
+    assert rows["same"].error is None and "unreadable" in rows["broken"].error
 
 
 def test_strategies_agree(spark):
     p = pairs(spark)["diff"]
     want = {(2, "changed")}
-    for how in ("auto", "full", "chunked"):
+    for how in ("full", "chunked"):
         assert {tuple(r) for r in pair_diff(p, how).collect()} == want
-    large = TablePair("diff", p.left, p.right, ["id"], estimated_rows=10**9)
-    assert {tuple(r) for r in pair_diff(large).collect()} == want
-    assert [r.key for r in samples([p]).collect()] == ["2"]
+    assert [r.key for r in samples(list(pairs(spark).values())).collect()] == ["2"]
+    assert {tuple(r) for r in changed_columns([p]).collect()} == {("diff", "v", 1), ("diff", "d", 0)}
+
+
+def test_composite_keys_and_null_keys_count_with_every_strategy(spark):
+    kind = "a bigint, b bigint, v string"
+    left = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (2, 1, "z"), (None, 1, "n")], kind)
+    right = spark.createDataFrame([(1, 1, "X"), (1, 3, "y"), (2, 1, "z"), (None, 1, "m")], kind)
+    for how in ("full", "chunked"):
+        r = reconcile([TablePair("t", left, right, ["a", "b"])], strategy=how).first()
+        assert (r.left_only, r.right_only, r.changed) == (1, 1, 2)
+        r = reconcile([TablePair("t", left.where("b = 1"), right.where("b = 1"), ["a"])], strategy=how).first()
+        assert (r.left_only, r.right_only, r.changed) == (0, 0, 2)
+
+
+def test_nothing_selected(spark):
+    p = list(pairs(spark).values())
+    assert reconcile(p, allow=["none"]).count() == 0 and reconcile_each([], allow=["none"]).count() == 0
+    assert samples(p, allow=["nokey"]).count() == 0 and changed_columns([]).count() == 0
 
 
 def test_sinks_round_trip(spark, tmp_path):

@@ -41,19 +41,8 @@ def per_column(aggregated: DataFrame, cols: Sequence[str], fields: Mapping[str,
 def null_audit(
     df: DataFrame,
     cols: Sequence[str],
-    estimated_rows: int | None = None,
-    skip_above: int | None = None,
 ) -> DataFrame:
-    """``(column, null_count, verdict)`` for all columns from one scan.
-
-    Above ``skip_above`` estimated rows nothing is read and every column is
-    reported as ``unscanned``.
-    """
-    if skip_above is not None and estimated_rows is not None and estimated_rows > skip_above:
-        rows = [(c, None, "unscanned") for c in cols]
-        return df.sparkSession.createDataFrame(
-            rows, "column string, null_count bigint, verdict string"
-        )
+    """``(column, null_count, verdict)`` for all columns from one scan."""
     counts = df.agg(*[F.count_if(quoted(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
     verdict = F.when(F.col("null_count") == 0, F.lit("clean")).otherwise(F.lit("dirty"))
     return per_column(counts, cols, {"null_count": "_n"}).withColumn("verdict", verdict)

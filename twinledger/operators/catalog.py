@@ -146,11 +146,12 @@ def estimate_triage(est_left: DataFrame, est_right: DataFrame) -> DataFrame:
     plain = F.lit(True)
     for c in ("left_est", "right_est"):
         plain = plain & F.coalesce(F.col(c).rlike("^[0-9]+$"), F.lit(False))
-    m = F.expr("try_cast(left_est AS bigint)")
-    p = F.expr("try_cast(right_est AS bigint)")
-    allowed = F.greatest(F.lit(50), F.call_function("div", m, F.lit(200)))
+    m = F.expr("try_cast(left_est AS decimal(38, 0))")
+    p = F.expr("try_cast(right_est AS decimal(38, 0))")
+    allowed = F.greatest(F.lit(50), F.floor(m / 200))
+    unknown = ~plain | m.isNull() | p.isNull()  # more than 38 digits
     status = (
-        F.when(~plain, F.lit("ERR"))
+        F.when(unknown, F.lit("ERR"))
         .when(F.abs(m - p) > allowed, F.lit("VERIFY"))
         .otherwise(F.lit("~ok"))
     )
@@ -158,15 +159,12 @@ def estimate_triage(est_left: DataFrame, est_right: DataFrame) -> DataFrame:
 
 
 def pk_fingerprint(
-    pairs: Mapping[str, tuple[DataFrame, DataFrame, str]], max_rows: int | None = None
+    pairs: Mapping[str, tuple[DataFrame, DataFrame, str]]
 ) -> DataFrame:
-    """``count,min,max`` of the key as one string per side, and whether they agree.
-
-    Tables above ``max_rows`` are reported as ``skipped``.
-    """
+    """``count,min,max`` of the key as one string per side, and whether they agree."""
     one_row_each = union_tables([
         key_fingerprint(df, pk).select(
-            F.lit(name).alias("table_name"), F.lit(mark).alias("side"), "n", "fingerprint"
+            F.lit(name).alias("table_name"), F.lit(mark).alias("side"), "fingerprint"
         )
         for name, (left, right, pk) in pairs.items()
         for mark, df in (("left", left), ("right", right))
@@ -176,13 +174,10 @@ def pk_fingerprint(
             F.max(F.when(F.col("side") == mark, F.col("fingerprint"))).alias(f"{mark}_fingerprint")
             for mark in ("left", "right")
         ],
-        F.max("n").alias("_n"),
     )
     verdict = F.when(
         F.col("left_fingerprint") == F.col("right_fingerprint"), F.lit("match")
     ).otherwise(F.lit("mismatch"))
-    if max_rows is not None:
-        verdict = F.when(F.col("_n") > max_rows, F.lit("skipped")).otherwise(verdict)
     return found.select("table_name", "left_fingerprint", "right_fingerprint",
                         verdict.alias("status"))
 

@@ -41,6 +41,7 @@ from twinledger.operators.digest import (
     drill_ranges,
     keyed_diff,
     ranges_predicate,
+    key_origin,
     with_bucket,
 )
 
@@ -48,6 +49,21 @@ from twinledger.operators.digest import (
 MAX_PUSHED_CHUNKS = 200
 # Longest list that is broadcast; its bytes are limited as well.
 BROADCAST_ROWS = 1_000_000
+# Share of rows in dirty chunks above which one pass over everything is cheaper.
+FULL_SHARE = 1 / 3
+
+
+def rows_with_keys(
+    df: DataFrame, picked: DataFrame, keys: Sequence[str], kinds: dict[str, T.DataType],
+    few: bool = False,
+) -> DataFrame:
+    """Rows of ``df`` whose key is among ``picked``: NULL meets NULL, and both are compared in the
+    types of the two tables, whatever way the join is done. ``few`` says that ``picked`` is proven to be
+    small enough to be broadcast."""
+    named = picked.select(*[quoted(k).cast(kinds[k]).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = [quoted(k).cast(kinds[k]).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    named = F.broadcast(named) if few else named
+    return df.join(named, same, "left_semi").select(*[quoted(c) for c in df.columns])
 
 
 def _plan(left: DataFrame, right: DataFrame, types: Types | None):
@@ -151,15 +167,20 @@ def diff_chunked(
     """``diff_rows`` restricted to the key ranges whose digests differ.
 
     Phase 1 compares one digest per chunk. Phase 2 looks at rows of dirty
-    chunks only, by the cheapest way that is safe for their number:
+    chunks only, by the cheapest way that is safe for them; all ways give the
+    same rows:
 
-    * few - the ids are fetched and pushed into both scans as key ranges;
+    * dirty chunks hold more than ``FULL_SHARE`` of all rows - the plain row
+      diff, since most of the table has to be read anyway;
+    * few chunks - the ids are fetched and pushed into both scans as key ranges;
     * up to ``BROADCAST_ROWS`` - a broadcast semi join on the chunk id;
-    * more - the plain row diff, since most of the table has to be read anyway.
+    * more - the plain row diff.
 
     ``drill='lazy'`` runs no job while the plan is built and leaves the join
-    strategy to the planner.
+    strategy to the planner. The key must be an integer on both sides.
     """
+    if not chunkable(left, right, [pk], types):
+        raise ValueError(f"chunks need an integer key on both sides: {pk}")
     cols, known = _plan(left, right, types)
     chunks = chunk_compare(left, right, pk, cols, known, chunk_size, **options)
     dirty = chunks.where(~F.col("same")).select("chunk_id")
@@ -178,7 +199,12 @@ def diff_chunked(
             in_chunks(left, ids), in_chunks(right, ids), [pk], cols, known, **options
         )
 
-    dirty = written(dirty, "dirty-chunks")
+    sized = chunks.select("chunk_id", "same", (F.col("n_left") + F.col("n_right")).alias("n"))
+    chunks = written(sized, "chunks")
+    rows = chunks.agg(F.sum("n").alias("all"), F.sum(F.when(~F.col("same"), F.col("n"))).alias("dirty")).first()
+    if (rows["dirty"] or 0) > FULL_SHARE * (rows["all"] or 0):
+        return keyed_diff(left, right, [pk], cols, known, **options)
+    dirty = chunks.where(~F.col("same")).select("chunk_id")
     found = dirty.limit(MAX_PUSHED_CHUNKS + 1).collect()
     if len(found) <= MAX_PUSHED_CHUNKS:
         ranges = drill_ranges([r.chunk_id for r in found if r.chunk_id is not None])
@@ -222,7 +248,8 @@ def diff_bucketed(
     """Missing and extra keys, looked for only in buckets that disagree.
 
     Never reports changed rows. ``exact=False`` trusts the counts, which hides
-    a bucket with as many missing as extra keys.
+    a bucket with as many missing as extra keys. NULL keys are a bucket of their
+    own. Few dirty buckets of an integer key are pushed into both scans.
     """
     buckets = bucket_compare(left, right, pk, bucket_size, exact)
     dirty = buckets.where(~F.col("same")).select("bucket")
@@ -232,11 +259,26 @@ def diff_bucketed(
             if exact:
                 return key_set_diff(left, right, [pk])
             broadcast_rows = None
+    if broadcast_rows is not None and all(
+        isinstance(df.schema[pk].dataType, T.IntegralType) for df in (left, right)
+    ):
+        found = dirty.limit(MAX_PUSHED_CHUNKS + 1).collect()
+        if len(found) <= MAX_PUSHED_CHUNKS:
+            wanted = F.lit(False)
+            if any(r.bucket is None for r in found):
+                wanted = quoted(pk).isNull()
+            first = key_origin(left, right, pk).first().k or 0
+            for lo, hi in drill_ranges([r.bucket for r in found if r.bucket is not None]):
+                start, end = first + lo * bucket_size, first + (hi + 1) * bucket_size
+                wanted = wanted | ((quoted(pk) >= start) & (quoted(pk) < end))
+            return key_set_diff(left.where(wanted), right.where(wanted), [pk])
     parts = []
+    picked = dirty.select(F.col("bucket").alias("_bucket"))
+    picked = picked if broadcast_rows is None else F.broadcast(picked)
     for df in (left, right):
         tagged = with_bucket(df.select(quoted(pk)), left, right, pk, bucket_size)
-        picked = dirty if broadcast_rows is None else F.broadcast(dirty)
-        parts.append(tagged.join(picked, "bucket", "left_semi").drop("bucket"))
+        chosen = tagged.join(picked, F.col("bucket").eqNullSafe(F.col("_bucket")), "left_semi")
+        parts.append(chosen.drop("bucket"))
     return key_set_diff(parts[0], parts[1], [pk])
 
 
@@ -296,18 +338,19 @@ def column_diff(
     hashes, and if they are proven to be few they are broadcast, so that only
     changed rows are shuffled; if they are many the single pass is taken.
     """
-    picked = None
+    picked, few = None, False
     if broadcast_rows is not None:
         if changed is None:
             changed = diff_rows(left, right, keys, types, **options)
             changed = changed.where(F.col("diff_type") == "changed")
         found = written(changed.select(*[quoted(k) for k in keys]).distinct(), "changed-keys")
         if small_enough(found, broadcast_rows):
-            picked = F.broadcast(found)
+            picked, few = found, True
     elif changed is not None:
         picked = changed.select(*[quoted(k) for k in keys])
     if picked is not None:
-        left, right = (fetch_rows_by_key(df, picked, keys) for df in (left, right))
+        kinds = aligned_keys(left, right, keys)
+        left, right = (rows_with_keys(df, picked, keys, kinds, few) for df in (left, right))
     merged, cols, known = _column_balance(left, right, keys, types, True, options)
     cells = F.array(*[
         F.struct(
@@ -346,9 +389,8 @@ def changed_column_counts(
 def fetch_rows_by_key(
     df: DataFrame, keys_df: DataFrame, keys: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    """Full rows for the keys in ``keys_df``; a limit takes the smallest keys."""
-    found = df.join(keys_df, list(keys), "left_semi")
-    found = found.select(*[quoted(c) for c in df.columns])
+    """Full rows for the keys in ``keys_df``; a limit takes the smallest keys. NULL meets NULL."""
+    found = rows_with_keys(df, keys_df, keys, aligned_keys(df, keys_df, keys))
     if limit is None:
         return found
     return found.orderBy(*[quoted(k) for k in keys]).limit(limit)
@@ -365,17 +407,18 @@ def missing_rows(
     With ``broadcast_rows`` the missing keys are found first, on key columns
     alone, and if they are few the full rows are picked without a shuffle.
     """
+    kinds = aligned_keys(left, right, keys)
     if broadcast_rows is not None:
         found = written(key_minus(left, right, keys), "missing-keys")
         if small_enough(found, broadcast_rows):
             keyless = F.lit(False)
             for k in keys:
                 keyless = keyless | quoted(k).isNull()
-            picked = fetch_rows_by_key(left, F.broadcast(found), keys)
+            picked = rows_with_keys(left.where(~keyless), found, keys, kinds, few=True)
             return picked.unionByName(left.where(keyless))
-    have = right.select(*[quoted(k) for k in keys])
-    found = left.join(have, list(keys), "left_anti")
-    return found.select(*[quoted(c) for c in left.columns])
+    have = right.select(*[quoted(k).cast(kinds[k]).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = [quoted(k).cast(kinds[k]) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    return left.join(have, same, "left_anti").select(*[quoted(c) for c in left.columns])
 
 
 SAME_KEY_OTHER_FORM = "YES (PK representation mismatch)"

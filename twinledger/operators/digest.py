@@ -100,13 +100,10 @@ def chunk_compare(
 
 
 def drill_ranges(chunk_ids: Sequence[int], max_span: int = MAX_DRILL_SPAN) -> list[tuple[int, int]]:
-    """Merge sorted chunk ids into ``(first, last)`` ranges of bounded width.
-
-    A range may bridge clean chunks; that costs reads, never correctness.
-    """
+    """Merge neighbouring chunk ids into ``(first, last)`` ranges of bounded width."""
     ranges: list[tuple[int, int]] = []
     for cid in sorted(chunk_ids):
-        if ranges and cid - ranges[-1][0] < max_span:
+        if ranges and cid - ranges[-1][1] <= 1 and cid - ranges[-1][0] < max_span:
             ranges[-1] = (ranges[-1][0], cid)
         else:
             ranges.append((cid, cid))
@@ -119,7 +116,7 @@ def ranges_predicate(
     """OR of key ranges, in the form a parquet or JDBC scan can prune on."""
     found = F.lit(False)
     for first, last in ranges:
-        found = found | quoted(pk).between(first * chunk_size, (last + 1) * chunk_size - 1)
+        found = found | ((quoted(pk) >= first * chunk_size) & (quoted(pk) < (last + 1) * chunk_size))
     return found
 
 
@@ -135,8 +132,9 @@ def key_range(
 
 
 def key_bound(df: DataFrame, pk: str, bound: Column | int) -> DataFrame:
-    """Rows up to and including ``bound``."""
-    return df.where(quoted(pk) <= (bound if isinstance(bound, Column) else F.lit(bound)))
+    """Rows up to and including ``bound``, and those without a key."""
+    upper = bound if isinstance(bound, Column) else F.lit(bound)
+    return df.where((quoted(pk) <= upper) | quoted(pk).isNull())
 
 
 def snapshot_bound(left: DataFrame, right: DataFrame, pk: str) -> tuple[DataFrame, DataFrame]:
@@ -150,11 +148,16 @@ def snapshot_bound(left: DataFrame, right: DataFrame, pk: str) -> tuple[DataFram
     return key_bound(left, pk, top), key_bound(right, pk, top)
 
 
-def _origin(left: DataFrame, right: DataFrame, pk: str) -> Column:
+def key_origin(left: DataFrame, right: DataFrame, pk: str) -> DataFrame:
+    """One row ``k``: the smallest key of both sides."""
     keys = left.select(quoted(pk).cast("bigint").alias("k")).unionAll(
         right.select(quoted(pk).cast("bigint").alias("k"))
     )
-    return keys.agg(F.min("k")).scalar()
+    return keys.agg(F.min("k").alias("k"))
+
+
+def _origin(left: DataFrame, right: DataFrame, pk: str) -> Column:
+    return key_origin(left, right, pk).scalar()
 
 
 def bucket_counts(

@@ -6,13 +6,14 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger.functions.logical_types import EXCLUDED_TABLES, LogicalType, common_columns
 from twinledger.functions.tokens import key_text
 from twinledger.operators.catalog import union_tables
 from twinledger.operators.diff import (
+    changed_column_counts,
     chunkable,
     diff_chunked,
     diff_counts,
@@ -37,11 +38,10 @@ class TablePair:
     keys: Sequence[str]
     types: Mapping[str, LogicalType | str] = field(default_factory=dict)
     right_keys: Sequence[str] | None = None
-    estimated_rows: int | None = None
 
 
-def skip_reason(pair: TablePair, max_rows: int | None = None) -> str | None:
-    """``SKIP-PK``, ``SKIP-COL``, ``SKIP-BIG`` or None, from metadata alone."""
+def skip_reason(pair: TablePair) -> str | None:
+    """``SKIP-PK``, ``SKIP-COL`` or None, from metadata alone."""
     if not pair.keys or list(pair.right_keys or pair.keys) != list(pair.keys):
         return "SKIP-PK"
     cols = common_columns(pair.left, pair.right)
@@ -49,31 +49,27 @@ def skip_reason(pair: TablePair, max_rows: int | None = None) -> str | None:
         return "SKIP-COL"
     if not set(pair.keys) <= set(cols):
         return "SKIP-PK"
-    if max_rows is not None and (pair.estimated_rows or 0) > max_rows:
-        if not chunkable(pair.left, pair.right, pair.keys, pair.types):
-            return "SKIP-BIG"
     return None
 
 
 def pair_diff(
     pair: TablePair,
-    strategy: str = "auto",
+    strategy: str = "full",
     chunk_size: int = DEFAULT_CHUNK_SIZE,
     bounded: bool = True,
 ) -> DataFrame:
     """Differing keys of one pair.
 
-    ``auto`` compares chunks where the key allows it and the estimate says the
-    table is larger than one chunk; anything else is one full row diff.
+    ``full`` is one row diff. ``chunked`` looks at chunk digests first, which runs jobs while the plan
+    is built; a pair without a single integer key gets the row diff instead. Both give the same rows.
     """
-    if strategy not in ("auto", "full", "chunked"):
-        raise ValueError("strategy is 'auto', 'full' or 'chunked'")
+    if strategy not in ("full", "chunked"):
+        raise ValueError("strategy is 'full' or 'chunked'")
     left, right = pair.left, pair.right
     by_chunk = chunkable(left, right, pair.keys, pair.types)
     if bounded and by_chunk:
         left, right = snapshot_bound(left, right, pair.keys[0])
-    large = pair.estimated_rows is not None and pair.estimated_rows > chunk_size
-    if strategy == "chunked" or (strategy == "auto" and by_chunk and large):
+    if strategy == "chunked" and by_chunk:
         return diff_chunked(left, right, pair.keys[0], pair.types, chunk_size)
     return diff_rows(left, right, pair.keys, pair.types)
 
@@ -84,9 +80,9 @@ def _skipped(pair: TablePair, reason: str) -> DataFrame:
     )
 
 
-def pair_result(pair: TablePair, max_rows: int | None = None, **how) -> DataFrame:
+def pair_result(pair: TablePair, **how) -> DataFrame:
     """One row: table_name, status, left_only, right_only, changed."""
-    reason = skip_reason(pair, max_rows)
+    reason = skip_reason(pair)
     if reason is not None:
         return _skipped(pair, reason)
     counts = diff_counts(pair_diff(pair, **how))
@@ -105,44 +101,75 @@ def selected(pairs: Sequence[TablePair], allow: Sequence[str] | None = None) ->
     ]
 
 
+def _no_rows(pairs: Sequence[TablePair], schema: str) -> DataFrame:
+    spark = pairs[0].left.sparkSession if pairs else SparkSession.active()
+    return spark.createDataFrame([], schema)
+
+
 def reconcile(
-    pairs: Sequence[TablePair], allow: Sequence[str] | None = None,
-    max_rows: int | None = None, **how,
+    pairs: Sequence[TablePair], allow: Sequence[str] | None = None, **how
 ) -> DataFrame:
-    """All pairs as one lazy result, one row per table."""
-    return union_tables([pair_result(p, max_rows, **how) for p in selected(pairs, allow)])
+    """All pairs as one lazy result, one row per table; no row if none is selected."""
+    chosen = selected(pairs, allow)
+    if not chosen:
+        return _no_rows(pairs, RESULT_SCHEMA)
+    return union_tables([pair_result(p, **how) for p in chosen])
 
 
 def reconcile_each(
-    pairs: Sequence[TablePair], jobs: int = 4, allow: Sequence[str] | None = None,
-    max_rows: int | None = None, **how,
+    pairs: Sequence[TablePair], jobs: int = 4, allow: Sequence[str] | None = None, **how
 ) -> DataFrame:
-    """Same, as one Spark job per table, so that a failing table is an ``ERROR`` row.
+    """Same, as one Spark job per table, so that a failing table is an ``ERROR`` row with the
+    reason in ``error``.
 
     Only the single result row of each table reaches the driver.
     """
     chosen = selected(pairs, allow)
+    schema = f"{RESULT_SCHEMA}, error string"
     if not chosen:
-        raise ValueError("no table to compare")
+        return _no_rows(pairs, schema)
 
     def outcome(pair: TablePair) -> tuple:
         try:
-            return tuple(pair_result(pair, max_rows, **how).first())
-        except Exception:  # the table's failure is the result to report
-            return (pair.name, "ERROR", None, None, None)
+            return (*pair_result(pair, **how).first(), None)
+        except Exception as e:  # the table's failure is the result to report
+            return (pair.name, "ERROR", None, None, None, f"{type(e).__name__}: {e}")
 
     with ThreadPoolExecutor(max_workers=jobs) as pool:
         rows = list(pool.map(outcome, chosen))
-    return chosen[0].left.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
+    return chosen[0].left.sparkSession.createDataFrame(rows, schema)
+
+
+def _compared(pairs: Sequence[TablePair], allow: Sequence[str] | None) -> list[TablePair]:
+    return [p for p in selected(pairs, allow) if skip_reason(p) is None]
 
 
-def samples(pairs: Sequence[TablePair], n: int = 20, **how) -> DataFrame:
-    """``(table_name, diff_type, rank, key)``: the smallest differing keys of each kind."""
+def samples(
+    pairs: Sequence[TablePair], n: int = 20, allow: Sequence[str] | None = None, **how
+) -> DataFrame:
+    """``(table_name, diff_type, rank, key)``: the smallest differing keys of each kind, of every pair
+    that can be compared."""
     out = []
-    for pair in pairs:
+    for pair in _compared(pairs, allow):
         picked = sample_per_diff_type(pair_diff(pair, **how), pair.keys, n)
         out.append(picked.select(
             F.lit(pair.name).alias("table_name"), "diff_type", "rank",
             key_text(pair.keys).alias("key"),
         ))
+    if not out:
+        return _no_rows(pairs, "table_name string, diff_type string, rank int, key string")
     return union_tables(out)
+
+
+def changed_columns(
+    pairs: Sequence[TablePair], allow: Sequence[str] | None = None, bounded: bool = True
+) -> DataFrame:
+    """``(table_name, column, changed_rows)`` of every pair that can be compared, in one pass each."""
+    out = []
+    for pair in _compared(pairs, allow):
+        left, right = pair.left, pair.right
+        if bounded and chunkable(left, right, pair.keys, pair.types):
+            left, right = snapshot_bound(left, right, pair.keys[0])
+        found = changed_column_counts(left, right, pair.keys, pair.types)
+        out.append(found.select(F.lit(pair.name).alias("table_name"), "column", "changed_rows"))
+    return union_tables(out) if out else _no_rows(pairs, "table_name string, column string, changed_rows bigint")

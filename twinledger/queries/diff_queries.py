@@ -485,7 +485,8 @@ def reconcile_tables_query(spark, sf):
     return reconcile(_pairs(spark, sf), bounded=False)
 
 
-@query("reconcile_each_table", SUMMARY_CTES, sql=RESULTS_SQL)
+@query("reconcile_each_table", SUMMARY_CTES, sql=RESULTS_SQL.replace(
+    " FROM results", ", CAST(NULL AS VARCHAR) AS error FROM results"))
 def reconcile_each_table_query(spark, sf):
     return reconcile_each(_pairs(spark, sf), bounded=False)
 
@@ -505,9 +506,88 @@ def reconcile_summary_query(spark, sf):
     return reconcile_summary(reconcile(_pairs(spark, sf), bounded=False))
 
 
-@query("reconcile_samples", ORDERS_DIFF, sql="""
-SELECT 'orders' AS table_name, diff_type, rank, CAST(o_orderkey AS VARCHAR) AS key FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY diff_type ORDER BY o_orderkey) AS INTEGER) AS rank
-  FROM diff) WHERE rank <= 10""")
+@query("reconcile_samples", ORDERS_DIFF, CONVERSATIONS, sql="""
+, conv AS (
+  SELECT COALESCE(l.conv_id, r.conv_id) AS conv_id, COALESCE(l.turn, r.turn) AS turn,
+         CASE WHEN r.conv_id IS NULL THEN 'left_only' WHEN l.conv_id IS NULL THEN 'right_only'
+              ELSE 'changed' END AS diff_type
+  FROM conv_l l FULL OUTER JOIN conv_r r ON l.conv_id = r.conv_id AND l.turn = r.turn
+  WHERE l.text IS DISTINCT FROM r.text),
+spelled AS (
+  SELECT diff_type, CASE diff_type WHEN 'left_only' THEN CAST(c_custkey AS VARCHAR)
+         ELSE lpad(CAST(c_custkey AS VARCHAR), 20, '0') END AS key
+  FROM customer, (VALUES ('left_only'), ('right_only')) t(diff_type) WHERE c_custkey % 50 = 0),
+numbered AS (
+  SELECT 'orders' AS table_name, diff_type, CAST(o_orderkey AS VARCHAR) AS key,
+         row_number() OVER (PARTITION BY diff_type ORDER BY o_orderkey) AS rank FROM diff
+  UNION ALL
+  SELECT 'conversations', diff_type, CAST(conv_id AS VARCHAR) || chr(28) || CAST(turn AS VARCHAR),
+         row_number() OVER (PARTITION BY diff_type ORDER BY conv_id, turn) FROM conv
+  UNION ALL
+  SELECT 'customer', diff_type, key, row_number() OVER (PARTITION BY diff_type ORDER BY key) FROM spelled)
+SELECT table_name, diff_type, CAST(rank AS INTEGER) AS rank, key FROM numbered WHERE rank <= 10""")
 def reconcile_samples_query(spark, sf):
-    return samples(_pairs(spark, sf)[:1], n=10, bounded=False)
+    return samples(_pairs(spark, sf), n=10, bounded=False)
+
+
+def _with_null_keys(spark, sf):
+    """Both copies of orders, some keys of which are NULL, one of them changed."""
+    left, right = both(spark, sf)
+    k = F.col("o_orderkey")
+    lost = F.when(k % 5000 != 7, k).alias("o_orderkey")
+    rest = [c for c in left.columns if c != "o_orderkey"]
+    changed = F.when(k % 5000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return left.select(lost, *rest), right.withColumn("o_totalprice", changed).select(lost, *rest)
+
+
+# With the NULL keys as one more row of the diff: all of them belong to one key.
+NULL_KEY_DIFF = """
+, keyed AS (SELECT o_orderkey, diff_type FROM diff WHERE o_orderkey % 5000 <> 7
+            UNION ALL SELECT NULL, 'changed' WHERE EXISTS (SELECT 1 FROM orders_l WHERE o_orderkey % 5000 = 7))
+"""
+
+
+@query("reconcile_bounded", ORDERS_DIFF, sql=NULL_KEY_DIFF + """
+SELECT 'orders' AS table_name, 'DIFF' AS status,
+       count(*) FILTER (WHERE diff_type = 'left_only') AS left_only,
+       count(*) FILTER (WHERE diff_type = 'right_only' AND o_orderkey <= (SELECT max(o_orderkey) FROM orders_l)) AS right_only,
+       count(*) FILTER (WHERE diff_type = 'changed') AS changed FROM keyed""")
+def reconcile_bounded_query(spark, sf):
+    left, right = _with_null_keys(spark, sf)
+    return reconcile([TablePair("orders", left, right, KEY)])
+
+
+@query("missing_rows_mixed_keys", sql="""
+SELECT c_custkey, c_name FROM customer
+WHERE c_custkey % 50 = 0 OR c_custkey % 7 = 3""")
+def missing_rows_mixed_keys_query(spark, sf):
+    left = table(spark, sf, "customer").select("c_custkey", "c_name")
+    k = F.col("c_custkey").cast("string")
+    padded = F.when(F.col("c_custkey") % 50 == 0, F.concat(F.lit("00"), k)).otherwise(k)
+    right = left.where(F.col("c_custkey") % 7 != 3).select(padded.alias("c_custkey"))
+    return D.missing_rows(left, right, ["c_custkey"], broadcast_rows=D.BROADCAST_ROWS)
+
+
+@query("diff_bucketed_null_keys", ORDERS_DIFF, sql="""
+SELECT o_orderkey, CASE diff_type WHEN 'left_only' THEN 'missing' ELSE 'extra' END AS diff_type
+FROM diff WHERE diff_type <> 'changed'
+UNION ALL SELECT NULL, 'missing'""")
+def diff_bucketed_null_keys_query(spark, sf):
+    left, right = both(spark, sf)
+    keyless = left.orderBy("o_orderkey").limit(1).withColumn("o_orderkey", F.lit(None).cast(left.schema["o_orderkey"].dataType))
+    return D.diff_bucketed(left.unionByName(keyless), right, "o_orderkey", BUCKET)
+
+
+@query("column_diff_null_keys", ORDERS_DIFF, sql="""
+SELECT l.o_orderkey, 'o_totalprice' AS "column", CAST(l.o_totalprice AS VARCHAR) AS left_value,
+       CAST(r.o_totalprice AS VARCHAR) AS right_value, FALSE AS opaque
+FROM orders_l l JOIN orders_r r USING (o_orderkey) WHERE l.o_totalprice <> r.o_totalprice
+UNION ALL
+SELECT NULL, 'o_totalprice', CAST(o_totalprice AS VARCHAR), CAST(o_totalprice + 1 AS VARCHAR), FALSE
+FROM orders_l WHERE o_orderkey % 1000000 = 7""")
+def column_diff_null_keys_query(spark, sf):
+    left, right = both(spark, sf)
+    k = F.col("o_orderkey")
+    one = left.where(k % 1_000_000 == 7).withColumn("o_orderkey", F.when(k % 1_000_000 != 7, k))
+    more = one.withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast(right.schema["o_totalprice"].dataType))
+    return D.column_diff(left.unionByName(one), right.unionByName(more), KEY, broadcast_rows=D.BROADCAST_ROWS)

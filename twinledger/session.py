@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,22 +29,33 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
     return builder.getOrCreate()
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or else one below the warehouse.
 
-    Only a local master may fall back to a machine-local temporary folder.
+    The warehouse is where the session keeps its tables, so it is shared too. On a cluster a folder
+    taken from the warehouse must name a file system other than the machine's own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        if not _is_local(spark) and (shared.startswith("file:") or "://" not in shared):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="twinledger-")
-        spark.sparkContext.setCheckpointDir(shared)
     return shared.rstrip("/")
 
 
+def check_conf(spark: SparkSession) -> None:
+    """Refuse a session that lacks a setting results rely on."""
+    wrong = {k: spark.conf.get(k, None) for k, v in REQUIRED_CONF.items() if spark.conf.get(k, None) != v}
+    if wrong:
+        raise ValueError(f"results rely on {REQUIRED_CONF}, the session has {wrong}")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused path below the scratch folder."""
     return f"{scratch_root(spark)}/twinledger/{label}-{uuid.uuid4().hex}"
