@@ -163,3 +163,25 @@ def test_doubles_are_fingerprinted_at_their_scale(spark):
     rows = [tuple(r) for r in df.select(*words).collect()]
     assert rows[0] == rows[1]
     assert len(set(rows)) == len(values) - 1
+
+
+def test_numbers_of_two_scales_are_the_same_and_strict_tells_them_apart(spark):
+    from twinledger.operators.diff import diff_rows
+
+    left = spark.sql("SELECT 1 AS k, CAST(1.00 AS decimal(18,2)) AS a, 5L AS b UNION ALL SELECT 2, 2.50, 6L")
+    right = spark.sql("SELECT 1 AS k, CAST(1.0000 AS decimal(20,4)) AS a, CAST(5.000 AS decimal(10,3)) AS b "
+                      "UNION ALL SELECT 2, 2.5001, 6.000")
+    types = {"k": "int4", "a": "numeric", "b": "numeric"}
+    assert [tuple(r) for r in diff_rows(left, right, ["k"], types).collect()] == [(2, "changed")]
+    assert diff_rows(left, right, ["k"], types, strict_numbers=True).count() == 2
+
+
+def test_instants_as_text_are_brought_to_utc(spark):
+    from twinledger.functions.tokens import canonical_key, column_token, key_text
+
+    df = spark.createDataFrame([("2024-01-01T02:00:00+02:00", "2024-01-01 00:00:00Z", "2024-01-01 00:00:00")], "a string, b string, c string")
+    row = df.select(*[column_token(c, "timestamptz") for c in "abc"], column_token("a", "timestamp")).first()
+    assert row[0] == row[1] == row[2] == "2024-01-01 00:00:00" and row[3] == "2024-01-01 02:00:00"
+    keys = spark.createDataFrame([("1", None), (None, "1")], "x string, y string")
+    for form in (key_text(["x", "y"]), canonical_key(["x", "y"])):
+        assert keys.select(form).distinct().count() == 2

@@ -53,16 +53,22 @@ def _as_bool(c: Column, dtype: T.DataType) -> Column:
     return c.cast("bigint") != 0
 
 
-def _timestamp_text(c: Column, dtype: T.DataType, precision: str) -> Column:
+_OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
+def _timestamp_text(c: Column, dtype: T.DataType, precision: str, zoned: bool = False) -> Column:
     pattern = _SECONDS if precision == "second" else _MICROS
     if isinstance(dtype, T.TimestampType):
         return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), pattern)
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
         return F.date_format(c, pattern)
     text = F.regexp_replace(c.cast("string"), "T", " ")
-    if precision == "second":
-        return F.substring(text, 1, 19)
-    return F.regexp_replace(text, r"(Z|[+-]\d{2}(:?\d{2})?)$", "")
+    plain = F.substring(text, 1, 19) if precision == "second" else F.regexp_replace(text, _OFFSET, "")
+    if not zoned:
+        return plain
+    # An instant with an offset is shown in UTC, like a timestamp column.
+    instant = F.to_utc_timestamp(text.try_cast("timestamp"), F.current_timezone())
+    return F.when(text.rlike(_OFFSET), F.coalesce(F.date_format(instant, pattern), plain)).otherwise(plain)
 
 
 def _float_text(c: Column, scale: int) -> Column:
@@ -96,7 +102,7 @@ def column_token(
         text = F.when(_as_bool(c, dtype), F.lit("true")).otherwise(F.lit("false"))
         return F.when(c.isNull(), F.lit(NULL_MARK)).otherwise(text)
     if t.udt in TIMESTAMP_UDTS:
-        text = _timestamp_text(c, dtype, ts_precision)
+        text = _timestamp_text(c, dtype, ts_precision, t.udt == "timestamptz")
     elif t.udt in FLOAT_UDTS:
         text = _float_text(c, DEFAULT_FLOAT_SCALE if t.scale is None else t.scale)
     else:
@@ -157,15 +163,36 @@ def _native(c: Column, t: LogicalType, dtype: T.DataType) -> Column | None:
     return None
 
 
+def _scale(dtype: T.DataType) -> int | None:
+    """Digits behind the point of an exact number, None for anything else."""
+    if isinstance(dtype, T.IntegralType):
+        return 0
+    return dtype.scale if isinstance(dtype, T.DecimalType) else None
+
+
+def _one_scale(c: Column, t: LogicalType, dtype: T.DataType, other: T.DataType) -> Column | None:
+    """Exact numbers of two Spark types in the finer of their scales."""
+    here, there = _scale(dtype), _scale(other)
+    if here is None or there is None or t.udt == "bool" or t.udt in OPAQUE_UDTS | FLOAT_UDTS | TIMESTAMP_UDTS:
+        return None
+    wide = c.try_cast(T.DecimalType(38, max(here, there)))
+    # Values too large for it count as they are.
+    return F.struct(wide, F.when(wide.isNull(), c.cast("string")))
+
+
 def fingerprint(
     df: DataFrame,
     cols: Sequence[str],
     types: Types,
     other_schema: T.StructType | None = None,
+    strict_numbers: bool = False,
     **options,
 ) -> list[Column]:
     """Two 64-bit words that stand for the row's tokens.
 
+    Exact numbers of two types are brought to one scale first, so ``1.00`` and
+    ``1.0000`` are the same; ``strict_numbers`` compares them as they are written.
+
     A column whose Spark type is the same in ``other_schema`` is hashed as it
     is instead of as text; NULLs are told apart by flags that are hashed in front
     of the values.
@@ -176,6 +203,8 @@ def fingerprint(
         c, dtype, t = quoted(name), df.schema[name].dataType, logical(types.get(name, "text"))
         same = other_schema is not None and other_schema[name].dataType == dtype
         native = _native(c, t, dtype) if same and default_rules else None
+        if native is None and other_schema is not None and not same and not strict_numbers:
+            native = _one_scale(c, t, dtype, other_schema[name].dataType)
         values.append(column_token(c, t, dtype, **options) if native is None else native)
         null_flags.append(c.isNull())
     return digest_pair([*null_flags, *values])
@@ -190,7 +219,12 @@ def key_text(cols: Sequence[Column | str]) -> Column:
     """Printable key; joins and grouping always use the typed columns instead."""
     parts = [quoted(c) if isinstance(c, str) else c for c in cols]
     texts = [p.cast("string") for p in parts]
-    return texts[0] if len(texts) == 1 else F.concat_ws(KEY_SEPARATOR, *texts)
+    return texts[0] if len(texts) == 1 else _joined(texts)
+
+
+def _joined(texts: Sequence[Column]) -> Column:
+    """Parts of a composite key; a NULL part keeps its place."""
+    return F.concat_ws(KEY_SEPARATOR, *[F.coalesce(t, F.lit(NULL_MARK)) for t in texts])
 
 
 def canonical_key(cols: Sequence[Column | str]) -> Column:
@@ -202,4 +236,4 @@ def canonical_key(cols: Sequence[Column | str]) -> Column:
         texts.append(
             F.coalesce(text.try_cast(T.DecimalType(38, 10)).cast("string"), F.lower(text))
         )
-    return texts[0] if len(texts) == 1 else F.concat_ws(KEY_SEPARATOR, *texts)
+    return texts[0] if len(texts) == 1 else _joined(texts)

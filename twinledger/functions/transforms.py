@@ -22,6 +22,10 @@ def timestamptz_to_datetime(
     return F.date_format(F.from_utc_timestamp(instant, target_zone), pattern)
 
 
+# Longest mapping that is broadcast; its bytes are limited as well.
+MAPPING_ROWS = 1_000_000
+
+
 def enum_remap(c: Column | str, mapping: Mapping[str, str]) -> Column:
     """Replace mapped labels; labels without an entry pass through."""
     c = quoted(c) if isinstance(c, str) else c
@@ -32,10 +36,17 @@ def enum_remap(c: Column | str, mapping: Mapping[str, str]) -> Column:
 
 
 def enum_remap_join(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
-    """Same, for a mapping kept as a table of unique ``(label, mapped)`` rows."""
-    lookup = mapping.select(
-        F.col("label").alias(column), F.col("mapped").alias("_mapped")
-    )
+    """Same, for a mapping kept as a table of unique ``(label, mapped)`` rows.
+
+    The mapping is stored first; if it is proven to be small it is broadcast, so a table with a few
+    hot labels is not shuffled on them.
+    """
+    from twinledger.operators.balance import small_enough, written
+
+    stored = written(mapping.select("label", "mapped"), "mapping")
+    lookup = stored.select(F.col("label").alias(column), F.col("mapped").alias("_mapped"))
+    if small_enough(stored, MAPPING_ROWS):
+        lookup = F.broadcast(lookup)
     joined = df.join(lookup, column, "left")
     chosen = F.coalesce("_mapped", quoted(column)).alias(column)
     return joined.select(*[chosen if c == column else quoted(c) for c in df.columns])

@@ -192,8 +192,10 @@ def _json_state(col: str) -> tuple[Column, Column, Column]:
 def json_equal(left: DataFrame, right: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """``(keys, verdict)`` for keys both sides hold.
 
-    Field order and number spelling do not matter. Text that does not parse is
-    its own verdict and never equal to NULL.
+    Field order does not matter, nor do zeros behind the point. A number with an
+    exponent is a double and differs from the same number written out. Text that
+    does not parse, also for a field name that occurs twice, is its own verdict
+    and never equal to NULL.
     """
     kinds = aligned_keys(left, right, keys)
     parts = []

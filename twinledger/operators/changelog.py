@@ -298,10 +298,9 @@ def offset_gaps(log: DataFrame, block: int = _OFFSETS_PER_BLOCK) -> DataFrame:
     go on to a second window, which compares them across blocks.
     """
     part = ["topic", "partition"]
-    seen = (
-        log.groupBy(*part, "offset").agg(F.lit(1).alias("_one"))
-        .select(*part, "offset", F.shiftright("offset", block.bit_length() - 1).alias("_block"))
-    )
+    # One exchange by block serves both the grouping and the window behind it.
+    blocks = F.shiftright("offset", block.bit_length() - 1).alias("_block")
+    seen = log.select(*part, blocks, "offset").repartition(*part, "_block").distinct()
     inside = Window.partitionBy(*part, "_block").orderBy("offset")
     near = seen.withColumns({
         "_previous": F.lag("offset").over(inside), "_next": F.lead("offset").over(inside),

@@ -65,14 +65,15 @@ def errors_recent(
     now: Column | None = None,
     hours: int | None = 24,
     n: int = 5,
-    width: int = 120,
+    width: int | None = None,
     tie_break: str | None = None,
 ) -> DataFrame:
-    """Newest errors first, with the message cut to ``width`` characters."""
+    """Newest errors first, with the whole message, or its first ``width`` characters."""
     found = errors if hours is None or now is None else _recent(errors, now, hours)
     order = [F.col("ts_error").desc()] + ([F.col(tie_break)] if tie_break else [])
     shown = with_source(found, sources).orderBy(*order).limit(n)
-    return shown.withColumn("error", F.substring("t_error_message", 1, width)).drop(
+    message = F.col("t_error_message")
+    return shown.withColumn("error", message if width is None else F.substring(message, 1, width)).drop(
         "t_error_message"
     )
 

@@ -26,7 +26,7 @@ from twinledger.sources.tables import read_table
 
 # -- audits --------------------------------------------------------------------
 
-COUNTED = ["o_custkey", "o_orderpriority", "o_orderstatus", "created"]
+COUNTED = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "created", "shipped", "billed"]
 
 
 @query("null_audit", DIRTY, sql=" UNION ALL ".join(

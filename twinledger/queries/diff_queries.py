@@ -211,7 +211,7 @@ def diff_bucketed_query(spark, sf):
 
 
 @query("diff_bucketed_counts_only", ORDERS, sql="""
-, even_l AS (SELECT o_orderkey AS k FROM orders_l WHERE o_orderkey % 2 = 0),
+, even_l AS (SELECT o_orderkey * 2 AS k FROM orders_l),
 even_r AS (SELECT CASE WHEN k % 4000 = 10 THEN k + 1 ELSE k END AS k FROM even_l
            WHERE k % 5000 <> 20),
 cnt AS (SELECT COALESCE(l.b, r.b) AS b FROM
@@ -225,7 +225,7 @@ SELECT k, 'extra' FROM even_r
 WHERE k // 500 IN (SELECT b FROM cnt) AND k NOT IN (SELECT k FROM even_l)""")
 def diff_bucketed_counts_only_query(spark, sf):
     k = F.col("o_orderkey")
-    left = orders_left(spark, sf).where(k % 2 == 0)
+    left = orders_left(spark, sf).withColumn("o_orderkey", k * 2)  # room for a key between two
     right = left.where(k % 5000 != 20).withColumn(
         "o_orderkey", F.when(k % 4000 == 10, k + 1).otherwise(k)
     )
@@ -591,3 +591,22 @@ def column_diff_null_keys_query(spark, sf):
     one = left.where(k % 1_000_000 == 7).withColumn("o_orderkey", F.when(k % 1_000_000 != 7, k))
     more = one.withColumn("o_totalprice", (F.col("o_totalprice") + 1).cast(right.schema["o_totalprice"].dataType))
     return D.column_diff(left.unionByName(one), right.unionByName(more), KEY, broadcast_rows=D.BROADCAST_ROWS)
+
+
+@query("diff_rows_mixed_types", sql="""
+SELECT event_id, 'changed' AS diff_type FROM events WHERE event_id % 13 = 0
+UNION ALL
+SELECT event_id, 'left_only' FROM events WHERE event_id % 17 = 0 AND event_id % 13 <> 0""")
+def diff_rows_mixed_types_query(spark, sf):
+    """Decimals of two scales, a number and a decimal, timestamps and text with offsets."""
+    e, instant = F.col("event_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("event_id"))
+    left = table(spark, sf, "events").select(
+        e, (e / 4).cast("decimal(18,2)").alias("price"), F.col("user_id").cast("bigint").alias("user_id"),
+        instant.alias("seen"))
+    text = F.concat(F.date_format(instant + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
+    more = F.when(e % 13 == 0, F.lit(1)).otherwise(F.lit(0))
+    right = left.where((e % 17 != 0) | (e % 13 == 0)).select(
+        e, (F.col("price") + more).cast("decimal(20,4)").alias("price"),
+        F.col("user_id").cast("decimal(12,3)").alias("user_id"), text.alias("seen"))
+    types = {"event_id": "int8", "price": "numeric", "user_id": "numeric", "seen": "timestamptz"}
+    return D.diff_rows(left, right, ["event_id"], types)

@@ -38,7 +38,7 @@ def _replayed(spark, sf):
 
 def _batches(spark, sf):
     e = F.col("event_id")
-    return _events(spark, sf).where(e % 2 == 0).select(
+    return _events(spark, sf).select(
         e.alias("i_id_batch"), F.col("user_id").alias("i_id_source"),
         F.concat(F.lit("t_log_replica_"), e % 2 + 1).alias("v_log_table"),
         (e % 1000).alias("i_replayed"), (e % 10).alias("i_skipped"), (e % 3).alias("i_ddl"),
@@ -106,7 +106,7 @@ def source_status_query(spark, sf):
 SELECT event_id AS i_id_batch, t_source,
        't_log_replica_' || (event_id % 2 + 1) AS v_log_table, event_id % 1000 AS i_replayed,
        event_id % 10 AS i_skipped, event_id % 3 AS i_ddl
-FROM events JOIN src ON user_id = i_id_source WHERE event_id % 2 = 0
+FROM events JOIN src ON user_id = i_id_source
 ORDER BY event_id DESC LIMIT 10""")
 def newest_batches_query(spark, sf):
     return R.newest_batches(_batches(spark, sf), _sources(spark, sf)).select(
@@ -116,7 +116,7 @@ def newest_batches_query(spark, sf):
 
 @query("pending_batches", sql="""
 SELECT count(*) FILTER (WHERE event_id % 4 <> 0 AND event_id % 6 <> 0) AS pending
-FROM events WHERE event_id % 2 = 0""")
+FROM events""")
 def pending_batches_query(spark, sf):
     return R.pending_batches(_batches(spark, sf))
 
@@ -143,7 +143,7 @@ WHERE ts_error > (SELECT n FROM now_) - INTERVAL 24 HOURS
 ORDER BY err.ts_error DESC, error_id LIMIT 20""")
 def errors_recent_query(spark, sf):
     found = R.errors_recent(
-        _errors(spark, sf), _sources(spark, sf), _now(spark, sf), n=20, tie_break="error_id"
+        _errors(spark, sf), _sources(spark, sf), _now(spark, sf), n=20, width=120, tie_break="error_id"
     )
     return found.select(
         F.date_format("ts_error", "yyyy-MM-dd HH:mm:ss").alias("ts_error"), "t_source",

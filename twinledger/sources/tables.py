@@ -19,9 +19,11 @@ def read_table(
     where: Column | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """One table below ``location``; columns and filter reach the scan."""
-    extension = f"/{name}.{fmt}" if not location.startswith("jdbc:") else ""
-    df = spark.read.format(fmt).load(location.rstrip("/") + extension)
+    """One table below ``location``, a folder or a ``jdbc:`` URL; columns and filter reach the scan."""
+    if location.startswith("jdbc:"):
+        df = read_jdbc_table(spark, location, name)
+    else:
+        df = spark.read.format(fmt).load(f"{location.rstrip('/')}/{name}.{fmt}")
     if where is not None:
         df = df.where(where)
     return df if columns is None else df.select(*[quoted(c) for c in columns])
