@@ -38,7 +38,7 @@ def rows_of(names, rows):
     )
 
 
-SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def types_differ(con, spark_df, sql: str) -> str | None:
