@@ -62,9 +62,9 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", payload_col: str =
         narrow.groupBy("_sha1").agg(F.min(id_col).alias("_first"), F.max(id_col).alias("_last"))
         .where(F.col("_first") < F.col("_last")).select("_sha1", "_first")
     )
-    later = narrow.join(repeated, "_sha1").where(F.col(id_col) > F.col("_first")).groupBy(id_col).agg(
+    later = narrow.join(repeated, "_sha1").where(F.col(id_col) > F.col("_first")).groupBy(id_col, "_sha1").agg(
         F.min("_first").alias("refers_to"))
-    return marked.join(later, id_col, "left").withColumn("payload_digest", base32(F.col("_sha1"))).drop("_sha1")
+    return marked.join(later, [id_col, "_sha1"], "left").withColumn("payload_digest", base32(F.col("_sha1"))).drop("_sha1")
 
 
 def chunk_rows(records: DataFrame, payload_col: str = "html", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -270,7 +270,8 @@ def records_of(chunks: DataFrame) -> DataFrame:
     """A row for each record: ``record_id, payload_bytes, payload_digest, record_type, refers_to, intact``.
 
     The last chunk of a response has its size and digest. A revisit has no payload; it takes both from
-    the response that it refers to. ``intact`` tells that the stated digest is the one found.
+    the response that it refers to. ``intact`` tells that the stated digest is the one found, or for a
+    revisit that there is such a response; else its size and digest are null.
     """
     last = chunks.where("is_last")
     name = lambda c: F.regexp_extract(c, "<urn:page:(.*)>", 1)
@@ -280,10 +281,11 @@ def records_of(chunks: DataFrame) -> DataFrame:
         (F.col("digest_so_far") == F.col("stated_digest")).alias("intact"))
     revisits = last.where("record_type = 'revisit'").select(
         name("record_id").alias("record_id"), "record_type", name("refers_to").alias("refers_to"), "stated_digest")
-    found = responses.select(F.col("record_id").alias("refers_to"), "payload_bytes", "payload_digest")
+    found = responses.select(F.col("record_id").alias("refers_to"), "payload_bytes", "payload_digest",
+                             F.col("payload_digest").alias("stated_digest")).dropDuplicates(["refers_to", "stated_digest"])
     return responses.unionByName(
-        revisits.join(found, "refers_to", "left")
-        .withColumn("intact", F.col("payload_digest").eqNullSafe(F.col("stated_digest"))).drop("stated_digest"))
+        revisits.join(found, ["refers_to", "stated_digest"], "left")
+        .withColumn("intact", F.col("payload_digest").isNotNull()).drop("stated_digest"))
 
 
 def archive(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url",
