@@ -24,7 +24,7 @@ from twinledger.operators.balance import written
 CAPACITY = 1024
 END_ID = 2
 #: Pieces of one length that are ranked in one window partition, about.
-RANK_ROWS = 4_000
+RANK_ROWS = 500
 #: Slots made from one row.
 SLOT_ROWS = 4_096
 
