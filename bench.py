@@ -13,6 +13,10 @@ import statistics
 import time
 from functools import partial
 
+from pyspark.sql import functions as F
+
+from twinledger.operators import diff as D
+from twinledger.operators.balance import written
 from twinledger.queries import load
 from twinledger.session import local_session
 
@@ -36,9 +40,32 @@ HEADLINE = (
     "unwrap_events",
     "apply_changes",
     "upsert_sink",
+    "apply_changes_stream",
+    "verify_replay",
+    "one_sided_inspect",
     "reconcile_summary",
 )
 RUNS = 3
+LARGE_ROWS = 17_000_000
+
+
+def large_pair(spark):
+    """Two tables of 17 million integer keys with about 300 keys on one side only."""
+    k = F.col("id")
+    left = spark.range(LARGE_ROWS).select("id", (k * 7 % 1_000_003).alias("v"))
+    right = left.where(k % 100_003 != 5).unionByName(
+        left.where(k % 120_011 == 7).withColumn("id", k + LARGE_ROWS))
+    return left, right
+
+
+def large_cases(spark):
+    left, right = (written(df, "bench-17m") for df in large_pair(spark))
+    return {
+        "17m_key_set_diff": lambda: D.key_set_diff(left, right, ["id"]),
+        "17m_diff_bucketed": lambda: D.diff_bucketed(left, right, "id"),
+        "17m_diff_rows": lambda: D.diff_rows(left, right, ["id"]),
+        "17m_diff_chunked": lambda: D.diff_chunked(left, right, "id"),
+    }
 
 
 def timed(fn) -> float:
@@ -58,6 +85,8 @@ def main() -> None:
         name: partial(queries[name], spark, sf)
         for name in (wanted.split(",") if wanted else HEADLINE)
     }
+    if os.environ.get("BENCH_17M"):
+        chosen |= large_cases(spark)
     for run in chosen.values():
         timed(run)
     seconds = {

@@ -6,6 +6,7 @@ from twinledger.plans.reconcile import (
     TablePair,
     changed_columns,
     pair_diff,
+    pairs_from_catalog,
     reconcile,
     reconcile_each,
     samples,
@@ -79,6 +80,21 @@ def test_composite_keys_and_null_keys_count_with_every_strategy(spark):
         assert (r.left_only, r.right_only, r.changed) == (0, 0, 2)
 
 
+def test_pairs_from_catalog(spark):
+    p = pairs(spark)["diff"]
+    sides = ("left", "right")
+    tables = spark.createDataFrame([(s, t) for s in sides for t in ("a", "b")] + [("left", "alone")], "side string, table_name string")
+    keys = spark.createDataFrame([(s, "a", "PRIMARY KEY", "id", 1) for s in sides] + [("left", "b", "UNIQUE", "id", 1)],
+                                 "side string, table_name string, constraint_type string, column_name string, ordinal_position int")
+    columns = spark.createDataFrame([(s, t, c, u) for s in sides for t in ("a", "b") for c, u in (("id", "int8"), ("v", "text"), ("d", "float8"))],
+                                    "side string, table_name string, column_name string, udt_name string")
+    got = pairs_from_catalog(tables, keys, columns, lambda side, name: p.left if side == "left" else p.right)
+    assert [(x.name, list(x.keys), dict(x.types), skip_reason(x)) for x in got] == [
+        ("a", ["id"], {"id": "int8", "v": "text", "d": "float8"}, None),
+        ("b", [], {"id": "int8", "v": "text", "d": "float8"}, "SKIP-PK")]
+    assert {r.table_name: r.changed for r in reconcile(got).collect()} == {"a": 1, "b": None}
+
+
 def test_nothing_selected(spark):
     p = list(pairs(spark).values())
     assert reconcile(p, allow=["none"]).count() == 0 and reconcile_each([], allow=["none"]).count() == 0

@@ -421,6 +421,7 @@ def missing_rows(
     return left.join(have, same, "left_anti").select(*[quoted(c) for c in left.columns])
 
 
+# Verdict texts.
 SAME_KEY_OTHER_FORM = "YES (PK representation mismatch)"
 KEY_ABSENT = "NO (row is genuinely absent)"
 

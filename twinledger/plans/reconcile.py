@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger.functions.logical_types import EXCLUDED_TABLES, LogicalType, common_columns
@@ -40,6 +40,60 @@ class TablePair:
     right_keys: Sequence[str] | None = None
 
 
+def comparison_plan(cat_tables: DataFrame, cat_keys: DataFrame, cat_columns: DataFrame) -> DataFrame:
+    """``(table_name, keys, right_keys, columns, skip_reason)`` of every table both sides have.
+
+    From catalog rows with a ``side`` of ``left`` or ``right``. ``keys`` are the primary key columns in
+    order, ``columns`` the common columns as ``(column_name, udt)`` with the right side's type. The
+    reasons are those of ``skip_reason``; bookkeeping tables are left out.
+    """
+    both = (
+        cat_tables.where(~F.col("table_name").isin(*EXCLUDED_TABLES)).groupBy("table_name")
+        .agg(F.count_if(F.col("side") == "left").alias("l"), F.count_if(F.col("side") == "right").alias("r"))
+        .where("l > 0 AND r > 0").select("table_name")
+    )
+
+    def primary(side: str) -> Column:
+        mine = F.when(F.col("side") == side, F.struct("ordinal_position", "column_name"))
+        return F.array_sort(F.collect_list(mine))["column_name"]
+
+    keys = cat_keys.where(F.col("constraint_type") == "PRIMARY KEY").groupBy("table_name").agg(
+        primary("left").alias("keys"), primary("right").alias("right_keys"))
+    common = (
+        cat_columns.groupBy("table_name", "column_name").agg(
+            F.count_if(F.col("side") == "left").alias("l"),
+            F.max(F.when(F.col("side") == "right", F.col("udt_name"))).alias("udt"))
+        .where("l > 0 AND udt IS NOT NULL").groupBy("table_name")
+        .agg(F.array_sort(F.collect_list(F.struct("column_name", "udt"))).alias("columns"))
+    )
+    none = F.array().cast("array<string>")
+    whole = both.join(keys, "table_name", "left").join(common, "table_name", "left").select(
+        "table_name", F.coalesce("keys", none).alias("keys"), F.coalesce("right_keys", none).alias("right_keys"),
+        F.coalesce("columns", F.array().cast("array<struct<column_name:string,udt:string>>")).alias("columns"))
+    reason = (
+        F.when((F.size("keys") == 0) | (F.col("keys") != F.col("right_keys")), F.lit("SKIP-PK"))
+        .when(F.size("columns") == 0, F.lit("SKIP-COL"))
+        .when(F.size(F.array_except("keys", F.col("columns.column_name"))) > 0, F.lit("SKIP-PK"))
+    )
+    return whole.withColumn("skip_reason", reason)
+
+
+def pairs_from_catalog(
+    cat_tables: DataFrame, cat_keys: DataFrame, cat_columns: DataFrame,
+    reader: Callable[[str, str], DataFrame],
+) -> list[TablePair]:
+    """A ``TablePair`` for every table both catalogs list; ``reader(side, table)`` reads one.
+
+    One row a table reaches the driver, as with any catalog.
+    """
+    plan = comparison_plan(cat_tables, cat_keys, cat_columns).orderBy("table_name").collect()
+    return [
+        TablePair(r.table_name, reader("left", r.table_name), reader("right", r.table_name), r["keys"],
+                  {c.column_name: c.udt for c in r.columns}, r.right_keys)
+        for r in plan
+    ]
+
+
 def skip_reason(pair: TablePair) -> str | None:
     """``SKIP-PK``, ``SKIP-COL`` or None, from metadata alone."""
     if not pair.keys or list(pair.right_keys or pair.keys) != list(pair.keys):

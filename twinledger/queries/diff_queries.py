@@ -16,7 +16,13 @@ from twinledger.functions.transforms import (
 from twinledger.operators import diff as D
 from twinledger.operators import digest as G
 from twinledger.operators.reports import reconcile_summary
-from twinledger.plans.reconcile import TablePair, reconcile, reconcile_each, samples
+from twinledger.plans.reconcile import (
+    TablePair,
+    comparison_plan,
+    reconcile,
+    reconcile_each,
+    samples,
+)
 from twinledger.queries.inputs import (
     CONVERSATIONS,
     ORDERS,
@@ -610,3 +616,48 @@ def diff_rows_mixed_types_query(spark, sf):
         F.col("user_id").cast("decimal(12,3)").alias("user_id"), text.alias("seen"))
     types = {"event_id": "int8", "price": "numeric", "user_id": "numeric", "seen": "timestamptz"}
     return D.diff_rows(left, right, ["event_id"], types)
+
+
+# Catalog rows made of parts: eight columns a table, some of them, and some keys, on one side only.
+CATALOG = """
+cols AS (SELECT 't_' || (p_partkey // 8) AS t, 'c_' || (p_partkey % 8) AS c, p_partkey % 8 AS i, p_partkey // 8 AS n,
+                CASE p_partkey % 3 WHEN 0 THEN 'int8' WHEN 1 THEN 'text' ELSE 'numeric' END AS udt,
+                p_partkey % 11 <> 0 AND (p_partkey // 8) % 19 <> 3 AS l, p_partkey % 13 <> 0 AS r FROM part),
+tabs AS (SELECT DISTINCT t, n % 23 <> 5 AS l, n % 29 <> 7 AS r FROM cols),
+pk AS (SELECT t, c, i, TRUE AS l, n % 7 <> 0 AS r FROM cols WHERE i = 0 OR (i = 1 AND n % 5 = 0))
+"""
+
+
+@query("pairs_from_catalog", CATALOG, sql="""
+, k AS (SELECT t, coalesce(string_agg(c, ',' ORDER BY i) FILTER (WHERE l), '') AS lk,
+               coalesce(string_agg(c, ',' ORDER BY i) FILTER (WHERE r), '') AS rk,
+               count(*) FILTER (WHERE l) AS nk FROM pk GROUP BY t),
+m AS (SELECT t, string_agg(c || ':' || udt, ',' ORDER BY c) AS columns FROM cols WHERE l AND r GROUP BY t),
+inside AS (SELECT pk.t, count(*) AS n FROM pk JOIN cols ON pk.t = cols.t AND pk.c = cols.c
+           WHERE pk.l AND cols.l AND cols.r GROUP BY 1)
+SELECT tabs.t AS table_name, coalesce(lk, '') AS keys, coalesce(m.columns, '') AS columns,
+       CASE WHEN coalesce(lk, '') = '' OR lk <> rk THEN 'SKIP-PK' WHEN m.columns IS NULL THEN 'SKIP-COL'
+            WHEN coalesce(inside.n, 0) < nk THEN 'SKIP-PK' END AS skip_reason
+FROM tabs LEFT JOIN k USING (t) LEFT JOIN m USING (t) LEFT JOIN inside USING (t) WHERE tabs.l AND tabs.r""")
+def pairs_from_catalog_query(spark, sf):
+    p = F.col("p_partkey").cast("bigint")
+    n, i = floor_div(p, 8), p % 8
+    cols = table(spark, sf, "part").select(
+        F.concat(F.lit("t_"), n).alias("table_name"), F.concat(F.lit("c_"), i).alias("column_name"),
+        (i + 1).alias("ordinal_position"), n.alias("n"),
+        F.when(p % 3 == 0, "int8").when(p % 3 == 1, "text").otherwise("numeric").alias("udt_name"),
+        ((p % 11 != 0) & (n % 19 != 3)).alias("l"), (p % 13 != 0).alias("r"))
+
+    def sides(df, *names):
+        left, right = (df.where(c).select(F.lit(side).alias("side"), *names) for c, side in (("l", "left"), ("r", "right")))
+        return left.unionByName(right)
+
+    tables = cols.select("table_name", (F.col("n") % 23 != 5).alias("l"), (F.col("n") % 29 != 7).alias("r")).distinct()
+    first = F.col("ordinal_position")
+    keys = cols.where((first == 1) | ((first == 2) & (F.col("n") % 5 == 0))).withColumns(
+        {"l": F.lit(True), "r": F.col("n") % 7 != 0, "constraint_type": F.lit("PRIMARY KEY")})
+    plan = comparison_plan(
+        sides(tables, "table_name"), sides(keys, "table_name", "constraint_type", "column_name", "ordinal_position"),
+        sides(cols, "table_name", "column_name", "udt_name"))
+    shown = F.concat_ws(",", F.transform("columns", lambda c: F.concat(c["column_name"], F.lit(":"), c["udt"])))
+    return plan.select("table_name", F.concat_ws(",", "keys").alias("keys"), shown.alias("columns"), "skip_reason")
