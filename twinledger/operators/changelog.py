@@ -19,6 +19,7 @@ LOG_SCHEMA = (
     "topic string, partition int, offset bigint, timestamp timestamp, key string, value string"
 )
 # Topic name patterns.
+# Names and patterns of the log, retention in hours, heartbeat age in seconds.
 HEARTBEAT_TABLE = "cdc.debezium_heartbeat"
 ROUTE_PATTERN = r"^cdc(?:-[^.]+)?\.[^.]+\.(.+)$"
 SCHEMA_PATTERN = r"^cdc(?:-[^.]+)?\.([^.]+)\.(.+)$"

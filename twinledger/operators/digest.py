@@ -20,6 +20,7 @@ from twinledger.operators.balance import (
     signed_rows,
 )
 
+# Widths of chunks and buckets in keys.
 DEFAULT_CHUNK_SIZE = 100_000
 DEFAULT_BUCKET_SIZE = 50_000
 # Widest span, in chunks, that one drill-down range may cover.
