@@ -16,25 +16,32 @@ from pyspark.sql import functions as F
 
 from twinledger.llm.isolation import IsolationForest, grow
 from twinledger.llm.sampling import binary_labels, bounded_sample
-from twinledger.llm.stats import COUNTS, features, rule_statistics
+from twinledger.llm.stats import COUNTS, FEATURES, features, rule_statistics
 from twinledger.operators.balance import written
 
+#: Ratios that the forest sees: those that rules look at, whatever the length or language of a text.
+RULES = ("word_length", "symbols_per_word", "dup_line_share", "repeat_share", "upper_share", "digit_share", "mark_share",
+         "pipes_per_word", "exclaims_per_word", "same_share", "capital_share", "short_share", "symbol_word_share")
 #: Rows that the trees are drawn from.
 FIT_ROWS = 25_600
 SCORE_STEPS = 2_000
 DEFAULT_CUT = 0.65
 
 
+def rule_ratios(counts: dict[str, np.ndarray]) -> np.ndarray:
+    return features(counts)[:, [FEATURES.index(r) for r in RULES]]
+
+
 def base_failed(stats: str = "stats"):
     n = F.col(f"{stats}.n_words")
     return (n < 50) | (F.col(f"{stats}.n_repeat_words") * 100 > n * 50)
 
 
 def fit_forest(table: DataFrame, id_col: str = "doc_id", stats: str = "stats", rows: int = FIT_ROWS,
-               trees: int = 100, sample: int = 256) -> IsolationForest:
+               trees: int = 200, sample: int = 256) -> IsolationForest:
     """Forest over a bounded sample of documents that the fixed rules pass or not."""
     got = bounded_sample(table.select(id_col, stats), id_col, rows).select(f"{stats}.*").toPandas()
-    return grow(features({c: got[c].to_numpy() for c in COUNTS}), trees=trees, sample=sample)
+    return grow(rule_ratios({c: got[c].to_numpy() for c in COUNTS}), trees=trees, sample=sample)
 
 
 def anomaly(forest: IsolationForest, stats: str = "stats"):
@@ -43,7 +50,7 @@ def anomaly(forest: IsolationForest, stats: str = "stats"):
     @F.arrow_udf("double")
     def scored(table: pa.Array) -> pa.Array:
         counts = dict(zip(COUNTS, (c.to_numpy(zero_copy_only=False) for c in table.flatten())))
-        return pa.array(forest.scores(features(counts)), pa.float64())
+        return pa.array(forest.scores(rule_ratios(counts)), pa.float64())
 
     return scored(F.struct(*[F.col(f"{stats}.{c}") for c in COUNTS]))
 
