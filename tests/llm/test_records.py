@@ -176,6 +176,25 @@ def test_site_tree_removes_what_is_alike_on_all_pages(spark):
     assert op5_site_trees.extract(pages.limit(0)).count() == 0
 
 
+def test_site_tree_decides_inside_and_outside_articles(spark):
+    notice, share = "Subscribe to our letter and read more of what we write every day", "Tell your friends about this page"
+    body = lambda i, own: (f"<body><main><p>{own}</p><p>{notice}</p><div>{share}</div></main>"
+                           f"<div class=more><p>Long outside text {i} of its own</p></div><div class=end><p>All the same</p></div></body>")
+    rows = [(i, "http://a.example/", body(i, f"Own words {i}")) for i in range(30)]
+    # one article on many pages of a host is not boilerplate, nor are near copies of another one
+    rows += [(100 + i, "http://b.example/", "<article><h1>Copied</h1><p>The same text</p></article>") for i in range(30)]
+    same = "".join(f"<p>{'paragraph ' * 9}{j}</p>" for j in range(6))
+    rows += [(200 + i, "http://c.example/", f"<article>{same}<p>changed {i}</p></article>") for i in range(40)]
+    rows += [(300 + i, "http://c.example/", f"<article><p>text {i} one</p><p>text {i} two</p></article>") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for limit in (10**6, 0):
+        text = {r.page_id: r.text for r in op5_site_trees.extract(pages, broadcast_rows=limit).collect()}
+        assert all(text[i] == f"Own words {i}\nLong outside text {i} of its own" for i in range(30))
+        assert all(text[100 + i] == "Copied\nThe same text" for i in range(30))
+        assert all(text[200 + i].endswith(f" 5\nchanged {i}") and text[200 + i].count("\n") == 6 for i in range(40))
+        assert all(text[300 + i] == f"text {i} one\ntext {i} two" for i in range(60))
+
+
 def test_pages_of_the_table(spark, sf):
     import html as H
 

@@ -3,9 +3,10 @@
 The DOM trees of a host's pages are merged: nodes with the same path of elements are one node of the
 site style tree. A node's importance is the entropy of its presentations (the sequences of its child
 elements) and of its contents over the pages that have it: what looks and reads the same everywhere
-is of no importance. Elements that are page furniture by their kind or class are presentations of
-importance 0, elements that mark the article of 1. A page's text is that of its branches of
-importance above a threshold.
+is of no importance. A content that many pages show at one node is of as little importance by itself,
+whatever else stands at that node. Elements that are page furniture by their kind or class are
+presentations of importance 0. Branches outside the article of a page that has one count half.
+A page's text is that of its branches of importance above a threshold.
 """
 
 from __future__ import annotations
@@ -26,12 +27,16 @@ from twinledger.operators.balance import small_enough, written
 LEAST_PAGES = 8
 #: Importance below which a node's branch goes.
 LEAST_IMPORTANCE = 0.25
+#: Importance counts this much outside the article of a page that has one.
+OUTSIDE_WEIGHT = 0.5
 #: Removed nodes of all sites that are broadcast, at most; more are joined by host.
 BROADCAST_ROWS = 1_000_000
 
 #: Elements by what they are (fixed values).
 RAW = frozenset("script style template noscript iframe object svg math canvas title".split())
 FURNITURE = frozenset("head nav footer aside form button select textarea input dialog menu fieldset".split())
+#: Places of nodes that are not below an article.
+OUTSIDE, ABOVE, NO_ARTICLE = 0, 1, 2
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body head center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -55,6 +60,11 @@ class Node:
     tag: str
     path: int
     furniture: bool
+    up: Node | None = None
+    #: outermost article or main at or above this node
+    article: Node | None = None
+    #: an article stands at or below this node
+    holds: bool = False
     children: list[str] = field(default_factory=list)
     content: int = 0
 
@@ -86,10 +96,9 @@ class Page(HTMLParser):
         self.stack: list[Node] = [Node("", 0xCBF29CE484222325 >> 1, False)]
         self.raw: str | None = None
         self.parts: list[str] = []
-        #: (text, paths from the root, below furniture, below an article)
-        self.blocks: list[tuple[str, tuple[int, ...], bool, bool]] = []
-        #: (path, presentation, content) of every closed element outside furniture
-        self.nodes: list[tuple[int, int, int]] = []
+        #: (text, node it stands in, below furniture)
+        self.blocks: list[tuple[str, Node, bool]] = []
+        self.closed: list[Node] = []
         self.feed(html)
         self.close()
         while len(self.stack) > 1:
@@ -105,8 +114,7 @@ class Page(HTMLParser):
             value = hash_text(text)
             for node in self.stack:
                 node.content = (node.content * 31 + value) & 0x7FFFFFFFFFFFFFFF
-            self.blocks.append((text, tuple(n.path for n in self.stack), any(n.furniture for n in self.stack),
-                                any(n.tag in ARTICLE for n in self.stack)))
+            self.blocks.append((text, self.stack[-1], any(n.furniture for n in self.stack)))
 
     def _leave(self) -> None:
         node = self.stack[-1]
@@ -114,7 +122,28 @@ class Page(HTMLParser):
             self._flush()
         self.stack.pop()
         if node.tag in BLOCKS and not node.furniture:
-            self.nodes.append((node.path, hash_text(" ".join(node.children)), node.content))
+            self.closed.append(node)
+
+    def nodes(self) -> list[tuple[int, int, int, int, int]]:
+        """(path, presentation, content, place, first) of the distinct elements outside furniture.
+
+        ``place`` is ABOVE for articles and what holds them, OUTSIDE for other branches of a page with an
+        article, NO_ARTICLE on a page without one, and below an article a value of that article's content.
+        ``first`` is 1 for one element of each path.
+        """
+        none = not any(n.holds for n in self.closed)
+        found, paths, out = set(), set(), []
+        for n in self.closed:
+            if n.article is not None and n.article is not n:
+                place = n.article.content | 4
+            else:
+                place = ABOVE if n.holds else NO_ARTICLE if none else OUTSIDE
+            row = (n.path, hash_text(" ".join(n.children)), n.content, place)
+            if row not in found:
+                found.add(row)
+                out.append((*row, int(n.path not in paths)))
+                paths.add(n.path)
+        return out
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.raw:
@@ -136,7 +165,7 @@ class Page(HTMLParser):
         names = [v for k, v in attrs if k in ("class", "id", "role") and v]
         label = tag + "".join(f".{n}" for n in sorted({w for v in names for w in v.lower().split()}))
         words = {w for v in names for w in _NAME.findall(v.lower())}
-        inside = any(n.tag in ARTICLE for n in self.stack)
+        inside = self.stack[-1].article is not None
         furniture = (tag in FURNITURE or (tag == "header" and not inside) or bool(words & FURNITURE_NAMES)
                      or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs))
         if tag in ("body", "html", "article", "main"):
@@ -146,7 +175,12 @@ class Page(HTMLParser):
         self.stack[-1].children.append(label)
         if tag not in VOID:
             parent = self.stack[-1]
-            self.stack.append(Node(tag, _path(parent.path, label), furniture or parent.furniture))
+            node = Node(tag, _path(parent.path, label), furniture or parent.furniture, parent, parent.article)
+            if tag in ARTICLE and not node.furniture:
+                node.article = node.article or node
+                for n in (*self.stack, node):
+                    n.holds = True
+            self.stack.append(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)  # a slash does not close an HTML element
@@ -191,51 +225,100 @@ def host_of(url: str) -> Column:
 
 
 def style_rows(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, path, presentation, content``: a row for each node of each page outside page furniture."""
+    """``host, path, presentation, content, place, first``: a row for each node of each page outside page furniture."""
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if html:
-                    out += [(host, *n) for n in set(Page(html).nodes)]
-            columns = list(zip(*out)) or [[], [], [], []]
+                    out += [(host, *n) for n in Page(html).nodes()]
+            columns = list(zip(*out)) or [[], [], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:])],
-                names=["host", "path", "presentation", "content"])
+                names=["host", "path", "presentation", "content", "place", "first"])
 
     return pages.select(host_of(url_col).alias("host"), html_col).mapInArrow(
-        nodes, "host string, path bigint, presentation bigint, content bigint")
+        nodes, "host string, path bigint, presentation bigint, content bigint, place bigint, first bigint")
 
 
-def site_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, path, n, importance``: the nodes of the merged trees that stand on enough pages.
+def site_rules(pages: DataFrame, url_col: str = "url", html_col: str = "html", least: float = LEAST_IMPORTANCE) -> DataFrame:
+    """``host, rule, id``: what the merged trees say about nodes that stand on enough pages.
 
-    Equal rows are counted before the shuffle, so a host with a third of all pages is no hot spot.
+    ``removed`` are paths of less importance than ``least``, and below articles also contents of a path
+    (path XOR content) that over half of its articles have; ``likely`` are contents whose importance,
+    1 - log(k) / log(m) for k of m articles, is too low, on fewer articles; ``kept`` are paths outside
+    articles that are important enough there. Below articles each article counts once, however many
+    pages repeat it. Equal rows are counted before the shuffle, so a host with a third of all pages is
+    no hot spot.
     """
-    rows = style_rows(pages, url_col, html_col).groupBy("host", "path", "presentation", "content").agg(
-        F.count("*").alias("c"))
-    presentation = rows.groupBy("host", "path", "presentation").agg(F.sum("c").alias("c"))
-    content = rows.groupBy("host", "path", "content").agg(F.sum("c").alias("c"))
+    below = F.col("place") > NO_ARTICLE
+    rows = style_rows(pages, url_col, html_col).groupBy("host", "path", "presentation", "content", "place").agg(
+        F.count("*").alias("pages"), F.sum("first").alias("firsts")).select(
+        "host", "path", "presentation", "content", (F.col("place") == OUTSIDE).alias("outside"), below.alias("below"),
+        F.when(below, 1).otherwise(F.col("pages")).alias("c"),
+        F.when(below, F.least("firsts", F.lit(1))).otherwise(F.col("firsts")).alias("m"))
+    totals = F.sum("c").alias("c"), F.sum("m").alias("m"), F.max("outside").alias("outside"), F.max("below").alias("below")
+    presentation = rows.groupBy("host", "path", "presentation").agg(*totals)
+    content = rows.groupBy("host", "path", "content").agg(*totals)
 
     def entropy(each: DataFrame, name: str) -> DataFrame:
-        total = each.groupBy("host", "path").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log2("c")).alias("s"))
+        total = each.groupBy("host", "path").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log2("c")).alias("s"),
+                                                 F.sum("m").alias("m"), F.max("outside").alias("outside"))
         share = (F.log2("n") - F.col("s") / F.col("n")) / F.log2("n")
-        return total.where(F.col("n") >= LEAST_PAGES).select("host", "path", "n", share.alias(name))
+        return total.where(F.col("n") >= LEAST_PAGES).select("host", "path", "n", "m", "outside", share.alias(name))
 
-    return entropy(presentation, "p").join(entropy(content, "c").drop("n"), ["host", "path"]).select(
-        "host", "path", "n", F.greatest("p", "c").alias("importance"))
+    shown = entropy(content, "c")
+    importance = F.greatest("p", "c")
+    paths = entropy(presentation, "p").select("host", "path", "p").join(shown, ["host", "path"]).select(
+        "host", F.when(importance < least, "removed").when(
+            F.col("outside") & (importance * OUTSIDE_WEIGHT >= least), "kept").alias("rule"), F.col("path").alias("id"))
+    common = content.where(F.col("below") & (F.col("content") != 0) & (F.col("c") > 1)).select(
+        "host", "path", "content", F.col("c").alias("k"))
+    contents = common.join(shown.where(F.col("m") >= LEAST_PAGES).select("host", "path", "m"), ["host", "path"]).where(
+        1 - F.log2("k") / F.log2("m") < least).select(
+        "host", F.when(F.col("k") * 2 > F.col("m"), "removed").otherwise("likely").alias("rule"),
+        F.col("path").bitwiseXOR(F.col("content")).alias("id"))
+    return paths.where("rule is not null").union(contents)
 
 
-def main_text(html: str | None, removed: frozenset | set) -> str:
-    """Text of the branches that stay: those of the articles if there are any, else of the whole page."""
+NOTHING: frozenset = frozenset()
+
+
+def main_text(html: str | None, removed: frozenset | set, likely: frozenset | set = NOTHING,
+              kept: frozenset | set = NOTHING) -> str:
+    """Text of the branches that stay.
+
+    On a page with an article these are those below the article, and others only if ``kept`` names them.
+    Contents that are ``likely`` removed go if at least half of the article stays: else it is one of
+    several near copies and not full of notices. An article never goes as a whole.
+    """
     if not html:
         return ""
-    blocks = [(text, article) for text, paths, furniture, article in Page(html).blocks
-              if not furniture and (article or not removed.intersection(paths))]
-    if any(article for _, article in blocks):
-        blocks = [b for b in blocks if b[1]]
-    return "\n".join(text for text, _ in blocks)
+    found = []  # text, below an article, fate: 0 stays, 1 likely goes, 2 goes
+    for text, node, furniture in Page(html).blocks:
+        if furniture:
+            continue
+        fate, n, article = 0, node, node.article
+        block = None
+        while n is not None and n is not article:
+            if block is None and n.tag in BLOCKS:
+                block = n.path
+            if n.path in removed or (article is not None and n.path ^ n.content in removed):
+                fate = 2
+                break
+            if article is not None and n.path ^ n.content in likely:
+                fate = 1
+            n = n.up
+        found.append((text, article is not None, fate, block))
+    articles = any(article for _, article, _, _ in found)
+    inside = [(len(text), fate) for text, article, fate, _ in found if article]
+    left = sum(n for n, fate in inside if fate < 2)
+    sure = sum(n for n, fate in inside if fate < 1)
+    # the first fate that goes below articles
+    goes = 3 if not left else 1 if 2 * sure >= left else 2
+    return "\n".join(text for text, article, fate, block in found
+                     if (fate < goes if article else fate < 2 and (not articles or block in kept)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -243,26 +326,27 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``id_col, url_col, text, n_chars``, a row for each row of ``pages``.
 
     A null or empty page has an empty text. Pages without a host are one site. Repeated pages are
-    extracted each. A branch inside an article goes only if it is page furniture by its kind, since an
-    article may stand on many pages.
+    extracted each; an article that stands on many pages is not of less importance for it.
     """
-    gone = written(site_tree(pages, url_col, html_col).where(F.col("importance") < least).select("host", "path"), "sites")
-    sites = gone.groupBy("host").agg(F.collect_set("path").alias("removed"))
+    rules = written(site_rules(pages, url_col, html_col, least), "sites")
+    names = ("removed", "likely", "kept")
+    sites = rules.groupBy("host").agg(*[F.collect_set(F.when(F.col("rule") == r, F.col("id"))).alias(r) for r in names])
     sited = pages.select(id_col, url_col, html_col, host_of(url_col).alias("_host"))
-    if small_enough(gone, broadcast_rows):
-        removed = {r["host"]: frozenset(r["removed"]) for r in sites.collect()}  # at most broadcast_rows nodes
+    if small_enough(rules, broadcast_rows):
+        known = {r["host"]: [frozenset(r[n]) for n in names] for r in sites.collect()}  # at most broadcast_rows ids
 
         @F.arrow_udf("string")
         def text_of(hosts: pa.Array, htmls: pa.Array) -> pa.Array:
-            return pa.array([main_text(h.as_py(), removed.get(host.as_py(), frozenset()))
+            return pa.array([main_text(h.as_py(), *known.get(host.as_py(), (NOTHING,)))
                              for host, h in zip(hosts, htmls)], pa.string())
 
         out = sited.select(id_col, url_col, text_of("_host", html_col).alias("text"))
     else:
         @F.arrow_udf("string")
-        def text_with(htmls: pa.Array, paths: pa.Array) -> pa.Array:
-            return pa.array([main_text(h.as_py(), frozenset(p.as_py() or ())) for h, p in zip(htmls, paths)], pa.string())
+        def text_with(htmls: pa.Array, removed: pa.Array, likely: pa.Array, kept: pa.Array) -> pa.Array:
+            return pa.array([main_text(h.as_py(), *(frozenset(x.as_py() or ()) for x in ids))
+                             for h, *ids in zip(htmls, removed, likely, kept)], pa.string())
 
         out = sited.join(sites.withColumnRenamed("host", "_host"), "_host", "left").select(
-            id_col, url_col, text_with(html_col, "removed").alias("text"))
+            id_col, url_col, text_with(html_col, *names).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))
