@@ -160,6 +160,18 @@ def test_main_text(html, want):
     assert op5_site_trees.main_text(html, frozenset()) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<body class='no-sidebar'><div id=page class='has-sidebar'><article><p>x</p></article></div>", "x"),
+    ("<div class='content-with-menu'><p>a</p></div>", "a"), ("<div class='sidebar main'><main>x</main></div>", "x"),
+    ("<article><div class='entry-header'><h1>t</h1></div><h2 class='section-header'>s</h2><p>x</p></article>", "t\ns\nx"),
+    ("<article><div class=header><h1>t</h1><p>lead</p></div><div class=header><h2 class=header>s</h2></div></article>", "t\nlead\ns"),
+    ("<article><p class='social-policy'>a<p class='job-search'>b<p class='ad-hoc'>c</article>", "a\nb\nc"),
+    ("<article><p>x</p><div class='big ad'>y</div><div role=search><p>z</p></div></article>", "x"),
+])
+def test_names_of_furniture(html, want):
+    assert op5_site_trees.main_text(html, frozenset()) == want
+
+
 def test_site_tree_removes_what_is_alike_on_all_pages(spark):
     rows = [(i, f"http://a.example/{i}", f"<body><div class=top>Same line</div><div class=text><p>Own words {i} and {i * i}</p></div>"
              f"<div class=end><p>Read more here</p></div></body>", "h") for i in range(30)]

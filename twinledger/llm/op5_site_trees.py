@@ -43,13 +43,13 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"}
 ARTICLE = frozenset(("article", "main"))
-#: Words in class, id or role that name page furniture (fixed values).
+#: Classes, ids and roles that name page furniture, as whole tokens (fixed values).
 FURNITURE_NAMES = frozenset(
     "ad ads adv advert advertisement advertising banner sponsor sponsored promo promoted promotion cookie cookies consent gdpr "
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu "
     "breadcrumb breadcrumbs pagination pager sidebar aside widget footer header masthead comment comments reply replies disqus "
     "share sharing social related recommended toolbar search skip complementary contentinfo".split())
-_NAME = re.compile("[a-z]+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SPACE = re.compile(r"\s+")
 
 
@@ -59,7 +59,10 @@ class Node:
 
     tag: str
     path: int
-    furniture: bool
+    #: furniture by element, or hidden; holds for all below
+    kind: bool
+    #: furniture by name, unless an article or a page heading turns up below
+    named: bool = False
     up: Node | None = None
     #: outermost article or main at or above this node
     article: Node | None = None
@@ -68,6 +71,15 @@ class Node:
     children: list[str] = field(default_factory=list)
     content: int = 0
 
+    @property
+    def furniture(self) -> bool:
+        """Known once the page is read; names do not count above a heading."""
+        n: Node | None = self
+        named = False
+        while n is not None and n.tag not in HEADINGS and not named:
+            named, n = n.named, n.up
+        return self.kind or named
+
 
 def _mixed(a: int, b: str) -> int:
     h = a
@@ -96,8 +108,8 @@ class Page(HTMLParser):
         self.stack: list[Node] = [Node("", 0xCBF29CE484222325 >> 1, False)]
         self.raw: str | None = None
         self.parts: list[str] = []
-        #: (text, node it stands in, below furniture)
-        self.blocks: list[tuple[str, Node, bool]] = []
+        #: (text, node it stands in)
+        self.blocks: list[tuple[str, Node]] = []
         self.closed: list[Node] = []
         self.feed(html)
         self.close()
@@ -114,14 +126,14 @@ class Page(HTMLParser):
             value = hash_text(text)
             for node in self.stack:
                 node.content = (node.content * 31 + value) & 0x7FFFFFFFFFFFFFFF
-            self.blocks.append((text, self.stack[-1], any(n.furniture for n in self.stack)))
+            self.blocks.append((text, self.stack[-1]))
 
     def _leave(self) -> None:
         node = self.stack[-1]
         if node.tag in BLOCKS:
             self._flush()
         self.stack.pop()
-        if node.tag in BLOCKS and not node.furniture:
+        if node.tag in BLOCKS and not node.kind:
             self.closed.append(node)
 
     def nodes(self) -> list[tuple[int, int, int, int, int]]:
@@ -134,6 +146,8 @@ class Page(HTMLParser):
         none = not any(n.holds for n in self.closed)
         found, paths, out = set(), set(), []
         for n in self.closed:
+            if n.furniture:
+                continue
             if n.article is not None and n.article is not n:
                 place = n.article.content | 4
             else:
@@ -164,22 +178,25 @@ class Page(HTMLParser):
                 self._close("li", ("ul", "ol", "menu"))
         names = [v for k, v in attrs if k in ("class", "id", "role") and v]
         label = tag + "".join(f".{n}" for n in sorted({w for v in names for w in v.lower().split()}))
-        words = {w for v in names for w in _NAME.findall(v.lower())}
+        words = {w for v in names for w in v.lower().split()}
         inside = self.stack[-1].article is not None
-        furniture = (tag in FURNITURE or (tag == "header" and not inside) or bool(words & FURNITURE_NAMES)
-                     or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs))
+        kind = (tag in FURNITURE or (tag == "header" and not inside)
+                or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs))
+        named = bool(words & FURNITURE_NAMES)
         if tag in ("body", "html", "article", "main"):
-            furniture = False
-            if tag == "article" and words & {"comment", "comments", "reply", "replies"}:
-                furniture = True
+            kind = tag == "article" and bool(words & {"comment", "comments", "reply", "replies"})
+            named = False
         self.stack[-1].children.append(label)
         if tag not in VOID:
             parent = self.stack[-1]
-            node = Node(tag, _path(parent.path, label), furniture or parent.furniture, parent, parent.article)
-            if tag in ARTICLE and not node.furniture:
+            node = Node(tag, _path(parent.path, label), kind or parent.kind, named, parent, parent.article)
+            if tag in ARTICLE and not node.kind:
                 node.article = node.article or node
                 for n in (*self.stack, node):
-                    n.holds = True
+                    n.holds, n.named = True, False
+            elif tag == "h1" and not node.kind:
+                for n in self.stack:
+                    n.named = False
             self.stack.append(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
@@ -296,8 +313,8 @@ def main_text(html: str | None, removed: frozenset | set, likely: frozenset | se
     if not html:
         return ""
     found = []  # text, below an article, fate: 0 stays, 1 likely goes, 2 goes
-    for text, node, furniture in Page(html).blocks:
-        if furniture:
+    for text, node in Page(html).blocks:
+        if node.furniture:
             continue
         fate, n, article = 0, node, node.article
         block = None
