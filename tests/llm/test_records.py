@@ -133,6 +133,28 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert op2_order_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_up_to_the_limit(spark):
+    rng = random.Random(11)
+    texts = []
+    for n in (*range(2, 40), 47, 55, 60, 61, 80, 150, 300, 700):
+        for rate in (0.1, 0.15, 0.2):
+            words = [f"u{rng.randrange(10**6)}" for _ in range(n)]
+            new = list(words)
+            for at in rng.sample(range(n), int(rate * n + 1e-9)):
+                new[at] = f"n{rng.randrange(10**6)}"
+            shorter = list(words)
+            for at in sorted(rng.sample(range(n), int(rate * n + 1e-9)), reverse=True):
+                del shorter[at]
+            texts += [" ".join(words), " ".join(new)]
+            if n > 4:  # only edits of the middle word
+                texts += [" ".join([*words[:n // 2], "other", *words[n // 2 + 1:]])]
+            texts += [" ".join(["z", *shorter])]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in op2_order_minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_near_duplicates_query_equals_brute_force(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in QUERIES["op2_near_duplicates"](spark, sf).collect()}

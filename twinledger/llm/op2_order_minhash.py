@@ -1,10 +1,15 @@
 """Near-duplicate documents by order MinHash, verified by banded alignment.
 
-A k-mer is five words together with how often it occurred before. Each sketch takes the two k-mers
-with the smallest hash and keeps them in text order, so equal sketches speak for a small edit
+A k-mer is five or three words together with how often it occurred before. Each sketch takes the two
+k-mers with the smallest hash and keeps them in text order, so equal sketches speak for a small edit
 distance and not only for shared words. Documents that share a sketch are candidates; a pair is a
 link if its word edit distance, from a banded alignment, is at most a fifth of the longer text.
 
+Where a fifth of the words differ, few five-word k-mers are left, so most sketches are of three words.
+Short texts have too few k-mers for sketches: they are candidates if they share any three words in a
+row (two, up to five words), which all pairs within the limit do, since edits cut the longer text into
+one piece more than there are edits.
+
 Groups may be huge, so pairs are never listed within a bucket. Members are aligned with the bucket's
 first document; what that leaves apart is compared in blocks of bounded size, where documents that
 are already connected are not aligned again.
@@ -27,6 +32,12 @@ from twinledger.operators.balance import written
 K = 5
 KEPT = 2  # k-mers in a sketch
 SKETCHES = 16
+#: Sketches of shorter k-mers, for pairs at the limit: of texts of 48 and more words where a fifth of the
+#: words is replaced, all but 0.0008 share one.
+CLOSE_K = 3
+CLOSE_SKETCHES = 64
+#: Texts of at most so many words have all their short k-mers as keys; 5/4 of 48.
+SHORT = 60
 SIMILARITY = 0.8
 BLOCK = 256
 BINS = 128
@@ -61,17 +72,20 @@ def _sketches(c, sketches: int, k: int, kept: int) -> tuple[np.ndarray, np.ndarr
     sizes = np.diff(np.append(starts, len(gram)))
     docs, row = holder[starts], np.repeat(np.arange(len(starts)), sizes)
     for i in range(sketches):
-        value = mix(label ^ mix(np.uint64([i + 1]))[0])
+        seed = mix(np.uint64([2 * i + 1, 2 * i + 2]))
+        value = (label ^ seed[0]) * (seed[1] | np.uint64(1))
         picked = np.full((kept, len(starts)), len(gram), np.int64)
         for j in range(kept):
             least = np.minimum.reduceat(value, starts)
-            hit = np.flatnonzero(value == least[row])
-            which, first = np.unique(row[hit], return_index=True)
+            hit = np.flatnonzero(value == np.repeat(least, sizes))
+            which = row[hit]
+            first = np.concatenate(([True], which[1:] != which[:-1]))
+            which, hit = which[first], hit[first]
             there = least[which] != _MAX  # fewer k-mers than asked for
-            picked[j, which[there]] = hit[first][there]
+            picked[j, which[there]] = hit[there]
             value[hit] = _MAX
         picked.sort(axis=0)
-        key = np.full(len(starts), i + 1, np.uint64)
+        key = np.full(len(starts), (k << 32) + i + 1, np.uint64)
         padded = np.append(gram, np.uint64(0))
         for j in range(kept):
             key = mix(key * np.uint64(0xA24BAED4963EE407) + padded[picked[j]])
@@ -79,6 +93,25 @@ def _sketches(c, sketches: int, k: int, kept: int) -> tuple[np.ndarray, np.ndarr
     return n, out
 
 
+def _short_keys(c, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and value of each distinct run of three words of the short texts of a chunk, of two words up to five."""
+    s, e = c.words()
+    owner = c.owner(s)
+    few = n[owner] <= SHORT
+    owner, word = owner[few], c.fingerprints(s[few], e[few])
+    found = []
+    for k, least, most in ((2, 4, 5), (3, 5, SHORT)):
+        gram, at = windows(word, owner, k)
+        holder = owner[at]
+        ok = (n[holder] >= least) & (n[holder] <= most)
+        found.append((holder[ok], mix(gram[ok] ^ np.uint64(0x5851F42D4C957F2D + k))))
+    holder, key = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((key, holder))
+    holder, key = holder[order], key[order]
+    new = np.concatenate(([True], (holder[1:] != holder[:-1]) | (key[1:] != key[:-1]))) if len(key) else np.zeros(0, bool)
+    return holder[new], key[new]
+
+
 def order_sketches(text: str | Column, sketches: int = SKETCHES, k: int = K, kept: int = KEPT) -> Column:
     """Struct of the number of words and the sketch values; no values for a text without words."""
 
@@ -98,6 +131,30 @@ def order_sketches(text: str | Column, sketches: int = SKETCHES, k: int = K, kep
     return made(text)
 
 
+def candidate_keys(text: str | Column) -> Column:
+    """Struct of the number of words and the keys: sketches of both k, then those of a short text."""
+
+    @F.arrow_udf(SKETCH_TYPE)
+    def made(texts: pa.Array) -> pa.Array:
+        counts, values, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for c in chunks(texts):
+            n, v = _sketches(c, SKETCHES, K, KEPT)
+            _, w = _sketches(c, CLOSE_SKETCHES, CLOSE_K, KEPT)
+            holder, short = _short_keys(c, n)
+            some = np.flatnonzero(n > 0)
+            sketch = np.hstack((v[some], w[some]))
+            holder = np.concatenate((np.repeat(some, sketch.shape[1]), holder))
+            order = np.argsort(holder, kind="stable")
+            counts.append(n)
+            values.append(np.concatenate((sketch.reshape(-1), short))[order])
+            sizes.append(np.bincount(holder, minlength=c.docs))
+        offsets = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int32)
+        keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values).view(np.int64)))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(counts).astype(np.int32)), keys], names=["n", "keys"])
+
+    return made(text)
+
+
 def word_values(text: str | Column) -> Column:
     """The words of a text as packed 32-bit values, for alignment."""
 
@@ -232,11 +289,13 @@ def linked(a: str, b: str, similarity: float = SIMILARITY) -> Column:
 def _block_links(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """Links between the documents of a block, enough to connect all that belong together.
 
-    A pair is looked at in the bucket of the first sketch that both share. Pairs already in one
-    component, or joined by a link found here, are not aligned.
+    A pair is looked at in the bucket of the first sketch that both share, or if they share none in
+    those of the words of short texts. Pairs already in one component, or joined by a link found here,
+    are not aligned.
     """
     rows = rows.drop_duplicates("node").sort_values("node")
-    keys, bucket = np.array(rows["keys"].tolist(), np.int64), np.int64(rows["key"].iloc[0])
+    keys = np.array([k[:SKETCHES + CLOSE_SKETCHES] for k in rows["keys"]], np.int64)
+    bucket = np.int64(rows["key"].iloc[0])
     node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
     apart = (rows["side"] == "rest").to_numpy()
     words = [Words.of(w) for w in rows["words"]]
@@ -254,7 +313,8 @@ def _block_links(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
     for i in np.flatnonzero(apart):
         limit = ((1 - similarity) * np.maximum(n, n[i]) + 1e-9).astype(np.int64)
         shared = keys == keys[i]
-        here = (keys[i][shared.argmax(1)] == bucket) & (np.abs(n - n[i]) <= limit) & (~apart | (node > node[i]))
+        first = np.where(shared.any(1), keys[i][shared.argmax(1)], bucket)
+        here = (first == bucket) & (np.abs(n - n[i]) <= limit) & (~apart | (node > node[i]))
         near = np.flatnonzero(here)
         near = near[np.abs(bins[near] - bins[i]).sum(1) <= 2 * limit[near]]
         for j in near:
@@ -277,7 +337,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").isNotNull() & F.col("text").isNotNull())
     hashes = (F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(5), F.col("text"), F.length("text")).alias("h2"))
     # 1. sketches of every text; of equal texts the one with the smallest id stands for all
-    sketched = written(have.select("id", *hashes, order_sketches("text").alias("s")).select("id", "h1", "h2", "s.*"),
+    sketched = written(have.select("id", *hashes, candidate_keys("text").alias("s")).select("id", "h1", "h2", "s.*"),
                        "sketches")
     firsts = written(sketched.groupBy("h1", "h2").agg(F.min("id").alias("node")), "firsts")
     nodes = sketched.join(firsts.withColumnRenamed("node", "id"), ["h1", "h2", "id"], "left_semi")
