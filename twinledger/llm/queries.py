@@ -18,6 +18,7 @@ from twinledger.llm import (
     op8_secrets,
     op9_warc,
     op10_quality_classifier,
+    op11_merkle_manifest,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,5 +98,13 @@ def op10_quality_score(spark, sf_dir):
     return op10_quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_merkle_manifest_proofs(spark, sf_dir):
+    return op11_merkle_manifest.document_manifest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_merkle_manifest_proofs"] = op11_merkle_manifest.sql()
+
+
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     return dict(QUERIES), dict(ORACLES)
