@@ -19,6 +19,8 @@ from twinledger.llm import (
     op9_warc,
     op10_quality_classifier,
     op11_merkle_manifest,
+    op12_ngram_join,
+    op13_token_alignment,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,5 +108,18 @@ def op11_merkle_manifest_proofs(spark, sf_dir):
 ORACLES["op11_merkle_manifest_proofs"] = op11_merkle_manifest.sql()
 
 
+@query
+def op12_ngram_components(spark, sf_dir):
+    return op12_ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_ngram_components"] = op12_ngram_join.sql()
+
+
+@query
+def op13_token_alignment_counts(spark, sf_dir):
+    return op13_token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     return dict(QUERIES), dict(ORACLES)
