@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from twinledger.functions.connect_types import decoded
 from twinledger.functions.tokens import quoted
 
 LOG_SCHEMA = (
@@ -70,68 +71,100 @@ def _struct(schema: T.StructType | str) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _typed(image: Column, row: T.StructType) -> Column:
-    """Row image (field name -> text) as a struct; text that does not fit its type fails."""
+# One level of a Connect schema: which logical type each field has.
+_FIELDS = "array<struct<field: string, name: string, parameters: struct<scale: string>>>"
+_ENVELOPE = f"""
+    schema struct<fields: array<struct<field: string, fields: {_FIELDS}>>>,
+    payload struct<before: map<string, string>, after: map<string, string>, source: struct<lsn: bigint>,
+                   op: string, ts_ms: bigint>"""
+_KEY = f"schema struct<fields: {_FIELDS}>, payload map<string, string>"
+
+
+def _kinds(fields: Column) -> Column:
+    """Field name -> logical type and scale, of the fields that have one."""
+    named = F.filter(fields, lambda f: f["name"].isNotNull())
+    return F.map_from_entries(F.transform(named, lambda f: F.struct(
+        f["field"], F.struct(f["name"].alias("name"), f["parameters"]["scale"].alias("scale")))))
+
+
+def parse_log(log: DataFrame) -> DataFrame:
+    """Records of any tables, each parsed once: ``topic, partition, offset, timestamp, schema, table, key,
+    key_kinds, op, before, after, kinds, lsn, ts_ms, tombstone, corrupt``.
+
+    Row images and keys are maps from field names to text; ``kinds`` holds the logical types that
+    the record's own schema gives them. ``typed_events`` turns the records of one table into columns.
+    Keys come with or without the schema wrapper.
+    """
+    parsed = log.select(
+        "topic", "partition", "offset", "timestamp",
+        F.from_json("key", _KEY).alias("_k"),
+        F.from_json("key", "map<string, string>").alias("_plain"),
+        is_tombstone().alias("tombstone"),
+        F.from_json("value", _ENVELOPE).alias("_e"),
+    )
+    images = F.filter(F.col("_e.schema.fields"), lambda f: f["field"].isin("before", "after"))
+    return parsed.select(
+        "topic", "partition", "offset", "timestamp",
+        topic_schema("topic").alias("schema"), route_topic("topic").alias("table"),
+        F.coalesce(F.col("_k.payload"), F.col("_plain")).alias("key"),
+        _kinds(F.col("_k.schema.fields")).alias("key_kinds"),
+        F.col("_e.payload.op").alias("op"), F.col("_e.payload.before").alias("before"),
+        F.col("_e.payload.after").alias("after"),
+        _kinds(F.get(images, F.lit(0))["fields"]).alias("kinds"),
+        F.col("_e.payload.source.lsn").alias("lsn"), F.col("_e.payload.ts_ms").alias("ts_ms"),
+        "tombstone", (~F.col("tombstone") & F.col("_e.payload.op").isNull()).alias("corrupt"),
+    )
+
+
+def _typed(image: str, kinds: str, row: T.StructType) -> Column:
+    """Row image as a struct; a value that does not fit its type fails."""
     fields = []
     for f in row.fields:
-        text = F.try_element_at(image, F.lit(f.name))
-        binary = isinstance(f.dataType, T.BinaryType)
-        fields.append((F.unbase64(text) if binary else text.cast(f.dataType)).alias(f.name))
-    return F.when(image.isNotNull(), F.struct(*fields))
+        name = F.lit(f.name)
+        kind = F.try_element_at(F.col(kinds), name)
+        value = F.try_element_at(F.col(image), name)
+        fields.append(decoded(value, kind["name"], kind["scale"], f.dataType).alias(f.name))
+    return F.when(F.col(image).isNotNull(), F.struct(*fields))
+
+
+def _typed_key(key: T.StructType) -> Column:
+    """Key as a struct; a value that does not fit is null, so the key is not usable."""
+    fields = []
+    for f in key.fields:
+        kind = F.try_element_at(F.col("key_kinds"), F.lit(f.name))
+        value = F.try_element_at(F.col("key"), F.lit(f.name))
+        text = decoded(value, kind["name"], kind["scale"], T.StringType())
+        fields.append(text.try_cast(f.dataType).alias(f.name))
+    return F.struct(*fields)
+
+
+def typed_events(
+    parsed: DataFrame, row_schema: T.StructType | str, key_schema: T.StructType | str
+) -> DataFrame:
+    """Records of ``parse_log`` in the columns of one table: ``topic, partition, offset, timestamp, key,
+    tombstone, op, before, after, lsn, ts_ms, corrupt, unknown_fields``."""
+    row, key = _struct(row_schema), _struct(key_schema)
+    known = F.array(*[F.lit(f.name) for f in row.fields])
+    sent = F.coalesce(F.map_keys("after"), F.array().cast("array<string>"))
+    return parsed.select(
+        "topic", "partition", "offset", "timestamp", _typed_key(key).alias("key"), "tombstone", "op",
+        _typed("before", "kinds", row).alias("before"), _typed("after", "kinds", row).alias("after"),
+        "lsn", "ts_ms", "corrupt", F.array_except(sent, known).alias("unknown_fields"),
+    )
 
 
 def parse_envelope(
     log: DataFrame, row_schema: T.StructType | str, key_schema: T.StructType | str
 ) -> DataFrame:
-    """Typed events: op, before, after, lsn, ts_ms, and the key as a struct.
+    """Typed events of a log of one table: op, before, after, lsn, ts_ms, and the key as a struct.
 
     ``corrupt`` marks values that are not an envelope; ``unknown_fields`` lists
     fields of the row image the given schema does not have. The value is parsed
     once: row images are read as field name -> text, which keeps the unknown
-    names, and only the known fields are then converted.
+    names, and only the known fields are then converted, each by the logical
+    type its record's schema names (base64 decimals, days, milliseconds).
     """
-    row, key = _struct(row_schema), _struct(key_schema)
-    image = T.MapType(T.StringType(), T.StringType())
-    envelope = T.StructType().add(
-        "payload",
-        T.StructType()
-        .add("before", image)
-        .add("after", image)
-        .add("source", T.StructType().add("lsn", T.LongType()))
-        .add("op", T.StringType())
-        .add("ts_ms", T.LongType()),
-    )
-    # Keys come with or without the schema wrapper; one parse covers both.
-    either = T.StructType().add("payload", key)
-    for f in key.fields:
-        if f.name != "payload":
-            either.add(f.name, f.dataType)
-    parsed = log.select(
-        "topic", "partition", "offset", "timestamp",
-        F.from_json("key", either).alias("_k"),
-        is_tombstone().alias("tombstone"),
-        F.from_json("value", envelope).alias("_e"),
-    )
-    plain = F.struct(*[
-        F.col("_k")[f.name].alias(f.name) if f.name != "payload"
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in key.fields
-    ])
-    known = F.array(*[F.lit(f.name) for f in row.fields])
-    sent = F.coalesce(F.map_keys("_e.payload.after"), F.array().cast("array<string>"))
-    unknown = F.array_except(sent, known)
-    return parsed.select(
-        "topic", "partition", "offset", "timestamp",
-        F.coalesce(F.col("_k.payload"), plain).alias("key"),
-        "tombstone",
-        F.col("_e.payload.op").alias("op"),
-        _typed(F.col("_e.payload.before"), row).alias("before"),
-        _typed(F.col("_e.payload.after"), row).alias("after"),
-        F.col("_e.payload.source.lsn").alias("lsn"),
-        F.col("_e.payload.ts_ms").alias("ts_ms"),
-        (~F.col("tombstone") & F.col("_e.payload.op").isNull()).alias("corrupt"),
-        unknown.alias("unknown_fields"),
-    )
+    return typed_events(parse_log(log), row_schema, key_schema)
 
 
 def unwrap(events: DataFrame, forbid_unknown: bool = True) -> DataFrame:

@@ -6,10 +6,13 @@ SQL, so both see the same rows at any scale.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinledger.functions.arithmetic import floor_div
+from twinledger.functions.connect_types import DECIMAL, encoded_decimal
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -221,8 +224,40 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def connect_schema(fields: dict[str, tuple[str, str | None, int | None]]) -> str:
+    """Schema of a change envelope: field -> (type, logical type, scale)."""
+    columns = []
+    for name, (kind, logical, scale) in fields.items():
+        column = {"type": kind, "optional": True, "field": name}
+        if logical is not None:
+            column |= {"name": logical, "version": 1}
+        if scale is not None:
+            column["parameters"] = {"scale": str(scale), "connect.decimal.precision": "18"}
+        columns.append(column)
+    image = {"type": "struct", "optional": True, "fields": columns}
+    return json.dumps({"type": "struct", "optional": False, "fields": [
+        {**image, "field": "before"}, {**image, "field": "after"},
+        {"type": "struct", "optional": False, "field": "source", "fields": [{"type": "int64", "field": "lsn"}]},
+        {"type": "string", "field": "op"}, {"type": "int64", "field": "ts_ms"},
+    ]})
+
+
+def wrapped(schema: str, payload: Column) -> Column:
+    """A record's JSON with its schema in front, NULL fields included."""
+    shown = F.to_json(payload, {"ignoreNullFields": "false"})
+    return F.concat(F.lit(f'{{"schema": {schema}, "payload": '), shown, F.lit("}"))
+
+
+# The log holds decimals as the capture writes them: base64 with the scale in the schema.
+RECORD_SCHEMA = connect_schema({
+    "id": ("int64", None, None), "value": ("bytes", DECIMAL, 2),
+    "ts": ("string", "io.debezium.time.ZonedTimestamp", None),
+})
+KEY_FORM = json.dumps({"type": "struct", "fields": [{"type": "int64", "optional": False, "field": "id"}]})
+
+
 def _record(topic: Column, changed: DataFrame) -> DataFrame:
-    row = F.struct("id", "value", "ts")
+    row = F.struct("id", encoded_decimal(F.col("value"), 2).alias("value"), "ts")
     delete = F.col("op") == "d"
     payload = F.struct(
         F.when(delete, row).alias("before"),
@@ -231,13 +266,9 @@ def _record(topic: Column, changed: DataFrame) -> DataFrame:
         "op",
         F.unix_millis("timestamp").alias("ts_ms"),
     )
-    shape = F.struct(F.lit("struct").alias("type"))
-    wrapped = F.to_json(
-        F.struct(shape.alias("schema"), payload.alias("payload")), {"ignoreNullFields": "false"}
-    )
-    key = F.to_json(F.struct(shape.alias("schema"), F.struct("id").alias("payload")))
+    key = wrapped(KEY_FORM, F.struct("id"))
     both = F.array(
-        F.struct(F.lit(0).alias("after"), wrapped.alias("value")),
+        F.struct(F.lit(0).alias("after"), wrapped(RECORD_SCHEMA, payload).alias("value")),
         F.struct(F.lit(1).alias("after"), F.lit(None).cast("string").alias("value")),
     )
     records = F.when(delete, both).otherwise(F.slice(both, 1, 1))
