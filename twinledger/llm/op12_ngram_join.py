@@ -18,9 +18,9 @@ across components only. So no link between components is lost, and nothing is li
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -177,71 +177,116 @@ def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                           if probe(sets[x], sets[y]) >= required(len(sets[x]), len(sets[y]))])
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The linked ones of the pairs ``a, b``; ``texts``: no, text."""
-    one = texts.select(F.col("no").alias("b"), F.col("text").alias("text_b"))
-    other = texts.select(F.col("no").alias("a"), F.col("text").alias("text_a"))
-    return pairs.join(one, "b").join(other, "a").select("a", "b", "text_a", "text_b").mapInArrow(_probed, _PAIR)
+def _links(pairs: DataFrame, texts: DataFrame, key: Column, classes: DataFrame) -> DataFrame:
+    """The linked ones of the stored pairs ``a, b``; only the texts of their classes are fetched, one of each."""
+    needed = pairs.select(F.col("a").alias("no")).union(pairs.select("b")).distinct()
+    needed = written(classes.select("no", "class").join(needed, "no"), "needed-classes")
+    found = texts.select("text", key["class"].alias("class")).join(needed, "class").groupBy("no").agg(F.first("text").alias("text"))
+    found = written(found, "needed-texts")
+    one = found.select(F.col("no").alias("b"), F.col("text").alias("text_b"))
+    other = found.select(F.col("no").alias("a"), F.col("text").alias("text_a"))
+    linked = pairs.join(one, "b").join(other, "a").select("a", "b", "text_a", "text_b").mapInArrow(_probed, _PAIR)
+    return written(linked, "links")
 
 
 # -- searching across components ----------------------------------------------
 
 
-def search(members: list[dict], across: bool = False) -> list[tuple[int, int]]:
-    """Pairs of members of different components that can reach the required overlap.
+def search(members: list[dict], of: int, across: bool = False) -> list[tuple[int, int]]:
+    """Pairs of members of the list ``of``, in different components, that can reach the required overlap.
 
-    ``members``: no, n, component, keys (of the short lists, ascending), side. With ``across`` only pairs of
-    different sides. The lists of the members before are merged, those of other components only.
+    ``members``: no, n, component, side, keys in the order of all shingles, and ``at``: the place of each key
+    in the member's shingles. Keys that no other member has may be left out. With ``across`` only pairs of
+    different sides. The lists of the members before are merged. A pair that an earlier list holds too
+    was searched there.
     """
     members = sorted(members, key=lambda m: (m["n"], m["no"]))
-    lists: dict[int, dict[tuple, list[int]]] = {}
+    sizes = [m["n"] for m in members]
+    lists: dict[int, list[int]] = {}
     found = []
     for at, m in enumerate(members):
-        mine = m["component"], m["side"]
-        short = [found_at for key in m["keys"] if key in lists for kind, found_at in lists[key].items()
-                 if kind[0] != mine[0] and (not across or kind[1] != mine[1])]
-        for other, times in groupby(heapq.merge(*short)):
-            o = members[other]
-            if 5 * o["n"] < 4 * m["n"]:
-                continue
-            # up to the end of the lesser list all common keys were counted
-            end = min(m["keys"][-1], o["keys"][-1])
-            rest = min(m["n"] - bisect_right(m["keys"], end), o["n"] - bisect_right(o["keys"], end))
-            if sum(1 for _ in times) + rest >= required(m["n"], o["n"]):
-                found.append((o["no"], m["no"]))
+        least = bisect_left(sizes, (4 * m["n"] + 4) // 5)  # members before have too few shingles
+        new = {before for before in range(least, at) if members[before]["component"] != m["component"]
+               and (not across or members[before]["side"] != m["side"])}
+        keys = iter(m["keys"])
+        for key in keys:
+            if key == of or not new:
+                break
+            new.difference_update(lists.get(key, ()))
+        if new:
+            short = [[before for before in lists[key] if before in new] for key in chain((of,), keys) if key in lists]
+            for other, times in groupby(heapq.merge(*short)):
+                if _reaches(m, members[other], sum(1 for _ in times)):
+                    found.append((members[other]["no"], m["no"]))
         for key in m["keys"]:
-            lists.setdefault(key, {}).setdefault(mine, []).append(at)
+            lists.setdefault(key, []).append(at)
     return found
 
 
+def _reaches(a: dict, b: dict, times: int) -> bool:
+    """Can the long lists still give what is missing? The shorter of both ways to the end bounds it."""
+    rest = max(a["n"] - n_short(a["n"]), b["n"] - n_short(b["n"]))
+    needed = required(a["n"], b["n"]) - times
+    if rest < needed:
+        return False
+    x, y = a["at"], b["at"]
+    last = max((key for key in x if key in y), key=x.__getitem__)
+    return min(a["n"] - x[last], b["n"] - y[last]) - 1 >= needed
+
+
 def _search_block(block: pa.Table) -> pa.Table:
-    members = block.to_pylist()
-    for m in members:
-        m["keys"] = [k & (1 << 64) - 1 for k in m["keys"]]
-        m["side"] = m["mine"] == m["first"]
+    columns = block.select(["no", "n", "component", "mine", "first", "second"]).to_pylist()
+    lists = block["keys"].combine_chunks()
+    ends = lists.offsets.to_numpy()
+    key, place = lists.flatten().to_numpy(), block["places"].combine_chunks().flatten().to_numpy()
+    # most keys are of members outside of this list
+    _, of, times = np.unique(key, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times[of] > 1)
+    key, place, bounds = key[shared].tolist(), place[shared].tolist(), np.searchsorted(shared, ends - ends[0]).tolist()
+    members = [m | {"side": m["mine"] == m["first"], "keys": key[lo:hi], "at": dict(zip(key[lo:hi], place[lo:hi]))}
+               for m, lo, hi in zip(columns, bounds[:-1], bounds[1:])]
     across = members[0]["first"] != members[0]["second"]
-    return pa.Table.from_batches([_frame(search(members, across))])
+    return pa.Table.from_batches([_frame(search(members, block["list"][0].as_py(), across))])
+
 
+def _listed(rows: DataFrame) -> DataFrame:
+    """``no, n, keys, places`` of each class, in the order of its shingles."""
+    listed = rows.groupBy("no").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("place", "key"))).alias("_l"))
+    return listed.select("no", "n", F.col("_l.key").alias("keys"), F.col("_l.place").alias("places"))
 
-def _candidates(rows: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
+
+def _candidates(rows: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs of different components that a list and the lengths do not rule out."""
     name = F.coalesce(F.col("component"), F.col("no"))
-    rows = rows.join(label.withColumnRenamed("node", "no"), "no", "left").select("key", "no", name.alias("component"))
+    rows = rows.join(label.withColumnRenamed("node", "no"), "no", "left").withColumn("component", name)
     value = F.xxhash64("no")
     lists = rows.groupBy("key").agg(
         F.count("*").alias("size"), F.bit_xor(value).alias("x"), F.sum(F.shiftright(value, 24)).alias("s"),
         F.min("component").alias("low"), F.max("component").alias("high"))
-    # lists with the same members are searched once
-    lists = written(lists.where("low <> high").groupBy("size", "x", "s").agg(F.min("key").alias("key")), "open-lists")
+    # lists of one component hold no pair that is looked for, so they do not count either
+    lists = written(lists.where("low <> high").drop("low", "high"), "open-lists")
+    rows = written(rows.join(lists.select("key"), "key"), "open-rows")
+    # two pivots have met all members of lists of three; of lists with the same members the first is searched
+    once = lists.where("size > 3").groupBy("size", "x", "s").agg(
+        F.min(F.struct(F.shiftrightunsigned("key", 63), "key"))["key"].alias("key"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("no", F.lit(7)), F.col("blocks")).cast("int")
-    found = rows.join(lists.select("key", blocks.alias("blocks")), "key").withColumn("mine", mine)
+    found = rows.join(once.select("key", blocks.alias("blocks")), "key").withColumn("mine", mine)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     found = found.select("key", "no", "component", "mine", other).select(
-        "key", "no", "component", "mine", F.least("mine", "other").alias("first"), F.greatest("mine", "other").alias("second"))
-    keyed = classes.select("no", F.col("n_shingles").alias("n"), "keys")
-    return found.join(keyed, "no").groupBy("key", "first", "second").applyInArrow(
-        _search_block, _PAIR).distinct()
+        F.col("key").alias("list"), "no", "component", "mine",
+        F.least("mine", "other").alias("first"), F.greatest("mine", "other").alias("second"))
+    return found.join(_listed(rows), "no").groupBy("list", "first", "second").applyInArrow(_search_block, _PAIR).distinct()
+
+
+def _possible(pairs: DataFrame, listed: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that are in enough short lists together to reach the required overlap."""
+    one, other = (listed.select(F.col("no").alias(x), F.col("n").alias(f"n_{x}"), F.col("keys").alias(f"keys_{x}"))
+                  for x in "ab")
+    met = F.size(F.array_intersect("keys_a", "keys_b"))
+    rest = F.greatest(*[F.floor((4 * F.col(n) + 4) / 5) - 1 for n in ("n_a", "n_b")])
+    needed = F.floor((4 * (F.col("n_a") + F.col("n_b")) + 8) / 9)
+    return pairs.join(one, "a").join(other, "b").where(met + rest >= needed).select("a", "b")
 
 
 # -- the join ------------------------------------------------------------------
@@ -255,31 +300,31 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     words, has no shingles and its own id. Other columns do not matter.
     """
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    keyed = written(texts.select("_id", shingle_keys("text").alias("_k")).select("_id", "_k.*"), "shingle-keys")
-    shared = written(keyed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-                     .where("n > 1"), "shared-keys")
+    shared = written(texts.select(F.explode(shingle_keys("text")["keys"]).alias("key")).groupBy("key").agg(
+        F.count("*").alias("n")).where("n > 1"), "shared-keys")
     k = shingle_keys("text", _common_keys(shared)).alias("_k")
-    classes = texts.select("_id", "text", k).select("_id", "text", "_k.*").where("n_shingles > 0").groupBy("class").agg(
-        F.min("_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"),
-        F.first("text").alias("text"))
+    keyed = written(texts.select("_id", k).select("_id", "_k.*"), "shingle-keys")
+    classes = keyed.where("n_shingles > 0").groupBy("class").agg(
+        F.min("_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     classes = written(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
 
-    lists = classes.select("no", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    lists = classes.select("no", "n", F.posexplode("keys").alias("place", "key"))
     plain = F.col("key").bitwiseAND(F.lit((1 << 63) - 1))
     counted = lists.where(plain < COUNTED).join(
         shared.select(F.col("key").alias("_shared")), plain == F.col("_shared"), "left_semi")
     rows = written(counted.unionByName(lists.where(plain >= COUNTED)), "short-lists")
+    listed = written(_listed(rows), "listed")
 
     order = F.struct(F.xxhash64("no", F.lit(3)).alias("h"), "no", "n")
     pivots = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(order).alias("p"), F.max(order).alias("q"))
     pivots = pivots.where("size > 1").select("key", F.explode(F.array("p", "q")).alias("p"))
     pairs = rows.join(pivots, "key").where(
         (F.col("no") != F.col("p.no")) & (5 * F.least("n", "p.n") >= 4 * F.greatest("n", "p.n")))
-    pairs = written(pairs.select(F.col("p.no").alias("a"), F.col("no").alias("b")).distinct(), "pivot-pairs")
-    links = written(_links(pairs, classes), "pivot-links")
+    pairs = pairs.select(F.least("p.no", "no").alias("a"), F.greatest("p.no", "no").alias("b")).distinct()
+    links = _links(written(_possible(pairs, listed), "pivot-pairs"), texts, k, classes)
 
-    candidates = written(_candidates(rows, components(links), classes), "candidates")
-    links = links.unionByName(written(_links(candidates, classes), "cross-links"))
+    candidates = written(_candidates(rows, components(links)), "candidates")
+    links = links.unionByName(_links(candidates, texts, k, classes))
     label = components(links)
     least = classes.select("no", "least_id").join(label.withColumnRenamed("node", "no"), "no").groupBy("component").agg(
         F.min("least_id").alias("component_id"))
