@@ -10,6 +10,6 @@ def load():
     """``(queries, sql)`` of every module in this package."""
     from twinledger.queries.registry import ORACLES, QUERIES
 
-    for module in ("diff_queries", "audit_queries", "log_queries", "report_queries"):
+    for module in ("diff_queries", "audit_queries", "log_queries", "report_queries", "capture_queries"):
         import_module(f"{__name__}.{module}")
     return QUERIES, ORACLES
