@@ -217,3 +217,14 @@ def sequence_check(maxima: DataFrame, sequences: DataFrame) -> DataFrame:
         (~F.col("left_max").eqNullSafe(F.col("right_max"))).alias("max_differs"),
         set_to.alias("set_to"),
     )
+
+
+def key_lists(keys: DataFrame) -> DataFrame:
+    """``(table_name, constraint_type, key_columns, n_columns)``: the columns of each key in their order, in one text.
+
+    ``keys`` is a catalog of constraint columns: table_name, constraint_type, column_name, ordinal_position.
+    """
+    grouped = keys.groupBy("table_name", "constraint_type").agg(
+        F.expr("listagg(column_name, ', ') WITHIN GROUP (ORDER BY ordinal_position)").alias("key_columns"),
+        F.count("*").alias("n_columns"))
+    return grouped.select("table_name", "constraint_type", "key_columns", "n_columns")

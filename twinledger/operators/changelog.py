@@ -385,12 +385,17 @@ def dedupe_events(log: DataFrame) -> DataFrame:
 
 
 def after_positions(
-    log: DataFrame, positions: Mapping[tuple[str, int], int]
+    log: DataFrame, positions: Mapping[tuple[str, int], int] | DataFrame
 ) -> DataFrame:
     """Records behind a snapshot position; partitions without one are kept whole.
 
-    Positions are one number per topic partition, as in a Kafka start offset.
+    Positions are one number per topic partition, as in a Kafka start offset: a mapping of a few, or a
+    table ``topic, partition, offset`` of any number, which is joined.
     """
+    if isinstance(positions, DataFrame):
+        last = positions.groupBy("topic", "partition").agg(F.max("offset").alias("_from"))
+        found = log.join(last, ["topic", "partition"], "left")
+        return found.where(F.col("offset") > F.coalesce("_from", F.lit(-1))).select(*log.columns)
     if not positions:
         return log
     entries = []

@@ -75,6 +75,42 @@ def chunk_digest(
     return summed.select("chunk_id", "n", *_joined_sums())
 
 
+DIGEST_SUMS = ("n", "s0", "s1", "s2", "s3")
+
+
+def digest_change(
+    before: DataFrame, after: DataFrame, pk: str, cols: Sequence[str], types: Types,
+    chunk_size: int = DEFAULT_CHUNK_SIZE, **options,
+) -> DataFrame:
+    """``(chunk_id, n, s0..s3)`` to add to the digests of a table whose rows ``before`` become ``after``.
+
+    ``before`` holds the old images of all changed rows, ``after`` the new ones; rows that were
+    inserted or deleted are on one side only. The digests are sums, so a change is what the new rows add
+    less what the old ones did. Only the changed rows are hashed.
+    """
+    old, new = (chunk_digest(df, pk, cols, types, chunk_size, **options) for df in (before, after))
+    less = old.select("chunk_id", *[(-F.col(c)).cast(old.schema[c].dataType).alias(c) for c in DIGEST_SUMS])
+    return _added(new.unionByName(less))
+
+
+def _added(parts: DataFrame) -> DataFrame:
+    summed = parts.groupBy("chunk_id").agg(*[F.sum(c).alias(c) for c in DIGEST_SUMS])
+    kept = [F.col(c).cast(parts.schema[c].dataType).alias(c) for c in DIGEST_SUMS]
+    return summed.select("chunk_id", *kept).where(~_empty())
+
+
+def _empty() -> Column:
+    none = F.lit(True)
+    for c in DIGEST_SUMS:
+        none = none & (F.col(c) == 0)
+    return none
+
+
+def updated_digests(digests: DataFrame, change: DataFrame) -> DataFrame:
+    """Chunk digests after a change; a chunk that has lost all its rows is gone."""
+    return _added(digests.unionByName(change))
+
+
 def table_digest(df: DataFrame, cols: Sequence[str], types: Types, **options) -> DataFrame:
     """``(n, s0..s3)`` for the whole table; an empty table gives zeros."""
     hashed = df.select(row_hash(df, cols, types, **options).alias("_h"))

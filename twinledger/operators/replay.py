@@ -7,11 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinledger.functions.arithmetic import floor_div
 from twinledger.functions.logical_types import Types, common_columns, infer_types
 from twinledger.functions.tokens import quoted
 from twinledger.operators.balance import diff_kind, small_enough, written
 from twinledger.operators.changelog import require_keys, split_keyless
-from twinledger.operators.digest import keyed_balance
+from twinledger.operators.digest import (
+    DEFAULT_CHUNK_SIZE,
+    DIGEST_SUMS,
+    chunk_digest,
+    drill_ranges,
+    keyed_balance,
+    ranges_predicate,
+)
 
 LOG_ORDER = ("partition", "offset")
 
@@ -103,3 +111,43 @@ def verify_replay(
     clean = F.col("left_only") + F.col("right_only") + F.col("changed") == 0
     verdict = F.when(clean, F.lit("VERIFIED")).otherwise(F.lit("DIFF"))
     return counts.withColumn("verdict", verdict)
+
+
+def verify_chunks(
+    digests: DataFrame, source: DataFrame, change: DataFrame, pk: str, cols: Sequence[str], types: Types,
+    chunk_size: int = DEFAULT_CHUNK_SIZE, max_ranges: int = 1_000, **options,
+) -> DataFrame:
+    """``(chunk_id, n_state, n_source, same)`` of the chunks that a change touched.
+
+    ``digests`` are those of the replayed state after the change. Of the source only the key ranges of these
+    chunks are read, pushed into the scan while they are few and joined by chunk otherwise.
+    """
+    touched = written(change.select("chunk_id").distinct(), "touched-chunks")
+    near = touched.agg(F.count("*").alias("n")).first()["n"] <= max_ranges
+    if near:
+        ids = [r["chunk_id"] for r in touched.collect()]
+        part = source.where(ranges_predicate(pk, drill_ranges(ids), chunk_size))
+    else:
+        part = source.join(touched, floor_div(quoted(pk), chunk_size) == F.col("chunk_id"), "left_semi")
+    theirs = chunk_digest(part, pk, cols, types, chunk_size, **options)
+    mine = digests.join(touched, "chunk_id", "left_semi")
+    same = F.lit(True)
+    for c in DIGEST_SUMS:
+        same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    none = F.lit(0).cast("bigint")
+    found = touched.join(mine.alias("l"), "chunk_id", "left").join(theirs.alias("r"), "chunk_id", "left")
+    return found.select("chunk_id", F.coalesce(F.col("l.n"), none).alias("n_state"),
+                        F.coalesce(F.col("r.n"), none).alias("n_source"), same.alias("same"))
+
+
+def changed_images(
+    state: DataFrame, events: DataFrame, keys: Sequence[str], order: Sequence[str] = LOG_ORDER
+) -> tuple[DataFrame, DataFrame]:
+    """``(before, after)``: the rows of ``state`` that a batch of events replaces or deletes, and those it puts there.
+
+    The old images come from the state, since a capture only writes whole ones where the source table is set
+    up for it.
+    """
+    last = written(latest_per_key(events, keys, order), "changed-rows")
+    before = state.join(last.select(*[quoted(k) for k in keys]), list(keys), "left_semi")
+    return before, last.where(~F.col("_deleted")).select(*[quoted(c) for c in state.columns])

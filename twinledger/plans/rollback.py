@@ -36,7 +36,7 @@ def events_of(
     instance: str,
     row_schema: T.StructType | str,
     key_schema: T.StructType | str,
-    positions: Mapping[tuple[str, int], int] | None = None,
+    positions: Mapping[tuple[str, int], int] | DataFrame | None = None,
     deduped: bool = False,
 ) -> DataFrame:
     """Unwrapped events of one instance, from the snapshot positions on.
@@ -44,7 +44,7 @@ def events_of(
     Repeated records need no removal before a replay, since only the last
     event of a key counts; ``deduped`` removes them anyway.
     """
-    scoped = after_positions(instance_scope(log, instance), positions or {})
+    scoped = after_positions(instance_scope(log, instance), {} if positions is None else positions)
     if deduped:
         scoped = dedupe_events(scoped)
     return unwrap(parse_envelope(scoped, row_schema, key_schema))
@@ -57,7 +57,7 @@ def copy_and_catch_up(
     keys: Sequence[str],
     row_schema: T.StructType | str,
     key_schema: T.StructType | str,
-    positions: Mapping[tuple[str, int], int],
+    positions: Mapping[tuple[str, int], int] | DataFrame,
     broadcast_rows: int | None = BROADCAST_ROWS,
 ) -> DataFrame:
     """Full copy plus every change behind its snapshot positions.

@@ -321,12 +321,12 @@ def midpoint(spark: SparkSession, sf: str) -> Column:
 
 
 def base_copy(spark: SparkSession, sf: str) -> DataFrame:
-    """State of all tables at the midpoint: table, id, value, ts."""
+    """State of all tables at the midpoint: schema, table, id, value, ts."""
     seen = changes(spark, sf).where(F.col("event_id") <= midpoint(spark, sf))
     last = seen.groupBy("table", "id").agg(
         F.max_by(F.struct("op", "value", "ts"), F.col("event_id")).alias("_l")
     )
-    return last.where(F.col("_l.op") != "d").select("table", "id", "_l.value", "_l.ts")
+    return last.where(F.col("_l.op") != "d").select(F.lit("public").alias("schema"), "table", "id", "_l.value", "_l.ts")
 
 
 def shown_state(state: DataFrame) -> DataFrame:

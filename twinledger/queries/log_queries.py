@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from twinledger.functions.arithmetic import floor_div
 from twinledger.operators import changelog as L
-from twinledger.operators.replay import apply_changes, latest_per_key
+from twinledger.operators import digest as G
+from twinledger.operators.balance import written
+from twinledger.operators.replay import apply_changes, changed_images, latest_per_key, verify_chunks
 from twinledger.plans.rollback import copy_and_catch_up, events_of, readiness, replay_and_verify
 from twinledger.queries.inputs import (
     CHANGES,
@@ -30,16 +32,20 @@ from twinledger.session import scratch_path
 from twinledger.sources.tables import read_change_log
 from twinledger.streaming.jobs import (
     dedupe_stream,
+    fold,
     keep_updates,
     latest_updates,
     op_counts_by_window,
     replay_progress,
+    replayed_to,
+    run_to_end,
+    run_until,
     upsert_stream,
     upserted,
 )
 
-STATE_KEYS = ["table", "id"]
-STATE_SCHEMA = "table string, id bigint, value decimal(18,2), ts string"
+STATE_KEYS = ["schema", "table", "id"]
+STATE_SCHEMA = "schema string, table string, id bigint, value decimal(18,2), ts string"
 
 
 def _text(c: str):
@@ -358,6 +364,51 @@ def copy_and_catch_up_query(spark, sf):
     return shown_state(state)
 
 
+@query("copy_and_catch_up_positions", FINAL_STATE, sql=SHOWN_STATE)
+def copy_and_catch_up_positions_query(spark, sf):
+    """Snapshot positions as a table, joined to the log."""
+    seen = changes(spark, sf).where(F.col("event_id") <= midpoint(spark, sf))
+    behind = F.col("offset") + F.when(F.col("op") == "d", 1).otherwise(0)
+    positions = seen.groupBy(F.concat(F.lit("cdc-demo.public."), "table").alias("topic"), "partition").agg(
+        F.max(behind).alias("offset"))
+    state = copy_and_catch_up(base_copy(spark, sf), change_log(spark, sf), INSTANCE, STATE_KEYS, ROW_SCHEMA, KEY_SCHEMA, positions)
+    return shown_state(state)
+
+
+INCREMENTAL = """
+hashed AS (
+  SELECT id // 50 AS chunk_id, md5(concat_ws(chr(29), CAST(id AS VARCHAR),
+           COALESCE(CAST(value AS VARCHAR), chr(1)), COALESCE(ts_text, chr(1)))) AS h
+  FROM final_state WHERE tbl = 'orders')
+"""
+
+
+@query("verify_replay_incremental", FINAL_STATE.strip() + "," + INCREMENTAL, sql="""
+SELECT chunk_id, count(*) AS n,
+       CAST(CAST(sum(CAST(('0x' || substr(h, 1, 8)) AS BIGINT)) AS HUGEINT) AS VARCHAR) AS s0,
+       CAST(CAST(sum(CAST(('0x' || substr(h, 25, 8)) AS BIGINT)) AS HUGEINT) AS VARCHAR) AS s3,
+       TRUE AS verified
+FROM hashed GROUP BY chunk_id""")
+def verify_replay_incremental_query(spark, sf):
+    """Digests of one table kept up to date over three batches of its log, each batch checked on its own chunks."""
+    columns, types = ["id", "value", "ts"], {"id": "int8", "value": "numeric", "ts": "text"}
+    top = table(spark, sf, "events").agg(F.max("event_id").alias("m")).first().m or 0
+    state = spark.createDataFrame([], ROW_SCHEMA)
+    digests = G.chunk_digest(state, "id", columns, types, 50)
+    e, verified = F.col("event_id"), True
+    for i in range(3):
+        part = (e > i * top // 3 - (i == 0)) & (e <= (i + 1) * top // 3) & (F.col("table") == "orders")
+        events = events_of(change_log(spark, sf, part), INSTANCE, ROW_SCHEMA, KEY_SCHEMA).drop("schema", "table")
+        before, after = changed_images(state, events, ["id"])
+        change = written(G.digest_change(before, after, "id", columns, types, 50), "digest-change")
+        digests = written(G.updated_digests(digests, change), "digests")
+        state = written(apply_changes(state, events, ["id"]), "state")
+        checked = verify_chunks(digests, state, change, "id", columns, types, 50)
+        verified = verified and checked.where("NOT same").isEmpty()
+    return digests.select("chunk_id", "n", F.col("s0").cast("string").alias("s0"), F.col("s3").cast("string").alias("s3"),
+                          F.lit(verified).alias("verified"))
+
+
 @query("verify_replay", FINAL_STATE, sql="""
 SELECT count(*) AS state_rows, count(*) - count(*) FILTER (WHERE id % 50 = 7) AS source_rows,
        count(*) FILTER (WHERE id % 50 = 7) AS left_only, CAST(0 AS BIGINT) AS right_only,
@@ -370,7 +421,7 @@ def verify_replay_query(spark, sf):
     last = latest_per_key(
         events_of(change_log(spark, sf), INSTANCE, ROW_SCHEMA, KEY_SCHEMA), STATE_KEYS
     ).where(~F.col("_deleted"))
-    source = last.select("table", "id", "value", "ts").where(F.col("id") % 50 != 7)
+    source = last.select("schema", "table", "id", "value", "ts").where(F.col("id") % 50 != 7)
     return replay_and_verify(base_copy(spark, sf), events, source, STATE_KEYS)
 
 
@@ -406,6 +457,55 @@ def upsert_sink_query(spark, sf):
     return shown_state(_run_replay(spark, sf))
 
 
+@query("upsert_sink_compacted", FINAL_STATE, sql=SHOWN_STATE)
+def upsert_sink_compacted_query(spark, sf):
+    """Half of the log, a fold, the rest with late and repeated batches, and a second fold."""
+    path = scratch_path(spark, "state")
+    empty = spark.createDataFrame([], STATE_SCHEMA)
+    half = _midpoint_value(spark, sf)
+    e = F.col("event_id")
+    for turn, where in enumerate((e <= half, (e > half) | (e % 3 == 0))):
+        events = L.unwrap(L.parse_envelope(_stream(spark, sf, where), ROW_SCHEMA, KEY_SCHEMA))
+        upsert_stream(events, STATE_KEYS, STATE_SCHEMA, path, f"{path}/checkpoint-{turn}", f"replay-{turn}").awaitTermination()
+        if turn == 0:
+            fold(empty, STATE_KEYS, path)
+    return shown_state(upserted(empty, STATE_KEYS, path))
+
+
+def _resumed(spark, sf, path) -> list[str | None]:
+    """The whole log, stopped after one batch, gone on with, and failed once within a batch."""
+    events = L.unwrap(L.parse_envelope(_stream(spark, sf), ROW_SCHEMA, KEY_SCHEMA))
+    failed = []
+
+    def fail_once(batch_id: int) -> None:
+        if not failed and batch_id > 0:
+            failed.append(batch_id)
+            raise RuntimeError(f"lost after batch {batch_id}")
+
+    def start(once: bool = True, after_batch=None):
+        return upsert_stream(events, STATE_KEYS, STATE_SCHEMA, path, f"{path}/checkpoint", once=once, after_batch=after_batch)
+
+    run_until(start(once=False), 1)
+    return run_to_end(lambda: start(after_batch=fail_once))
+
+
+@query("replay_resumed", FINAL_STATE, sql=SHOWN_STATE)
+def replay_resumed_query(spark, sf):
+    path = scratch_path(spark, "state")
+    _resumed(spark, sf, path)
+    return shown_state(upserted(spark.createDataFrame([], STATE_SCHEMA), STATE_KEYS, path))
+
+
+@query("replay_progress_stored", CHANGES, sql="""
+SELECT 'replay' AS "group", CAST(0 AS BIGINT) AS total_lag, CAST(0 AS BIGINT) AS lagging_partitions,
+       'caught_up' AS state, TRUE AS done FROM (SELECT count(*) FROM log)""")
+def replay_progress_stored_query(spark, sf):
+    """Lag of the resumed replay, from what it has stored."""
+    path = scratch_path(spark, "state")
+    _resumed(spark, sf, path)
+    return replay_progress(L.log_end(change_log(spark, sf)), replayed_to(spark, path, INSTANCE))
+
+
 @query("apply_changes_stream", FINAL_STATE, sql=SHOWN_STATE)
 def apply_changes_stream_query(spark, sf):
     tail = F.col("event_id") > _midpoint_value(spark, sf)

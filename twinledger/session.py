@@ -59,3 +59,9 @@ def check_conf(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused path below the scratch folder."""
     return f"{scratch_root(spark)}/twinledger/{label}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a stored folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

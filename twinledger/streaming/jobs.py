@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import time
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from twinledger.functions.tokens import quoted
 from twinledger.operators.changelog import (
@@ -20,6 +23,7 @@ from twinledger.operators.changelog import (
 )
 from twinledger.operators.diff import BROADCAST_ROWS
 from twinledger.operators.replay import apply_changes, latest_per_key, require_known_columns
+from twinledger.session import delete
 
 
 def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
@@ -53,6 +57,24 @@ def append_batch(
         F.col("offset").cast("bigint").alias("offset"),
     )
     latest_per_key(images, keys).write.mode("overwrite").parquet(f"{path}/changes/{place}")
+    if {"schema", "table"} <= set(events.columns):
+        # a delete is followed by its tombstone, which is not an event
+        end = F.col("offset") + 1 + F.col("_deleted").cast("bigint")
+        seen = events.groupBy("schema", "table", "partition").agg(F.max(end).alias("end"), F.count("*").alias("events"))
+        seen.write.mode("overwrite").parquet(f"{path}/progress/{place}")
+
+
+def replayed_to(spark: SparkSession, path: str, instance: str, group: str = "replay") -> DataFrame:
+    """``(group, topic, partition, committed_offset)`` of what is stored below ``path``, as ``consumer_lag``
+    takes it: the offset behind the last event of each log partition."""
+    stored = "schema string, table string, partition int, end bigint, events bigint"
+    topic = F.concat(F.lit(f"cdc-{instance}."), "schema", F.lit("."), "table")
+    if not _folders(spark, f"{path}/progress"):
+        found = spark.createDataFrame([], stored)
+    else:
+        found = spark.read.schema(stored).parquet(f"{path}/progress/*/*")
+    return found.groupBy(F.lit(group).alias("group"), topic.alias("topic"), "partition").agg(
+        F.max("end").cast("string").alias("committed_offset"))
 
 
 def upsert_stream(
@@ -65,33 +87,140 @@ def upsert_stream(
     once: bool = True,
     on_error: str = "fail",
     where: Column | None = None,
+    after_batch: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Append the changes of a stream of unwrapped events below ``path``, batch by batch.
 
     A restart on the same checkpoint repeats an unfinished batch in its place. Another checkpoint
-    needs another ``stream`` name. Stopping the query and starting it again pauses and resumes.
+    needs another ``stream`` name. Stopping the query and starting it again pauses and resumes. ``after_batch``
+    is called with the number of each stored batch; if it fails, the batch is repeated on a restart.
     """
     chosen = events if where is None else events.where(where)
 
     def append(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch, keys, schema, path, stream, batch_id, on_error)
+        if after_batch is not None:
+            after_batch(batch_id)
 
     return _start(chosen.writeStream.foreachBatch(append), checkpoint, once)
 
 
-def stored_changes(base: DataFrame, path: str) -> DataFrame:
-    """All appended changes, with the columns of ``base``."""
+def _stored(base: DataFrame) -> T.StructType:
     row = T.StructType([T.StructField(f.name, f.dataType) for f in base.schema.fields])
-    stored = T.StructType(row.fields + T.StructType.fromDDL(_CONTROL).fields)
-    return base.sparkSession.read.schema(stored).parquet(f"{path}/changes/*/*")
+    return T.StructType(row.fields + T.StructType.fromDDL(_CONTROL).fields)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``; none if there is no such path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(place) if f.isDirectory()) if fs.exists(place) else []
+
+
+def _number(folder: str) -> int:
+    return int(folder.rsplit("=", 1)[1])
+
+
+def folded(spark: SparkSession, path: str) -> tuple[int | None, dict[str, int]]:
+    """Number of the newest complete fold below ``path`` and the last batch of each stream that is in it."""
+    folds = [_number(f) for f in _folders(spark, f"{path}/positions") if _done(spark, f"{path}/positions/{f}")]
+    if not folds:
+        return None, {}
+    rows = spark.read.schema("stream string, batch bigint, partition int, offset bigint").parquet(
+        f"{path}/positions/fold={max(folds)}").where("stream IS NOT NULL").groupBy("stream").agg(F.max("batch").alias("batch")).collect()
+    return max(folds), {r["stream"]: r["batch"] for r in rows}
+
+
+def _done(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _batches(spark: SparkSession, path: str) -> list[tuple[str, int, str]]:
+    """``(stream, batch, folder)`` of all complete batches."""
+    found = []
+    for stream in _folders(spark, f"{path}/changes"):
+        for batch in _folders(spark, f"{path}/changes/{stream}"):
+            folder = f"{path}/changes/{stream}/{batch}"
+            if _done(spark, folder):
+                found.append((stream.split("=", 1)[1], _number(batch), folder))
+    return found
+
+
+def stored_changes(base: DataFrame, path: str) -> DataFrame:
+    """The appended changes that count on top of ``folded_base``, with the columns of ``base``."""
+    spark = base.sparkSession
+    _, last = folded(spark, path)
+    behind = [folder for stream, batch, folder in _batches(spark, path) if batch > last.get(stream, -1)]
+    if not behind:
+        return spark.createDataFrame([], _stored(base))
+    return spark.read.schema(_stored(base)).parquet(*behind)
+
+
+def folded_base(base: DataFrame, path: str) -> DataFrame | None:
+    """State of the newest fold with the position of each row's last change; deleted keys are kept
+    as ``_deleted`` rows, so a change from before the fold that comes late does not bring them back."""
+    spark = base.sparkSession
+    fold, _ = folded(spark, path)
+    return None if fold is None else spark.read.schema(_stored(base)).parquet(f"{path}/base/fold={fold}")
 
 
 def upserted(
     base: DataFrame, keys: Sequence[str], path: str, broadcast_rows: int | None = BROADCAST_ROWS
 ) -> DataFrame:
     """``base`` with all changes appended below ``path``; of each key the last in log order counts,
-    in whatever order the batches came. ``base`` may be an empty frame of the right schema."""
-    return apply_changes(base, stored_changes(base, path), keys, broadcast_rows=broadcast_rows)
+    in whatever order the batches came. ``base`` may be an empty frame of the right schema.
+
+    After ``fold`` the folded base is read instead of ``base``, and only the batches behind it.
+    """
+    state = folded_base(base, path)
+    changes = stored_changes(base, path)
+    if state is None:
+        return apply_changes(base, changes, keys, broadcast_rows=broadcast_rows)
+    return _merged(state, changes, keys).where(~F.col("_deleted")).select(*[quoted(c) for c in base.columns])
+
+
+def _merged(state: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last image of every key; a row that was never changed is older than any change."""
+    return latest_per_key(state.unionByName(changes), keys)
+
+
+def fold(base: DataFrame, keys: Sequence[str], path: str) -> int:
+    """Merge all complete batches into a new base below ``path`` and drop them; returns the fold's number.
+
+    The new base holds, for each row, the position of its last change. Beside it a table of
+    positions is written: per stream the last batch, and per log partition the last offset. That table
+    makes the fold count; what fails before leaves the old state, what fails after only leaves folders
+    that are no longer read and go with the next fold. One fold runs at a time; streams may go on.
+    """
+    spark = base.sparkSession
+    before, last = folded(spark, path)
+    new = [b for b in _batches(spark, path) if b[1] > last.get(b[0], -1)]
+    number = 0 if before is None else before + 1
+    if before is not None and not new:
+        return before
+    unchanged = base.select("*", F.lit(False).alias("_deleted"), F.lit(None).cast("int").alias("partition"),
+                            F.lit(None).cast("bigint").alias("offset"))
+    state = unchanged if before is None else folded_base(base, path)
+    changes = stored_changes(base, path) if not new else spark.read.schema(_stored(base)).parquet(*[b[2] for b in new])
+    target = f"{path}/base/fold={number}"
+    _merged(state, changes, keys).write.mode("overwrite").parquet(target)
+    ends = dict(last)
+    for stream, batch, _ in new:
+        ends[stream] = max(batch, ends.get(stream, -1))
+    streams = spark.createDataFrame(list(ends.items()), "stream string, batch bigint").select(
+        "stream", "batch", F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"))
+    offsets = spark.read.schema(_stored(base)).parquet(target).where(F.col("partition").isNotNull()).groupBy(
+        "partition").agg(F.max("offset").alias("offset")).select(
+        F.lit(None).cast("string").alias("stream"), F.lit(None).cast("bigint").alias("batch"), "partition", "offset")
+    streams.unionByName(offsets).write.mode("overwrite").parquet(f"{path}/positions/fold={number}")
+    for stream, batch, folder in _batches(spark, path):
+        if batch <= ends.get(stream, -1):
+            delete(spark, folder)
+    for old in _folders(spark, f"{path}/base"):
+        if _number(old) < number:
+            delete(spark, f"{path}/base/{old}")
+    return number
 
 
 def compact(base: DataFrame, keys: Sequence[str], path: str, target: str) -> DataFrame:
@@ -181,3 +310,58 @@ def progress_of(query: StreamingQuery) -> dict:
         "rows_in_last_batch": None if last is None else last["numInputRows"],
         "error": None if query.exception() is None else str(query.exception()),
     }
+
+
+class ReplayMonitor(StreamingQueryListener):
+    """What happened to the streams of a session: started, each batch with its rows, failed or ended.
+
+    Register it with ``spark.streams.addListener``. ``table`` gives the events so far, one row each:
+    ``run, event, batch, rows, detail``.
+    """
+
+    def __init__(self) -> None:
+        self.events: list[tuple[str, str, int | None, int | None, str | None]] = []
+
+    def onQueryStarted(self, event) -> None:
+        self.events.append((str(event.runId), "started", None, None, event.name))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        ends = json.dumps([source.endOffset for source in p.sources])
+        self.events.append((str(p.runId), "batch", p.batchId, p.numInputRows, ends))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.events.append((str(event.runId), "ended" if event.exception is None else "failed", None, None, event.exception))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.events), "run string, event string, batch bigint, rows bigint, detail string")
+
+
+def run_to_end(start: Callable[[], StreamingQuery], attempts: int = 3) -> list[str | None]:
+    """Run a stream to its end and start it again on the same checkpoint when it fails.
+
+    Returns the error of each run, None for the last one; after ``attempts`` failures the last is raised.
+    """
+    errors: list[str | None] = []
+    while True:
+        query = start()
+        try:
+            query.awaitTermination()
+            return errors + [None]
+        except StreamingQueryException as e:
+            errors.append(str(e).splitlines()[0])
+            if len(errors) >= attempts:
+                raise
+
+
+def run_until(query: StreamingQuery, batches: int, seconds: float = 120) -> None:
+    """Let a running stream finish ``batches`` batches with rows, then stop it."""
+    end = time.monotonic() + seconds
+    while query.isActive and time.monotonic() < end:
+        if sum(p["numInputRows"] > 0 for p in query.recentProgress) >= batches:
+            break
+        time.sleep(0.05)
+    query.stop()
