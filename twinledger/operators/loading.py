@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger.functions.logical_types import SPARK_TYPE_OF_TARGET, target_of
 from twinledger.functions.tokens import quoted
 from twinledger.functions.transforms import is_zero_date
+from twinledger.session import delete, move, path_exists, scratch_path
 
 
 @dataclass(frozen=True)
@@ -104,3 +105,54 @@ def load_with_rejects(
         *[quoted(c) for c in df.columns], reason.alias("reject_reason")
     )
     return good, rejects
+
+
+class TooManyRejects(ValueError):
+    """A load was stopped before its result became visible."""
+
+
+def load_observed(
+    df: DataFrame, casts: Mapping[str, str], target: str, max_rejects: int | None = None
+) -> dict[str, int]:
+    """Load ``df`` into the folder ``target``, good rows below ``good``, rejects below ``rejects``.
+
+    The rows are read, converted and written once; ``total``, ``good`` and ``rejected`` are observed on
+    that write. With more than ``max_rejects`` rejects nothing becomes visible and the load fails. The
+    new folder takes the place of nothing: an existing ``target`` is refused.
+    """
+    spark = df.sparkSession
+    if path_exists(spark, target):
+        raise ValueError(f"{target} is there already")
+    flagged = convert_or_flag(df, casts)
+    bad = F.size("_failed") > 0
+    position = {name: i for i, name in enumerate(casts)}
+    # both forms of a converted column, of which a row has one
+    columns = [quoted(c).alias(c) if c not in position else F.when(bad, quoted(c)).alias(c) for c in df.columns]
+    columns += [F.when(~bad, F.col(f"_c{i}")).alias(f"_c{i}") for i in position.values()]
+    reason = F.when(bad, F.concat(F.lit("not convertible: "), F.array_join("_failed", ", ")))
+    seen = Observation()
+    rows = flagged.select(*columns, reason.alias("reject_reason"), bad.alias("_rejected"))
+    counted = rows.observe(seen, F.count("*").alias("total"), F.count_if("_rejected").alias("rejected"))
+    staged = scratch_path(spark, "load")
+    counted.write.partitionBy("_rejected").parquet(staged)
+    found = seen.get
+    counts = {"total": found["total"], "good": found["total"] - found["rejected"], "rejected": found["rejected"]}
+    if max_rejects is not None and counts["rejected"] > max_rejects:
+        delete(spark, staged)
+        raise TooManyRejects(f"{counts['rejected']} rows do not convert, {max_rejects} are allowed")
+    move(spark, staged, target)
+    return counts
+
+
+def loaded(df: DataFrame, casts: Mapping[str, str], target: str) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` of a finished ``load_observed`` with the same arguments."""
+    position = {name: i for i, name in enumerate(casts)}
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    stored = T.StructType([T.StructField(c, kinds[c]) for c in df.columns])
+    for name, i in position.items():
+        stored = stored.add(f"_c{i}", T.StructType.fromDDL(f"c {casts[name]}")["c"].dataType)
+    stored = stored.add("reject_reason", "string").add("_rejected", "boolean")
+    rows = df.sparkSession.read.schema(stored).parquet(target)
+    good = rows.where(~F.col("_rejected")).select(*[
+        F.col(f"_c{position[c]}").alias(c) if c in position else quoted(c) for c in df.columns])
+    return good, rows.where(F.col("_rejected")).select(*[quoted(c) for c in df.columns], "reject_reason")

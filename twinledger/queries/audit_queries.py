@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from twinledger.functions.transforms import is_zero_date
 from twinledger.operators import audit as A
 from twinledger.operators import catalog as C
+from twinledger.operators.balance import written
 from twinledger.operators.diff import BROADCAST_ROWS, diff_rows, key_set_diff, missing_rows
-from twinledger.operators.loading import SourceColumn, cast_for_target, load_with_rejects
-from twinledger.plans.load_check import fast_counts
+from twinledger.operators.loading import SourceColumn, cast_for_target, load_observed, load_with_rejects, loaded
+from twinledger.plans.load_check import fast_counts, fast_counts_from_statistics
 from twinledger.queries.diff_queries import KEY, both
 from twinledger.queries.inputs import (
     DIRTY,
@@ -342,6 +345,21 @@ def load_rejects_query(spark, sf):
     return load_with_rejects(_raw_load(spark, sf), CASTS)[1]
 
 
+@query("load_observed", sql="""
+SELECT count(*) AS total, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS rejected,
+       count(*) FILTER (WHERE good) AS good_rows, count(*) FILTER (WHERE NOT good) AS reject_rows,
+       CAST(sum(CASE WHEN good THEN o_custkey END) AS BIGINT) AS custs
+FROM (SELECT o_custkey, o_orderkey % 127 <> 0 AND o_orderkey % 131 <> 0 AS good FROM orders)""")
+def load_observed_query(spark, sf):
+    raw, target = _raw_load(spark, sf), scratch_path(spark, "loaded")
+    counts = load_observed(raw, CASTS, target)
+    good, rejects = loaded(raw, CASTS, target)
+    shown = [F.lit(counts[c]).cast("bigint").alias(c) for c in ("total", "good", "rejected")]
+    both = good.select(F.lit(1).alias("g"), "cust").unionByName(rejects.select(F.lit(0).alias("g"), F.lit(None).cast("bigint").alias("cust")))
+    return both.agg(F.count_if(F.col("g") == 1).alias("good_rows"), F.count_if(F.col("g") == 0).alias("reject_rows"),
+                    F.sum("cust").alias("custs")).select(*shown, "good_rows", "reject_rows", "custs")
+
+
 # -- catalogue checks ----------------------------------------------------------
 #
 # The part table stands in for a catalogue: a part is a column, its brand is the
@@ -662,3 +680,42 @@ def fast_counts_query(spark, sf):
     right = {"orders": orders_r, "lineitem": items.where(F.col("l_partkey") % 10 != 0)}
     estimates = [C.row_counts(side).withColumnRenamed("n", "est_rows") for side in (left, right)]
     return fast_counts(*estimates, left, right)
+
+
+@query("fast_counts_from_statistics", sql="""
+WITH n AS (
+  SELECT 'orders' AS table_name, (SELECT count(*) FROM orders) AS l,
+         (SELECT count(*) FROM orders WHERE o_orderkey % 10 <> 0) AS r, TRUE AS flagged
+  UNION ALL
+  SELECT 'customer', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer), FALSE)
+SELECT table_name, CAST(l AS VARCHAR) AS left_est, CAST(r AS VARCHAR) AS right_est,
+       CASE WHEN flagged THEN 'VERIFY' ELSE '~ok' END AS status,
+       CASE WHEN flagged THEN l END AS left_n, CASE WHEN flagged THEN r END AS right_n,
+       CASE WHEN flagged THEN 'NO' END AS match
+FROM n""")
+def fast_counts_from_statistics_query(spark, sf):
+    """Two copies in the catalog, one side without statistics for one table."""
+    run = f"counts_{uuid.uuid4().hex[:12]}"
+    left, right = {}, {}
+    for name, keep in (("orders", F.col("o_orderkey") % 10 != 0), ("customer", F.lit(True))):
+        for side, rows in ((left, table(spark, sf, name)), (right, table(spark, sf, name).where(keep))):
+            side[name] = f"{run}_{name}_{'l' if side is left else 'r'}"
+            rows.write.option("path", scratch_path(spark, side[name])).saveAsTable(side[name])
+            if side is left or name == "orders":
+                spark.sql(f"ANALYZE TABLE {side[name]} COMPUTE STATISTICS")
+    try:
+        return written(fast_counts_from_statistics(spark, left, right), "fast-counts")
+    finally:
+        for name in (*left.values(), *right.values()):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@query("key_lists", sql="""
+SELECT CAST(p_brand AS VARCHAR) AS table_name, 'PRIMARY KEY' AS constraint_type,
+       string_agg(p_name, ', ' ORDER BY p_partkey) AS key_columns, count(*) AS n_columns
+FROM part WHERE p_partkey % 9 = 0 GROUP BY p_brand""")
+def key_lists_query(spark, sf):
+    keys = table(spark, sf, "part").where("p_partkey % 9 = 0").select(
+        F.col("p_brand").alias("table_name"), F.lit("PRIMARY KEY").alias("constraint_type"),
+        F.col("p_name").alias("column_name"), F.col("p_partkey").alias("ordinal_position"))
+    return C.key_lists(keys)

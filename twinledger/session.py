@@ -65,3 +65,17 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a stored folder that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a finished folder to ``target``, whose parent is made; both are in one file system."""
+    old, new = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{path} could not be moved to {target}")
