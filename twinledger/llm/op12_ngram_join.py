@@ -40,6 +40,7 @@ COMMON = 1_000_000
 #: if over half of a document is common. The order of the rest is by hash alone; results are the same.
 COUNTED = int(0.4 * (1 << 63))
 PAIRS_AT_ONCE = 256
+MARK_BITS = 1024
 _KEY = np.uint64((1 << 63) - 1)
 _LAST = np.uint64(1 << 63)
 
@@ -95,7 +96,17 @@ def _lists(holder: np.ndarray, values: np.ndarray, docs: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
 
 
-KEYED_TYPE = "struct<n_shingles:bigint,class:binary,keys:array<bigint>>"
+def _marks(holder: np.ndarray, key: np.ndarray, docs: int) -> pa.Array:
+    """``MARK_BITS`` bits for each set: whether an odd number of its keys falls on the bit. Two sets differ in at
+    least as many keys as their marks in bits."""
+    words = np.zeros((docs, MARK_BITS // 64), np.uint64)
+    np.bitwise_xor.at(words, (holder, ((key >> np.uint64(6)) % np.uint64(MARK_BITS // 64)).astype(np.int64)),
+                      np.uint64(1) << (key & np.uint64(63)))
+    ends = np.arange(docs + 1, dtype=np.int32) * (MARK_BITS // 64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(words.reshape(-1).view(np.int64)))
+
+
+KEYED_TYPE = "struct<n_shingles:bigint,class:binary,marks:array<bigint>,keys:array<bigint>>"
 
 
 def shingle_keys(text: str | Column, common: np.ndarray | None = None) -> Column:
@@ -108,7 +119,7 @@ def shingle_keys(text: str | Column, common: np.ndarray | None = None) -> Column
         for c in chunks(texts):
             holder, key = shingle_sets(c)
             n = np.bincount(holder, minlength=c.docs)
-            name = _class_keys(holder, key, c.docs)
+            name, marks = _class_keys(holder, key, c.docs), _marks(holder, key, c.docs)
             if common is None:
                 some = key < np.uint64(COUNTED)
                 keys = _lists(holder[some], key[some], c.docs)
@@ -121,9 +132,11 @@ def shingle_keys(text: str | Column, common: np.ndarray | None = None) -> Column
                 rank = np.arange(len(key)) - np.searchsorted(holder, np.arange(c.docs))[holder]
                 some = rank < n_short(n)[holder]
                 keys = _lists(holder[some], key[some], c.docs)
-            parts.append(pa.StructArray.from_arrays([pa.array(n.astype(np.int64)), name, keys], names=["n_shingles", "class", "keys"]))
+            parts.append(pa.StructArray.from_arrays(
+                [pa.array(n.astype(np.int64)), name, marks, keys], names=["n_shingles", "class", "marks", "keys"]))
         if not parts:
-            return pa.array([], pa.struct([("n_shingles", pa.int64()), ("class", pa.binary()), ("keys", pa.list_(pa.int64()))]))
+            return pa.array([], pa.struct([("n_shingles", pa.int64()), ("class", pa.binary()),
+                                          ("marks", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))]))
         return pa.concat_arrays(parts)
 
     return keyed(text)
@@ -180,8 +193,9 @@ def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _links(pairs: DataFrame, texts: DataFrame, key: Column, classes: DataFrame) -> DataFrame:
     """The linked ones of the stored pairs ``a, b``; only the texts of their classes are fetched, one of each."""
     needed = pairs.select(F.col("a").alias("no")).union(pairs.select("b")).distinct()
-    needed = written(classes.select("no", "class").join(needed, "no"), "needed-classes")
-    found = texts.select("text", key["class"].alias("class")).join(needed, "class").groupBy("no").agg(F.first("text").alias("text"))
+    needed = written(classes.select("no", "class", "least_id").join(needed, "no"), "needed-classes")
+    found = texts.select("_id", "text", key["class"].alias("class")).join(needed, "class").where(
+        F.col("_id").eqNullSafe(F.col("least_id"))).groupBy("no").agg(F.first("text").alias("text"))
     found = written(found, "needed-texts")
     one = found.select(F.col("no").alias("b"), F.col("text").alias("text_b"))
     other = found.select(F.col("no").alias("a"), F.col("text").alias("text_a"))
@@ -207,7 +221,7 @@ def search(members: list[dict], of: int, across: bool = False) -> list[tuple[int
     for at, m in enumerate(members):
         least = bisect_left(sizes, (4 * m["n"] + 4) // 5)  # members before have too few shingles
         new = {before for before in range(least, at) if members[before]["component"] != m["component"]
-               and (not across or members[before]["side"] != m["side"])}
+               and (not across or members[before]["side"] != m["side"]) and _alike(m, members[before])}
         keys = iter(m["keys"])
         for key in keys:
             if key == of or not new:
@@ -223,6 +237,11 @@ def search(members: list[dict], of: int, across: bool = False) -> list[tuple[int
     return found
 
 
+def _alike(a: dict, b: dict) -> bool:
+    """Marks that differ in more bits than linked sets do in keys rule a pair out."""
+    return (a["marks"] ^ b["marks"]).bit_count() <= a["n"] + b["n"] - 2 * required(a["n"], b["n"])
+
+
 def _reaches(a: dict, b: dict, times: int) -> bool:
     """Can the long lists still give what is missing? The shorter of both ways to the end bounds it."""
     rest = max(a["n"] - n_short(a["n"]), b["n"] - n_short(b["n"]))
@@ -243,8 +262,9 @@ def _search_block(block: pa.Table) -> pa.Table:
     _, of, times = np.unique(key, return_inverse=True, return_counts=True)
     shared = np.flatnonzero(times[of] > 1)
     key, place, bounds = key[shared].tolist(), place[shared].tolist(), np.searchsorted(shared, ends - ends[0]).tolist()
-    members = [m | {"side": m["mine"] == m["first"], "keys": key[lo:hi], "at": dict(zip(key[lo:hi], place[lo:hi]))}
-               for m, lo, hi in zip(columns, bounds[:-1], bounds[1:])]
+    marks = block["marks"].combine_chunks().flatten().to_numpy().tobytes()
+    members = [m | {"side": m["mine"] == m["first"], "marks": int.from_bytes(marks[i * MARK_BITS // 8:(i + 1) * MARK_BITS // 8]), "keys": key[lo:hi], "at": dict(zip(key[lo:hi], place[lo:hi]))}
+               for i, (m, lo, hi) in enumerate(zip(columns, bounds[:-1], bounds[1:]))]
     across = members[0]["first"] != members[0]["second"]
     return pa.Table.from_batches([_frame(search(members, block["list"][0].as_py(), across))])
 
@@ -255,7 +275,7 @@ def _listed(rows: DataFrame) -> DataFrame:
     return listed.select("no", "n", F.col("_l.key").alias("keys"), F.col("_l.place").alias("places"))
 
 
-def _candidates(rows: DataFrame, label: DataFrame) -> DataFrame:
+def _candidates(rows: DataFrame, label: DataFrame, marks: DataFrame) -> DataFrame:
     """Pairs of different components that a list and the lengths do not rule out."""
     name = F.coalesce(F.col("component"), F.col("no"))
     rows = rows.join(label.withColumnRenamed("node", "no"), "no", "left").withColumn("component", name)
@@ -276,17 +296,19 @@ def _candidates(rows: DataFrame, label: DataFrame) -> DataFrame:
     found = found.select("key", "no", "component", "mine", other).select(
         F.col("key").alias("list"), "no", "component", "mine",
         F.least("mine", "other").alias("first"), F.greatest("mine", "other").alias("second"))
-    return found.join(_listed(rows), "no").groupBy("list", "first", "second").applyInArrow(_search_block, _PAIR).distinct()
+    return found.join(_listed(rows), "no").join(marks, "no").groupBy("list", "first", "second").applyInArrow(_search_block, _PAIR).distinct()
 
 
 def _possible(pairs: DataFrame, listed: DataFrame) -> DataFrame:
     """Pairs ``a, b`` that are in enough short lists together to reach the required overlap."""
-    one, other = (listed.select(F.col("no").alias(x), F.col("n").alias(f"n_{x}"), F.col("keys").alias(f"keys_{x}"))
+    one, other = (listed.select(F.col("no").alias(x), F.col("n").alias(f"n_{x}"), F.col("keys").alias(f"keys_{x}"), F.col("marks").alias(f"marks_{x}"))
                   for x in "ab")
     met = F.size(F.array_intersect("keys_a", "keys_b"))
     rest = F.greatest(*[F.floor((4 * F.col(n) + 4) / 5) - 1 for n in ("n_a", "n_b")])
     needed = F.floor((4 * (F.col("n_a") + F.col("n_b")) + 8) / 9)
-    return pairs.join(one, "a").join(other, "b").where(met + rest >= needed).select("a", "b")
+    bits = F.aggregate(F.zip_with("marks_a", "marks_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    alike = bits <= F.col("n_a") + F.col("n_b") - 2 * needed
+    return pairs.join(one, "a").join(other, "b").where((met + rest >= needed) & alike).select("a", "b")
 
 
 # -- the join ------------------------------------------------------------------
@@ -305,7 +327,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     k = shingle_keys("text", _common_keys(shared)).alias("_k")
     keyed = written(texts.select("_id", k).select("_id", "_k.*"), "shingle-keys")
     classes = keyed.where("n_shingles > 0").groupBy("class").agg(
-        F.min("_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
+        F.min("_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
+        F.first("marks").alias("marks"))
     classes = written(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
 
     lists = classes.select("no", "n", F.posexplode("keys").alias("place", "key"))
@@ -313,7 +336,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counted = lists.where(plain < COUNTED).join(
         shared.select(F.col("key").alias("_shared")), plain == F.col("_shared"), "left_semi")
     rows = written(counted.unionByName(lists.where(plain >= COUNTED)), "short-lists")
-    listed = written(_listed(rows), "listed")
+    marks = classes.select("no", "marks")
+    listed = written(_listed(rows).join(marks, "no"), "listed")
 
     order = F.struct(F.xxhash64("no", F.lit(3)).alias("h"), "no", "n")
     pivots = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(order).alias("p"), F.max(order).alias("q"))
@@ -323,7 +347,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = pairs.select(F.least("p.no", "no").alias("a"), F.greatest("p.no", "no").alias("b")).distinct()
     links = _links(written(_possible(pairs, listed), "pivot-pairs"), texts, k, classes)
 
-    candidates = written(_candidates(rows, components(links)), "candidates")
+    candidates = written(_candidates(rows, components(links), marks), "candidates")
     links = links.unionByName(_links(candidates, texts, k, classes))
     label = components(links)
     least = classes.select("no", "least_id").join(label.withColumnRenamed("node", "no"), "no").groupBy("component").agg(
