@@ -254,7 +254,7 @@ def _common_from(counts: DataFrame, limit: int) -> int:
     if small_enough(counts, limit):
         return 0
     sizes = counts.groupBy(F.floor(F.log2("n_docs")).cast("int").alias("k")).agg(F.count("*").alias("n")).collect()
-    total, least = 0, 64  # at most 64 rows came in
+    total, least = 0, 62  # counts of 2^62 do not occur
     for r in sorted(sizes, key=lambda r: -r["k"]):
         total += r["n"]
         if total > limit:
