@@ -2,7 +2,7 @@
 
 All queries are run once to warm up; then each is run three times and the median
 counts. The result is written to Spark's noop sink, so every row and column is computed and
-nothing is sent to the driver.
+nothing is sent to the driver. The change log is stored once before, so its making is not timed.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from twinledger.operators import diff as D
 from twinledger.operators.balance import written
 from twinledger.queries import load
+from twinledger.queries.inputs import store_change_log
 from twinledger.session import local_session
 
 HEADLINE = (
@@ -42,6 +43,10 @@ HEADLINE = (
     "upsert_sink",
     "apply_changes_stream",
     "verify_replay",
+    "parse_envelope_connect",
+    "replay_all_tables",
+    "upsert_sink_compacted",
+    "verify_replay_incremental",
     "one_sided_inspect",
     "reconcile_summary",
 )
@@ -80,6 +85,7 @@ def main() -> None:
     spark = local_session(cores, partitions=int(cores) if cores.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
     queries, _ = load()
+    store_change_log(spark, sf)
     wanted = os.environ.get("BENCH_QUERIES")
     chosen = {
         name: partial(queries[name], spark, sf)

@@ -8,14 +8,10 @@ Everything is built-in functions, exact up to 38 digits.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.functions.arithmetic import floor_div
-
 # Names of logical types.
 DECIMAL = "org.apache.kafka.connect.data.Decimal"
 VARIABLE_DECIMAL = "io.debezium.data.VariableScaleDecimal"
@@ -25,53 +21,46 @@ TIMES = ("org.apache.kafka.connect.data.Time", "io.debezium.time.Time", "io.debe
 TIMESTAMPS = ("org.apache.kafka.connect.data.Timestamp", "io.debezium.time.Timestamp",
               "io.debezium.time.MicroTimestamp", "io.debezium.time.NanoTimestamp")
 
-_LIMB = (1 << 32) - 1
 _MAX_BYTES = 16
 
-
-def _refuse(why: str, value: Column) -> Column:
-    return F.raise_error(F.concat(F.lit(why), F.coalesce(value, F.lit("NULL"))))
+# The functions below write SQL text, so that a whole row image is one expression to be built.
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once, however often it occurs."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with the value under ``name``, worked out once however often it occurs."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _digits(raw: Column) -> Column:
-    """Sign and decimal digits of a two's-complement integer given in hexadecimal; null if it is too long."""
-    negative = F.substring(raw, 1, 1).isin(*"89ABCDEF")
-    wide = F.lpad(raw, 2 * _MAX_BYTES, F.when(negative, F.lit("F")).otherwise(F.lit("0")))
+def _refuse(why: str, value: str) -> str:
+    return f"raise_error(concat('{why}', coalesce({value}, 'NULL')))"
 
-    def joined(wide: Column) -> Column:
-        turned = F.substring(wide, 1, 1).isin(*"89ABCDEF")
-        limbs = []
-        for i in range(4):
-            limb = F.conv(F.substring(wide, 8 * i + 1, 8), 16, 10).cast("bigint")
-            # of a negative number the bits are turned, which gives -x - 1
-            limbs.append(F.when(turned, F.lit(_LIMB) - limb).otherwise(limb).cast("decimal(20,0)"))
-        half = F.lit(1 << 32).cast("decimal(20,0)")
-        high, low = ((limbs[i] * half + limbs[i + 1]).cast("decimal(20,0)") for i in (0, 2))
-        size = (high * F.lit(Decimal(1 << 64)) + low).cast("decimal(38,0)")
-        size = (size + F.when(turned, 1).otherwise(0)).cast("decimal(38,0)").cast("string")
-        return F.struct(F.when(turned, F.lit("-")).otherwise(F.lit("")).alias("sign"), size.alias("digits"))
 
-    return F.when(F.length(raw).between(2, 2 * _MAX_BYTES), _let(wide, joined))
+def _digits(raw: str) -> str:
+    """``sign, digits`` of a two's-complement integer given in hexadecimal; null if it is too long."""
+    negative = "substring({}, 1, 1) IN ('8', '9', 'A', 'B', 'C', 'D', 'E', 'F')"
+    limbs = []
+    for i in range(4):
+        limb = f"cast(conv(substring(wide, {8 * i + 1}, 8), 16, 10) AS bigint)"
+        # of a negative number the bits are turned, which gives -x - 1
+        limbs.append(f"cast(if({negative.format('wide')}, 4294967295 - {limb}, {limb}) AS decimal(20,0))")
+    high, low = (f"cast({limbs[i]} * cast(4294967296 AS decimal(20,0)) + {limbs[i + 1]} AS decimal(20,0))" for i in (0, 2))
+    size = f"cast({high} * cast('18446744073709551616' AS decimal(20,0)) + {low} AS decimal(38,0))"
+    size = f"cast(cast({size} + if({negative.format('wide')}, 1, 0) AS decimal(38,0)) AS string)"
+    number = f"named_struct('sign', if({negative.format('wide')}, '-', ''), 'digits', {size})"
+    wide = f"lpad({raw}, {2 * _MAX_BYTES}, if({negative.format(raw)}, 'F', '0'))"
+    return f"if(length({raw}) BETWEEN 2 AND {2 * _MAX_BYTES}, {_let('wide', wide, number)}, NULL)"
 
 
-def _placed(number: Column, scale: Column) -> Column:
-    """The text of ``sign, digits, scale``."""
-    digits = number["digits"]
-    padded = F.lpad(digits, F.greatest(F.length(digits), scale + 1), F.lit("0"))
-    with_point = _let(padded, lambda t: F.concat(
-        t.substr(F.lit(1), F.length(t) - scale), F.lit("."), t.substr(F.length(t) - scale + 1, scale)))
-    return F.concat(number["sign"], F.when(scale > 0, with_point).otherwise(F.concat(digits, F.repeat(F.lit("0"), -scale))))
-
-
-def decimal_text(encoded: Column, scale: Column) -> Column:
+def decimal_text(encoded: str, scale: str) -> str:
     """Plain decimal text of an encoded decimal; what has more than 38 digits fails."""
-    text = _let(_digits(F.hex(F.unbase64(encoded))), lambda number: _placed(number, scale.cast("int")))
-    return F.when(encoded.isNotNull(), F.coalesce(text, _refuse("not a decimal of up to 38 digits: ", encoded)))
+    scale = f"cast({scale} AS int)"
+    point = "concat(substring(t, 1, length(t) - s), '.', substring(t, length(t) - s + 1, s))"
+    padded = "lpad(number.digits, greatest(length(number.digits), s + 1), '0')"
+    placed = f"concat(number.sign, if(s > 0, {_let('t', padded, point)}, concat(number.digits, repeat('0', -s))))"
+    placed = _let("s", scale, placed)
+    text = _let("raw", f"hex(unbase64({encoded}))", _let("number", _digits("raw"), placed))
+    refuse = _refuse("not a decimal of up to 38 digits: ", encoded)
+    return f"if({encoded} IS NOT NULL, coalesce({text}, {refuse}), NULL)"
 
 
 def encoded_decimal(value: Column, scale: int) -> Column:
@@ -82,71 +71,68 @@ def encoded_decimal(value: Column, scale: int) -> Column:
     return F.base64(F.unhex(short))
 
 
-def exact(text: Column, scale: int) -> Column:
+def exact(text: str, scale: int) -> str:
     """The decimal text itself; it fails when decimals beyond ``scale`` would be rounded away."""
-    beyond = F.regexp_extract(text, rf"\.\d{{{scale}}}(\d+)$", 1)
-    return F.when(beyond.rlike("[1-9]"), _refuse(f"more than {scale} decimals: ", text)).otherwise(text)
+    beyond = rf"regexp_extract({text}, r'\.\d{{{scale}}}(\d+)$', 1)"
+    return f"if({beyond} RLIKE '[1-9]', {_refuse(f'more than {scale} decimals: ', text)}, {text})"
+
 
+def _is(kind: str, *names: str) -> str:
+    return f"{kind} IN ({', '.join(repr(n) for n in names)})"
 
-def _micros(value: Column, kind: Column) -> Column:
+
+def _micros(value: str, kind: str) -> str:
     """Microseconds of a time or timestamp; most kinds count milliseconds."""
-    count = value.cast("bigint")
-    nanos, micros = kind.contains(".NanoTime"), kind.contains(".MicroTime")
-    return F.when(micros, count).when(nanos, floor_div(count, 1_000)).otherwise(count * 1_000)
+    count = f"cast({value} AS bigint)"
+    return (f"CASE WHEN contains({kind}, '.MicroTime') THEN {count} "
+            f"WHEN contains({kind}, '.NanoTime') THEN ({count} - pmod({count}, 1000)) div 1000 ELSE {count} * 1000 END")
 
 
-def _since_epoch(micros: Column) -> Column:
+def _since_epoch(micros: str) -> str:
     """Timestamp without zone so many microseconds behind the epoch."""
-    zero = F.lit(0)
-    seconds = (micros.cast("decimal(24,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
-    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(zero, zero, zero, seconds)
+    seconds = f"cast(cast({micros} AS decimal(24,0)) / cast(1000000 AS decimal(7,0)) AS decimal(18,6))"
+    return f"(TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
 
 
-def _is(kind: Column, *names: str) -> Column:
-    return kind.isin(*names)
+def _decimal(value: str, kind: str, scale: str) -> str:
+    variable = _is(kind, VARIABLE_DECIMAL)
+    parts = (f"if({variable}, get_json_object({value}, '$.{name}'), {plain})" for name, plain in (("value", value), ("scale", scale)))
+    whole, places = parts
+    return _let("given", f"named_struct('v', {whole}, 's', {places})", decimal_text("given.v", "given.s"))
 
 
-def _text(value: Column, kind: Column, scale: Column) -> Column:
+def _text(value: str, kind: str, scale: str) -> str:
     """What a field says, as plain text."""
-    variable = _is(kind, VARIABLE_DECIMAL)
-    stamp = _since_epoch(_micros(value, kind)).cast("string")
+    stamp = f"cast({_since_epoch(_micros(value, kind))} AS string)"
     return (
-        F.when(kind.isNull(), value)
-        .when(variable | _is(kind, DECIMAL), _decimal(value, kind, scale))
-        .when(_is(kind, *DATES), F.date_from_unix_date(value.cast("int")).cast("string"))
-        .when(_is(kind, *TIMES), F.substring_index(stamp, " ", -1))
-        .when(_is(kind, *TIMESTAMPS), stamp)
-        .otherwise(value)
-    )
-
-
-def _decimal(value: Column, kind: Column, scale: Column) -> Column:
-    variable = _is(kind, VARIABLE_DECIMAL)
-    return decimal_text(
-        F.when(variable, F.get_json_object(value, "$.value")).otherwise(value),
-        F.when(variable, F.get_json_object(value, "$.scale")).otherwise(scale))
+        f"CASE WHEN {kind} IS NULL THEN {value} "
+        f"WHEN {_is(kind, DECIMAL, VARIABLE_DECIMAL)} THEN {_decimal(value, kind, scale)} "
+        f"WHEN {_is(kind, *DATES)} THEN cast(date_from_unix_date(cast({value} AS int)) AS string) "
+        f"WHEN {_is(kind, *TIMES)} THEN substring_index({stamp}, ' ', -1) "
+        f"WHEN {_is(kind, *TIMESTAMPS)} THEN {stamp} ELSE {value} END")
 
 
-def decoded(value: Column, kind: Column, scale: Column, target: T.DataType) -> Column:
-    """One field of a row image in the type of its column.
+def decoded(value: str, kind: str, scale: str, target: T.DataType) -> str:
+    """SQL of one field of a row image in the type of its column.
 
     ``value`` is the JSON value as text, ``kind`` the name of its logical type (null for a plain one) and
     ``scale`` that of a decimal. A value that does not fit the type, or whose decimals would be rounded, fails.
     """
     if isinstance(target, T.BinaryType):
-        return F.unbase64(value)
+        return f"unbase64({value})"
     if isinstance(target, T.StringType):
         return _text(value, kind, scale)
-    out = F.when(kind.isNull(), value.cast(target))
+    plain = f"cast({value} AS {target.simpleString()})"
+    out = f"CASE WHEN {kind} IS NULL THEN {plain}"
     if isinstance(target, T.DateType):
-        out = out.when(_is(kind, *DATES), F.date_from_unix_date(value.cast("int")))
+        out += f" WHEN {_is(kind, *DATES)} THEN date_from_unix_date(cast({value} AS int))"
     elif isinstance(target, T.TimestampType):  # the capture counts in UTC
-        out = out.when(_is(kind, *TIMESTAMPS), F.timestamp_micros(_micros(value, kind)))
+        out += f" WHEN {_is(kind, *TIMESTAMPS)} THEN timestamp_micros({_micros(value, kind)})"
     elif isinstance(target, T.TimestampNTZType):
-        out = out.when(_is(kind, *TIMESTAMPS), _since_epoch(_micros(value, kind)))
+        out += f" WHEN {_is(kind, *TIMESTAMPS)} THEN {_since_epoch(_micros(value, kind))}"
     elif isinstance(target, T.NumericType):
         text = _decimal(value, kind, scale)
         if isinstance(target, (T.DecimalType, T.IntegralType)):
-            text = _let(text, lambda t: exact(t, getattr(target, "scale", 0)))
-        out = out.when(_is(kind, DECIMAL, VARIABLE_DECIMAL), text.cast(target))
-    return out.otherwise(value.cast(target))
+            text = _let("shown", text, exact("shown", getattr(target, "scale", 0)))
+        out += f" WHEN {_is(kind, DECIMAL, VARIABLE_DECIMAL)} THEN cast({text} AS {target.simpleString()})"
+    return f"{out} ELSE {plain} END"

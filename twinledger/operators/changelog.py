@@ -116,26 +116,27 @@ def parse_log(log: DataFrame) -> DataFrame:
     )
 
 
+def _field(image: str, kinds: str, name: str) -> tuple[str, str, str]:
+    """SQL of a field's text, its logical type and its scale."""
+    quoted_name = "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    kind = f"try_element_at({kinds}, {quoted_name})"
+    return f"try_element_at({image}, {quoted_name})", f"{kind}.name", f"{kind}.scale"
+
+
+def _struct_of(fields: dict[str, str]) -> str:
+    return "struct(" + ", ".join(f"{sql} AS `{name.replace('`', '``')}`" for name, sql in fields.items()) + ")"
+
+
 def _typed(image: str, kinds: str, row: T.StructType) -> Column:
     """Row image as a struct; a value that does not fit its type fails."""
-    fields = []
-    for f in row.fields:
-        name = F.lit(f.name)
-        kind = F.try_element_at(F.col(kinds), name)
-        value = F.try_element_at(F.col(image), name)
-        fields.append(decoded(value, kind["name"], kind["scale"], f.dataType).alias(f.name))
-    return F.when(F.col(image).isNotNull(), F.struct(*fields))
+    fields = {f.name: decoded(*_field(image, kinds, f.name), f.dataType) for f in row.fields}
+    return F.expr(f"if({image} IS NOT NULL, {_struct_of(fields)}, NULL)")
 
 
 def _typed_key(key: T.StructType) -> Column:
     """Key as a struct; a value that does not fit is null, so the key is not usable."""
-    fields = []
-    for f in key.fields:
-        kind = F.try_element_at(F.col("key_kinds"), F.lit(f.name))
-        value = F.try_element_at(F.col("key"), F.lit(f.name))
-        text = decoded(value, kind["name"], kind["scale"], T.StringType())
-        fields.append(text.try_cast(f.dataType).alias(f.name))
-    return F.struct(*fields)
+    text = {f.name: decoded(*_field("key", "key_kinds", f.name), T.StringType()) for f in key.fields}
+    return F.expr(_struct_of({f.name: f"try_cast({text[f.name]} AS {f.dataType.simpleString()})" for f in key.fields}))
 
 
 def typed_events(

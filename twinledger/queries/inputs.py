@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from twinledger.functions.arithmetic import floor_div
 from twinledger.functions.connect_types import DECIMAL, encoded_decimal
+from twinledger.operators.balance import written
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -284,8 +285,22 @@ def _record(topic: Column, changed: DataFrame) -> DataFrame:
 LOG_COLUMNS = ("topic", "partition", "offset", "timestamp", "key", "value")
 
 
+_stored_logs: dict[str, DataFrame] = {}
+
+
+def store_change_log(spark: SparkSession, sf: str) -> None:
+    """Keep the log as a table for this process, so that what follows times the operators and not the fixture."""
+    _stored_logs.pop(sf, None)
+    topic = F.concat(F.lit("cdc-demo.public."), F.col("table"))
+    log = _record(topic, changes(spark, sf)).withColumn("table", F.substring_index("topic", ".", -1))
+    _stored_logs[sf] = written(log, "change-log")
+
+
 def change_log(spark: SparkSession, sf: str, where: Column | None = None) -> DataFrame:
-    """Log of the data tables; ``where`` picks the changes it covers."""
+    """Log of the data tables; ``where`` picks the changes it covers, by ``event_id`` and ``table``."""
+    if sf in _stored_logs:
+        log = _stored_logs[sf]
+        return (log if where is None else log.where(where)).select(*LOG_COLUMNS)
     picked = changes(spark, sf)
     picked = picked if where is None else picked.where(where)
     topic = F.concat(F.lit("cdc-demo.public."), F.col("table"))
