@@ -65,6 +65,26 @@ def test_json_equal(spark):
         6: ("[]", "oops", "invalid_right"),
         7: ("{", "{", "invalid_both"),
         8: ("[1,2]", "[2,1]", "different"),
+        9: ('{"a": 100}', '{"a": 1.0E2}', "equal"),
+        10: ('[[-0.0, 1e400], {"b": [0.001]}]', '[[0, 10E+399], {"b": [1e-3]}]', "equal"),
+        11: ("[1e400]", "[1e401]", "different"),
+        12: ("[12345678901234567890123456789012345678901]", "[12345678901234567890123456789012345678902]", "different"),
+        13: ('["1e2"]', '["100"]', "different"),
+        14: ('["100"]', "[100]", "different"),
+        15: ('["a\\"1\\\\"]', '["a\\u00221\\u005c"]', "equal"),
+        16: ("{1: 2}", "[1.]", "invalid_both"),
+        17: ("[01]", "[-]", "invalid_both"),
+        18: ('{"a": 1, "a": 1}', '{"a": 1}', "invalid_left"),
+        19: ('{"x": {"b": 1, "a": [1, 2e0]}}', '{"x": {"a": [1.0, 2], "b": 10e-1}}', "equal"),
+        20: ('["' + "ab\\n" * 20000 + '"]', '["' + "ab\\u000a" * 20000 + '"]', "equal"),
+        21: ("", " ", "invalid_both"),
+        22: ("-5", "-5.0e0", "equal"),
+        23: ("-5", "5", "different"),
+        24: ("1 2", "[1 2]", "invalid_both"),
+        25: ("[1-2]", "[--1]", "invalid_both"),
+        26: ("1],[2", '1},{"v":2', "invalid_both"),
+        27: ("1,2", '{"a": 1} x', "invalid_both"),
+        28: (" [1] ", "[1]\n", "equal"),
     }
     left = spark.createDataFrame([(k, v[0]) for k, v in pairs.items()], "k int, j string")
     right = spark.createDataFrame([(k, v[1]) for k, v in pairs.items()], "k int, j string")

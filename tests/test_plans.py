@@ -12,6 +12,7 @@ from twinledger.operators import changelog as L
 from twinledger.operators import diff as D
 from twinledger.operators import digest as G
 from twinledger.queries import load
+from twinledger.sources.sinks import write_bucketed_copy
 
 
 def plan_of(df) -> str:
@@ -137,3 +138,30 @@ def test_scratch_folder_is_the_shared_one(spark):
             session.check_conf(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_stored_copies_are_compared_without_a_shuffle(spark):
+    rows = [(i // 2, f"s{i % 3}", i * 1.5 if i % 7 else None) for i in range(400)]
+    left = spark.createDataFrame(rows, "k int, s string, v double")
+    right = left.withColumn("v", F.when(F.col("k") % 11 == 0, 1.0).otherwise(F.col("v"))).where("k <> 5 or s <> 's1'")
+    right = right.unionByName(spark.createDataFrame([(900, "x", 1.0), (7, "s0", 3.0)], "k int, s string, v double"))
+    names = ("stored_copy_left", "stored_copy_right")
+    try:
+        for keys in (["k"], ["k", "s"]):
+            copies = [write_bucketed_copy(df, n, keys, 4) for df, n in zip((left, right), names)]
+            found = D.diff_stored_copies(*copies, keys, null_keys=False)
+            assert "Exchange" not in plan_of(found)
+            want = {tuple(r) for r in D.diff_rows(left, right, keys).collect()}
+            assert {tuple(r) for r in found.collect()} == want and want
+            assert {tuple(r) for r in D.diff_stored_copies(left, right, keys).collect()} == want
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
+    gaps = spark.createDataFrame([(None, "s", 1.0), (None, "s", 2.0), (1, None, 1.0)], "k int, s string, v double")
+    for keys in (["k"], ["k", "s"]):
+        want = sorted(map(str, D.diff_rows(left.union(gaps), right.union(gaps.limit(1)), keys).collect()))
+        assert sorted(map(str, D.diff_stored_copies(left.union(gaps), right.union(gaps.limit(1)), keys).collect())) == want
+    with pytest.raises(Exception, match="key is NULL"):
+        D.diff_stored_copies(left.union(gaps), right, ["k"], null_keys=False).collect()
+    with pytest.raises(TypeError, match="two types"):
+        D.diff_stored_copies(left.withColumn("k", F.col("k").cast("bigint")), right, ["k"])

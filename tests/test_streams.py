@@ -1,5 +1,6 @@
 """Folding, resuming and many tables, on small logs."""
 
+import datetime
 import json
 
 import pytest
@@ -119,3 +120,34 @@ def test_records_of_other_tables(spark):
         replay_all_tables({}, log, "a", TABLES)
     assert as_set(replay_all_tables({}, log, "a", TABLES, unknown="skip")["x", "t"]) == {(1, 5)}
     assert as_set(replay_all_tables({}, log, "a", TABLES, exclude_schemas=["z"])["y", "t"]) == set()
+
+
+def test_heartbeats_close_the_windows_of_idle_tables(spark, tmp_path):
+    columns = "topic string, partition int, offset bigint, timestamp timestamp, key string, value string"
+    body = '{"payload": {"op": "%s"}}'
+    data, beat, other = "cdc-demo.public.t", "cdc-demo.cdc.debezium_heartbeat", "cdc-demo.public.u"
+
+    def put_file(rows):
+        made = [(t, 0, i, datetime.datetime.fromisoformat(f"2024-01-01 {at}"), "{}", v) for i, (t, at, v) in enumerate(rows)]
+        spark.createDataFrame(made, columns).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/log")
+
+    def closed(name):
+        log = read_change_log(spark, f"file://{tmp_path}/log", streaming=True, max_files_per_trigger=1)
+        windows = J.op_counts_closed_windows(log, "1 hour", "10 minutes", "demo")
+        J.append_closed(windows, f"file://{tmp_path}/{name}", f"file://{tmp_path}/{name}-cp").awaitTermination()
+        rows = spark.read.schema(windows.schema).parquet(f"file://{tmp_path}/{name}").collect()
+        return sorted((r.table, r.window_start.hour, r.inserts, r.updates, r.deletes, r.total) for r in rows)
+
+    put_file([(data, "01:05:00", body % "c"), (data, "01:06:00", body % "d"), (data, "01:06:00", None),
+              (other, "02:01:00", body % "u")])
+    first = closed("rows")
+    assert [r[1] for r in first] == []
+    put_file([(beat, "02:30:00", body % "u")])
+    assert [r[1:] for r in closed("rows")] == [(1, 1, 0, 1, 3)]
+    put_file([(beat, "03:09:00", body % "u")])
+    assert len(closed("rows")) == 1  # 03:09 less ten minutes is before 03:00
+    put_file([(beat, "03:10:00", body % "u"), (beat, "03:11:00", body % "u")])
+    assert [r[1:] for r in closed("rows")] == [(1, 1, 0, 1, 3), (2, 0, 1, 0, 1)]
+    assert [r[1:] for r in closed("rows")] == [(1, 1, 0, 1, 3), (2, 0, 1, 0, 1)]  # each window once
+    with pytest.raises(ValueError, match="stream"):
+        J.op_counts_closed_windows(spark.createDataFrame([], columns), "1 hour", "1 hour", "demo")

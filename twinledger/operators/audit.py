@@ -179,11 +179,47 @@ def decimal_exactness(
 _JSON_NULL, _JSON_INVALID, _JSON_OK = 0, 1, 2
 
 
+# JSON by its lexical parts: strings, numbers, everything between them.
+_JSON_TOKEN = r'(?s)"[^"]*+"|-?(?:0|[1-9][0-9]*+)(?:[.][0-9]++)?(?:[eE][+-]?[0-9]++)?|[^"0-9-]++|.'
+_JSON_NUMBER = "^(-?)([0-9]+)(?:[.]([0-9]+))?(?:[eE]([+-]?[0-9]+))?$"
+
+
+def _decimal_form(number: Column) -> Column:
+    """One text for all spellings of a number: its digits without zeros at either end, and an exponent.
+
+    Exact for any number of digits and for exponents of up to 36 digits; longer ones stay as they are.
+    """
+    part = [F.regexp_extract(number, _JSON_NUMBER, i) for i in range(5)]
+    digits = F.concat(part[2], part[3])
+    left = F.regexp_replace(digits, "^0+", "")
+    bare = F.regexp_replace(left, "0+$", "")
+    exponent = (
+        F.when(part[4] == "", F.lit(0).cast("decimal(38,0)")).otherwise(part[4].try_cast("decimal(38,0)"))
+        - F.length(part[3]) + F.length(left) - F.length(bare)
+    )
+    form = F.concat(part[1], bare, F.lit("e"), exponent.cast("string"))
+    return F.when(bare == "", F.lit("0")).otherwise(F.coalesce(form, number))
+
+
 def _json_state(col: str) -> tuple[Column, Column, Column]:
-    parsed = F.to_json(F.try_parse_json(quoted(col)))
+    # Escaped quotes and backslashes are spelled by their code, so a string ends at the next quote.
+    plain = F.replace(F.replace(quoted(col), F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    tokens = F.regexp_extract_all(plain, F.lit(_JSON_TOKEN), F.lit(0))
+    starts = lambda t: F.substring(t, 1, 1)
+    number = lambda t: t.rlike(_JSON_NUMBER)
+    # Numbers as strings marked n, strings marked s: the parser orders fields and never rounds a number.
+    marked = F.transform(tokens, lambda t: F.when(number(t), F.concat(F.lit('"n'), _decimal_form(t), F.lit('"')))
+                         .when(starts(t) == '"', F.concat(F.lit('"s'), F.substring(t, F.lit(2), F.length(t)))).otherwise(t))
+    # A string may stand where a number may not (as a field name), so the text must also parse with numbers in
+    # it. The parser ignores what follows a value; nothing but white space can do so both in [] and in {}.
+    zeros = F.array_join(F.transform(tokens, lambda t: F.when(number(t), F.lit("0")).otherwise(t)), "")
+    valid = F.lit(True)
+    for before, behind in (("[", "]"), ('{"":', "}")):
+        valid = valid & F.try_parse_json(F.concat(F.lit(before), zeros, F.lit(behind))).isNotNull()
+    parsed = F.to_json(F.try_parse_json(F.array_join(marked, "")))
     state = (
         F.when(quoted(col).isNull(), F.lit(_JSON_NULL))
-        .when(parsed.isNull(), F.lit(_JSON_INVALID))
+        .when(~valid | parsed.isNull(), F.lit(_JSON_INVALID))
         .otherwise(F.lit(_JSON_OK))
     )
     return state, F.xxhash64(parsed), F.xxhash64(F.lit(1), parsed)
@@ -192,10 +228,10 @@ def _json_state(col: str) -> tuple[Column, Column, Column]:
 def json_equal(left: DataFrame, right: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """``(keys, verdict)`` for keys both sides hold.
 
-    Field order does not matter, nor do zeros behind the point. A number with an
-    exponent is a double and differs from the same number written out. Text that
-    does not parse, also for a field name that occurs twice, is its own verdict
-    and never equal to NULL.
+    Field order does not matter, nor how a number is spelled: ``100``, ``100.0``
+    and ``1.0E2`` are equal, and numbers beyond a double's range or precision are
+    told apart exactly. Text that does not parse, also for a field name that
+    occurs twice, is its own verdict and never equal to NULL.
     """
     kinds = aligned_keys(left, right, keys)
     parts = []

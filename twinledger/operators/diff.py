@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,6 +137,58 @@ def diff_merge(
     return joined.select(*shown, kind.alias("diff_type")).where(F.col("diff_type").isNotNull())
 
 
+def diff_stored_copies(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    types: Types | None = None,
+    null_keys: bool = True,
+    **options,
+) -> DataFrame:
+    """Same answer as ``diff_rows`` for copies that are stored bucketed by their keys, without a shuffle.
+
+    Each side is grouped on its plain key columns, and the groups are joined on them, so both steps use
+    the buckets of ``write_bucketed_copy``; a bucket is read, compared and reported by one task. Rows with
+    a NULL key go through ``diff_rows``; ``null_keys=False`` leaves that part out for keys that have none,
+    and fails if one turns up. Copies that are not bucketed, or not alike, give the same rows with
+    shuffles. Key columns need one type on both sides.
+    """
+    for k in keys:
+        if left.schema[k].dataType != right.schema[k].dataType:
+            raise TypeError(f"key {k} has two types; copies are bucketed by equal values of one type")
+    cols, known = _plan(left, right, types)
+    low = F.lit(0xFFFFFF)
+
+    def partial_of(columns):
+        return reduce(lambda a, b: a | b, [c.isNull() for c in columns])
+
+    partial = partial_of([quoted(k) for k in keys])
+    whole = ~partial
+    sides = []
+    for df, other, mark in ((left, right, "l"), (right, left, "r")):
+        digest = fingerprint(df, cols, known, other.schema, **options)
+        rows = (df.where(whole) if null_keys else df).select(
+            *[quoted(k).alias(f"{mark}k{i}") for i, k in enumerate(keys)],
+            *[d.alias(f"h{i}") for i, d in enumerate(digest)])
+        sides.append(rows.groupBy(*[f"{mark}k{i}" for i in range(len(keys))]).agg(
+            F.count("*").alias(f"{mark}n"),
+            F.struct(
+                F.bit_xor("h0"), F.bit_xor("h1"),
+                F.sum(F.col("h0").bitwiseAND(low)), F.sum(F.col("h1").bitwiseAND(low)),
+            ).alias(f"{mark}d")))
+    match = [F.col(f"lk{i}") == F.col(f"rk{i}") for i in range(len(keys))]
+    joined = sides[0].hint("merge").join(sides[1], match, "full_outer")
+    same = (F.col("ln") == F.col("rn")) & (F.col("ld") == F.col("rd"))
+    nothing = F.lit(0).cast("bigint")
+    kind = diff_kind(F.coalesce("ln", nothing), F.coalesce("rn", nothing), same)
+    shown = [F.coalesce(f"lk{i}", f"rk{i}").alias(k) for i, k in enumerate(keys)]
+    if not null_keys:
+        kind = F.when(partial_of(shown), F.raise_error(F.lit("a key is NULL; use null_keys=True"))).otherwise(kind)
+        return joined.select(*shown, kind.alias("diff_type")).where("diff_type IS NOT NULL")
+    found = joined.select(*shown, kind.alias("diff_type")).where("diff_type IS NOT NULL")
+    return found.unionByName(diff_rows(left.where(partial), right.where(partial), keys, types, **options))
+
+
 def _placeholder(dtype: T.DataType) -> str:
     """Text that casts to some value of the type."""
     if isinstance(dtype, (T.StringType, T.BinaryType)):

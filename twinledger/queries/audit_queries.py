@@ -135,6 +135,7 @@ SELECT event_id,
             WHEN event_id % 7 = 0 THEN 'invalid_right'
             WHEN event_id % 13 = 0 THEN 'different'
             WHEN event_id % 17 = 0 THEN 'different'
+            WHEN event_id % 19 = 0 THEN 'different'
             ELSE 'equal' END AS verdict
 FROM events""")
 def json_equal_query(spark, sf):
@@ -142,13 +143,17 @@ def json_equal_query(spark, sf):
     number = F.get_json_object("props", "$.k")
     base = table(spark, sf, "events")
     plain = F.concat(F.lit('{"k": '), number, F.lit(', "z": [1, 2]}'))
-    turned = F.concat(F.lit('{"z":[1,2.0],"k":'), number, F.lit(".0}"))
+    # other spellings of the same numbers: an exponent on every fifth row
+    spelled = F.when(e % 5 == 0, F.concat(number, F.lit(".0E+0"))).otherwise(F.concat(number, F.lit(".0")))
+    turned = F.concat(F.lit('{"z":[1,2.0],"k":'), spelled, F.lit("}"))
+    near = F.concat(F.lit('{"z":[1,2.00000000000000000000000001],"k":'), spelled, F.lit("}"))
     left = base.select(e, F.when(e % 11 == 0, F.lit("{bad")).otherwise(plain).alias("doc"))
     right = base.select(
         e,
         F.when(e % 7 == 0, F.lit("not json"))
         .when(e % 13 == 0, F.lit('{"k": -1}'))
         .when(e % 17 == 0, None)
+        .when(e % 19 == 0, near)
         .otherwise(turned).alias("doc"),
     )
     return A.json_equal(left, right, ["event_id"], "doc")

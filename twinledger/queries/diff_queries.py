@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from twinledger.functions.arithmetic import floor_div
@@ -15,6 +17,7 @@ from twinledger.functions.transforms import (
 )
 from twinledger.operators import diff as D
 from twinledger.operators import digest as G
+from twinledger.operators.balance import written
 from twinledger.operators.reports import reconcile_summary
 from twinledger.plans.reconcile import (
     TablePair,
@@ -34,6 +37,7 @@ from twinledger.queries.inputs import (
     table,
 )
 from twinledger.queries.registry import query
+from twinledger.sources.sinks import write_bucketed_copy
 
 CHUNK = 1000
 BUCKET = 500
@@ -160,6 +164,17 @@ def diff_merge_query(spark, sf):
     return D.diff_merge(*both(spark, sf), KEY)
 
 
+@query("diff_rows_bucketed_copies", ORDERS_DIFF, sql=DIFF_SQL)
+def diff_rows_bucketed_copies_query(spark, sf):
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"copy_{side}_{uuid.uuid4().hex}" for side in ("left", "right")]
+    copies = [write_bucketed_copy(df, name, KEY, buckets) for df, name in zip(both(spark, sf), names)]
+    found = written(D.diff_stored_copies(*copies, KEY, null_keys=False), "stored-copies")
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 @query("diff_chunked", ORDERS_DIFF, sql=DIFF_SQL)
 def diff_chunked_query(spark, sf):
     return D.diff_chunked(*both(spark, sf), "o_orderkey", chunk_size=CHUNK)

@@ -14,6 +14,7 @@ from twinledger.queries.inputs import (
     CHANGES,
     FINAL_STATE,
     FULL_LOG,
+    HEARTBEAT_TOPIC,
     INSTANCE,
     KEY_SCHEMA,
     LOG_COLUMNS,
@@ -31,11 +32,13 @@ from twinledger.queries.registry import query
 from twinledger.session import scratch_path
 from twinledger.sources.tables import read_change_log
 from twinledger.streaming.jobs import (
+    append_closed,
     dedupe_stream,
     fold,
     keep_updates,
     latest_updates,
     op_counts_by_window,
+    op_counts_closed_windows,
     replay_progress,
     replayed_to,
     run_to_end,
@@ -544,6 +547,30 @@ def op_counts_window_batch_query(spark, sf):
     return found.withColumn("window_start", shown)
 
 
+@query("op_counts_closed_windows", CHANGES, """
+seen AS (SELECT * FROM log WHERE event_id <= (SELECT max(event_id) // 2 FROM events)),
+beats AS (SELECT ts FROM events WHERE event_id % 500 = 0),
+newest AS (SELECT max(ts) AS ts FROM (SELECT ts FROM seen UNION ALL SELECT ts FROM beats))""", sql="""
+SELECT replace(topic, 'cdc-demo.public.', '') AS "table",
+       strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       count(*) FILTER (WHERE op = 'c') AS inserts, count(*) FILTER (WHERE op = 'u') AS updates,
+       count(*) FILTER (WHERE tombstone) AS deletes, count(*) AS total
+FROM seen WHERE date_trunc('day', ts) + INTERVAL 2 DAY <= (SELECT ts FROM newest) GROUP BY 1, 2""")
+def op_counts_closed_windows_query(spark, sf):
+    """All tables fall idle at the midpoint of the log; the heartbeats behind it close their windows."""
+    path = scratch_path(spark, "closed-windows")
+    files = _file_count(spark, sf)
+    seen = change_log(spark, sf, F.col("event_id") <= midpoint(spark, sf)).select(*LOG_COLUMNS)
+    seen.repartition(files).write.parquet(f"{path}/log")
+    beats = full_log(spark, sf).where(F.col("topic") == HEARTBEAT_TOPIC).select(*LOG_COLUMNS)
+    beats.repartition(files).write.mode("append").parquet(f"{path}/log")
+    log = read_change_log(spark, f"{path}/log", streaming=True, max_files_per_trigger=files)
+    windows = op_counts_closed_windows(log, "1 day", "1 day", INSTANCE)
+    append_closed(windows, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    shown = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start")
+    return spark.read.schema(windows.schema).parquet(f"{path}/rows").withColumn("window_start", shown)
+
+
 @query("dedupe_events_stream", CHANGES, sql="""
 SELECT topic, CAST(part AS INTEGER) AS partition, pos AS "offset" FROM log""")
 def dedupe_events_stream_query(spark, sf):

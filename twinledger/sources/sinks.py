@@ -24,3 +24,14 @@ def write_key_list(rows: DataFrame, keys: Sequence[str], path: str) -> None:
 def write_report(result: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Result rows (per-table status, totals, failures) as parquet or JSON."""
     result.write.mode("overwrite").format(fmt).save(path)
+
+
+def write_bucketed_copy(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` as the table ``name``, bucketed and sorted by its keys, and read back.
+
+    For copies that are compared again and again: ``diff_stored_copies`` of two copies with the same keys
+    and buckets needs no shuffle. Rows are dealt to their buckets before the write, so a bucket is one file.
+    """
+    dealt = df.repartition(buckets, *[quoted(k) for k in keys])
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -20,6 +20,7 @@ from twinledger.operators.changelog import (
     require_keys,
     route_topic,
     split_keyless,
+    topic_regex,
 )
 from twinledger.operators.diff import BROADCAST_ROWS
 from twinledger.operators.replay import apply_changes, latest_per_key, require_known_columns
@@ -252,23 +253,55 @@ def op_counts_by_window(
     order, so by default no record is ever too late and the state holds every window. ``late`` bounds
     the state by a watermark; records beyond it are not counted.
     """
-    slim = log.select(
-        "timestamp", route_topic("topic").alias("table"), is_tombstone().alias("_t"),
-        F.get_json_object("value", "$.payload.op").alias("_op"),
-    )
+    slim = _counted_fields(log)
     if log.isStreaming and late is not None:
         slim = slim.withWatermark("timestamp", late)
+    return _window_counts(slim, window, F.lit(True))
+
+
+def _counted_fields(log: DataFrame) -> DataFrame:
+    return log.select(
+        "timestamp", "topic", route_topic("topic").alias("table"), is_tombstone().alias("_t"),
+        F.get_json_object("value", "$.payload.op").alias("_op"),
+    )
+
+
+def _window_counts(slim: DataFrame, window: str, counts: Column) -> DataFrame:
     counted = slim.groupBy(F.window("timestamp", window).alias("w"), "table").agg(
-        F.count_if(F.col("_op") == "c").alias("inserts"),
-        F.count_if(F.col("_op") == "u").alias("updates"),
-        F.count_if("_t").alias("deletes"),
-        F.count("*").alias("total"),
+        F.count_if(counts & (F.col("_op") == "c")).alias("inserts"),
+        F.count_if(counts & (F.col("_op") == "u")).alias("updates"),
+        F.count_if(counts & F.col("_t")).alias("deletes"),
+        F.count_if(counts).alias("total"),
     )
     return counted.select(
         "table", F.col("w.start").alias("window_start"), "inserts", "updates", "deletes", "total"
     )
 
 
+def op_counts_closed_windows(
+    log: DataFrame, window: str, late: str, instance: str
+) -> DataFrame:
+    """The counts of ``op_counts_by_window`` for windows that are over, each reported once; for append mode.
+
+    ``log`` is the stream of an instance with its heartbeat topic. Heartbeats are not counted, but they
+    move the watermark, so the windows of tables that have gone idle close too, and their state is
+    dropped. Heartbeats leave after the counting: a filter before it would be pushed below the
+    watermark, which then stood still. A record more than ``late`` behind the newest one of an earlier
+    batch may be left out; ``late_records`` finds it.
+    """
+    if not log.isStreaming:
+        raise ValueError("closed windows are those of a stream; use op_counts_by_window on a table")
+    data = F.col("topic").rlike(topic_regex(instance))
+    slim = _counted_fields(log.withWatermark("timestamp", late))
+    return _window_counts(slim, window, data).where("total > 0")
+
+
+def append_closed(windows: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Append each closed window to ``path`` once; a repeated batch writes nothing twice."""
+    writer = windows.writeStream.outputMode("append").format("parquet").option("path", path)
+    return _start(writer, checkpoint, once)
+
+
 def late_records(log: DataFrame, hours: int) -> DataFrame:
     """Records of a log read as a table that are ``hours`` behind the newest one: what a stream with
     that watermark may have dropped, to be counted or replayed in batch."""
