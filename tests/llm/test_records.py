@@ -330,3 +330,16 @@ def test_pipeline_odd_rows(spark, tmp_path, sf):
         spark.createDataFrame([(10, 1, 0), (11, 0, 0), (None, None, None)], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         spark.createDataFrame([(1, None)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
         assert corpus_pipeline.run(spark, folder).select(F.count("*")).first()[0] >= 0
+
+
+def test_archives_are_read_by_many_tasks_and_null_ids_pass(spark, tmp_path):
+    files = spark.range(100).select(F.concat(F.lit(f"file://{tmp_path}/"), "id").alias("path"))
+    read = op9_warc.read_archives(files)
+    dealt = re.search(r"hashpartitioning\(path#\d+, (\d+)\), REPARTITION_BY_NUM", read._jdf.queryExecution().toString())
+    assert dealt and int(dealt[1]) == 100
+    pages = spark.createDataFrame([(None, "http://a/x", "<p>1</p>"), (1, None, None), (2, "http://a/y", "<p>1</p>"),
+                                   (3, "http://a/z", "<p>1</p>")], "page_id bigint, url string, html string")
+    pages.write.parquet(f"file://{tmp_path}/t/pages.parquet")
+    found = QUERIES["op9_warc_archives"](spark, f"file://{tmp_path}/t").collect()
+    assert sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in found) == [
+        ("1", 0, "response", None), ("2", 8, "response", None), ("3", 8, "revisit", 2), ("None", 8, "response", None)]

@@ -17,11 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from twinledger.operators.balance import written
 from twinledger.session import scratch_path
 
 CHUNK_BYTES = 64 << 10
 #: A new archive file is begun after so many compressed bytes.
 FILE_BYTES = 256 << 20
+#: Archives are dealt to at most so many tasks; a task reads its archives one after the other.
+READ_TASKS = 10_000
 _BUFFER = 1 << 16
 _PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -262,7 +265,9 @@ def read_archives(files: DataFrame, chunk_bytes: int = CHUNK_BYTES, batch_bytes:
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*rows), CHUNK_SCHEMA)], schema=CHUNK_SCHEMA)
 
-    spread = files.select("path").distinct().repartition("path")  # a file a row, dealt over the tasks
+    paths = files.select("path").distinct()
+    # a stated number of partitions is not merged by the size of the names, which says nothing of the archives'
+    spread = paths.repartition(min(max(1, paths.count()), READ_TASKS), "path")  # a file a row, dealt over the tasks
     return spread.mapInArrow(read, CHUNK_DDL)
 
 
@@ -271,9 +276,10 @@ def records_of(chunks: DataFrame) -> DataFrame:
 
     The last chunk of a response has its size and digest. A revisit has no payload; it takes both from
     the response that it refers to. ``intact`` tells that the stated digest is the one found, or for a
-    revisit that there is such a response; else its size and digest are null.
+    revisit that there is such a response; else its size and digest are null. The archives are read once:
+    last chunks are stored without their data.
     """
-    last = chunks.where("is_last")
+    last = written(chunks.where("is_last").drop("data", "chunk_no", "url"), "records")
     name = lambda c: F.regexp_extract(c, "<urn:page:(.*)>", 1)
     responses = last.where("record_type = 'response'").select(
         name("record_id").alias("record_id"), F.col("bytes_so_far").alias("payload_bytes"),

@@ -88,8 +88,8 @@ def op8_secret_findings(spark, sf_dir):
 def op9_warc_archives(spark, sf_dir):
     files = op9_warc.archive(table(spark, sf_dir, "pages"))
     found = op9_warc.records_of(op9_warc.read_archives(files, with_data=False))
-    return found.select(F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
-                        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+    return found.select(F.col("record_id").try_cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+                        "record_type", F.col("refers_to").try_cast("bigint").alias("refers_to"))
 
 
 ORACLES["op9_warc_archives"] = op9_warc.sql()
