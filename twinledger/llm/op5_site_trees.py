@@ -275,6 +275,7 @@ def site_rules(pages: DataFrame, url_col: str = "url", html_col: str = "html", l
         "host", "path", "presentation", "content", (F.col("place") == OUTSIDE).alias("outside"), below.alias("below"),
         F.when(below, 1).otherwise(F.col("pages")).alias("c"),
         F.when(below, F.least("firsts", F.lit(1))).otherwise(F.col("firsts")).alias("m"))
+    rows = written(rows, "styles")  # read four times below, so pages are parsed once for all rules
     totals = F.sum("c").alias("c"), F.sum("m").alias("m"), F.max("outside").alias("outside"), F.max("below").alias("below")
     presentation = rows.groupBy("host", "path", "presentation").agg(*totals)
     content = rows.groupBy("host", "path", "content").agg(*totals)
