@@ -235,6 +235,18 @@ def test_decontamination_equals_brute_force(spark):
     assert op7_decontamination.contaminated(docs, benchmark.limit(0)).count() == 0
 
 
+def test_items_that_share_an_id_are_all_looked_for(spark):
+    first = "which of the seven harbours was closed by ice in the winter of that year"
+    second = "name the engineer who drew the second bridge across the northern river before the war"
+    benchmark = spark.createDataFrame(
+        [(7, first), (7, second), (7, second), (7, None), (None, "no id but some words in it")], "item_id bigint, text string")
+    docs = docs_of(spark, [(1, f"a {first} b"), (2, f"{second} and then {first}"), (3, "neither"), (4, f"x {second}")])
+    for together in (1, 20_000):
+        found = op7_decontamination.contaminated(docs, benchmark, together=together).collect()
+        assert sorted((r.doc_id, r.item_id, r.n_words) for r in found) == [(1, 7, 15), (2, 7, 15), (2, 7, 15), (4, 7, 15)]
+        assert {r.doc_id for r in op7_decontamination.drop_contaminated(docs, benchmark, together=together).collect()} == {3}
+
+
 def test_places_of_matches(spark):
     docs = docs_of(spark, [(1, "x y z one two three four five six seven eight nine ten end")])
     benchmark = spark.createDataFrame([(1, "One two three four FIVE six seven eight nine ten")], "item_id bigint, text string")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,8 @@ class Pieces:
     items: dict[int, np.ndarray]
     rate: float
     tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    #: Item ids by the numbers that items have here.
+    ids: tuple[int, ...] = ()
 
     @classmethod
     def of(cls, items: list[tuple[int, str | None]], rate: float = ERROR_RATE) -> Pieces:
@@ -177,13 +179,16 @@ def matches(text: str | Column, pieces: Pieces) -> Column:
 def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
                 together: int = ITEMS_TOGETHER, rate: float = ERROR_RATE) -> Iterator[Pieces]:
     """All items with an id, in blocks of at most about ``together``, so a large benchmark is matched in
-    several passes. Every pass sees all documents. Items without words match nothing."""
+    several passes. Every pass sees all documents. Items without words match nothing. Rows that share an
+    id but not the text are items of their own, equal rows one."""
     items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(text_col).alias("text")).where(
-        F.col("item").isNotNull())
+        F.col("item").isNotNull() & F.col("text").isNotNull())
     blocks = max(1, -(-items.count() // together))
     for b in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b) if blocks > 1 else items
-        yield Pieces.of([(r["item"], r["text"]) for r in part.collect()], rate)
+        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b) if blocks > 1 else items
+        rows = sorted({(r["item"], r["text"]) for r in part.collect()})
+        pieces = Pieces.of([(i, text) for i, (_, text) in enumerate(rows)], rate)
+        yield replace(pieces, ids=tuple(item for item, _ in rows))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -193,14 +198,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     The place is that of the best occurrence, the first of equal ones, in words of the document from 0.
     Null and empty texts hold no item. Items with equal texts are all reported, repeated documents too;
-    of rows with one item id the last text counts. No shuffle.
+    of rows that share an item id each different text is looked for and has its own row. No shuffle.
     """
     spark, parts = docs.sparkSession, []
     for pieces in item_blocks(benchmark, item_col, item_text, together, rate):
-        sizes = spark.createDataFrame([(i, len(w)) for i, w in pieces.items.items()], "item bigint, n_words int")
+        sizes = spark.createDataFrame([(i, pieces.ids[i], len(w)) for i, w in pieces.items.items()], "item bigint, item_id bigint, n_words int")
         hits = docs.select(F.col(id_col).alias("_id"), F.inline(matches(text_col, pieces)))
         parts.append(hits.join(F.broadcast(sizes), "item").select(  # at most ``together`` rows
-            F.col("_id").alias(id_col), F.col("item").alias(item_col), "distance", "n_words", "first_word", "last_word"))
+            F.col("_id").alias(id_col), F.col("item_id").alias(item_col), "distance", "n_words", "first_word", "last_word"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
