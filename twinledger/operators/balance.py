@@ -82,14 +82,17 @@ def diff_kind(n_left: Column, n_right: Column, same: Column) -> Column:
     )
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, paths: list[str] | None = None) -> DataFrame:
     """``df`` stored in the shared scratch folder and read back.
 
     Used for intermediate lists that are needed more than once: their size is
     known exactly afterwards, the work behind them is not repeated when an
-    executor is lost, and nothing stays cached in the session.
+    executor is lost, and nothing stays cached in the session. The folder is added to ``paths``, for a
+    caller that deletes it when nothing that is still to run reads it.
     """
     path = scratch_path(df.sparkSession, label)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
