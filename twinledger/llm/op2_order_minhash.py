@@ -10,14 +10,16 @@ Short texts have too few k-mers for sketches: they are candidates if they share
 row (two, up to five words), which all pairs within the limit do, since edits cut the longer text into
 one piece more than there are edits.
 
-Groups may be huge, so pairs are never listed within a bucket. Members are aligned with the bucket's
-first document; what that leaves apart is compared in blocks of bounded size, where documents that
-are already connected are not aligned again.
+Groups may be huge, so their members are aligned with the bucket's first document only. What that
+leaves apart is compared in blocks of bounded size by signatures (length, keys, word histogram), which
+rule out almost all pairs of unlike documents; texts are fetched only for pairs that are left and in
+components of their own, first one pair for each document, then what that has not connected.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from twinledger.llm.components import components
 from twinledger.llm.textvec import chunks, mix, occurrence, windows
 from twinledger.operators.balance import written
+from twinledger.session import delete
 
 K = 5
 KEPT = 2  # k-mers in a sketch
@@ -39,7 +42,8 @@ CLOSE_SKETCHES = 64
 #: Texts of at most so many words have all their short k-mers as keys; 5/4 of 48.
 SHORT = 60
 SIMILARITY = 0.8
-BLOCK = 256
+#: Documents of a bucket in one block of signatures, under 1 KB each.
+BLOCK = 2048
 BINS = 128
 
 SKETCH_TYPE = "struct<n:int,keys:array<bigint>>"
@@ -226,8 +230,11 @@ def _in_band(a: np.ndarray, b: np.ndarray, band: int) -> int:
 
 
 def histogram(words: np.ndarray) -> np.ndarray:
-    """Counts of words in a few bins; half the difference of two is never above their edit distance."""
-    return np.bincount(words % BINS, minlength=BINS).astype(np.int32)
+    """Counts of words in a few bins; half the difference of two is never above their edit distance.
+
+    Counts end at 65535, which makes no difference larger.
+    """
+    return np.minimum(np.bincount(words % BINS, minlength=BINS), 65535).astype(np.int32)
 
 
 def labelled(values: np.ndarray) -> np.ndarray:
@@ -240,17 +247,29 @@ def labelled(values: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """The words of a text, and its words and word pairs as sets that bound edit distances."""
+    """The words of a text, and what bounds edit distances: a histogram, its words and word pairs as sets.
+
+    Each is made when it is first asked for, since cheaper ones decide on most pairs.
+    """
 
     words: np.ndarray
-    singles: np.ndarray
-    pairs: np.ndarray
 
     @classmethod
     def of(cls, packed) -> Words:
-        words = np.frombuffer(packed, "<i4")
-        wide = words.astype(np.int64)
-        return cls(words, labelled(wide), labelled((wide[1:] << 31) ^ wide[:-1]))
+        return cls(np.frombuffer(packed, "<i4"))
+
+    @cached_property
+    def bins(self) -> np.ndarray:
+        return histogram(self.words)
+
+    @cached_property
+    def singles(self) -> np.ndarray:
+        return labelled(self.words)
+
+    @cached_property
+    def pairs(self) -> np.ndarray:
+        wide = self.words.astype(np.int64)
+        return labelled((wide[1:] << 31) ^ wide[:-1])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -269,7 +288,8 @@ def similar(a: Words, b: Words, similarity: float = SIMILARITY) -> bool:
     """
     n = max(len(a.words), len(b.words))
     limit = allowed(len(a.words), len(b.words), similarity)
-    if (abs(len(a.words) - len(b.words)) > limit or _common(a.singles, b.singles) < n - limit
+    if (abs(len(a.words) - len(b.words)) > limit or np.abs(a.bins - b.bins).sum() > 2 * limit
+            or _common(a.singles, b.singles) < n - limit
             or _common(a.pairs, b.pairs) < n - 1 - 2 * limit):
         return False
     return banded_distance(a.words, b.words, limit) >= 0
@@ -280,49 +300,59 @@ def linked(a: str, b: str, similarity: float = SIMILARITY) -> Column:
 
     @F.arrow_udf("boolean")
     def verified(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array([similar(Words.of(x.as_buffer()), Words.of(y.as_buffer()), similarity)
-                         for x, y in zip(left, right)], pa.bool_())
+        out, last, held = [], None, None
+        for x, y in zip(left, right):
+            packed = x.as_buffer()
+            if last is None or not last.equals(packed):  # pairs come ordered by their left side
+                last, held = packed, Words.of(packed)
+            out.append(similar(held, Words.of(y.as_buffer()), similarity))
+        return pa.array(out, pa.bool_())
 
     return verified(a, b)
 
 
-def _block_links(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links between the documents of a block, enough to connect all that belong together.
+def signature(words: str | Column) -> Column:
+    """Struct of the number of words and their histogram as packed 16-bit counts."""
+
+    @F.arrow_udf("struct<n:int,bins:binary>")
+    def made(packed: pa.Array) -> pa.Array:
+        texts = [np.frombuffer(x.as_buffer(), "<i4") for x in packed]
+        return pa.StructArray.from_arrays(
+            [pa.array([len(t) for t in texts], pa.int32()),
+             pa.array([histogram(t).astype("<u2").tobytes() for t in texts], pa.binary())], names=["n", "bins"])
+
+    return made(words)
+
+
+def _block_candidates(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Pairs of a block that their signatures do not rule out and that are in two components.
 
     A pair is looked at in the bucket of the first sketch that both share, or if they share none in
-    those of the words of short texts. Pairs already in one component, or joined by a link found here,
-    are not aligned.
+    those of the words of short texts.
     """
-    rows = rows.drop_duplicates("node").sort_values("node")
+    rows = rows.drop_duplicates("node").sort_values(["n", "node"])
     keys = np.array([k[:SKETCHES + CLOSE_SKETCHES] for k in rows["keys"]], np.int64)
     bucket = np.int64(rows["key"].iloc[0])
-    node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
+    node, comp, n = rows["node"].to_numpy(), rows["component"].to_numpy(), rows["n"].to_numpy().astype(np.int64)
     apart = (rows["side"] == "rest").to_numpy()
-    words = [Words.of(w) for w in rows["words"]]
-    n = np.array([len(w.words) for w in words])
-    bins = np.array([histogram(w.words) for w in words])
-    parent: dict[int, int] = {int(c): int(c) for c in comp}
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    found = []
-    for i in np.flatnonzero(apart):
-        limit = ((1 - similarity) * np.maximum(n, n[i]) + 1e-9).astype(np.int64)
-        shared = keys == keys[i]
-        first = np.where(shared.any(1), keys[i][shared.argmax(1)], bucket)
-        here = (first == bucket) & (np.abs(n - n[i]) <= limit) & (~apart | (node > node[i]))
-        near = np.flatnonzero(here)
-        near = near[np.abs(bins[near] - bins[i]).sum(1) <= 2 * limit[near]]
-        for j in near:
-            x, y = root(int(comp[i])), root(int(comp[j]))
-            if i != j and x != y and similar(words[i], words[j], similarity):
-                parent[max(x, y)] = min(x, y)
-                found.append((node[i], node[j]))
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    bins = np.array([np.frombuffer(b, "<u2") for b in rows["bins"]], np.int32)
+    # the longest text that one of n words may be within the limit of; rows are ordered by length
+    reach = np.searchsorted(n, n + ((1 - similarity) * n / similarity + 1e-6).astype(np.int64) + 1, "right")
+    left, right = [], []
+    for i in range(len(node) - 1):
+        near = np.arange(i + 1, reach[i])
+        near = near[(apart[near] | apart[i]) & (comp[near] != comp[i])]
+        limit = ((1 - similarity) * n[near] + 1e-9).astype(np.int64)
+        ok = n[near] - n[i] <= limit
+        near, limit = near[ok], limit[ok]
+        near = near[np.abs(bins[near] - bins[i]).sum(1) <= 2 * limit]
+        if len(near):
+            shared = keys[near] == keys[i]
+            near = near[np.where(shared.any(1), keys[i][shared.argmax(1)], bucket) == bucket]
+            left.append(np.minimum(node[near], node[i]))
+            right.append(np.maximum(node[near], node[i]))
+    none = np.zeros(0, np.int64)
+    return pd.DataFrame({"a": np.concatenate((none, *left)), "b": np.concatenate((none, *right))})
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -342,36 +372,41 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     firsts = written(sketched.groupBy("h1", "h2").agg(F.min("id").alias("node")), "firsts")
     nodes = sketched.join(firsts.withColumnRenamed("node", "id"), ["h1", "h2", "id"], "left_semi")
 
+    gone: list[str] = []  # folders that the result does not read
     # 2. buckets; each member of a bucket forms a pair with its first document
     members = nodes.select(F.explode("keys").alias("key"), F.col("id").alias("node"), "n")
     heads = written(
         members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size"))
-        .where("size > 1").select("key", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "heads")
-    stars = written(members.join(heads, "key").where("node <> head"), "stars")
+        .where("size > 1").select("key", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "heads", gone)
+    stars = written(members.join(heads, "key").where("node <> head"), "stars", gone)
     short, long = F.least("n", "head_n"), F.greatest("n", "head_n")
-    pairs = written(stars.where(long - short <= (1 - similarity) * long + 1e-9).select("head", "node").distinct(), "pairs")
+    pairs = written(stars.where(long - short <= (1 - similarity) * long + 1e-9).select("head", "node").distinct(), "pairs", gone)
 
     # 3. alignment of the pairs; only texts in some bucket are needed again
     wanted = stars.select("node").union(stars.select(F.col("head").alias("node"))).distinct()
     named_keys = nodes.select(F.col("id").alias("node"), "keys").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     text_of = have.select(F.col("id").alias("node"), "text").join(named_keys, "node")
-    words = written(text_of.select("node", "keys", word_values("text").alias("words")).dropDuplicates(["node"]), "words")
+    words = written(text_of.select("node", "keys", word_values("text").alias("words")).dropDuplicates(["node"]), "words", gone)
     left = words.select(F.col("node").alias("head"), F.col("words").alias("head_words"))
-    checked = pairs.join(words.drop("keys"), "node").join(left, "head").select(
-        F.col("head").alias("a"), F.col("node").alias("b"), linked("head_words", "words", similarity).alias("linked"))
-    links = written(checked.where("linked").select("a", "b"), "links")
-    label = written(components(links), "components")
+
+    def links_of(pairs: DataFrame, label: str) -> DataFrame:
+        checked = pairs.join(words.drop("keys"), "node").join(left, "head").select(
+            F.col("head").alias("a"), F.col("node").alias("b"), linked("head_words", "words", similarity).alias("linked"))
+        return written(checked.where("linked").select("a", "b"), label, gone)
+
+    links = links_of(pairs, "links")
+    label = written(components(links), "components", gone)
 
     # 4. what a bucket leaves apart from its first document
     named = (
         stars.select("key", "node").union(heads.select("key", F.col("head").alias("node")))
         .join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     )
-    named = written(named, "named")
+    named = written(named, "named", gone)
     main = heads.join(label.withColumnRenamed("node", "head"), "head", "left").select(
         "key", F.coalesce("component", "head").alias("main"))
     sided = written(named.join(main, "key").withColumn("side", F.when(F.col("component") == F.col("main"), "main")
-                                                       .otherwise("rest")), "sided")
+                                                       .otherwise("rest")), "sided", gone)
     sizes = sided.groupBy("key").agg(
         F.count(F.when(F.col("side") == "rest", 1)).alias("rest"), F.count(F.when(F.col("side") == "main", 1)).alias("mains")
     ).where("rest > 0").select(
@@ -391,12 +426,23 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.explode(F.when(F.col("side") == "rest", F.concat(against_rest, against_main)).otherwise(from_main)).alias("block"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        return _block_links(rows, similarity)
-
-    more = written(
-        blocked.select("key", "block.*", "node", "component", "side").join(words, "node")
-        .groupBy("key", "kind", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct(), "more-links")
-    final = written(components(links.union(more)), "final")
+        return _block_candidates(rows, similarity)
+
+    signs = words.select("node", "keys", signature("words").alias("s")).select("node", "keys", "s.*")
+    candidates = written(
+        blocked.select("key", "block.*", "node", "component", "side").join(signs, "node")
+        .groupBy("key", "kind", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+        .select(F.col("a").alias("head"), F.col("b").alias("node")), "candidates", gone)
+    # 5. one candidate of each document first; then those that are still in two components
+    some = candidates.groupBy("node").agg(F.min("head").alias("head")).select("head", "node")
+    links = written(links.union(links_of(some, "more-links")), "linked", gone)
+    label = written(components(links), "joined", gone)
+    for side in ("head", "node"):
+        candidates = candidates.join(label.select(F.col("node").alias(side), F.col("component").alias(f"{side}_c")), side, "left")
+    apart = candidates.where(F.coalesce("head_c", "head") != F.coalesce("node_c", "node")).select("head", "node")
+    final = written(components(links.union(links_of(apart, "last-links"))), "final")
+    for path in gone:
+        delete(spark, path)
 
     found = firsts.join(final, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
     return sketched.select("id", "h1", "h2").join(found, ["h1", "h2"])
