@@ -2,13 +2,18 @@
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_changelog import KEY, ROW, as_set, base_of, drop, log_of, put
 from twinledger.operators import changelog as L
+from twinledger.operators.replay import apply_changes
 from twinledger.plans.many_tables import TableSpec, replay_all_tables, state_of_table, upsert_all_tables
+from twinledger.queries import capture_queries as C
+from twinledger.queries import inputs as I
+from twinledger.queries import log_queries as Q
 from twinledger.sources.tables import read_change_log
 from twinledger.streaming import jobs as J
 
@@ -151,3 +156,46 @@ def test_heartbeats_close_the_windows_of_idle_tables(spark, tmp_path):
     assert [r[1:] for r in closed("rows")] == [(1, 1, 0, 1, 3), (2, 0, 1, 0, 1)]  # each window once
     with pytest.raises(ValueError, match="stream"):
         J.op_counts_closed_windows(spark.createDataFrame([], columns), "1 hour", "1 hour", "demo")
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path):
+    rows = [(1, "a", "public", "t", False, 0, 0), (2, "b", "public", "t", False, 0, 1), (1, "c", "public", "t", False, 0, 2)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        seen.add(1)
+        return row
+
+    columns = "id bigint, v string, schema string, table string, _deleted boolean, partition int, offset bigint"
+    batch = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(count), columns)
+    J.append_batch(batch, ["id"], ROW, f"file://{tmp_path}/state", "s", 0)
+    assert seen.value == len(rows)  # images and progress are both written from one reading
+    assert as_set(J.upserted(base_of(spark), ["id"], f"file://{tmp_path}/state")) == {(1, "c"), (2, "b")}
+    done = spark.read.parquet(f"file://{tmp_path}/state/progress/*/*").first()
+    assert (done["end"], done["events"]) == (3, 3)
+    kept = events(spark, put(5, 1, "x")).cache()
+    J.append_batch(kept, ["id"], ROW, f"file://{tmp_path}/state", "s", 1)
+    assert kept.storageLevel.useMemory  # what the caller keeps stays kept
+    kept.unpersist()
+
+
+def test_a_batch_in_work_is_not_cut_off(spark, tmp_path):
+    log = log_of(spark, *[put(i, i % 5, f"v{i}") for i in range(9)])
+    stream = L.unwrap(L.parse_envelope(stored(spark, tmp_path, log), ROW, KEY))
+    path = f"file://{tmp_path}/state"
+    query = J.upsert_stream(stream, ["id"], ROW, path, f"{path}/cp", once=False, after_batch=lambda _: time.sleep(6))
+    J.run_until(query, 1, seconds=4)  # the batch takes longer
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) >= 1
+    assert not query.isActive
+
+
+def test_files_and_batches_of_a_log_grow_with_it():
+    assert (I.log_files(0), I.log_files(100_000), I.files_per_batch(6)) == (6, 6, 2)
+    for rows in (600_000, 6_000_000, 36_000_000):
+        files = I.log_files(rows)
+        assert files * I.ROWS_PER_FILE >= rows and I.files_per_batch(files) <= I.FILES_PER_BATCH
+
+
+def test_changes_are_dealt_to_all_tasks_before_their_records_are_made(spark, sf):
+    plan = I.change_log(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")

@@ -297,14 +297,34 @@ def store_change_log(spark: SparkSession, sf: str) -> None:
 
 
 def change_log(spark: SparkSession, sf: str, where: Column | None = None) -> DataFrame:
-    """Log of the data tables; ``where`` picks the changes it covers, by ``event_id`` and ``table``."""
+    """Log of the data tables; ``where`` picks the changes it covers, by ``event_id`` and ``table``.
+
+    A change is a hundred times smaller than its record, so a few scan tasks would make and parse the
+    whole log; the changes are dealt to all tasks first.
+    """
     if sf in _stored_logs:
         log = _stored_logs[sf]
         return (log if where is None else log.where(where)).select(*LOG_COLUMNS)
     picked = changes(spark, sf)
     picked = picked if where is None else picked.where(where)
     topic = F.concat(F.lit("cdc-demo.public."), F.col("table"))
-    return _record(topic, picked).select(*LOG_COLUMNS)
+    return _record(topic, picked.repartition("event_id")).select(*LOG_COLUMNS)
+
+
+# Sizes of a stored log: a file is the work of one task for seconds, a batch is bounded.
+ROWS_PER_FILE = 20_000
+FILES_PER_BATCH = 96
+BATCHES = 3
+
+
+def log_files(rows: int) -> int:
+    """Files of a log that is made of so many rows: they grow with it, at least six."""
+    return max(2 * BATCHES, -(-rows // ROWS_PER_FILE))
+
+
+def files_per_batch(files: int) -> int:
+    """Files a batch of a stream takes: a third of a small log, a fixed number of a larger one."""
+    return min(FILES_PER_BATCH, -(-files // BATCHES))
 
 
 def _side_topic(spark: SparkSession, sf: str, topic: str, every: int) -> DataFrame:

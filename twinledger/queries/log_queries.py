@@ -23,7 +23,9 @@ from twinledger.queries.inputs import (
     base_copy,
     change_log,
     changes,
+    files_per_batch,
     full_log,
+    log_files,
     midpoint,
     shown_state,
     table,
@@ -58,13 +60,9 @@ def _text(c: str):
 # -- reading and scoping -------------------------------------------------------
 
 
-RECORDS_PER_FILE = 1_000_000
-
-
 def _file_count(spark, sf) -> int:
-    """Files of the stored log: grows with the events, at least six."""
-    top = table(spark, sf, "events").agg(F.max("event_id").alias("m")).first().m or 0
-    return max(6, top // RECORDS_PER_FILE)
+    """Files of the stored log."""
+    return log_files(table(spark, sf, "events").count())
 
 
 def stored_log(spark, sf, files: int, where=None) -> str:
@@ -431,15 +429,12 @@ def verify_replay_query(spark, sf):
 # -- streams -------------------------------------------------------------------
 
 
-BATCHES = 3
-
-
 def _stream(spark, sf, where=None):
-    """The stored log as a stream of a few batches, whatever its size."""
+    """The stored log as a stream of three batches, or more of a bounded size."""
     files = _file_count(spark, sf)
     return read_change_log(
         spark, stored_log(spark, sf, files, where), L.topic_regex(INSTANCE), streaming=True,
-        max_files_per_trigger=-(-files // BATCHES),
+        max_files_per_trigger=files_per_batch(files),
     )
 
 

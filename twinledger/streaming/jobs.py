@@ -6,6 +6,7 @@ import json
 import time
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -41,12 +42,25 @@ def append_batch(
 ) -> None:
     """Keep the last image of every key one batch touched, as ``path/changes/stream=/batch=``.
 
-    The cost follows the batch. A batch that is repeated replaces its own folder. With
-    ``on_error='continue'`` records without a key are kept below ``path/rejects``.
+    The cost follows the batch: its events are kept while they are written, so each is read and parsed once.
+    A batch that is repeated replaces its own folder. With ``on_error='continue'`` records without a key are
+    kept below ``path/rejects``.
     """
     row = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     require_known_columns(events, row.names)
-    place = f"stream={stream}/batch={batch_id}"
+    if events.storageLevel != StorageLevel.NONE:
+        _append_kept(events, keys, row, path, f"stream={stream}/batch={batch_id}", on_error)
+        return
+    kept = events.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        _append_kept(kept, keys, row, path, f"stream={stream}/batch={batch_id}", on_error)
+    finally:
+        kept.unpersist()
+
+
+def _append_kept(
+    events: DataFrame, keys: Sequence[str], row: T.StructType, path: str, place: str, on_error: str
+) -> None:
     if on_error == "continue":
         usable, rejects = split_keyless(events, keys)
         rejects.write.mode("overwrite").parquet(f"{path}/rejects/{place}")
@@ -391,10 +405,15 @@ def run_to_end(start: Callable[[], StreamingQuery], attempts: int = 3) -> list[s
 
 
 def run_until(query: StreamingQuery, batches: int, seconds: float = 120) -> None:
-    """Let a running stream finish ``batches`` batches with rows, then stop it."""
+    """Let a running stream finish ``batches`` batches with rows, then stop it.
+
+    A stream without data is stopped after ``seconds``; a batch in work is waited for, however long it takes.
+    """
     end = time.monotonic() + seconds
     while query.isActive and time.monotonic() < end:
         if sum(p["numInputRows"] > 0 for p in query.recentProgress) >= batches:
             break
+        if query.status["isDataAvailable"]:
+            end = time.monotonic() + seconds
         time.sleep(0.05)
     query.stop()
