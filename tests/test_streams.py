@@ -199,3 +199,15 @@ def test_files_and_batches_of_a_log_grow_with_it():
 def test_changes_are_dealt_to_all_tasks_before_their_records_are_made(spark, sf):
     plan = I.change_log(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("RepartitionByExpression")
+
+
+def test_verify_replay_reads_each_record_once(spark, sf, monkeypatch):
+    logs = []
+
+    def counted(*args):
+        logs.append(I.change_log(*args))
+        return logs[-1]
+
+    monkeypatch.setattr(Q, "change_log", counted)
+    assert Q.verify_replay_query(spark, sf).first()["verdict"] == "DIFF"
+    assert sum(log.count() for log in logs) == I.change_log(spark, sf).count()
