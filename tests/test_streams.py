@@ -211,3 +211,15 @@ def test_verify_replay_reads_each_record_once(spark, sf, monkeypatch):
     monkeypatch.setattr(Q, "change_log", counted)
     assert Q.verify_replay_query(spark, sf).first()["verdict"] == "DIFF"
     assert sum(log.count() for log in logs) == I.change_log(spark, sf).count()
+
+
+def test_repeated_records_are_parsed_once_for_both_replays(spark, sf, monkeypatch):
+    replayed = []
+
+    def noted(base, found, keys):
+        replayed.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return apply_changes(base, found, keys)
+
+    monkeypatch.setattr(Q, "apply_changes", noted)
+    Q.apply_changes_repeated_query(spark, sf)
+    assert len(replayed) == 2 and not any("from_json" in plan for plan in replayed)
