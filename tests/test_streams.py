@@ -223,3 +223,19 @@ def test_repeated_records_are_parsed_once_for_both_replays(spark, sf, monkeypatc
     monkeypatch.setattr(Q, "apply_changes", noted)
     Q.apply_changes_repeated_query(spark, sf)
     assert len(replayed) == 2 and not any("from_json" in plan for plan in replayed)
+
+
+def test_the_log_of_many_tables_grows_in_files(spark, sf, monkeypatch):
+    monkeypatch.setattr(I, "ROWS_PER_FILE", 400)
+    seen = []
+
+    def noted(spark, path, *args, **options):
+        seen.append((len(spark.read.parquet(path).inputFiles()), options["max_files_per_trigger"]))
+        raise InterruptedError
+
+    monkeypatch.setattr(C, "read_change_log", noted)
+    with pytest.raises(InterruptedError):
+        C.replay_all_tables_stream_query(spark, sf)
+    rows = sum(I.table(spark, sf, t).count() for t in ("orders", "orders", "customer", "events"))
+    (files, per_batch), = seen
+    assert files >= rows // 400 > 6 and per_batch == -(-files // 2)

@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 
 from twinledger.functions.connect_types import DECIMAL, encoded_decimal
 from twinledger.operators import changelog as L
-from twinledger.operators.balance import written
 from twinledger.plans.many_tables import TableSpec, replay_all_tables, state_of_table, upsert_all_tables
-from twinledger.queries.inputs import INSTANCE, KEY_FORM, LOG_COLUMNS, connect_schema, table, wrapped
+from twinledger.queries.inputs import (
+    INSTANCE,
+    KEY_FORM,
+    LOG_COLUMNS,
+    connect_schema,
+    log_files,
+    table,
+    wrapped,
+)
 from twinledger.queries.registry import query
 from twinledger.session import scratch_path
 from twinledger.sources.tables import read_change_log
@@ -176,9 +183,11 @@ def replay_all_tables_query(spark, sf):
 @query("replay_all_tables_stream", sql=ALL_TABLES)
 def replay_all_tables_stream_query(spark, sf):
     path = scratch_path(spark, "many-tables")
-    written_log = written(log_of_many_tables(spark, sf).repartition(4, "topic", "partition", "offset"), "many-tables-log")
-    log = read_change_log(spark, written_log.inputFiles()[0].rsplit("/", 1)[0], L.topic_regex(INSTANCE),
-                          streaming=True, max_files_per_trigger=2)
+    rows = sum(table(spark, sf, name).count() for name in ("orders", "orders", "customer", "events"))
+    files, source = log_files(rows), scratch_path(spark, "many-tables-log")
+    log_of_many_tables(spark, sf).repartition(files, "topic", "partition", "offset").write.parquet(source)
+    log = read_change_log(spark, source, L.topic_regex(INSTANCE), streaming=True,
+                          max_files_per_trigger=-(-files // 2))
     upsert_all_tables(log, INSTANCE, TABLES, path, f"{path}/checkpoint").awaitTermination()
     return shown_tables({
         name: state_of_table(spark.createDataFrame([], spec.row), name, spec, path) for name, spec in TABLES.items()})
