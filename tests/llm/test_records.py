@@ -53,6 +53,24 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_read_only_open_links_again(spark, monkeypatch):
+    read = []
+    real = components.written
+
+    def noted(df, label, *rest):
+        out = real(df, label, *rest)
+        if label == "open-links":
+            read.append(out.count())
+        return out
+
+    monkeypatch.setattr(components, "written", noted)
+    # two stars, joined by a chain: the stars are done after the first round
+    links = [(0, i) for i in range(2, 300)] + [(1000, i) for i in range(1001, 1300)] + [(i, i + 1) for i in range(1299, 1330)] + [(299, 1330)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == dict.fromkeys({x for p in links for x in p}, 0)
+    assert len(read) > 1 and read[0] == len(links) and max(read[1:]) < 40 and read[-1] == 0
+
+
 def test_banded_distance_equals_the_full_matrix():
     rng = random.Random(1)
     for _ in range(400):
@@ -155,6 +173,39 @@ def test_near_duplicates_up_to_the_limit(spark):
     assert got == brute_classes(rows)
 
 
+def test_unlike_documents_of_a_bucket_are_told_apart_once(spark, monkeypatch):
+    listed = []
+    real = op2_order_minhash.written
+
+    def noted(df, label, *rest):
+        out = real(df, label, *rest)
+        if label == "candidates":
+            listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(op2_order_minhash, "written", noted)
+    rng = random.Random(7)
+    fresh = lambda n: [f"p{rng.randrange(10**6)}" for _ in range(n)]
+    shared, two = fresh(300), fresh(100)
+    # a passage that is not enough, in texts of many lengths; and two texts that nobody else shares a sketch with
+    texts = [" ".join(shared + fresh(n)) for n in (200, 95, 130, 160, 100, 145, 110, 180)]
+    rows = list(enumerate([*texts, " ".join(two), " ".join(two[:70] + fresh(20))]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in op2_order_minhash.near_duplicates(docs).collect()}
+    assert got == brute_classes(rows) and len(set(got.values())) == len(rows)
+    assert listed == [0]
+
+
+def test_alignment_takes_bands_wider_than_the_texts():
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(1, 30))] for _ in "ab")
+        want = edits(a, b)
+        for band in {abs(len(a) - len(b)), want, want + 1, 40}:
+            found = op2_order_minhash._in_band(np.array(a, np.int32), np.array(b, np.int32), band)
+            assert found == want if want <= band else found > band
+
+
 def test_near_duplicates_query_equals_brute_force(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = {r.doc_id: r.class_id for r in QUERIES["op2_near_duplicates"](spark, sf).collect()}

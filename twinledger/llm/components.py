@@ -11,20 +11,25 @@ from twinledger.operators.balance import written
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every end of the links ``a, b``: the smallest node it is connected with.
 
-    Each round takes the smallest label around a node and then the label of that label, so chains
-    shorten quickly and a star is done at once. Minima are combined before the shuffle, so a node
-    with very many links is no hot spot.
+    Each round takes the smallest node around a node and then the smallest one around that, and replaces
+    nodes by it in the links. Links within one node are dropped, so a star is done at once and a round
+    reads only what the rounds before have left open. The smallest node of a component is never replaced.
+    Minima are combined before the shuffle, so a node with very many links is no hot spot.
     """
-    both = written(links.union(links.select("b", "a")).where("a <> b").distinct(), "both-ways")
-    label = written(both.groupBy("a").agg(F.min("b").alias("m"))
-                    .select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
-    while True:
-        around = both.join(label.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("m"))
-        nearer = label.join(around.withColumnRenamed("a", "node"), "node").select(
-            "node", F.col("component").alias("old"), F.least("component", "m").alias("to"))
-        jump = label.select(F.col("node").alias("to"), F.col("component").alias("beyond"))
-        after = written(nearer.join(jump, "to", "left").select(
-            "node", "old", F.least("to", F.coalesce("beyond", "to")).alias("component")), "labels")
-        label = after.select("node", "component")
-        if after.where("old <> component").isEmpty():
-            return label
+    ends = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    open_links = written(links.where("a <> b").select(*ends).distinct(), "open-links")
+    rounds = []
+    while not rounds or not open_links.isEmpty():
+        both = open_links.select(F.col("a").alias("node"), F.col("b").alias("to")).union(open_links.select("b", "a"))
+        nearest = written(both.groupBy("node").agg(F.least("node", F.min("to")).alias("to")), "nearest")
+        beyond = nearest.select(F.col("node").alias("to"), F.col("to").alias("component"))
+        label = written(nearest.join(beyond, "to").select("node", "component"), "labels")
+        rounds.append(label)
+        for end in ("a", "b"):
+            open_links = open_links.join(label.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("component", end)
+        open_links = written(open_links.where("a <> b").select(*ends).distinct(), "open-links")
+    found = rounds.pop()
+    while rounds:
+        beyond = found.select(F.col("node").alias("component"), F.col("component").alias("least"))
+        found = rounds.pop().join(beyond, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+    return written(found, "components-found")

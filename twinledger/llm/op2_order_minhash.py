@@ -22,7 +22,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +41,11 @@ CLOSE_SKETCHES = 64
 #: Texts of at most so many words have all their short k-mers as keys; 5/4 of 48.
 SHORT = 60
 SIMILARITY = 0.8
-#: Documents of a bucket in one block of signatures, under 1 KB each.
+#: Documents of a bucket in one block of signatures, under 2 KB each.
 BLOCK = 2048
 BINS = 128
+#: Bins of a signature; folded to ``BINS``, they decide on most pairs.
+FINE_BINS = 1024
 
 SKETCH_TYPE = "struct<n:int,keys:array<bigint>>"
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -212,29 +213,48 @@ def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
 
 
 def _in_band(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Edit distance if it is at most ``band``, else something larger."""
-    far = np.int32(1 << 29)
+    """Edit distance if it is at most ``band``, else something larger.
+
+    The differences between the cells of a column near the diagonal are the bits of two integers, so a
+    column takes a few operations whatever the width of the band.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    band = min(band, len(a))
+    places: dict[int, int] = {}
+    for i, word in enumerate(a.tolist()):
+        places[word] = places.get(word, 0) | 1 << i
+    # the highest bit is the lowest cell of the band; it goes down with the diagonal, then along the last row
     width = 2 * band + 1
-    steps = np.arange(width, dtype=np.int32)
-    padded = np.concatenate((np.full(band, -1, np.int32), b, np.full(band + max(0, len(a) - len(b)), -2, np.int32)))
-    row = np.where(steps >= band, steps - band, far).astype(np.int32)
-    for i in range(len(a)):
-        # cell k of row i + 1 stands at column i + 1 + k - band
-        other = padded[i:i + width]
-        cross = row + (other != a[i])
-        cross[:-1] = np.minimum(cross[:-1], row[1:] + 1)
-        row = np.minimum.accumulate(cross - steps) + steps
-        if i % 16 == 15 and row.min() > band:
+    every, lowest = (1 << width) - 1, 1 << (width - 1)
+    up, down = every ^ ((1 << band) - 1), 0
+    score, shift, corner = band, -band, len(a) - band
+    most = band + len(b) - corner  # it falls by one at most on each step along the last row
+    for j, word in enumerate(b.tolist()):
+        same = places.get(word, 0)
+        same = (same << -shift if shift < 0 else same >> shift) & every
+        diagonal = ((((same & up) + up) ^ up) | same | down) & every
+        right, left = down | every ^ (diagonal | up), diagonal & up
+        if j < corner:
+            score += not diagonal & lowest
+        else:
+            lowest >>= 1
+            score += bool(right & lowest) - bool(left & lowest)
+        if score > most:
             return band + 1
-    return int(row[len(b) - len(a) + band])
+        diagonal >>= 1
+        up, down = left | every ^ (diagonal | right), diagonal & right
+        shift += 1
+    return score
 
 
-def histogram(words: np.ndarray) -> np.ndarray:
-    """Counts of words in a few bins; half the difference of two is never above their edit distance.
+def histogram(words: np.ndarray, bins: int = BINS, most: int = 65535) -> np.ndarray:
+    """Counts of words in a few bins; half the difference of two is never above their edit distance, not even
+    with the difference of their lengths added, since an edit adds one word and takes away one at most.
 
-    Counts end at 65535, which makes no difference larger.
+    Counts end at ``most``, which makes no difference larger.
     """
-    return np.minimum(np.bincount(words % BINS, minlength=BINS), 65535).astype(np.int32)
+    return np.minimum(np.bincount(words % bins, minlength=bins), most).astype(np.int32)
 
 
 def labelled(values: np.ndarray) -> np.ndarray:
@@ -288,7 +308,8 @@ def similar(a: Words, b: Words, similarity: float = SIMILARITY) -> bool:
     """
     n = max(len(a.words), len(b.words))
     limit = allowed(len(a.words), len(b.words), similarity)
-    if (abs(len(a.words) - len(b.words)) > limit or np.abs(a.bins - b.bins).sum() > 2 * limit
+    longer = abs(len(a.words) - len(b.words))
+    if (longer > limit or np.abs(a.bins - b.bins).sum() + longer > 2 * limit
             or _common(a.singles, b.singles) < n - limit
             or _common(a.pairs, b.pairs) < n - 1 - 2 * limit):
         return False
@@ -311,48 +332,59 @@ def linked(a: str, b: str, similarity: float = SIMILARITY) -> Column:
     return verified(a, b)
 
 
-def signature(words: str | Column) -> Column:
-    """Struct of the number of words and their histogram as packed 16-bit counts."""
+def signature(words: str | Column, keys: str | Column) -> Column:
+    """Struct of the number of words, their histogram as packed bytes, and the packed sketches."""
 
-    @F.arrow_udf("struct<n:int,bins:binary>")
-    def made(packed: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<n:int,bins:binary,sketches:binary>")
+    def made(packed: pa.Array, keys: pa.Array) -> pa.Array:
         texts = [np.frombuffer(x.as_buffer(), "<i4") for x in packed]
+        first, values = keys.offsets.to_numpy()[:-1], keys.values.to_numpy()
+        # texts of no words are in no bucket and have no sketches
+        sketches = [values[at:at + SKETCHES + CLOSE_SKETCHES].astype("<i8").tobytes() for at in first]
         return pa.StructArray.from_arrays(
             [pa.array([len(t) for t in texts], pa.int32()),
-             pa.array([histogram(t).astype("<u2").tobytes() for t in texts], pa.binary())], names=["n", "bins"])
+             pa.array([histogram(t, FINE_BINS, 255).astype(np.uint8).tobytes() for t in texts], pa.binary()),
+             pa.array(sketches, pa.binary())], names=["n", "bins", "sketches"])
 
-    return made(words)
+    return made(words, keys)
 
 
-def _block_candidates(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
+def _block_candidates(rows: pa.Table, similarity: float) -> pa.Table:
     """Pairs of a block that their signatures do not rule out and that are in two components.
 
     A pair is looked at in the bucket of the first sketch that both share, or if they share none in
     those of the words of short texts.
     """
-    rows = rows.drop_duplicates("node").sort_values(["n", "node"])
-    keys = np.array([k[:SKETCHES + CLOSE_SKETCHES] for k in rows["keys"]], np.int64)
-    bucket = np.int64(rows["key"].iloc[0])
-    node, comp, n = rows["node"].to_numpy(), rows["component"].to_numpy(), rows["n"].to_numpy().astype(np.int64)
-    apart = (rows["side"] == "rest").to_numpy()
-    bins = np.array([np.frombuffer(b, "<u2") for b in rows["bins"]], np.int32)
+    node, comp, n = (rows[x].to_numpy().astype(np.int64) for x in ("node", "component", "n"))
+    order = np.lexsort((node, n))
+    order = order[np.sort(np.unique(node[order], return_index=True)[1])]
+    node, comp, n = node[order], comp[order], n[order]
+    apart = rows["apart"].to_numpy()[order]
+    bucket = rows["key"][0].as_py()
+    keys = np.frombuffer(b"".join(rows["sketches"].to_pylist()), "<i8").reshape(len(rows), -1)[order]
+    bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(len(rows), -1)[order].astype(np.int16)
+    folded = bins.reshape(len(node), -1, BINS).sum(1, dtype=np.int32)
     # the longest text that one of n words may be within the limit of; rows are ordered by length
     reach = np.searchsorted(n, n + ((1 - similarity) * n / similarity + 1e-6).astype(np.int64) + 1, "right")
     left, right = [], []
     for i in range(len(node) - 1):
         near = np.arange(i + 1, reach[i])
         near = near[(apart[near] | apart[i]) & (comp[near] != comp[i])]
-        limit = ((1 - similarity) * n[near] + 1e-9).astype(np.int64)
-        ok = n[near] - n[i] <= limit
-        near, limit = near[ok], limit[ok]
-        near = near[np.abs(bins[near] - bins[i]).sum(1) <= 2 * limit]
+        if not len(near):
+            continue
+        most = 2 * ((1 - similarity) * n[near] + 1e-9).astype(np.int64) - (n[near] - n[i])
+        ok = n[near] - n[i] <= most
+        near, most = near[ok], most[ok]
+        for counts in (folded, bins):
+            ok = np.abs(counts[near] - counts[i]).sum(1) <= most
+            near, most = near[ok], most[ok]
         if len(near):
             shared = keys[near] == keys[i]
             near = near[np.where(shared.any(1), keys[i][shared.argmax(1)], bucket) == bucket]
             left.append(np.minimum(node[near], node[i]))
             right.append(np.maximum(node[near], node[i]))
     none = np.zeros(0, np.int64)
-    return pd.DataFrame({"a": np.concatenate((none, *left)), "b": np.concatenate((none, *right))})
+    return pa.table({"a": np.concatenate((none, *left)), "b": np.concatenate((none, *right))})
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -407,31 +439,35 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "key", F.coalesce("component", "head").alias("main"))
     sided = written(named.join(main, "key").withColumn("side", F.when(F.col("component") == F.col("main"), "main")
                                                        .otherwise("rest")), "sided", gone)
+    # the first document has met all others of its bucket; left are pairs of which one is of the rest
     sizes = sided.groupBy("key").agg(
         F.count(F.when(F.col("side") == "rest", 1)).alias("rest"), F.count(F.when(F.col("side") == "main", 1)).alias("mains")
-    ).where("rest > 0").select(
-        "key", F.ceil(F.col("rest") / BLOCK).cast("int").alias("rest_blocks"),
+    ).where("rest > 0 and rest + mains > 2").select(
+        "key", (F.col("rest") + F.col("mains") <= BLOCK).alias("whole"),
+        F.ceil(F.col("rest") / BLOCK).cast("int").alias("rest_blocks"),
         F.ceil(F.col("mains") / BLOCK).cast("int").alias("main_blocks"))
     own = F.pmod(F.xxhash64("key", "node"), F.when(F.col("side") == "rest", F.col("rest_blocks")).otherwise(
         F.col("main_blocks"))).cast("int")
-    # the block pairs a document takes part in: its own block against each other block
+    # the block pairs a document takes part in: its own block against each other block; few members are one block
     against_rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: F.struct(
         F.lit("rest").alias("kind"), F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
     against_main = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1), lambda j: F.struct(
         F.lit("main").alias("kind"), F.col("own").alias("i"), j.alias("j")))
     from_main = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda i: F.struct(
         F.lit("main").alias("kind"), i.alias("i"), F.col("own").alias("j")))
+    alone = F.array(F.struct(F.lit("whole").alias("kind"), F.lit(0).alias("i"), F.lit(0).alias("j")))
     blocked = sided.join(sizes, "key").withColumn("own", own).select(
-        "key", "node", "component", "side",
-        F.explode(F.when(F.col("side") == "rest", F.concat(against_rest, against_main)).otherwise(from_main)).alias("block"))
+        "key", "node", "component", (F.col("side") == "rest").alias("apart"),
+        F.explode(F.when(F.col("whole"), alone).when(F.col("side") == "rest", F.concat(against_rest, against_main))
+                  .otherwise(from_main)).alias("block"))
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+    def compare(rows: pa.Table) -> pa.Table:
         return _block_candidates(rows, similarity)
 
-    signs = words.select("node", "keys", signature("words").alias("s")).select("node", "keys", "s.*")
+    signs = words.select("node", signature("words", "keys").alias("s")).select("node", "s.*")
     candidates = written(
-        blocked.select("key", "block.*", "node", "component", "side").join(signs, "node")
-        .groupBy("key", "kind", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+        blocked.select("key", "block.*", "node", "component", "apart").join(signs, "node")
+        .groupBy("key", "kind", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
         .select(F.col("a").alias("head"), F.col("b").alias("node")), "candidates", gone)
     # 5. one candidate of each document first; then those that are still in two components
     some = candidates.groupBy("node").agg(F.min("head").alias("head")).select("head", "node")
