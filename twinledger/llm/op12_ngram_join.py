@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from twinledger.llm.components import components
 from twinledger.llm.textvec import Chunk, chunks, mix, windows
 from twinledger.operators.balance import small_enough, written
+from twinledger.session import delete, shuffles_removed
 
 K = 5
 #: Members of a list that are searched together.
@@ -194,7 +195,10 @@ def _links(pairs: DataFrame, texts: DataFrame, key: Column, classes: DataFrame)
     """The linked ones of the stored pairs ``a, b``; only the texts of their classes are fetched, one of each."""
     needed = pairs.select(F.col("a").alias("no")).union(pairs.select("b")).distinct()
     needed = written(classes.select("no", "class", "least_id").join(needed, "no"), "needed-classes")
-    found = texts.select("_id", "text", key["class"].alias("class")).join(needed, "class").where(
+    # only texts with a needed id, or none, are parsed for their class: rows may share an id
+    ids = needed.select(F.col("least_id").alias("_id")).where("_id IS NOT NULL").distinct()
+    some = texts.join(ids, "_id", "left_semi").union(texts.where("_id IS NULL"))
+    found = some.select("_id", "text", key["class"].alias("class")).join(needed, "class").where(
         F.col("_id").eqNullSafe(F.col("least_id"))).groupBy("no").agg(F.first("text").alias("text"))
     found = written(found, "needed-texts")
     one = found.select(F.col("no").alias("b"), F.col("text").alias("text_b"))
@@ -321,23 +325,35 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     documents of their own; null ids count only where a component has no other. A null text, or one without
     words, has no shingles and its own id. Other columns do not matter.
     """
+    with shuffles_removed(docs.sparkSession):
+        return _joined(docs, id_col, text_col)
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    spark = docs.sparkSession
+    gone: list[str] = []  # folders that nothing after the short lists reads
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     shared = written(texts.select(F.explode(shingle_keys("text")["keys"]).alias("key")).groupBy("key").agg(
-        F.count("*").alias("n")).where("n > 1"), "shared-keys")
+        F.count("*").alias("n")).where("n > 1"), "shared-keys", gone)
     k = shingle_keys("text", _common_keys(shared)).alias("_k")
-    keyed = written(texts.select("_id", k).select("_id", "_k.*"), "shingle-keys")
-    classes = keyed.where("n_shingles > 0").groupBy("class").agg(
+    whole = written(texts.select("_id", k).select("_id", "_k.*"), "shingle-keys", gone)
+    listed = whole.where("n_shingles > 0").groupBy("class").agg(
         F.min("_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
         F.first("marks").alias("marks"))
-    classes = written(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
+    listed = written(listed.withColumn("no", F.monotonically_increasing_id()), "listed-classes", gone)
+    keyed = written(whole.select("_id", "n_shingles", "class"), "classes-of-rows")
+    classes = written(listed.select("no", "class", "least_id"), "classes")
 
-    lists = classes.select("no", "n", F.posexplode("keys").alias("place", "key"))
+    lists = listed.select("no", "n", F.posexplode("keys").alias("place", "key"))
     plain = F.col("key").bitwiseAND(F.lit((1 << 63) - 1))
     counted = lists.where(plain < COUNTED).join(
         shared.select(F.col("key").alias("_shared")), plain == F.col("_shared"), "left_semi")
-    rows = written(counted.unionByName(lists.where(plain >= COUNTED)), "short-lists")
-    marks = classes.select("no", "marks")
-    listed = written(_listed(rows).join(marks, "no"), "listed")
+    used: list[str] = []  # folders that only the search reads
+    rows = written(counted.unionByName(lists.where(plain >= COUNTED)), "short-lists", used)
+    listed = written(_listed(rows).join(listed.select("no", "marks"), "no"), "listed", used)
+    marks = listed.select("no", "marks")
+    for path in gone:
+        delete(spark, path)
 
     order = F.struct(F.xxhash64("no", F.lit(3)).alias("h"), "no", "n")
     pivots = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(order).alias("p"), F.max(order).alias("q"))
@@ -348,6 +364,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = _links(written(_possible(pairs, listed), "pivot-pairs"), texts, k, classes)
 
     candidates = written(_candidates(rows, components(links), marks), "candidates")
+    for path in used:
+        delete(spark, path)
     links = links.unionByName(_links(candidates, texts, k, classes))
     label = components(links)
     least = classes.select("no", "least_id").join(label.withColumnRenamed("node", "no"), "no").groupBy("component").agg(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +63,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/twinledger/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run within it drop their shuffle files when they end, for jobs whose results are stored.
+
+    A Spark that does not know the setting keeps them until the driver collects its garbage.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if not spark.conf.isModifiable(name):
+        yield
+        return
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a stored folder that nothing reads any more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
