@@ -197,10 +197,13 @@ def _links(pairs: DataFrame, texts: DataFrame, key: Column, classes: DataFrame)
     needed = written(classes.select("no", "class", "least_id").join(needed, "no"), "needed-classes")
     # only texts with a needed id, or none, are parsed for their class: rows may share an id
     ids = needed.select(F.col("least_id").alias("_id")).where("_id IS NOT NULL").distinct()
-    some = texts.join(ids, "_id", "left_semi").union(texts.where("_id IS NULL"))
+    # stored, since the planner would filter by the class, and so parse all texts, below the join
+    rows: list[str] = []
+    some = written(texts.join(ids, "_id", "left_semi").union(texts.where("_id IS NULL")), "needed-rows", rows)
     found = some.select("_id", "text", key["class"].alias("class")).join(needed, "class").where(
         F.col("_id").eqNullSafe(F.col("least_id"))).groupBy("no").agg(F.first("text").alias("text"))
     found = written(found, "needed-texts")
+    delete(texts.sparkSession, *rows)
     one = found.select(F.col("no").alias("b"), F.col("text").alias("text_b"))
     other = found.select(F.col("no").alias("a"), F.col("text").alias("text_a"))
     linked = pairs.join(one, "b").join(other, "a").select("a", "b", "text_a", "text_b").mapInArrow(_probed, _PAIR)
