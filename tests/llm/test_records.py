@@ -196,6 +196,41 @@ def test_unlike_documents_of_a_bucket_are_told_apart_once(spark, monkeypatch):
     assert listed == [0]
 
 
+def test_a_document_s_signature_is_joined_once_and_meets_every_near_length(spark, monkeypatch):
+    monkeypatch.setattr(op2_order_minhash, "BLOCK", 4)
+    rng = random.Random(3)
+    rows = [(key, node, 40 + node % 7 * 12, node % 5 if node % 3 else -1, node % 3 > 0)
+            for key, size in ((1, 60), (2, 2), (3, 4), (4, 30)) for node in rng.sample(range(80), size)]
+    rows += [(5, node, 50, -1, False) for node in range(6)]  # nobody is apart
+    sided = spark.createDataFrame(rows, "key bigint, node bigint, n int, component bigint, apart boolean")
+    found = op2_order_minhash.memberships(sided).collect()
+    blocks = {}
+    for r in found:
+        for of in r.buckets:
+            for b in of.blocks:
+                blocks.setdefault((of.key, b.low, b.high), []).append((r.node, b.upper))
+    assert len({r.node for r in found}) == len(found) == len({row[1] for row in rows if row[0] in (1, 3, 4)})
+    assert not {key for key, *_ in blocks} & {2, 5}
+    met = Counter((key, *sorted((a, b))) for (key, low, high), of in blocks.items()
+                  for a, up in of for b, other in of if a < b and (low == high or up != other))
+    for key, a, n, c, x in rows:
+        for other, b, m, d, y in rows:
+            if key == other and a < b and key in (1, 3, 4) and c != d and (x or y) and min(n, m) >= 0.8 * max(n, m):
+                assert met[key, a, b] == 1
+    cells = {cell for key, *ends in blocks if key == 1 for cell in ends}
+    assert len([key for key, *_ in blocks if key == 1]) < len(cells) * (len(cells) + 1) / 2
+
+
+@pytest.mark.parametrize("n", [1, 100, op2_order_minhash.FINE_BINS // 2 - 1, op2_order_minhash.FINE_BINS // 2, 9000])
+def test_signatures_tell_more_words_apart(n):
+    words = np.random.default_rng(n).integers(0, 1 << 31, n).astype("<i4")
+    words[: n // 2] = 7  # more than a packed count holds
+    packed = op2_order_minhash._packed_bins(words)
+    got = op2_order_minhash._histograms([packed, packed], np.array([n, n]))
+    want = np.minimum(np.bincount(words % op2_order_minhash.FINE_BINS, minlength=op2_order_minhash.FINE_BINS), 255)
+    assert op2_order_minhash.FINE_BINS >= 4096 and (got == want).all() and len(packed) <= op2_order_minhash.FINE_BINS
+
+
 def test_alignment_takes_bands_wider_than_the_texts():
     rng = random.Random(2)
     for _ in range(200):

@@ -12,12 +12,15 @@ one piece more than there are edits.
 
 Groups may be huge, so their members are aligned with the bucket's first document only. What that
 leaves apart is compared in blocks of bounded size by signatures (length, keys, word histogram), which
-rule out almost all pairs of unlike documents; texts are fetched only for pairs that are left and in
-components of their own, first one pair for each document, then what that has not connected.
+rule out almost all pairs of unlike documents. A document's signature is joined once, to the list of its
+buckets; blocks of large buckets hold texts of like length and meet only blocks of the lengths next to theirs.
+Texts are fetched only for pairs that are left and in components of their own, first one pair for each
+document, then what that has not connected.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -41,11 +44,12 @@ CLOSE_SKETCHES = 64
 #: Texts of at most so many words have all their short k-mers as keys; 5/4 of 48.
 SHORT = 60
 SIMILARITY = 0.8
-#: Documents of a bucket in one block of signatures, under 2 KB each.
+#: Documents of a bucket in one block of signatures, under 5 KB each.
 BLOCK = 2048
 BINS = 128
-#: Bins of a signature; folded to ``BINS``, they decide on most pairs.
-FINE_BINS = 1024
+#: Bins of a signature; folded to fewer, they decide on most pairs.
+FINE_BINS = 4096
+FOLDS = (BINS, 1024, FINE_BINS)
 
 SKETCH_TYPE = "struct<n:int,keys:array<bigint>>"
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -333,7 +337,10 @@ def linked(a: str, b: str, similarity: float = SIMILARITY) -> Column:
 
 
 def signature(words: str | Column, keys: str | Column) -> Column:
-    """Struct of the number of words, their histogram as packed bytes, and the packed sketches."""
+    """Struct of the number of words, their bins, and the packed sketches.
+
+    A text of few words has the bin of each word, a longer one packed counts.
+    """
 
     @F.arrow_udf("struct<n:int,bins:binary,sketches:binary>")
     def made(packed: pa.Array, keys: pa.Array) -> pa.Array:
@@ -342,15 +349,30 @@ def signature(words: str | Column, keys: str | Column) -> Column:
         # texts of no words are in no bucket and have no sketches
         sketches = [values[at:at + SKETCHES + CLOSE_SKETCHES].astype("<i8").tobytes() for at in first]
         return pa.StructArray.from_arrays(
-            [pa.array([len(t) for t in texts], pa.int32()),
-             pa.array([histogram(t, FINE_BINS, 255).astype(np.uint8).tobytes() for t in texts], pa.binary()),
+            [pa.array([len(t) for t in texts], pa.int32()), pa.array(list(map(_packed_bins, texts)), pa.binary()),
              pa.array(sketches, pa.binary())], names=["n", "bins", "sketches"])
 
     return made(words, keys)
 
 
+def _packed_bins(words: np.ndarray) -> bytes:
+    if 2 * len(words) < FINE_BINS:
+        return (words % FINE_BINS).astype("<u2").tobytes()
+    return histogram(words, FINE_BINS, 255).astype(np.uint8).tobytes()
+
+
+def _histograms(packed: list[bytes], n: np.ndarray) -> np.ndarray:
+    """Counts of ``signature``, a row for each text; all end at 255."""
+    out = np.zeros((len(packed), FINE_BINS), np.int16)
+    few = 2 * n < FINE_BINS
+    at = np.frombuffer(b"".join(x for x, f in zip(packed, few) if f), "<u2")
+    np.add.at(out.reshape(-1), np.repeat(np.flatnonzero(few) * FINE_BINS, n[few]) + at, 1)
+    out[~few] = np.frombuffer(b"".join(x for x, f in zip(packed, few) if not f), np.uint8).reshape(-1, FINE_BINS)
+    return np.minimum(out, 255, out=out)
+
+
 def _block_candidates(rows: pa.Table, similarity: float) -> pa.Table:
-    """Pairs of a block that their signatures do not rule out and that are in two components.
+    """Pairs of two blocks, or within one, that their signatures do not rule out and that are in two components.
 
     A pair is looked at in the bucket of the first sketch that both share, or if they share none in
     those of the words of short texts.
@@ -359,25 +381,29 @@ def _block_candidates(rows: pa.Table, similarity: float) -> pa.Table:
     order = np.lexsort((node, n))
     order = order[np.sort(np.unique(node[order], return_index=True)[1])]
     node, comp, n = node[order], comp[order], n[order]
-    apart = rows["apart"].to_numpy()[order]
+    apart, upper = (rows[x].to_numpy()[order] for x in ("apart", "upper"))
+    one = not upper.any()
     bucket = rows["key"][0].as_py()
     keys = np.frombuffer(b"".join(rows["sketches"].to_pylist()), "<i8").reshape(len(rows), -1)[order]
-    bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(len(rows), -1)[order].astype(np.int16)
-    folded = bins.reshape(len(node), -1, BINS).sum(1, dtype=np.int32)
+    packed = rows["bins"].to_pylist()
+    bins = _histograms([packed[i] for i in order], n)
+    folds = [bins if m == FINE_BINS else bins.reshape(len(node), -1, m).sum(1, dtype=np.int16) for m in FOLDS]
     # the longest text that one of n words may be within the limit of; rows are ordered by length
     reach = np.searchsorted(n, n + ((1 - similarity) * n / similarity + 1e-6).astype(np.int64) + 1, "right")
     left, right = [], []
     for i in range(len(node) - 1):
         near = np.arange(i + 1, reach[i])
-        near = near[(apart[near] | apart[i]) & (comp[near] != comp[i])]
+        near = near[(apart[near] | apart[i]) & (comp[near] != comp[i]) & (one | (upper[near] != upper[i]))]
         if not len(near):
             continue
         most = 2 * ((1 - similarity) * n[near] + 1e-9).astype(np.int64) - (n[near] - n[i])
         ok = n[near] - n[i] <= most
         near, most = near[ok], most[ok]
-        for counts in (folded, bins):
+        for counts in folds:
             ok = np.abs(counts[near] - counts[i]).sum(1) <= most
             near, most = near[ok], most[ok]
+            if not len(near):
+                break
         if len(near):
             shared = keys[near] == keys[i]
             near = near[np.where(shared.any(1), keys[i][shared.argmax(1)], bucket) == bucket]
@@ -387,6 +413,33 @@ def _block_candidates(rows: pa.Table, similarity: float) -> pa.Table:
     return pa.table({"a": np.concatenate((none, *left)), "b": np.concatenate((none, *right))})
 
 
+def memberships(sided: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, component, buckets``, a row for each document of ``key, node, n, component, apart`` that is to be compared.
+
+    ``apart`` tells who is not in the component of its bucket's first document; who is has met it, so a
+    bucket needs comparing if somebody is apart, and only pairs that hold one of these. A bucket of few
+    members is one block. Others are cut by component, by bands of length, so that texts within the limit are in
+    one band or two next to each other, and by hash; each two such blocks that may hold a pair are compared.
+    """
+    width = max(-math.log(similarity), 1e-6) * (1 + 1e-6)
+    sided = sided.withColumn("band", F.floor(F.log("n") / width).cast("int"))
+    sizes = sided.groupBy("key", "band", "apart").agg(F.count("*").alias("members")).withColumn(
+        "cells", F.transform(F.sequence(F.lit(1), F.ceil(F.col("members") / BLOCK).cast("int")),
+                             lambda i: F.struct("apart", "band", i.alias("part"))))
+    buckets = sizes.groupBy("key").agg(
+        F.sum("members").alias("members"), F.max("apart").alias("open"), F.flatten(F.collect_list("cells")).alias("cells"),
+    ).where("open and members > 2").select("key", F.when(F.col("members") > BLOCK, F.col("cells")).alias("cells"))
+    parts = F.size(F.filter("cells", lambda c: (c["apart"] == F.col("apart")) & (c["band"] == F.col("band"))))
+    own = F.struct("apart", "band", (F.pmod(F.xxhash64("key", "node"), parts) + 1).cast("int").alias("part"))
+    near = F.filter("cells", lambda c: (c["apart"] | F.col("apart")) & (F.abs(c["band"] - F.col("band")) <= 1))
+    alone = F.struct(F.lit(True).alias("apart"), F.lit(0).alias("band"), F.lit(0).alias("part"))
+    blocks = F.when(F.col("cells").isNull(), F.array(F.struct(alone.alias("low"), alone.alias("high"), F.lit(False).alias("upper"))))
+    blocks = blocks.otherwise(F.transform(near, lambda c: F.struct(
+        F.least(c, F.col("own")).alias("low"), F.greatest(c, F.col("own")).alias("high"), (F.col("own") > c).alias("upper"))))
+    return sided.join(buckets, "key").withColumn("own", F.when(F.col("cells").isNotNull(), own)).groupBy("node").agg(
+        F.min("component").alias("component"), F.collect_list(F.struct("key", "apart", blocks.alias("blocks"))).alias("buckets"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             similarity: float = SIMILARITY) -> DataFrame:
     """``id, h1, h2, class_id``: a row for each (id, text) of ``docs`` with both, and its class.
@@ -431,43 +484,25 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # 4. what a bucket leaves apart from its first document
     named = (
-        stars.select("key", "node").union(heads.select("key", F.col("head").alias("node")))
-        .join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        stars.select("key", "node", "n").union(heads.select("key", F.col("head").alias("node"), F.col("head_n").alias("n")))
+        .join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     )
     named = written(named, "named", gone)
     main = heads.join(label.withColumnRenamed("node", "head"), "head", "left").select(
         "key", F.coalesce("component", "head").alias("main"))
-    sided = written(named.join(main, "key").withColumn("side", F.when(F.col("component") == F.col("main"), "main")
-                                                       .otherwise("rest")), "sided", gone)
-    # the first document has met all others of its bucket; left are pairs of which one is of the rest
-    sizes = sided.groupBy("key").agg(
-        F.count(F.when(F.col("side") == "rest", 1)).alias("rest"), F.count(F.when(F.col("side") == "main", 1)).alias("mains")
-    ).where("rest > 0 and rest + mains > 2").select(
-        "key", (F.col("rest") + F.col("mains") <= BLOCK).alias("whole"),
-        F.ceil(F.col("rest") / BLOCK).cast("int").alias("rest_blocks"),
-        F.ceil(F.col("mains") / BLOCK).cast("int").alias("main_blocks"))
-    own = F.pmod(F.xxhash64("key", "node"), F.when(F.col("side") == "rest", F.col("rest_blocks")).otherwise(
-        F.col("main_blocks"))).cast("int")
-    # the block pairs a document takes part in: its own block against each other block; few members are one block
-    against_rest = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda j: F.struct(
-        F.lit("rest").alias("kind"), F.least("own", j).alias("i"), F.greatest("own", j).alias("j")))
-    against_main = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1), lambda j: F.struct(
-        F.lit("main").alias("kind"), F.col("own").alias("i"), j.alias("j")))
-    from_main = F.transform(F.sequence(F.lit(0), F.col("rest_blocks") - 1), lambda i: F.struct(
-        F.lit("main").alias("kind"), i.alias("i"), F.col("own").alias("j")))
-    alone = F.array(F.struct(F.lit("whole").alias("kind"), F.lit(0).alias("i"), F.lit(0).alias("j")))
-    blocked = sided.join(sizes, "key").withColumn("own", own).select(
-        "key", "node", "component", (F.col("side") == "rest").alias("apart"),
-        F.explode(F.when(F.col("whole"), alone).when(F.col("side") == "rest", F.concat(against_rest, against_main))
-                  .otherwise(from_main)).alias("block"))
+    sided = written(named.join(main, "key").select("key", "node", "n", "component", (F.col("component") != F.col("main")).alias("apart")),
+                    "sided", gone)
 
     def compare(rows: pa.Table) -> pa.Table:
         return _block_candidates(rows, similarity)
 
-    signs = words.select("node", signature("words", "keys").alias("s")).select("node", "s.*")
+    signed = words.join(memberships(sided, similarity), "node").select(
+        "node", "component", "buckets", signature("words", "keys").alias("s"))
+    blocked = signed.select("node", "component", "s.*", F.explode(F.flatten(F.transform("buckets", lambda of: F.transform(
+        of["blocks"], lambda b: F.struct(of["key"].alias("key"), of["apart"].alias("apart"), b.alias("block")))))).alias("in"))
     candidates = written(
-        blocked.select("key", "block.*", "node", "component", "apart").join(signs, "node")
-        .groupBy("key", "kind", "i", "j").applyInArrow(compare, "a bigint, b bigint").distinct()
+        blocked.select("node", "component", "n", "bins", "sketches", "in.key", "in.apart", "in.block.*")
+        .groupBy("key", "low", "high").applyInArrow(compare, "a bigint, b bigint").distinct()
         .select(F.col("a").alias("head"), F.col("b").alias("node")), "candidates", gone)
     # 5. one candidate of each document first; then those that are still in two components
     some = candidates.groupBy("node").agg(F.min("head").alias("head")).select("head", "node")
