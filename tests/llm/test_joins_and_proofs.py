@@ -224,6 +224,21 @@ def test_alignment_of_an_empty_table(spark):
     assert A.groups(spark.createDataFrame([(1, "hello")], "doc_id int, text string")).first().groups.count("|") >= 1
 
 
+def test_only_groups_with_several_tokens_on_both_sides_are_counted(monkeypatch):
+    seen, real = [], A._counted
+    monkeypatch.setattr(A, "_counted", lambda group, ids: seen.append((group, ids)) or real(group, ids))
+    rnd = random.Random(8)
+    texts = TEXTS + [" ".join(rnd.choice(["the", "cat", "xxxx", "naïve", "日本", "12", "..", "qzj"]) for _ in range(80)) for _ in range(20)]
+    got = A.align(texts, A.sides())
+    want = plain_alignment(texts)
+    assert got["n_links"].tolist() == [w[3] for w in want] and got["n_groups"].tolist() == [w[2] for w in want]
+    (group_a, _), (group_b, _) = seen
+    for group in (group_a, group_b):
+        assert all(n > 1 for n in Counter(group.tolist()).values())
+    assert set(group_a.tolist()) == set(group_b.tolist())
+    assert 0 < len(group_a) < got["n_a"].sum() and len(group_b) < got["n_b"].sum()
+
+
 def test_overlaps_are_all_overlaps():
     made = A.sides()
     texts = ["naïve coöperation 日本 <0xAB>", "plain words here"]

@@ -109,23 +109,34 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
 
     Each token start looks backward for the other side's token that covers it.
     """
-    a, b = a[["doc", "at", "a", "a_end"]], b[["doc", "at", "b", "b_end"]]
-    from_a = pd.merge_asof(a, b, on="at", by="doc")
-    from_b = pd.merge_asof(b, a, on="at", by="doc")
+    doc, left, right = _overlapping(a, b)
+    return pd.DataFrame({"doc": doc, "a": left, "b": right, "a_end": a["a_end"].to_numpy()[left], "b_end": b["b_end"].to_numpy()[right]})
+
+
+def _overlapping(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, A token and B token of each overlap."""
+    left, right = a[["doc", "at", "a"]], b[["doc", "at", "b"]]
+    from_a = pd.merge_asof(left, right, on="at", by="doc")
+    from_b = pd.merge_asof(right, left, on="at", by="doc")
+    found = from_b["a"].to_numpy()
     # a pair of tokens that start together was found from both sides
-    starts = a["at"].to_numpy()[from_b["a"].to_numpy()] if len(b) else np.zeros(0, np.int64)
-    from_b = from_b[starts < from_b["at"].to_numpy()]
-    names = ["doc", "a", "b", "a_end", "b_end"]
-    return pd.concat([from_a[names], from_b[names]])
+    new = a["at"].to_numpy()[found] < from_b["at"].to_numpy() if len(b) else np.zeros(0, bool)
+    return tuple(np.concatenate((x[c].to_numpy(), y)) for x, c, y in (
+        (from_a, "doc", from_b["doc"].to_numpy()[new]), (from_a, "a", found[new]), (from_a, "b", from_b["b"].to_numpy()[new])))
 
 
 def groups_of(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Group of each A token, of each B token, and document of each group."""
-    found = overlaps(a, b)
-    closing = found[found["a_end"] == found["b_end"]].sort_values("a_end")
-    ends = closing["a_end"].to_numpy()
-    return (np.searchsorted(ends, a["a_end"].to_numpy()), np.searchsorted(ends, b["b_end"].to_numpy()),
-            closing["doc"].to_numpy())
+    _, left, right = _overlapping(a, b)
+    closing = a["a_end"].to_numpy()[left] == b["b_end"].to_numpy()[right]
+    groups = []
+    for side, tokens in ((a, left), (b, right)):
+        last = np.zeros(len(side), bool)
+        last[tokens[closing]] = True
+        # a token is in the group after those that were closed before it
+        groups.append((np.cumsum(last) - last, last))
+    (group_a, last_a), (group_b, _) = groups
+    return group_a, group_b, a["doc"].to_numpy()[last_a]
 
 
 def _counted(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,32 +147,49 @@ def _counted(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _linked(group_a, ids_a, group_b, ids_b, doc_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct linked id pairs of each document: document, pair, number of links."""
-    ga, ia, na = _counted(group_a, ids_a)
-    gb, ib, nb = _counted(group_b, ids_b)
+    n = len(doc_of)
+    size_a, size_b = np.bincount(group_a, minlength=n), np.bincount(group_b, minlength=n)
+    # one token on either side is one link; where both sides have more, ids may repeat and are counted first
+    one = (size_a == 1) | (size_b == 1)
+    in_a, in_b = one[group_a], one[group_b]
+    ga, ia, na = _counted(group_a[~in_a], ids_a[~in_a])
+    gb, ib, nb = _counted(group_b[~in_b], ids_b[~in_b])
     first, many = np.searchsorted(gb, ga), np.searchsorted(gb, ga, "right")
     many = many - first
     left = np.repeat(np.arange(len(ga)), many)
     right = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + first[left]
-    doc, pair, times = doc_of[ga[left]], ia[left] << B_BITS | ib[right], na[left] * nb[right]
-    order = np.lexsort((pair, doc))
-    doc, pair, times = doc[order], pair[order], times[order]
+    # a group with one token on a side has as many links as tokens on the other
+    links = np.maximum(size_a, size_b)[one]
+    only_a, only_b = (np.repeat(ids, np.where(size == 1, other, 1)[group]) for ids, size, other, group in (
+        (ids_a[in_a], size_a, size_b, group_a[in_a]), (ids_b[in_b], size_b, size_a, group_b[in_b])))
+    doc = np.concatenate((doc_of[ga[left]], np.repeat(doc_of[one], links)))
+    pair = np.concatenate((ia[left] << B_BITS | ib[right], only_a << B_BITS | only_b))
+    times = np.concatenate((na[left] * nb[right], np.ones(len(only_a), np.int64)))
     if not len(doc):
         return doc, pair, times
-    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1]))))
-    return doc[new], pair[new], np.add.reduceat(times, new)
+    # documents of a batch and pairs are numbers that fit into one
+    key = doc << 2 * B_BITS | pair
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[new] >> 2 * B_BITS, key[new] & (1 << 2 * B_BITS) - 1, np.add.reduceat(times[order], new)
 
 
 def _written_groups(docs: int, a_doc, group_a, ids_a, b_doc, group_b, ids_b) -> list[str]:
     """``a1,a2|b1;a3|b2,b3`` for each document."""
-    side = np.concatenate((np.zeros(len(ids_a), np.int64), np.ones(len(ids_b), np.int64)))
-    group, doc, ids = (np.concatenate(x) for x in ((group_a, group_b), (a_doc, b_doc), (ids_a, ids_b)))
-    order = np.lexsort((side, group))  # stable, so tokens stay in their order
-    side, group, doc, ids = side[order], group[order], doc[order], ids[order]
-    same = (group[1:] == group[:-1]) & (side[1:] == side[:-1])
-    mark = np.append(np.where(same, 0, 2 - (side[:-1] == 0)), 0) if len(ids) else ids
-    marked = _marked(int(ids.max(initial=0)) + 1)
-    words = list(map(marked.__getitem__, (3 * ids + mark).tolist()))
-    bounds = np.searchsorted(doc, np.arange(docs + 1)).tolist()
+    n = int(max(group_a.max(initial=-1), group_b.max(initial=-1))) + 1
+    # tokens of both sides are in the order of their groups: one goes behind those of the other side before it
+    before_b = np.cumsum(np.bincount(group_b, minlength=n)) - np.bincount(group_b, minlength=n)
+    up_to_a = np.cumsum(np.bincount(group_a, minlength=n))
+    at_a, at_b = np.arange(len(ids_a)) + before_b[group_a], np.arange(len(ids_b)) + up_to_a[group_b]
+    place = np.zeros(len(ids_a) + len(ids_b), np.int64)
+    for at, group, ids, end in ((at_a, group_a, ids_a, 1), (at_b, group_b, ids_b, 2)):
+        mark = np.append(np.where(group[1:] == group[:-1], 0, end), end)[:len(ids)]
+        place[at] = 3 * ids + mark
+    marked = _marked(int(place.max(initial=0)) // 3 + 1)
+    words = list(map(marked.__getitem__, place.tolist()))
+    sizes = np.bincount(a_doc, minlength=docs) + np.bincount(b_doc, minlength=docs)
+    bounds = np.concatenate(([0], np.cumsum(sizes))).tolist()
     return ["".join(words[lo:hi])[:-1] for lo, hi in zip(bounds[:-1], bounds[1:])]
 
 
