@@ -231,6 +231,17 @@ def test_signatures_tell_more_words_apart(n):
     assert op2_order_minhash.FINE_BINS >= 4096 and (got == want).all() and len(packed) <= op2_order_minhash.FINE_BINS
 
 
+def test_shuffle_files_of_each_step_are_dropped(spark, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, seen, real = spark.conf.get(name), {}, op2_order_minhash.written
+    monkeypatch.setattr(op2_order_minhash, "written", lambda df, label, *rest: seen.update({label: spark.conf.get(name)}) or real(df, label, *rest))
+    text = "some words that come twice in a row of texts"
+    docs = spark.createDataFrame([(i, text + " and more" * (i % 2)) for i in range(4)], "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in op2_order_minhash.near_duplicates(docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 0}
+    assert set(seen.values()) == {"true"} and {"sketches", "words", "candidates", "final"} <= set(seen)
+    assert spark.conf.get(name) == was
+
+
 def test_alignment_takes_bands_wider_than_the_texts():
     rng = random.Random(2)
     for _ in range(200):

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from twinledger.llm.components import components
 from twinledger.llm.textvec import chunks, mix, occurrence, windows
 from twinledger.operators.balance import written
-from twinledger.session import delete
+from twinledger.session import delete, shuffles_removed
 
 K = 5
 KEPT = 2  # k-mers in a sketch
@@ -447,6 +447,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The class id is the smallest id of the class. Equal texts are one class whatever their length,
     texts without words only by being equal. Rows that share an id are one document.
     """
+    with shuffles_removed(docs.sparkSession):  # each step is stored
+        sketched, firsts, final = _found(docs, id_col, text_col, similarity)
+    found = firsts.join(final, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
+    return sketched.select("id", "h1", "h2").join(found, ["h1", "h2"])
+
+
+def _found(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored: ids with the hashes of their texts, the node of each text, and the component of each linked node."""
     spark = docs.sparkSession
     have = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where(
         F.col("id").isNotNull() & F.col("text").isNotNull())
@@ -514,9 +522,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     final = written(components(links.union(links_of(apart, "last-links"))), "final")
     for path in gone:
         delete(spark, path)
-
-    found = firsts.join(final, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
-    return sketched.select("id", "h1", "h2").join(found, ["h1", "h2"])
+    return sketched, firsts, final
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
