@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from twinledger.functions import connect_types as C
 from twinledger.operators import changelog as L
+from twinledger.queries import capture_queries
 
 D = decimal.Decimal
 
@@ -106,3 +107,43 @@ def test_records_follow_their_own_schema(spark):
     rows.append(("cdc-a.public.t", 0, 2, dt.datetime(2024, 1, 1), '{"id":1}', connect_record({"id": 1, "price": "9.5"}, {})))
     events = L.parse_envelope(spark.createDataFrame(rows, L.LOG_SCHEMA), "id bigint, price decimal(10,2)", "id bigint")
     assert [r[0] for r in events.orderBy("offset").select("after.price").collect()] == [D("15.00"), D("1.50"), D("9.50")]
+
+
+def test_text_holds_numbers_of_any_length(spark):
+    """Columns of text take what no decimal column holds; typed columns still refuse it."""
+    numbers = NUMBERS + [s * n for s in (1, -1) for n in (10**38, 10**39, 2**127, (75 << 120) - 1, 75 << 120, 2**136, 2**143 - 1, 10**65 - 1, 2**400)]
+    padded = [(base64.b64encode(b"\0" * 17).decode(), 0), (base64.b64encode(b"\xff" * 20 + b"\5").decode(), -251)]
+    rows = [(two_complement(n), n) for n in numbers] + padded
+    df = spark.createDataFrame([(v, C.DECIMAL, "0") for v, _ in rows], "v string, k string, s string")
+    got = [r[0] for r in df.select(F.expr(C.decoded("v", "k", "s", T.StringType()))).collect()]
+    assert got == [str(n) for _, n in rows]
+    long = spark.createDataFrame([(two_complement(10**38), C.DECIMAL, "0")], "v string, k string, s string")
+    with pytest.raises(Exception):
+        long.select(F.expr(C.decoded("v", "k", "s", T.DecimalType(38, 0)))).collect()
+
+
+def test_times_far_from_the_epoch(spark):
+    days = [54_000_000, -54_000_000, 11_574_075]  # the last is above 10^12 seconds
+    df = spark.createDataFrame([(str(d * 86_399_999), CT + "Timestamp", None) for d in days], "v string, k string, s string")
+    got = df.select(F.expr(f"cast({C.decoded('v', 'k', 's', T.TimestampNTZType())} AS timestamp)").alias("t")).select(F.unix_millis("t")).collect()
+    assert [r[0] for r in got] == [d * 86_399_999 for d in days]
+
+
+def test_captured_orders_with_large_keys(spark, tmp_path):
+    """Keys as in tables of 54 million orders: the number has up to 40 digits, the years up to six."""
+    keys = [0, 1, 3, 5_421_010, 5_421_011, 5_421_012, 9_223_372, 9_223_373, 9_223_374, 53_999_998, 53_999_999, 54_000_000]
+    spark.createDataFrame([(k, k + 0.25) for k in keys], "o_orderkey bigint, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = {r.id: r for r in capture_queries.parse_envelope_connect_query(spark, str(tmp_path)).collect()}
+    assert sorted(rows) == keys
+    for k, r in rows.items():
+        sign = -1 if k % 3 == 0 else 1
+        assert r.huge == str(k * sign * 10**12 * 2**64 + k) and D(r.price) == (k + D("0.25")) * sign
+        # a cycle of 400 years has 146097 days
+        cycle, day = divmod(k * sign, 146_097)
+        date = dt.date(1970, 1, 1) + dt.timedelta(days=day)
+        year = date.year + 400 * cycle
+        assert r.day == (f"{year:04}" if year >= 0 else str(year)) + date.strftime("-%m-%d")
+        cycle, millis = divmod(k * sign * 86_399_999, 146_097 * 86_400_000)
+        made = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=millis)
+        year = made.year + 400 * cycle
+        assert r.made == (f"{year:04}" if year >= 0 else str(year)) + made.strftime("-%m-%d %H:%M:%S.%f")[:-3]

@@ -3,11 +3,14 @@
 A decimal comes as base64 of its unscaled value (big-endian two's complement, the scale is in the
 schema), a date as days, a time as milliseconds of the day, a timestamp as epoch milliseconds. Which
 of these a field is stands in the schema inside the record, so decoding follows each record's own schema.
-Everything is built-in functions, exact up to 38 digits.
+Everything is built-in functions: exact up to 38 digits in columns of numbers, of any length in columns of text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,32 +38,73 @@ def _refuse(why: str, value: str) -> str:
     return f"raise_error(concat('{why}', coalesce({value}, 'NULL')))"
 
 
-def _digits(raw: str) -> str:
-    """``sign, digits`` of a two's-complement integer given in hexadecimal; null if it is too long."""
-    negative = "substring({}, 1, 1) IN ('8', '9', 'A', 'B', 'C', 'D', 'E', 'F')"
-    limbs = []
-    for i in range(4):
-        limb = f"cast(conv(substring(wide, {8 * i + 1}, 8), 16, 10) AS bigint)"
-        # of a negative number the bits are turned, which gives -x - 1
-        limbs.append(f"cast(if({negative.format('wide')}, 4294967295 - {limb}, {limb}) AS decimal(20,0))")
-    high, low = (f"cast({limbs[i]} * cast(4294967296 AS decimal(20,0)) + {limbs[i + 1]} AS decimal(20,0))" for i in (0, 2))
-    size = f"cast({high} * cast('18446744073709551616' AS decimal(20,0)) + {low} AS decimal(38,0))"
-    size = f"cast(cast({size} + if({negative.format('wide')}, 1, 0) AS decimal(38,0)) AS string)"
-    number = f"named_struct('sign', if({negative.format('wide')}, '-', ''), 'digits', {size})"
-    wide = f"lpad({raw}, {2 * _MAX_BYTES}, if({negative.format(raw)}, 'F', '0'))"
-    return f"if(length({raw}) BETWEEN 2 AND {2 * _MAX_BYTES}, {_let('wide', wide, number)}, NULL)"
-
-
-def decimal_text(encoded: str, scale: str) -> str:
-    """Plain decimal text of an encoded decimal; what has more than 38 digits fails."""
-    scale = f"cast({scale} AS int)"
-    point = "concat(substring(t, 1, length(t) - s), '.', substring(t, length(t) - s + 1, s))"
-    padded = "lpad(number.digits, greatest(length(number.digits), s + 1), '0')"
-    placed = f"concat(number.sign, if(s > 0, {_let('t', padded, point)}, concat(number.digits, repeat('0', -s))))"
-    placed = _let("s", scale, placed)
-    text = _let("raw", f"hex(unbase64({encoded}))", _let("number", _digits("raw"), placed))
-    refuse = _refuse("not a decimal of up to 38 digits: ", encoded)
-    return f"if({encoded} IS NOT NULL, coalesce({text}, {refuse}), NULL)"
+def _whole(raw: str) -> str:
+    """Text of a two's-complement integer of up to 16 bytes given in hexadecimal; null if it is longer."""
+    sign = f"if({raw} >= '8', 'F', '0')"
+    short = f"conv(lpad({raw}, {_MAX_BYTES}, {sign}), 16, -10)"  # up to 8 bytes
+    high = f"cast(conv(substring(wide, 1, {_MAX_BYTES}), 16, -10) AS decimal(20,0))"
+    low = f"cast(conv(substring(wide, {_MAX_BYTES + 1}), 16, 10) AS decimal(20,0))"
+    word = "cast('18446744073709551616' AS decimal(20,0))"
+    # of a negative number the upper word is one too small: with it the product might not fit where the number does
+    size = f"if(wide >= '8', cast(({high} + 1) * {word} AS decimal(38,0)) - ({word} - {low}), cast({high} * {word} AS decimal(38,0)) + {low})"
+    both = _let("wide", f"lpad({raw}, {2 * _MAX_BYTES}, {sign})", f"cast(cast({size} AS decimal(38,0)) AS string)")
+    return f"CASE WHEN length({raw}) BETWEEN 2 AND {_MAX_BYTES} THEN {short} WHEN length({raw}) BETWEEN {_MAX_BYTES + 1} AND {2 * _MAX_BYTES} THEN {both} END"
+
+
+def _whole_of_any_length(raw: str) -> str:
+    """Text of a two's-complement integer of any length; null if there is none.
+
+    The bits are taken 28 at a time into groups of ten digits, the lowest first.
+    """
+    # the upper byte tells that the number is below 75 * 2^120, which has 38 digits
+    top = f"substring({raw}, 1, 2)"
+    fits = f"(length({raw}) < {2 * _MAX_BYTES} OR length({raw}) = {2 * _MAX_BYTES} AND ({top} < '4B' OR {top} > 'B4'))"
+    limb = "cast(conv(substring(wide, start, 7), 16, 10) AS bigint)"
+    # of a negative number the bits are turned, which gives -x - 1
+    limb = f"if(wide >= '8', 268435455 - {limb} + if(start + 7 > length(wide), 1, 0), {limb})"
+    none = "cast(array() AS array<bigint>)"
+    moved = "part * 268435456 + held.carry"
+    step = (f"aggregate(parts, named_struct('carry', limb, 'done', {none}), (held, part) -> named_struct("
+            f"'carry', ({moved}) div 10000000000, 'done', concat(held.done, array(({moved}) % 10000000000))), "
+            "held -> if(held.carry > 0, concat(held.done, array(held.carry)), held.done))")
+    parts = f"aggregate(transform(sequence(1, length(wide), 7), start -> {limb}), {none}, (parts, limb) -> {step})"
+    digits = "ltrim('0', array_join(transform(reverse(parts), part -> lpad(cast(part AS string), 10, '0')), ''))"
+    text = f"concat(if(wide >= '8', '-', ''), {_let('parts', parts, f"if(size(parts) > 0, {digits}, '0')")})"
+    wide = f"lpad({raw}, (length({raw}) + 6) div 7 * 7, if({raw} >= '8', 'F', '0'))"
+    return f"CASE WHEN {fits} THEN {_whole(raw)} ELSE {_let('wide', wide, text)} END"
+
+
+def _placed(whole: str, scale: str) -> str:
+    """Text of an integer with the point where the scale puts it."""
+    point = f"concat(substring(t, 1, length(t) - {scale}), '.', substring(t, length(t) - {scale} + 1, {scale}))"
+    digits = f"ltrim('-', {whole})"
+    padded = f"lpad({digits}, greatest(length({digits}), {scale} + 1), '0')"
+    return (f"CASE WHEN {scale} = 0 THEN {whole} WHEN {scale} < 0 THEN concat({whole}, repeat('0', -{scale})) "
+            f"ELSE concat(if(startswith({whole}, '-'), '-', ''), {_let('t', padded, point)}) END")
+
+
+def _number(encoded: str, scale: str, body: str, any_length: bool) -> str:
+    """``body`` of an encoded decimal, which finds its integer and scale under ``number``."""
+    whole = (_whole_of_any_length if any_length else _whole)("raw")
+    refuse = _refuse("not a decimal: " if any_length else "not a decimal of up to 38 digits: ", encoded)
+    number = _let("raw", f"hex(unbase64({encoded}))", f"named_struct('whole', {whole}, 'scale', cast({scale} AS int))")
+    return f"if({encoded} IS NOT NULL, coalesce({_let('number', number, body)}, {refuse}), NULL)"
+
+
+def decimal_text(encoded: str, scale: str, any_length: bool = False) -> str:
+    """Plain decimal text of an encoded decimal; what has more than 38 digits fails, but for ``any_length``."""
+    return _number(encoded, scale, _placed("number.whole", "number.scale"), any_length)
+
+
+def decimal_value(encoded: str, scale: str, target: T.DataType) -> str:
+    """An encoded decimal in a type of numbers; it fails when its decimals would be rounded."""
+    name, text = target.simpleString(), _placed("number.whole", "number.scale")
+    if not isinstance(target, (T.DecimalType, T.IntegralType)):
+        return _number(encoded, scale, f"cast({text} AS {name})", any_length=False)
+    places = getattr(target, "scale", 0)
+    plain = "number.whole" if places == 0 else "concat(number.whole, 'E-', number.scale)"
+    value = f"if(number.scale BETWEEN 0 AND {places}, cast({plain} AS {name}), cast({_let('shown', text, exact('shown', places))} AS {name}))"
+    return _number(encoded, scale, value, any_length=False)
 
 
 def encoded_decimal(value: Column, scale: int) -> Column:
@@ -73,8 +117,8 @@ def encoded_decimal(value: Column, scale: int) -> Column:
 
 def exact(text: str, scale: int) -> str:
     """The decimal text itself; it fails when decimals beyond ``scale`` would be rounded away."""
-    beyond = rf"regexp_extract({text}, r'\.\d{{{scale}}}(\d+)$', 1)"
-    return f"if({beyond} RLIKE '[1-9]', {_refuse(f'more than {scale} decimals: ', text)}, {text})"
+    beyond = rf"{text} RLIKE r'\.\d{{{scale}}}\d*[1-9]'"
+    return f"if({beyond}, {_refuse(f'more than {scale} decimals: ', text)}, {text})"
 
 
 def _is(kind: str, *names: str) -> str:
@@ -90,15 +134,14 @@ def _micros(value: str, kind: str) -> str:
 
 def _since_epoch(micros: str) -> str:
     """Timestamp without zone so many microseconds behind the epoch."""
-    seconds = f"cast(cast({micros} AS decimal(24,0)) / cast(1000000 AS decimal(7,0)) AS decimal(18,6))"
-    return f"(TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds}))"
+    return f"(TIMESTAMP_NTZ '1970-01-01 00:00:00' + INTERVAL '0.000001' SECOND * ({micros}))"
 
 
-def _decimal(value: str, kind: str, scale: str) -> str:
-    variable = _is(kind, VARIABLE_DECIMAL)
-    parts = (f"if({variable}, get_json_object({value}, '$.{name}'), {plain})" for name, plain in (("value", value), ("scale", scale)))
-    whole, places = parts
-    return _let("given", f"named_struct('v', {whole}, 's', {places})", decimal_text("given.v", "given.s"))
+def _decimal(value: str, kind: str, scale: str, body: Callable[[str, str], str]) -> str:
+    """``body`` of the encoded text and the scale, which a variable decimal carries in its value."""
+    parts = (f"named_struct('v', get_json_object({value}, '$.value'), 's', get_json_object({value}, '$.scale'))",
+             f"named_struct('v', {value}, 's', {scale})")
+    return _let("given", f"if({_is(kind, VARIABLE_DECIMAL)}, {parts[0]}, {parts[1]})", body("given.v", "given.s"))
 
 
 def _text(value: str, kind: str, scale: str) -> str:
@@ -106,7 +149,7 @@ def _text(value: str, kind: str, scale: str) -> str:
     stamp = f"cast({_since_epoch(_micros(value, kind))} AS string)"
     return (
         f"CASE WHEN {kind} IS NULL THEN {value} "
-        f"WHEN {_is(kind, DECIMAL, VARIABLE_DECIMAL)} THEN {_decimal(value, kind, scale)} "
+        f"WHEN {_is(kind, DECIMAL, VARIABLE_DECIMAL)} THEN {_decimal(value, kind, scale, partial(decimal_text, any_length=True))} "
         f"WHEN {_is(kind, *DATES)} THEN cast(date_from_unix_date(cast({value} AS int)) AS string) "
         f"WHEN {_is(kind, *TIMES)} THEN substring_index({stamp}, ' ', -1) "
         f"WHEN {_is(kind, *TIMESTAMPS)} THEN {stamp} ELSE {value} END")
@@ -131,8 +174,6 @@ def decoded(value: str, kind: str, scale: str, target: T.DataType) -> str:
     elif isinstance(target, T.TimestampNTZType):
         out += f" WHEN {_is(kind, *TIMESTAMPS)} THEN {_since_epoch(_micros(value, kind))}"
     elif isinstance(target, T.NumericType):
-        text = _decimal(value, kind, scale)
-        if isinstance(target, (T.DecimalType, T.IntegralType)):
-            text = _let("shown", text, exact("shown", getattr(target, "scale", 0)))
-        out += f" WHEN {_is(kind, DECIMAL, VARIABLE_DECIMAL)} THEN cast({text} AS {target.simpleString()})"
+        number = _decimal(value, kind, scale, partial(decimal_value, target=target))
+        out += f" WHEN {_is(kind, DECIMAL, VARIABLE_DECIMAL)} THEN {number}"
     return f"{out} ELSE {plain} END"

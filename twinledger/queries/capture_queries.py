@@ -56,7 +56,8 @@ def records(rows: DataFrame, topic: str, fields: dict, key: str, images: list[tu
 
 # -- logical types -------------------------------------------------------------
 
-CAPTURED_ROW = "id bigint, price decimal(18,2), huge decimal(38,0), day date, at string, made timestamp_ntz"
+# huge is text: from the key 5421011 on it has more than the 38 digits of a decimal column
+CAPTURED_ROW = "id bigint, price decimal(18,2), huge string, day date, at string, made timestamp_ntz"
 CAPTURED_FIELDS = {
     "id": ("int64", None, None), "price": ("bytes", DECIMAL, 2), "huge": ("bytes", DECIMAL, 0),
     "day": ("int32", CONNECT + "Date", None), "at": ("int32", CONNECT + "Time", None),
@@ -65,22 +66,33 @@ CAPTURED_FIELDS = {
 
 
 def captured_log(spark, sf) -> DataFrame:
-    """A record for each order with a negative or positive price, a number of up to 37 digits and times on
-    both sides of the epoch."""
+    """A record for each order with a negative or positive price, a number of more digits than a bigint holds (with
+    large keys also more than a decimal) and times on both sides of the epoch.
+
+    An order is a hundred times smaller than its record, so the orders are dealt to all tasks first.
+    """
     k = F.col("o_orderkey")
     sign = F.when(k % 3 == 0, -1).otherwise(1)
     price = (F.col("o_totalprice").cast("decimal(18,2)") * sign).cast("decimal(18,2)")
-    # k * sign * 10^12 in the upper 64 bits of the number, k in the lower
-    upper = F.lpad(F.hex(k * sign * 1_000_000_000_000), 16, "0")
-    huge = F.base64(F.unhex(F.concat(upper, F.lpad(F.hex(k), 16, "0"))))
+    # k * sign * 10^12 in the upper bits of the number, k in the lower 64; 10^12 is 5^12 and three zeros in hexadecimal
+    upper = F.lpad(F.hex(k * sign * 5 ** 12), 16, "0")
+    wide = F.concat(F.when(upper >= "8", "F").otherwise("0"), upper, F.lit("000"), F.lpad(F.hex(k), 16, "0"))
+    huge = F.base64(F.unhex(F.regexp_replace(wide, "^(?:00){1,2}(?=[0-7].{31})|^(?:FF){1,2}(?=[89A-F].{31})", "")))
     columns = {
         "id": k, "price": encoded_decimal(price, 2), "huge": huge, "day": (k * sign).cast("int"),
         "at": (k * 977 % 86_400_000).cast("int"), "made": k * sign * 86_399_999,
     }
-    return records(table(spark, sf, "orders"), "cdc-demo.public.orders", CAPTURED_FIELDS, "o_orderkey",
+    return records(table(spark, sf, "orders").repartition("o_orderkey"), "cdc-demo.public.orders", CAPTURED_FIELDS, "o_orderkey",
                    [("c", F.lit(True), columns)])
 
 
+def _shown_date(value: str) -> Column:
+    """Date as the SQL shows it: years have four digits or more, years before 0 a sign and no zeros."""
+    year = F.year(value)
+    shown = F.when(year.between(0, 9999), F.lpad(year.cast("string"), 4, "0")).otherwise(year.cast("string"))
+    return F.concat(shown, F.date_format(value, "-MM-dd"))
+
+
 @query("parse_envelope_connect", sql="""
 SELECT o_orderkey AS id,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END AS VARCHAR) AS price,
@@ -98,9 +110,9 @@ def parse_envelope_connect_query(spark, sf):
     # the time is shown without decimals where there are none
     at = F.rpad(F.concat(F.col("after.at"), F.when(F.col("after.at").contains("."), "").otherwise(".")), 12, "0")
     return events.select(
-        "after.id", F.col("after.price").cast("string").alias("price"), F.col("after.huge").cast("string").alias("huge"),
-        F.date_format("after.day", "yyyy-MM-dd").alias("day"), at.alias("at"),
-        F.date_format("after.made", "yyyy-MM-dd HH:mm:ss.SSS").alias("made"), "op")
+        "after.id", F.col("after.price").cast("string").alias("price"), "after.huge",
+        _shown_date("after.day").alias("day"), at.alias("at"),
+        F.concat(_shown_date("after.made"), F.date_format("after.made", " HH:mm:ss.SSS")).alias("made"), "op")
 
 
 # -- one log of many tables ----------------------------------------------------
