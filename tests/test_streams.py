@@ -239,3 +239,22 @@ def test_the_log_of_many_tables_grows_in_files(spark, sf, monkeypatch):
     rows = sum(I.table(spark, sf, t).count() for t in ("orders", "orders", "customer", "events"))
     (files, per_batch), = seen
     assert files >= rows // 400 > 6 and per_batch == -(-files // 2)
+
+
+def test_the_compacted_sink_is_folded_after_both_halves(spark, sf, tmp_path, monkeypatch):
+    path, folds, place = f"file://{tmp_path}/state", [], Q.scratch_path
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, label: path if label == "state" else place(spark, label))
+
+    def noted(base, keys, path):
+        late = J._batches(spark, path)
+        folds.append((J.fold(base, keys, path), {stream for stream, _, _ in late}))
+        return folds[-1][0]
+
+    monkeypatch.setattr(Q, "fold", noted)
+    state = Q.upsert_sink_compacted_query(spark, sf)
+    assert folds == [(0, {"replay-0"}), (1, {"replay-1"})]
+    number, last = J.folded(spark, path)
+    assert number == 1 and set(last) == {"replay-0", "replay-1"} and J._batches(spark, path) == []
+    assert J._folders(spark, f"{path}/base") == ["fold=1"]
+    assert state.count() == I.shown_state(apply_changes(spark.createDataFrame([], Q.STATE_SCHEMA), Q.events_of(
+        I.change_log(spark, sf), I.INSTANCE, I.ROW_SCHEMA, I.KEY_SCHEMA), Q.STATE_KEYS)).count()
