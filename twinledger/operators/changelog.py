@@ -83,8 +83,14 @@ _KEY = f"schema struct<fields: {_FIELDS}>, payload map<string, string>"
 def _kinds(fields: Column) -> Column:
     """Field name -> logical type and scale, of the fields that have one."""
     named = F.filter(fields, lambda f: f["name"].isNotNull())
-    return F.map_from_entries(F.transform(named, lambda f: F.struct(
-        f["field"], F.struct(f["name"].alias("name"), f["parameters"]["scale"].alias("scale")))))
+    kinds = F.arrays_zip(named["name"], named["parameters"]["scale"]).cast("array<struct<name: string, scale: string>>")
+    return F.map_from_arrays(named["field"], kinds)
+
+
+def _image_fields(fields: Column) -> Column:
+    """Fields of the row image, of which the first of ``before`` and ``after`` tells."""
+    places = [F.nullif(F.array_position(fields["field"], name), F.lit(0)) for name in ("before", "after")]
+    return F.get(fields, F.least(*places).cast("int") - 1)["fields"]
 
 
 def parse_log(log: DataFrame) -> DataFrame:
@@ -102,7 +108,6 @@ def parse_log(log: DataFrame) -> DataFrame:
         is_tombstone().alias("tombstone"),
         F.from_json("value", _ENVELOPE).alias("_e"),
     )
-    images = F.filter(F.col("_e.schema.fields"), lambda f: f["field"].isin("before", "after"))
     return parsed.select(
         "topic", "partition", "offset", "timestamp",
         topic_schema("topic").alias("schema"), route_topic("topic").alias("table"),
@@ -110,7 +115,7 @@ def parse_log(log: DataFrame) -> DataFrame:
         _kinds(F.col("_k.schema.fields")).alias("key_kinds"),
         F.col("_e.payload.op").alias("op"), F.col("_e.payload.before").alias("before"),
         F.col("_e.payload.after").alias("after"),
-        _kinds(F.get(images, F.lit(0))["fields"]).alias("kinds"),
+        _kinds(_image_fields(F.col("_e.schema.fields"))).alias("kinds"),
         F.col("_e.payload.source.lsn").alias("lsn"), F.col("_e.payload.ts_ms").alias("ts_ms"),
         "tombstone", (~F.col("tombstone") & F.col("_e.payload.op").isNull()).alias("corrupt"),
     )
